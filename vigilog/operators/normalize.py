@@ -48,6 +48,7 @@ def normalize_events(
     detail = by_source(source, formats, lambda f: f.detail(g))
     time = by_source(source, formats, lambda f: f.time(g) if f.time else None).cast("string")
     extra = by_source(source, formats, lambda f: f.extra(g, d))
+    fields = event_fields(source, g, d)
     return (
         lines.where(source.isin([f.source for f in formats]))
         .select("seq", "source", strip(F.col("line")).alias("raw"), now.alias("_now"))
@@ -62,9 +63,9 @@ def normalize_events(
             F.col("_ts").isNull().alias("ts_inferred"),
             "source",
             "raw",
-            *[event_fields(source, g, d)[name].alias(name) for name in ("ip", "user", "action", "status", "severity")],
+            *[fields[name].alias(name) for name in ("ip", "user", "action", "status", "severity")],
             F.lit(None).cast("string").alias("rule_triggered"),
-            *[event_fields(source, g, d)[name].alias(name) for name in ("path", "direction")],
+            *[fields[name].alias(name) for name in ("path", "direction")],
             "extra",
         )
     )

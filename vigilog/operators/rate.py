@@ -86,12 +86,12 @@ def first_per_instant(candidates: DataFrame, rules: Sequence[Rule]) -> DataFrame
 
 
 def rate_firings(heads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Per (rule, ip, instant) the first seq that fires, where one does: ``(rule_no, ip_key, us, first_seq)``."""
+    """Those of the first candidates that fire."""
     window_us = _per_rule([r.rate[1] * _SECOND for r in rules])
     # a window of 0 s still needs slots of some width
     span = _per_rule([max(r.rate[1], 1) * SLOT_WINDOWS * _SECOND for r in rules])
-    own = ((F.col("us") - F.pmod(F.col("us"), span)) / span).cast("bigint")
-    next_start = F.col("us") - F.pmod(F.col("us"), span) + span
+    start = F.col("us") - F.pmod(F.col("us"), span)
+    own, next_start = F.call_function("div", start, span), start + span
     slots = F.array_compact(F.array(own, F.when(F.col("us") >= next_start - window_us, own + 1)))
     placed = heads.select("*", own.alias("_own"), F.explode(slots).alias("_slot"))
 
@@ -102,15 +102,12 @@ def rate_firings(heads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for i, rule in enumerate(rules):
         if _always(rule) is None:
             nth_before = F.when(F.col("rule_no") == i, F.col(f"_lag{rule.rate[0]}")).otherwise(nth_before)
-    return (
-        lagged.where((F.col("_slot") == F.col("_own")) & (nth_before >= F.col("us") - window_us))
-        .groupBy("rule_no", "ip_key", "us")
-        .agg(F.min("seq").alias("first_seq"))
-    )
+    fires = (F.col("_slot") == F.col("_own")) & (nth_before >= F.col("us") - window_us)
+    return lagged.where(fires).select("rule_no", "ip_key", "us", "seq")
 
 
 def with_rate_cutoffs(events: DataFrame, firings: DataFrame, rules: Sequence[Rule], clock: str = "ts") -> tuple[DataFrame, list[Column]]:
-    """Events joined with their cutoffs, and per rate rule the test that the rate holds.
+    """Events joined with the first seq that fires, and per rate rule the test that the rate holds.
 
     The join has a coarse time as a further key, which the grouping below has
     not. The grouped side is therefore exchanged once more, small as it is, and
@@ -118,7 +115,7 @@ def with_rate_cutoffs(events: DataFrame, firings: DataFrame, rules: Sequence[Rul
     splits a hot (ip, instant) of the event side.
     """
     cutoffs = firings.groupBy("ip_key", "us").agg(
-        *[F.min(F.when(F.col("rule_no") == i, F.col("first_seq"))).alias(f"_cut{i}") for i in range(len(rules))]
+        *[F.min(F.when(F.col("rule_no") == i, F.col("seq"))).alias(f"_cut{i}") for i in range(len(rules))]
     )
     cutoffs = cutoffs.withColumnsRenamed({"ip_key": "_ip", "us": "_us"}).withColumn("_sec", F.col("_us").bitwiseAND(F.lit(_COARSE)))
     us = epoch_micros(F.col(clock))
