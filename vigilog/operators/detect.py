@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,6 +100,13 @@ def detect_events(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return apply_rules(joined, rules, tests, columns)
 
 
+def detect_between(events: DataFrame, rules: Sequence[Rule], start: datetime, end: datetime) -> DataFrame:
+    """Detection for ``start <= ts <= end`` only; reads no more than that and the longest rate window before it."""
+    context = timedelta(seconds=max([r.rate[1] for r in rate_rules(rules)], default=0))
+    in_reach = events.where((F.col("ts") >= F.lit(start - context)) & (F.col("ts") <= F.lit(end)))
+    return detect_events(in_reach, rules).where(F.col("ts") >= F.lit(start))
+
+
 def rate_detection(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Every event that fires a rate rule: ``(rule, seq, ts, ip)`` plus event columns."""
     return all_matches(events, rate_rules(rules))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,8 +51,8 @@ def _dense(counts: DataFrame, buckets: DataFrame) -> DataFrame:
     return counts.select("bucket", *names).unionByName(zeros).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def timeline(events: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Dense tumbling counts per severity between the first and the last event.
+def timeline(events: DataFrame, seconds: int = BUCKET_SECONDS, since: datetime | None = None) -> DataFrame:
+    """Dense tumbling counts per severity from the first event, or ``since``, to the last event.
 
     The counts are written once: they are small, and both their bounds and their
     values are needed. ``seconds`` must divide a day.
@@ -60,18 +60,23 @@ def timeline(events: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFrame:
     if _DAY % seconds:
         raise ValueError("bucket length must divide a day")
     counts = materialize(timeline_counts(events, seconds), "timeline")
-    bounds = counts.agg(F.min("bucket").alias("first"), F.max("bucket").alias("last")).where("first IS NOT NULL")
+    first = F.min("bucket") if since is None else F.lit(since)
+    bounds = counts.agg(first.alias("first"), F.max("bucket").alias("last")).where("first IS NOT NULL AND last IS NOT NULL")
     return _dense(counts, _buckets_between(bounds, seconds))
 
 
-def latest_ts(events: DataFrame):
-    """Time of the newest event, None without events."""
-    return events.agg(F.max("ts")).first()[0]
+def time_span(events: DataFrame) -> tuple[datetime, datetime] | None:
+    """Times of the oldest and the newest event; two values, whatever the size."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    return None if first is None else (first, last)
 
 
-def between(events: DataFrame, start, end) -> DataFrame:
-    """Events with ``start <= ts <= end``; literal bounds, so they reach the scan."""
-    return events.where((F.col("ts") >= F.lit(start)) & (F.col("ts") <= F.lit(end)))
+def last_buckets_start(
+    span: tuple[datetime, datetime], count: int = MAX_BUCKETS, seconds: int = BUCKET_SECONDS
+) -> datetime:
+    """Start of the newest ``count`` buckets, or of the first bucket if there are fewer."""
+    first, last = ((t - datetime(1970, 1, 1)) // timedelta(seconds=seconds) for t in span)
+    return datetime(1970, 1, 1) + timedelta(seconds=seconds) * max(first, last - count + 1)
 
 
 def rate_series(events: DataFrame, key: str, range_seconds: int = 60, step_seconds: int = STEP_SECONDS) -> DataFrame:

@@ -20,11 +20,13 @@ def follow_events(spark: SparkSession, path: str) -> DataFrame:
 
 def tumbling_timeline(events: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Counts per severity and bucket; buckets more than 15 minutes old are final."""
+    # a watermark needs a zoned type; the cast back restores the wall clock
     return (
-        events.withWatermark("ts", WATERMARK)
+        events.select("severity", F.col("ts").cast("timestamp").alias("ts"))
+        .withWatermark("ts", WATERMARK)
         .groupBy(F.window("ts", f"{seconds} seconds"))
         .agg(*severity_counts())
-        .select(F.col("window.start").alias("bucket"), "info", "warning", "critical")
+        .select(F.col("window.start").cast("timestamp_ntz").alias("bucket"), "info", "warning", "critical")
     )
 
 
