@@ -1,0 +1,125 @@
+"""Rule file, conditions on single events, and which match counts."""
+
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from vigilog import Rule, detect_events, load_rules, rule_matches, rules_from
+from vigilog.functions import predicates
+from vigilog.operators.detect import all_matches, detect_between, detection_mitre
+from vigilog.schema import EVENTS
+
+
+def make_events(spark, *rows):
+    base = dict(ts=datetime(2026, 5, 1, 12), source="auth", raw="x", severity="INFO", extra={}, ts_inferred=False)
+    filled = [{**dict.fromkeys(EVENTS.names), "seq": i, **base, **row} for i, row in enumerate(rows)]
+    return spark.createDataFrame([tuple(r[n] for n in EVENTS.names) for r in filled], EVENTS)
+
+
+def outcome(df):
+    return [(r.rule_triggered, r.severity) for r in df.orderBy("seq").collect()]
+
+
+def write(tmp_path, rules):
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps(rules))
+    return str(path)
+
+
+def test_shipped_rules(spark):
+    rules = rules_from(load_rules(spark))
+    assert len(rules) == 20
+    assert [r.rule_id for r in rules[10:13]] == [4101, 4102, 4100]
+    assert [r.rate for r in rules if r.rate] == [(5, 60), (10, 30), (100, 10), (20, 30)]
+
+
+def test_missing_and_malformed_files_give_no_rules(spark, tmp_path):
+    assert load_rules(spark, str(tmp_path / "none.json")).count() == 0
+    bad = tmp_path / "bad.json"
+    bad.write_text("not valid json")
+    assert rules_from(load_rules(spark, str(bad))) == []
+
+
+def test_defaults_and_unknown_keys(spark, tmp_path):
+    path = write(tmp_path, {"rules": [{"name": "a"}, {"name": "b", "conditions": {"colour": "red", "rate": {}, "time_range": {}}}]})
+    first, second = rules_from(load_rules(spark, path))
+    assert (first.severity, first.condition, first.rate) == (None, "true", None)
+    assert second.rate == (5, 60)
+    assert second.condition == "(hour(ts) >= 0 AND hour(ts) < 6)"
+
+
+def test_repeated_names_are_rejected(spark, tmp_path):
+    with pytest.raises(ValueError):
+        rules_from(load_rules(spark, write(tmp_path, {"rules": [{"name": "a"}, {"name": "a"}]})))
+
+
+@pytest.mark.parametrize(
+    "condition, event, expected",
+    [
+        (predicates.cond_equality("user", "root"), dict(user="root"), True),
+        (predicates.cond_equality("user", "root"), dict(user="Root"), False),
+        (predicates.cond_equality("user", "root"), dict(user=None), False),
+        (predicates.cond_equality("user", "o'b\\r"), dict(user="o'b\\r"), True),
+        (predicates.cond_direction("outbound"), dict(direction="outbound"), True),
+        (predicates.cond_direction("outbound"), dict(direction=None), False),
+        (predicates.cond_path_match(["/etc/passwd"]), dict(path="/etc/passwd"), True),
+        (predicates.cond_path_match(["/etc/passwd"]), dict(path="/etc/passwd-"), True),
+        (predicates.cond_path_match(["/bin/", "/sbin/"]), dict(path="/usr/bin/x"), False),
+        (predicates.cond_path_match([""]), dict(path=""), False),
+        (predicates.cond_path_match([]), dict(path="/x"), False),
+        (predicates.cond_path_match(["/x"]), dict(path=None), False),
+        (predicates.cond_time_range(0, 6), dict(ts=datetime(2026, 5, 1, 3)), True),
+        (predicates.cond_time_range(0, 6), dict(ts=datetime(2026, 5, 1, 6)), False),
+        (predicates.cond_time_range(0, 6), dict(ts=datetime(2026, 5, 1, 10)), False),
+        (predicates.cond_time_range(22, 6), dict(ts=datetime(2026, 5, 1, 23)), True),
+        (predicates.cond_time_range(22, 6), dict(ts=datetime(2026, 5, 1, 5)), True),
+        (predicates.cond_time_range(22, 6), dict(ts=datetime(2026, 5, 1, 12)), False),
+        (predicates.cond_time_range(5, 5), dict(ts=datetime(2026, 5, 1, 5)), False),
+    ],
+)
+def test_condition(spark, condition, event, expected):
+    assert make_events(spark, event).select(F.expr(condition)).first()[0] is expected
+
+
+def test_last_match_wins_and_may_lower_severity(spark):
+    rules = [Rule("first", "CRITICAL", {"source": "auth"}), Rule("second", "INFO", {"action": "login"}), Rule("third", "WARNING", {"source": "fim"})]
+    events = make_events(spark, dict(severity="WARNING"), dict(action="login", severity="WARNING"), dict(source="mail"), dict(source="fim", action="login"))
+    assert outcome(detect_events(events, rules)) == [("first", "CRITICAL"), ("second", "INFO"), (None, "INFO"), ("third", "WARNING")]
+    assert rule_matches(events, rules).groupBy("seq").count().orderBy("seq").collect() == [(0, 1), (1, 2), (3, 2)]
+
+
+def test_rule_without_severity_keeps_the_one_before(spark):
+    rules = [Rule("first", "CRITICAL", {"source": "auth"}), Rule("second", None, {"action": "login"})]
+    events = make_events(spark, dict(action="login"), dict(source="fim", action="login", severity="WARNING"))
+    assert outcome(detect_events(events, rules)) == [("second", "CRITICAL"), ("second", "WARNING")]
+
+
+def test_no_rules(spark):
+    events = make_events(spark, dict(severity="WARNING"))
+    assert outcome(detect_events(events, [])) == [(None, "WARNING")]
+    assert rule_matches(events, []).count() == all_matches(events, []).count() == 0
+
+
+def test_degenerate_rates(spark):
+    rules = [Rule("always", "INFO", {"rate": {"threshold": 0}}), Rule("never", "CRITICAL", {"rate": {"threshold": 1, "window_seconds": -1}})]
+    events = make_events(spark, {}, {})
+    assert outcome(detect_events(events, rules)) == [("always", "INFO")] * 2
+    single = [*rules, Rule("single", "WARNING", {"rate": {"threshold": 1, "window_seconds": 0}})]
+    assert outcome(detect_events(events, single)) == [("single", "WARNING")] * 2
+
+
+def test_detection_of_a_time_slice_sees_the_window_before_it(spark):
+    rules = [Rule("three", "CRITICAL", {"rate": {"threshold": 3, "window_seconds": 10}})]
+    events = make_events(spark, *[dict(ip="a", ts=datetime(2026, 5, 1, 12, 0, s)) for s in (0, 5, 10, 16, 20)])
+    whole = detect_events(events, rules)
+    start = datetime(2026, 5, 1, 12, 0, 9)
+    part = detect_between(events, rules, start, datetime(2026, 5, 1, 13))
+    assert outcome(part) == outcome(whole.where(F.col("ts") >= F.lit(start))) == [("three", "CRITICAL"), (None, "INFO"), ("three", "CRITICAL")]
+
+
+def test_mitre_columns(spark):
+    detected = detect_events(make_events(spark, dict(source="fim", action="deleted")), rules_from(load_rules(spark)))
+    row = detection_mitre(detected, load_rules(spark)).first()
+    assert (row.rule_triggered, row.rule_id, row.mitre_id, row.mitre_tactic) == ("fim_file_deleted", 551, "T1070.004", "Defense Evasion")

@@ -59,6 +59,8 @@ def _extra(names: tuple[str, ...], values: Column) -> Column:
 # Every detail text has the fields ACTION, STATUS, SEVERITY, USER and up to three
 # more that are named where they are used. As in the groups, '' stands for none.
 ACTION, STATUS, SEVERITY, USER, MORE = range(5)
+# fields after the first one; the last of them may hold any character
+DETAIL_FIELDS = 5
 
 
 def _classify(text: Column, *cases: tuple[tuple[str, ...], str, tuple[int, ...]]) -> Column:

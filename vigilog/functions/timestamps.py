@@ -76,11 +76,10 @@ def format_plain(ts: Column) -> Column:
     return F.translate(format_iso(ts), "T", " ")
 
 
-def epoch_micros(ts: Column) -> Column:
-    """Microseconds since 1970 of a TIMESTAMP_NTZ, independent of the session zone."""
-    minutes = F.unix_date(ts.cast("date")).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    seconds = F.extract(F.lit("SECOND"), ts)
-    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+def epoch_micros(ts: str) -> Column:
+    """Microseconds since 1970 of a TIMESTAMP_NTZ column, independent of the session zone."""
+    seconds = f"CAST(CAST(`{ts}` - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS INTERVAL SECOND) AS DECIMAL(18, 6))"
+    return F.expr(f"CAST({seconds} * 1000000 AS BIGINT)")
 
 
 def bucket_start(ts: Column, seconds: int) -> Column:

@@ -5,39 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.operators.rate import first_per_instant, rate_candidates, rate_firings, rate_rules, with_rate_cutoffs
+from vigilog.functions.predicates import quoted
+from vigilog.operators.rate import (
+    constant_tests,
+    first_per_instant,
+    must_count,
+    rate_candidates,
+    rate_firings,
+    rate_rules,
+    with_rate_tests,
+)
 from vigilog.sources.rules import Rule
 
 
-def _matched_array(rules: Sequence[Rule], tests: Sequence[Column]) -> Column:
-    found = [
-        F.when(test, F.struct(F.lit(i).alias("rule_ord"), F.lit(r.name).alias("rule"), F.lit(r.severity).cast("string").alias("rule_severity")))
+def _matched_array(rules: Sequence[Rule], tests: Sequence[str]) -> str:
+    """SQL for ``[(rule_ord, rule, rule_severity), …]`` of the rules that hold."""
+    rows = ", ".join(
+        f"CASE WHEN {test} THEN named_struct('rule_ord', {i}, 'rule', {quoted(r.name)}, 'rule_severity', {_string(r.severity)}) END"
         for i, (r, test) in enumerate(zip(rules, tests))
-    ]
-    return F.array_compact(F.array(*found))
+    )
+    return f"array_compact(array({rows}))"
+
+
+def _string(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else quoted(value)
 
 
 def rule_matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All (event, rule) pairs whose conditions on the single event hold; rates are not counted."""
     if not rules:
         return events.select("*", F.lit(0).alias("rule_ord"), F.lit("").alias("rule"), F.lit("").alias("rule_severity")).where(F.lit(False))
-    return events.select("*", F.inline(_matched_array(rules, [r.condition for r in rules])))
+    return events.select("*", F.expr(f"inline({_matched_array(rules, [r.condition for r in rules])})"))
 
 
-def _full_tests(events: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Column]]:
-    """Events with what the rate rules need, and one complete test per rule."""
+def rate_tests(events: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[str]]:
+    """Events with what the rate rules need, and per rule the SQL test of its rate."""
     rated = rate_rules(rules)
-    counted: dict[str, Column] = {}
-    if any(r.rate[0] > 0 and r.rate[1] >= 0 for r in rated):
-        firings = rate_firings(first_per_instant(rate_candidates(events, rated), rated), rated)
-        events, tests = with_rate_cutoffs(events, firings, rated)
-        counted = {r.name: t for r, t in zip(rated, tests)}
-    else:
-        counted = {r.name: F.lit(r.rate[0] <= 0) for r in rated}
-    return events, [r.condition & counted[r.name] if r.name in counted else r.condition for r in rules]
+    if not must_count(rated):
+        return events, spread_tests(rules, constant_tests(rated))
+    firings = rate_firings(first_per_instant(rate_candidates(events, rated), rated), rated)
+    joined, tests = with_rate_tests(events, firings, rated)
+    return joined, spread_tests(rules, tests)
+
+
+def spread_tests(rules: Sequence[Rule], rated_tests: Sequence[str]) -> list[str]:
+    """Tests of the rate rules at their places among all rules."""
+    remaining = iter(rated_tests)
+    return ["true" if r.rate is None else next(remaining) for r in rules]
 
 
 def all_matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -45,50 +62,47 @@ def all_matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     if not rules:
         return rule_matches(events, rules)
     columns = events.columns
-    joined, tests = _full_tests(events, rules)
-    return joined.select(*columns, F.inline(_matched_array(rules, tests)))
+    joined, held = rate_tests(events, rules)
+    full = [f"{r.condition} AND {t}" for r, t in zip(rules, held)]
+    return joined.select(*columns, F.expr(f"inline({_matched_array(rules, full)})"))
 
 
-def last_match(rules: Sequence[Rule], tests: Sequence[Column], keep: Callable[[Rule], bool] = lambda r: True) -> Column:
-    """Position of the last rule that holds, NULL if none.
+def last_match(rules: Sequence[Rule], held: Sequence[str], keep: Callable[[Rule], bool] = lambda r: True) -> str:
+    """SQL for the position of the last rule that holds, NULL if none.
 
     Rules are grouped by the source they ask for, so an event is only tried
     against the rules that can match it, last rule first.
     """
-    def chain(numbers: Sequence[int]) -> Column:
-        result = None
-        for i in reversed(numbers):
-            result = F.when(tests[i], F.lit(i)) if result is None else result.when(tests[i], F.lit(i))
-        return F.lit(None).cast("int") if result is None else result
+    def chain(numbers: Sequence[int]) -> str:
+        cases = " ".join(f"WHEN {rules[i].condition_in_source} AND {held[i]} THEN {i}" for i in reversed(numbers))
+        return f"CASE {cases} END" if cases else "CAST(NULL AS INT)"
 
     kept = [i for i, r in enumerate(rules) if keep(r)]
-    wanted = {i: (rules[i].conditions or {}).get("source") for i in kept}
-    anywhere = [i for i in kept if wanted[i] is None]
-    dispatch = None
-    for source in sorted({s for s in wanted.values() if s is not None}):
-        branch = chain([i for i in kept if wanted[i] in (None, source)])
-        is_source = F.col("source") == source
-        dispatch = F.when(is_source, branch) if dispatch is None else dispatch.when(is_source, branch)
-    return chain(anywhere) if dispatch is None else dispatch.otherwise(chain(anywhere))
+    sources = sorted({rules[i].source for i in kept} - {None})
+    anywhere = chain([i for i in kept if rules[i].source is None])
+    if not sources:
+        return anywhere
+    branches = " ".join(f"WHEN {quoted(s)} THEN {chain([i for i in kept if rules[i].source in (None, s)])}" for s in sources)
+    return f"CASE source {branches} ELSE {anywhere} END"
 
 
-def _lookup(position: Column, values: Sequence[str | None]) -> Column:
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), position)
+def _lookup(position: str, values: Sequence[str | None]) -> str:
+    return f"get(array({', '.join(map(_string, values))}), {position})"
 
 
-def apply_rules(events: DataFrame, rules: Sequence[Rule], tests: Sequence[Column], columns: Sequence[str]) -> DataFrame:
+def apply_rules(events: DataFrame, rules: Sequence[Rule], held: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Name and severity from the last match; a rule without severity leaves the one before it."""
     severities = [r.severity for r in rules]
-    ranked = events.select("*", last_match(rules, tests).alias("_rule"))
+    ranked = events.select("*", F.expr(last_match(rules, held)).alias("_rule"))
+    severity = "_rule"
     if None in severities:
-        ranked = ranked.select("*", last_match(rules, tests, lambda r: r.severity is not None).alias("_sev"))
-    else:
-        ranked = ranked.select("*", F.col("_rule").alias("_sev"))
+        severity = "_sev"
+        ranked = ranked.select("*", F.expr(last_match(rules, held, lambda r: r.severity is not None)).alias(severity))
     changed = {
-        "rule_triggered": _lookup(F.col("_rule"), [r.name for r in rules]),
-        "severity": F.coalesce(_lookup(F.col("_sev"), severities), F.col("severity")),
+        "rule_triggered": _lookup("_rule", [r.name for r in rules]),
+        "severity": f"coalesce({_lookup(severity, severities)}, severity)",
     }
-    return ranked.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in columns])
+    return ranked.select(*[F.expr(changed[c]).alias(c) if c in changed else c for c in columns])
 
 
 def detect_events(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -96,8 +110,8 @@ def detect_events(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     if not rules:
         return events.withColumn("rule_triggered", F.lit(None).cast("string"))
     columns = events.columns if "rule_triggered" in events.columns else [*events.columns, "rule_triggered"]
-    joined, tests = _full_tests(events, rules)
-    return apply_rules(joined, rules, tests, columns)
+    joined, held = rate_tests(events, rules)
+    return apply_rules(joined, rules, held, columns)
 
 
 def detect_between(events: DataFrame, rules: Sequence[Rule], start: datetime, end: datetime) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.functions.formats import FORMATS, Groups, LineFormat, by_source, event_fields, event_ts
+from vigilog.functions.formats import DETAIL_FIELDS, FORMATS, Groups, LineFormat, by_source, event_fields, event_ts
 from vigilog.functions.text import fields_of, is_recast, strip
 from vigilog.schema import SOURCES
 
@@ -55,7 +55,7 @@ def normalize_events(
         .select("*", by_source(source, formats, lambda f: f.recast(F.col("raw"))).alias("_line"))
         .select("seq", "source", "raw", "_now", F.explode(F.when(is_recast(line), F.array(groups))).alias("_g"))
         .select("*", detail.alias("_detail"), time.alias("_time"))
-        .select("*", fields_of(F.col("_detail"), 6).alias("_d"), fields_of(F.col("_time"), 7).alias("_t"))
+        .select("*", fields_of(F.col("_detail"), DETAIL_FIELDS).alias("_d"), fields_of(F.col("_time"), 7).alias("_t"))
         .select("*", event_ts(source, g, t, year).alias("_ts"), extra.alias("extra"))
         .select(
             "seq",

@@ -41,9 +41,18 @@ def rate_rules(rules: Sequence[Rule]) -> list[Rule]:
     return [r for r in rules if r.rate is not None]
 
 
-def ip_key(ip: Column) -> Column:
-    """Events without an address share one bucket, named None."""
-    return F.coalesce(ip, F.lit("None"))
+def must_count(rules: Sequence[Rule]) -> bool:
+    """Whether the outcome of any rate depends on the events."""
+    return any(_always(r) is None for r in rules)
+
+
+def constant_tests(rules: Sequence[Rule]) -> list[str]:
+    """Tests of rates of which none must be counted."""
+    return [str(_always(r)).lower() for r in rules]
+
+
+# Events without an address share one bucket, named None.
+_IP_KEY = "coalesce(ip, 'None')"
 
 
 def _always(rule: Rule) -> bool | None:
@@ -54,35 +63,40 @@ def _always(rule: Rule) -> bool | None:
     return False if window < 0 else None
 
 
-def _per_rule(values: Sequence[int]) -> Column:
-    return F.element_at(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("rule_no") + 1)
+def _per_rule(values: Sequence[int]) -> str:
+    """SQL for the value that belongs to ``rule_no``."""
+    return f"element_at(array({', '.join(f'{v}L' for v in values)}), rule_no + 1)"
 
 
 def rate_candidates(events: DataFrame, rules: Sequence[Rule], clock: str = "ts") -> DataFrame:
     """``(rule_no, ip_key, us, seq)`` of events that meet the other conditions of a rate rule."""
     counted = [(i, r) for i, r in enumerate(rules) if _always(r) is None]
-    hits = F.array_compact(F.array(*[F.when(r.condition, F.lit(i)) for i, r in counted]))
-    sources = {(r.conditions or {}).get("source") for _, r in counted}
+    sources = {r.source for _, r in counted}
     if None not in sources:
         # reaches the scan: other sources are neither read (partitioned table) nor parsed (raw lines)
         events = events.where(F.col("source").isin(sorted(sources)))
+    hits = ", ".join(f"CASE WHEN {r.condition} THEN {i} END" for i, r in counted)
     return events.select(
-        F.explode(hits).alias("rule_no"), ip_key(F.col("ip")).alias("ip_key"), epoch_micros(F.col(clock)).alias("us"), "seq"
+        F.expr(f"explode(array_compact(array({hits})))").alias("rule_no"),
+        F.expr(_IP_KEY).alias("ip_key"),
+        epoch_micros(clock).alias("us"),
+        "seq",
     )
 
 
 def first_per_instant(candidates: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The first N candidates of every (rule, ip, instant)."""
     thresholds = [r.rate[0] for r in rules]
-    limit, keys = max(thresholds), ["rule_no", "ip_key", "us"]
+    limit, columns = max(thresholds), candidates.columns
 
-    def head(df: DataFrame, *by: str | Column) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(*keys, *by).orderBy("seq"))
-        return df.withColumn("_rank", rank).where(F.col("_rank") <= limit).where(F.col("_rank") <= _per_rule(thresholds))
+    def head(df: DataFrame, *by: Column) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("rule_no", "ip_key", "us", *by).orderBy("seq"))
+        kept = f"_rank <= {limit} AND _rank <= {_per_rule(thresholds)}"
+        return df.select("*", rank.alias("_rank")).where(kept).select(columns)
 
     if limit >= _GROUP_LIMIT:
-        candidates = head(candidates, F.pmod(F.xxhash64("seq"), F.lit(_SPREAD))).drop("_rank")
-    return head(candidates).drop("_rank")
+        candidates = head(candidates, F.pmod(F.xxhash64("seq"), F.lit(_SPREAD)))
+    return head(candidates)
 
 
 def rate_firings(heads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -90,23 +104,23 @@ def rate_firings(heads: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     window_us = _per_rule([r.rate[1] * _SECOND for r in rules])
     # a window of 0 s still needs slots of some width
     span = _per_rule([max(r.rate[1], 1) * SLOT_WINDOWS * _SECOND for r in rules])
-    start = F.col("us") - F.pmod(F.col("us"), span)
-    own, next_start = F.call_function("div", start, span), start + span
-    slots = F.array_compact(F.array(own, F.when(F.col("us") >= next_start - window_us, own + 1)))
-    placed = heads.select("*", own.alias("_own"), F.explode(slots).alias("_slot"))
+    own = f"(us - pmod(us, {span})) div {span}"
+    placed = heads.select("*", F.expr(own).alias("_own"), F.expr(f"us - pmod(us, {span}) + {span}").alias("_end"))
+    slots = f"explode(array_compact(array(_own, CASE WHEN us >= _end - {window_us} THEN _own + 1 END)))"
+    placed = placed.select("rule_no", "ip_key", "us", "seq", "_own", F.expr(slots).alias("_slot"))
 
     by_time = Window.partitionBy("rule_no", "ip_key", "_slot").orderBy("us", "seq")
-    distances = sorted({r.rate[0] for r in rules if _always(r) is None})
+    counted = [(i, r) for i, r in enumerate(rules) if _always(r) is None]
+    distances = sorted({r.rate[0] for _, r in counted})
     lagged = placed.select("*", *[F.lag("us", n - 1).over(by_time).alias(f"_lag{n}") for n in distances])
-    nth_before = F.lit(None)
-    for i, rule in enumerate(rules):
-        if _always(rule) is None:
-            nth_before = F.when(F.col("rule_no") == i, F.col(f"_lag{rule.rate[0]}")).otherwise(nth_before)
-    fires = (F.col("_slot") == F.col("_own")) & (nth_before >= F.col("us") - window_us)
+    nth_before = " ".join(f"WHEN {i} THEN _lag{r.rate[0]}" for i, r in counted)
+    fires = f"_slot = _own AND CASE rule_no {nth_before} END >= us - {window_us}"
     return lagged.where(fires).select("rule_no", "ip_key", "us", "seq")
 
 
-def with_rate_cutoffs(events: DataFrame, firings: DataFrame, rules: Sequence[Rule], clock: str = "ts") -> tuple[DataFrame, list[Column]]:
+def with_rate_tests(
+    events: DataFrame, firings: DataFrame, rules: Sequence[Rule], clock: str = "ts"
+) -> tuple[DataFrame, list[str]]:
     """Events joined with the first seq that fires, and per rate rule the test that the rate holds.
 
     The join has a coarse time as a further key, which the grouping below has
@@ -114,15 +128,12 @@ def with_rate_cutoffs(events: DataFrame, firings: DataFrame, rules: Sequence[Rul
     both join inputs are plain exchanges: the form in which adaptive execution
     splits a hot (ip, instant) of the event side.
     """
-    cutoffs = firings.groupBy("ip_key", "us").agg(
-        *[F.min(F.when(F.col("rule_no") == i, F.col("seq"))).alias(f"_cut{i}") for i in range(len(rules))]
-    )
-    cutoffs = cutoffs.withColumnsRenamed({"ip_key": "_ip", "us": "_us"}).withColumn("_sec", F.col("_us").bitwiseAND(F.lit(_COARSE)))
-    us = epoch_micros(F.col(clock))
-    left = events.select("*", ip_key(F.col("ip")).alias("_ip"), us.alias("_us")).withColumn("_sec", F.col("_us").bitwiseAND(F.lit(_COARSE)))
-    joined = left.join(cutoffs, ["_ip", "_us", "_sec"], "left").drop("_ip", "_us", "_sec")
-    tests = []
-    for i, rule in enumerate(rules):
-        constant = _always(rule)
-        tests.append(F.coalesce(F.col("seq") >= F.col(f"_cut{i}"), F.lit(False)) if constant is None else F.lit(constant))
+    first_seqs = [F.expr(f"min(CASE WHEN rule_no = {i} THEN seq END)").alias(f"_first{i}") for i in range(len(rules))]
+    coarse = F.expr(f"_us & {_COARSE}L").alias("_coarse")
+    first = firings.groupBy(F.col("ip_key").alias("_ip"), F.col("us").alias("_us")).agg(*first_seqs).select("*", coarse)
+    keyed = events.select("*", F.expr(_IP_KEY).alias("_ip"), epoch_micros(clock).alias("_us")).select("*", coarse)
+    joined = keyed.join(first, ["_ip", "_us", "_coarse"], "left")
+    tests = [
+        f"coalesce(seq >= _first{i}, false)" if _always(r) is None else str(_always(r)).lower() for i, r in enumerate(rules)
+    ]
     return joined, tests

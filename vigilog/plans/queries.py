@@ -259,8 +259,8 @@ def _format_iso_ts(spark, sf_dir):
 
 # ---- conditions
 
-def _flagged(spark, sf_dir, **tests) -> DataFrame:
-    return _events(spark, sf_dir).select("seq", *[t.alias(n) for n, t in tests.items()])
+def _flagged(spark, sf_dir, **tests: str) -> DataFrame:
+    return _events(spark, sf_dir).select("seq", *[F.expr(t).alias(n) for n, t in tests.items()])
 
 
 @query(

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilog.functions.predicates import rule_condition
@@ -43,10 +43,20 @@ class Rule:
         )
 
     @property
-    def condition(self) -> Column:
-        """Everything the rule asks of a single event; the rate is not part of it."""
+    def source(self) -> str | None:
+        """The only source the rule looks at, if it names one."""
+        return (self.conditions or {}).get("source")
+
+    @property
+    def condition(self) -> str:
+        """Everything the rule asks of a single event, as SQL; the rate is not part of it."""
         return rule_condition(self.conditions or {})
 
+    @property
+    def condition_in_source(self) -> str:
+        """The same for events known to be of the rule's source."""
+        return rule_condition({k: v for k, v in (self.conditions or {}).items() if k != "source"})
+
 
 def load_rules(spark: SparkSession, path: str = DEFAULT_RULES) -> DataFrame:
     """One row per rule with its position; a missing or malformed file gives no rows."""

@@ -22,10 +22,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vigilog.operators.detect import apply_rules
+from vigilog.operators.detect import apply_rules, spread_tests
 from vigilog.operators.normalize import normalize_events, rejected_lines
 from vigilog.operators.outputs import alert_messages, event_feed_json
-from vigilog.operators.rate import first_per_instant, rate_candidates, rate_firings, rate_rules, with_rate_cutoffs
+from vigilog.operators.rate import (
+    constant_tests,
+    first_per_instant,
+    must_count,
+    rate_candidates,
+    rate_firings,
+    rate_rules,
+    with_rate_tests,
+)
 from vigilog.operators.stats import events_total
 from vigilog.schema import EVENTS
 from vigilog.sources.rules import Rule
@@ -119,9 +127,8 @@ class DetectionStream:
         if self.rate_clock == "processing":
             clock = "_clock"
             events = events.withColumn(clock, F.localtimestamp())
-        if not rated:
-            tests = [r.condition for r in self.rules]
-            return apply_rules(events, self.rules, tests, EVENTS.names)
+        if not must_count(rated):
+            return apply_rules(events, self.rules, spread_tests(self.rules, constant_tests(rated)), EVENTS.names)
         fresh = rate_candidates(events, rated, clock)
         heads = first_per_instant(fresh.unionByName(self._state(events, rated, batch_id)), rated)
         named = heads.select(_rule_name(rated).alias("rule"), "ip_key", "us", "seq")
@@ -129,10 +136,8 @@ class DetectionStream:
         named.write.mode("overwrite").parquet(state)
 
         written = _numbered(events.sparkSession.read.schema(STATE).parquet(state), rated)
-        joined, held = with_rate_cutoffs(events, rate_firings(written, rated), rated, clock)
-        counted = dict(zip([r.name for r in rated], held))
-        tests = [r.condition & counted[r.name] if r.name in counted else r.condition for r in self.rules]
-        return apply_rules(joined, self.rules, tests, EVENTS.names)
+        joined, held = with_rate_tests(events, rate_firings(written, rated), rated, clock)
+        return apply_rules(joined, self.rules, spread_tests(self.rules, held), EVENTS.names)
 
     def _state(self, events: DataFrame, rated: Sequence[Rule], batch_id: int) -> DataFrame:
         """Candidates of earlier batches that a rate window can still reach."""
