@@ -18,6 +18,7 @@ from vigilog.operators.rate import (
     rate_rules,
     with_rate_tests,
 )
+from vigilog.session import materialize
 from vigilog.sources.rules import Rule
 
 
@@ -41,12 +42,14 @@ def rule_matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return events.select("*", F.expr(f"inline({_matched_array(rules, [r.condition for r in rules])})"))
 
 
-def rate_tests(events: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[str]]:
+def rate_tests(events: DataFrame, rules: Sequence[Rule], staged: bool = False) -> tuple[DataFrame, list[str]]:
     """Events with what the rate rules need, and per rule the SQL test of its rate."""
     rated = rate_rules(rules)
     if not must_count(rated):
         return events, spread_tests(rules, constant_tests(rated))
     firings = rate_firings(first_per_instant(rate_candidates(events, rated), rated), rated)
+    if staged:
+        firings = materialize(firings, "firings")
     joined, tests = with_rate_tests(events, firings, rated)
     return joined, spread_tests(rules, tests)
 
@@ -105,12 +108,17 @@ def apply_rules(events: DataFrame, rules: Sequence[Rule], held: Sequence[str], c
     return ranked.select(*[F.expr(changed[c]).alias(c) if c in changed else c for c in columns])
 
 
-def detect_events(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Events with ``rule_triggered`` and ``severity`` set by the last rule that matches."""
+def detect_events(events: DataFrame, rules: Sequence[Rule], staged: bool = False) -> DataFrame:
+    """Events with ``rule_triggered`` and ``severity`` set by the last rule that matches.
+
+    With ``staged``, what fires the rate rules is found and written first. Its size
+    is then known to the planner: below the broadcast threshold the events, with
+    their long raw lines, are not shuffled at all; above it the join is unchanged.
+    """
     if not rules:
         return events.withColumn("rule_triggered", F.lit(None).cast("string"))
     columns = events.columns if "rule_triggered" in events.columns else [*events.columns, "rule_triggered"]
-    joined, held = rate_tests(events, rules)
+    joined, held = rate_tests(events, rules, staged)
     return apply_rules(joined, rules, held, columns)
 
 

@@ -147,7 +147,7 @@ def _stored(spark, sf_dir) -> str:
     name = "log_events_" + path.rsplit("-", 1)[1]
     create_event_table(spark, name, path)
     create_event_table(spark, name, path)
-    append_events(_detected(spark, sf_dir), name)
+    append_events(detect.detect_events(_events(spark, sf_dir), _rules(spark), staged=True), name)
     return name
 
 

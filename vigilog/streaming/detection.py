@@ -107,10 +107,12 @@ class DetectionStream:
         spark = lines.sparkSession
         if "seq" not in lines.columns:
             lines = lines.select(arrival_seq(batch_id).alias("seq"), "source", "line")
-        lines = lines.withColumn("ingest_ts", F.localtimestamp()).persist(StorageLevel.DISK_ONLY)
+        # one fixed time for the batch: all its jobs must see the same
+        now = F.lit(spark.range(1).select(F.localtimestamp()).first()[0])
+        lines = lines.withColumn("ingest_ts", now).persist(StorageLevel.DISK_ONLY)
         events = normalize_events(lines, ref_year=self.ref_year).persist(StorageLevel.DISK_ONLY)
         try:
-            self._detect(events, batch_id).write.mode("overwrite").parquet(self.path("events", batch_id))
+            self._detect(events, now, batch_id).write.mode("overwrite").parquet(self.path("events", batch_id))
             rejected_lines(lines).write.mode("overwrite").parquet(self.path("rejected", batch_id))
         finally:
             events.unpersist()
@@ -121,12 +123,12 @@ class DetectionStream:
         event_feed_json(stored).write.mode("overwrite").parquet(self.path("feed", batch_id))
         events_total(stored).write.mode("overwrite").parquet(self.path("counters", batch_id))
 
-    def _detect(self, events: DataFrame, batch_id: int) -> DataFrame:
+    def _detect(self, events: DataFrame, now: Column, batch_id: int) -> DataFrame:
         rated = rate_rules(self.rules)
         clock = "ts"
         if self.rate_clock == "processing":
             clock = "_clock"
-            events = events.withColumn(clock, F.localtimestamp())
+            events = events.withColumn(clock, now)
         if not must_count(rated):
             return apply_rules(events, self.rules, spread_tests(self.rules, constant_tests(rated)), EVENTS.names)
         fresh = rate_candidates(events, rated, clock)
