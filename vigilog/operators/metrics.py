@@ -18,7 +18,7 @@ def label(name: str) -> Column:
     return F.try_element_at("labels", F.lit(name))
 
 
-def counter_rate(samples: DataFrame, metric: str, range_seconds: int = 60) -> DataFrame:
+def _exact_rate(samples: DataFrame, metric: str, range_seconds: int) -> DataFrame:
     """Per-second increase of a counter in each range, per series.
 
     A value below the one before it is a reset: the counter has grown by the
@@ -33,14 +33,19 @@ def counter_rate(samples: DataFrame, metric: str, range_seconds: int = 60) -> Da
         .select("ts", "labels", "value", series_key().alias("series"), bucket_start(F.col("ts"), range_seconds).alias("bucket"))
         .select("series", "bucket", label("instance").alias("instance"), label("mode").alias("mode"), step.alias("step"))
         .groupBy("series", "instance", "mode", "bucket")
-        .agg(F.round(F.sum("step") / range_seconds, 6).alias("rate"))
+        .agg((F.sum("step") / range_seconds).alias("rate"))
     )
 
 
+def counter_rate(samples: DataFrame, metric: str, range_seconds: int = 60) -> DataFrame:
+    """Per-second increase of a counter in each range and series, to six digits."""
+    return _exact_rate(samples, metric, range_seconds).withColumn("rate", F.round("rate", 6))
+
+
 def cpu_usage_pct(samples: DataFrame, range_seconds: int = 60) -> DataFrame:
     """100 minus the average idle rate of an instance's processors, in percent."""
     idle = samples.where(label("mode") == "idle")
-    rates = counter_rate(idle, "node_cpu_seconds_total", range_seconds)
+    rates = _exact_rate(idle, "node_cpu_seconds_total", range_seconds)
     return rates.groupBy("instance", "bucket").agg(F.round(100 - F.avg("rate") * 100, 4).alias("cpu_usage_pct"))
 
 

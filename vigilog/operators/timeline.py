@@ -88,8 +88,7 @@ def rate_series(events: DataFrame, key: str, range_seconds: int = 60, step_secon
     if range_seconds % step_seconds:
         raise ValueError("the step must divide the range")
     per_step = (
-        events.where(F.col(key).isNotNull())
-        .groupBy(key, bucket_start(F.col("ts"), step_seconds).alias("_step"))
+        events.groupBy(key, bucket_start(F.col("ts"), step_seconds).alias("_step"))
         .agg(F.count("*").alias("n"))
     )
     starts = F.array(*[F.col("_step") - _seconds(k * step_seconds) for k in range(range_seconds // step_seconds)])
@@ -114,6 +113,7 @@ def topk_rules(events: DataFrame, at, k: int = TOP_RULES, range_seconds: int = 3
 
 def topk_rules_per_window(events: DataFrame, k: int = TOP_RULES, range_seconds: int = 300) -> DataFrame:
     """The top rules of every step of the rate series."""
-    rates = rate_series(events, "rule_triggered", range_seconds).withColumnRenamed("rule_triggered", "rule")
+    named = events.where(F.col("rule_triggered").isNotNull())
+    rates = rate_series(named, "rule_triggered", range_seconds).withColumnRenamed("rule_triggered", "rule")
     by_rate = Window.partitionBy("bucket").orderBy(F.desc("rate"), "rule")
     return rates.withColumn("rank", F.row_number().over(by_rate)).where(F.col("rank") <= k)

@@ -248,13 +248,17 @@ def _strip_lines(spark, sf_dir):
     return log_lines(spark, sf_dir).select("seq", strip(padded).alias("line"))
 
 
-@query("format_iso_ts", "SELECT event_id, replace(CAST(ts AS VARCHAR), ' ', 'T') AS iso FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN ts ELSE date_trunc('second', ts) END AS ts FROM events)")
+_ISO_SQL = "CASE WHEN {0} = date_trunc('second', {0}) THEN strftime({0}, '%Y-%m-%dT%H:%M:%S') ELSE strftime({0}, '%Y-%m-%dT%H:%M:%S.%f') END"
+
+
+@query(
+    "format_iso_ts",
+    f"SELECT event_id, {_ISO_SQL.format('ts')} AS iso, {_ISO_SQL.format('whole')} AS iso_whole FROM (SELECT *, date_trunc('second', ts) AS whole FROM events)",
+)
 def _format_iso_ts(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     whole = F.date_trunc("second", "ts").cast("timestamp_ntz")
-    iso = format_iso(F.when(F.col("event_id") % 2 == 0, F.col("ts")).otherwise(whole))
-    # the other side writes a fraction without trailing zeros
-    return events.select("event_id", F.when(iso.contains("."), F.rtrim(iso, F.lit("0"))).otherwise(iso).alias("iso"))
+    return events.select("event_id", format_iso(F.col("ts")).alias("iso"), format_iso(whole).alias("iso_whole"))
 
 
 # ---- conditions
@@ -482,12 +486,18 @@ def _register_rates() -> None:
         ("event_rate_5m", "severity", "severity", 300),
     ):
         query(name, o.with_detected(_rate_sql(key, seconds, alias)))(
-            lambda spark, sf_dir, k=key, a=alias, s=seconds: timeline.rate_series(_detected(spark, sf_dir), k, s)
+            lambda spark, sf_dir, k=key, a=alias, s=seconds: timeline.rate_series(_with_rule(spark, sf_dir, k), k, s)
             .withColumnRenamed(k, a)
             .withColumn("bucket", _ts("bucket"))
         )
 
 
+def _with_rule(spark, sf_dir, key: str) -> DataFrame:
+    """Events to count by ``key``; by rule, only those that have one."""
+    detected = _detected(spark, sf_dir)
+    return detected.where("rule_triggered IS NOT NULL") if key == "rule_triggered" else detected
+
+
 _register_rates()
 
 
@@ -527,7 +537,7 @@ def _counter_rate(spark, sf_dir):
 
 @query(
     "cpu_usage_pct",
-    o.with_samples("SELECT instance, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(100 - avg(round(rate, 6)) * 100, 4) AS cpu_usage_pct FROM (" + _COUNTER.format(where="metric = 'node_cpu_seconds_total' AND mode = 'idle'") + ") GROUP BY ALL"),
+    o.with_samples("SELECT instance, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(100 - avg(rate) * 100, 4) AS cpu_usage_pct FROM (" + _COUNTER.format(where="metric = 'node_cpu_seconds_total' AND mode = 'idle'") + ") GROUP BY ALL"),
 )
 def _cpu_usage_pct(spark, sf_dir):
     return metrics.cpu_usage_pct(metric_samples(spark, sf_dir)).withColumn("bucket", _ts("bucket"))
