@@ -7,6 +7,7 @@ depend on the session time zone; zone offsets in the text are dropped.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -76,6 +77,11 @@ def format_plain(ts: Column) -> Column:
     return F.translate(format_iso(ts), "T", " ")
 
 
+def wall_clock(value: datetime) -> Column:
+    """A naive datetime as a TIMESTAMP_NTZ value; a plain literal would be zoned."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def epoch_micros(ts: str) -> Column:
     """Microseconds since 1970 of a TIMESTAMP_NTZ column, independent of the session zone."""
     seconds = f"CAST(CAST(`{ts}` - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS INTERVAL SECOND) AS DECIMAL(18, 6))"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.functions.predicates import quoted
+from vigilog.functions.timestamps import wall_clock
 from vigilog.operators.rate import (
     constant_tests,
     first_per_instant,
@@ -125,8 +126,8 @@ def detect_events(events: DataFrame, rules: Sequence[Rule], staged: bool = False
 def detect_between(events: DataFrame, rules: Sequence[Rule], start: datetime, end: datetime) -> DataFrame:
     """Detection for ``start <= ts <= end`` only; reads no more than that and the longest rate window before it."""
     context = timedelta(seconds=max([r.rate[1] for r in rate_rules(rules)], default=0))
-    in_reach = events.where((F.col("ts") >= F.lit(start - context)) & (F.col("ts") <= F.lit(end)))
-    return detect_events(in_reach, rules).where(F.col("ts") >= F.lit(start))
+    in_reach = events.where((F.col("ts") >= wall_clock(start - context)) & (F.col("ts") <= wall_clock(end)))
+    return detect_events(in_reach, rules).where(F.col("ts") >= wall_clock(start))
 
 
 def rate_detection(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:

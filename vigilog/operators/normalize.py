@@ -21,7 +21,7 @@ def _formats(sources: Iterable[str]) -> tuple[LineFormat, ...]:
 
 
 def _ingest_ts(lines: DataFrame) -> Column:
-    return F.col("ingest_ts") if "ingest_ts" in lines.columns else F.localtimestamp()
+    return F.col("ingest_ts").cast("timestamp_ntz") if "ingest_ts" in lines.columns else F.localtimestamp()
 
 
 def normalize_events(

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilog.functions.timestamps import bucket_start
+from vigilog.functions.timestamps import bucket_start, wall_clock
 from vigilog.operators.stats import severity_counts
 from vigilog.schema import SEVERITIES
 from vigilog.session import materialize
@@ -60,7 +60,7 @@ def timeline(events: DataFrame, seconds: int = BUCKET_SECONDS, since: datetime |
     if _DAY % seconds:
         raise ValueError("bucket length must divide a day")
     counts = materialize(timeline_counts(events, seconds), "timeline")
-    first = F.min("bucket") if since is None else F.lit(since)
+    first = F.min("bucket") if since is None else wall_clock(since)
     bounds = counts.agg(first.alias("first"), F.max("bucket").alias("last")).where("first IS NOT NULL AND last IS NOT NULL")
     return _dense(counts, _buckets_between(bounds, seconds))
 
@@ -101,7 +101,7 @@ def rate_series(events: DataFrame, key: str, range_seconds: int = 60, step_secon
 
 def topk_rules(events: DataFrame, at, k: int = TOP_RULES, range_seconds: int = 300) -> DataFrame:
     """The ``k`` rules with the highest rate over the range that ends at time ``at``."""
-    in_range = (F.col("ts") > F.lit(at) - _seconds(range_seconds)) & (F.col("ts") <= F.lit(at))
+    in_range = (F.col("ts") > wall_clock(at) - _seconds(range_seconds)) & (F.col("ts") <= wall_clock(at))
     return (
         events.where(in_range & F.col("rule_triggered").isNotNull())
         .groupBy(F.col("rule_triggered").alias("rule"))

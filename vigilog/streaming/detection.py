@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from vigilog.functions.timestamps import wall_clock
 from vigilog.operators.detect import apply_rules, spread_tests
 from vigilog.operators.normalize import normalize_events, rejected_lines
 from vigilog.operators.outputs import alert_messages, event_feed_json
@@ -108,7 +109,7 @@ class DetectionStream:
         if "seq" not in lines.columns:
             lines = lines.select(arrival_seq(batch_id).alias("seq"), "source", "line")
         # one fixed time for the batch: all its jobs must see the same
-        now = F.lit(spark.range(1).select(F.localtimestamp()).first()[0])
+        now = wall_clock(spark.range(1).select(F.localtimestamp()).first()[0])
         lines = lines.withColumn("ingest_ts", now).persist(StorageLevel.DISK_ONLY)
         events = normalize_events(lines, ref_year=self.ref_year).persist(StorageLevel.DISK_ONLY)
         try:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vigilog.functions.timestamps import epoch_micros
 from vigilog.operators.stats import severity_counts
 from vigilog.operators.timeline import BUCKET_SECONDS
 from vigilog.schema import EVENTS
@@ -20,13 +21,15 @@ def follow_events(spark: SparkSession, path: str) -> DataFrame:
 
 def tumbling_timeline(events: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Counts per severity and bucket; buckets more than 15 minutes old are final."""
-    # a watermark needs a zoned type; the cast back restores the wall clock
+    # a watermark needs a zoned type: the wall clock, taken as UTC and taken back
+    # by arithmetic, so that no session zone plays a part
+    bucket = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, unix_seconds(window.start))")
     return (
-        events.select("severity", F.col("ts").cast("timestamp").alias("ts"))
+        events.select("severity", F.timestamp_micros(epoch_micros("ts")).alias("ts"))
         .withWatermark("ts", WATERMARK)
         .groupBy(F.window("ts", f"{seconds} seconds"))
         .agg(*severity_counts())
-        .select(F.col("window.start").cast("timestamp_ntz").alias("bucket"), "info", "warning", "critical")
+        .select(bucket.alias("bucket"), "info", "warning", "critical")
     )
 
 
