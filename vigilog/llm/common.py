@@ -24,3 +24,11 @@ def ascii_lower(text):
     """A-Z lower-cased, all other characters as they are."""
     upper = "".join(map(chr, range(65, 91)))
     return F.translate(text, upper, upper.lower())
+
+
+LIGHT_ROWS = 400_000
+
+
+def light(df: DataFrame, most_rows: int = LIGHT_ROWS) -> DataFrame:
+    """``df``, a written table of narrow rows, marked for broadcast if it has few; else left to a shuffle join."""
+    return F.broadcast(df) if df.count() <= most_rows else df

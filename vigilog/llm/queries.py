@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vigilog.llm import sql
 from vigilog.llm.common import read_documents
+from vigilog.llm.jaccard_join import jaccard_components
 from vigilog.llm.quality_rules import quality_rules
 
 
@@ -34,3 +35,8 @@ def _quality_rules(spark, sf_dir) -> DataFrame:
     judged = quality_rules(read_documents(spark, sf_dir, "doc_id", "text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *counts, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+@query("op4_ngram_jaccard_join")
+def _ngram_jaccard_join(spark, sf_dir) -> DataFrame:
+    return jaccard_components(read_documents(spark, sf_dir, "doc_id", "text"))
