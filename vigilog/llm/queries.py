@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from vigilog.llm import sql
 from vigilog.llm.common import read_documents
+from vigilog.llm.decontamination import with_leaks
 from vigilog.llm.jaccard_join import jaccard_components
 from vigilog.llm.quality_rules import quality_rules
+from vigilog.llm.secret_scans import BASE_KINDS, secret_spans, written
+from vigilog.llm.sentencepiece_viterbi import decode_pieces, encode_pieces, read_model
 
 
 class Query(NamedTuple):
@@ -40,3 +43,39 @@ def _quality_rules(spark, sf_dir) -> DataFrame:
 @query("op4_ngram_jaccard_join")
 def _ngram_jaccard_join(spark, sf_dir) -> DataFrame:
     return jaccard_components(read_documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op3_benchmark_decontamination")
+def _benchmark_decontamination(spark, sf_dir) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    judged = with_leaks(read_documents(spark, sf_dir, "doc_id", "text"), items)
+    return judged.select(
+        "doc_id", (F.size("leaked_items") > 0).alias("leaked"), F.array_join("leaked_items", ",").alias("item_ids"), "similarity"
+    )
+
+
+def _count(kind: str):
+    return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+
+@query("op5_secret_scans")
+def _secret_scans(spark, sf_dir) -> DataFrame:
+    found = read_documents(spark, sf_dir, "doc_id", "text").withColumn("found", secret_spans(F.col("text"))).drop("text")
+    counts = {f"n_{k}": _count(k) for k in BASE_KINDS}
+    base = F.sha2(written(F.col("found"), BASE_KINDS).cast("binary"), 256)
+    return found.withColumns(counts | {"base_sha256": base, "spans": written(F.col("found"))}).drop("found")
+
+
+@query("op9_sentencepiece")
+def _sentencepiece(spark, sf_dir) -> DataFrame:
+    """Ids of every text, what they decode to, and whether that is the text."""
+    model = read_model()
+    coded = read_documents(spark, sf_dir, "doc_id", "text").withColumn("ids", encode_pieces(F.col("text"), model))
+    decoded = coded.withColumn("decoded", decode_pieces(F.col("ids"), model))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.length("decoded").cast("long").alias("decoded_chars"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
+    )
