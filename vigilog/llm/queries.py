@@ -12,9 +12,12 @@ from vigilog.llm import sql
 from vigilog.llm.common import read_documents
 from vigilog.llm.decontamination import with_leaks
 from vigilog.llm.jaccard_join import jaccard_components
+from vigilog.llm.language_id import language_id
 from vigilog.llm.quality_rules import quality_rules
 from vigilog.llm.secret_scans import BASE_KINDS, secret_spans, written
 from vigilog.llm.sentencepiece_viterbi import decode_pieces, encode_pieces, read_model
+from vigilog.llm.sharding import shard_documents
+from vigilog.llm.url_filters import url_filters
 
 
 class Query(NamedTuple):
@@ -79,3 +82,20 @@ def _sentencepiece(spark, sf_dir) -> DataFrame:
         F.length("decoded").cast("long").alias("decoded_chars"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
     )
+
+
+@query("op2_url_filters", sql.URL_FILTERS)
+def _url_filters(spark, sf_dir) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return url_filters(pages).drop("url")
+
+
+@query("op6_language_id")
+def _language_id(spark, sf_dir) -> DataFrame:
+    return language_id(read_documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+@query("op8_sharding")
+def _sharding(spark, sf_dir) -> DataFrame:
+    placed = shard_documents(read_documents(spark, sf_dir, "doc_id", "text"))
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})

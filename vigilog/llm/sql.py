@@ -37,3 +37,28 @@ v AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM v
 """
+
+
+URL_FILTERS = r"""
+WITH p AS (SELECT page_id, url, regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', ['h', 'p']) AS x FROM pages),
+q AS (SELECT page_id, lower(coalesce(url, '')) AS u, coalesce(translate(x.h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+             coalesce(x.p, '') AS path FROM p),
+rules(rule, rule_host, rule_path, verdict) AS (VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+fit AS (SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict FROM q JOIN rules
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id),
+patterns(number, pattern, verdict, re) AS (VALUES
+  (0, '||casino-win.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?casino-win\.'), (1, '||free-bets.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?free-bets\.'),
+  (2, '||ads-track.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?ads-track\.'), (3, '||spam-farm.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?spam-farm\.'),
+  (4, '||cheap-pills.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?cheap-pills\.'), (5, '||adult-x.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?adult-x\.'),
+  (6, '||casino.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?casino\.'), (7, '||porn.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?porn\.'),
+  (8, '||xxx.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?xxx\.'), (9, '||doubleclick.', 'block', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?doubleclick\.'),
+  (10, '-casino.', 'block', '-casino\.'), (11, '/casino/', 'block', '/casino/'), (12, '/adserver/', 'block', '/adserver/'),
+  (13, '/login^', 'block', '/login([^a-z0-9_.%-]|$)'), (14, '/signin^', 'block', '/signin([^a-z0-9_.%-]|$)'), (15, '/cart^', 'block', '/cart([^a-z0-9_.%-]|$)'),
+  (16, '/checkout^', 'block', '/checkout([^a-z0-9_.%-]|$)'), (17, '/wp-admin/', 'block', '/wp-admin/'), (18, '/cgi-bin/', 'block', '/cgi-bin/'),
+  (19, '.exe|', 'block', '\.exe$'), (20, '.zip|', 'block', '\.zip$'), (21, '?sessionid=', 'block', '\?sessionid='), (22, '&sessionid=', 'block', '&sessionid='),
+  (23, '*viagra*', 'block', 'viagra'), (24, '@@||docs.*.example.org^', 'allow', '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?docs\..*\.example\.org([^a-z0-9_.%-]|$)')),
+hit AS (SELECT page_id, min_by(pattern, verdict || printf('%05d', number)) AS pattern, min(v.verdict) AS verdict FROM q JOIN patterns v ON regexp_matches(u, re) GROUP BY page_id)
+SELECT page_id, host, path, fit.rule, hit.pattern, coalesce(fit.verdict, hit.verdict, 'allow') AS verdict
+FROM q LEFT JOIN fit USING (page_id) LEFT JOIN hit USING (page_id)
+"""
