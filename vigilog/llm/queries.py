@@ -17,7 +17,9 @@ from vigilog.llm.quality_rules import quality_rules
 from vigilog.llm.secret_scans import BASE_KINDS, secret_spans, written
 from vigilog.llm.sentencepiece_viterbi import decode_pieces, encode_pieces, read_model
 from vigilog.llm.sharding import shard_documents
+from vigilog.llm.token_file import read_token_file, tokenizer_json, write_token_file
 from vigilog.llm.url_filters import url_filters
+from vigilog.session import scratch_dir
 
 
 class Query(NamedTuple):
@@ -99,3 +101,10 @@ def _language_id(spark, sf_dir) -> DataFrame:
 def _sharding(spark, sf_dir) -> DataFrame:
     placed = shard_documents(read_documents(spark, sf_dir, "doc_id", "text"))
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op10_token_file")
+def _token_file(spark, sf_dir) -> DataFrame:
+    path = scratch_dir(spark, "token-file")
+    write_token_file(read_documents(spark, sf_dir, "doc_id", "text"), path, tokenizer_json())
+    return read_token_file(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
