@@ -13,6 +13,7 @@ from vigilog.llm.common import read_documents
 from vigilog.llm.decontamination import with_leaks
 from vigilog.llm.jaccard_join import jaccard_components
 from vigilog.llm.language_id import language_id
+from vigilog.llm.lm_scoring import score_documents
 from vigilog.llm.quality_rules import quality_rules
 from vigilog.llm.secret_scans import BASE_KINDS, secret_spans, written
 from vigilog.llm.sentencepiece_viterbi import decode_pieces, encode_pieces, read_model
@@ -108,3 +109,8 @@ def _token_file(spark, sf_dir) -> DataFrame:
     path = scratch_dir(spark, "token-file")
     write_token_file(read_documents(spark, sf_dir, "doc_id", "text"), path, tokenizer_json())
     return read_token_file(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op7_lm_scoring")
+def _lm_scoring(spark, sf_dir) -> DataFrame:
+    return score_documents(read_documents(spark, sf_dir, "doc_id", "text"))
