@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The white space of the word pattern [^\x20\x09-\x0D]+, as bytes.split() has it.
@@ -32,3 +36,20 @@ LIGHT_ROWS = 400_000
 def light(df: DataFrame, most_rows: int = LIGHT_ROWS) -> DataFrame:
     """``df``, a written table of narrow rows, marked for broadcast if it has few; else left to a shuffle join."""
     return F.broadcast(df) if df.count() <= most_rows else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application: their tasks import from it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="vigilog-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)

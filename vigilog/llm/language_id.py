@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigilog.llm.common import ship
 from vigilog.llm.words import pieces
 from vigilog.session import materialize
 
@@ -92,6 +93,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn_profiles(rows: DataFrame, text: str = "text", lang: str = "lang", most: int = PROFILE) -> dict[str, list[int]]:
     """The profile of each language; ``most`` numbers a language reach the driver."""
+    ship(rows.sparkSession)
     counts = rows.where(F.col(lang).isNotNull()).select(text, F.col(lang).cast("string").alias("lang"))
     total = counts.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
@@ -138,6 +140,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], doc_id: str = "doc
                     [part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"]
                 )
 
+    ship(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 

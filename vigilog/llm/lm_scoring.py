@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigilog.llm.common import ship
 from vigilog.llm.words import WordHashes, mix, pieces, split_words
 from vigilog.session import materialize
 
@@ -246,6 +247,7 @@ def _scores(n_tokens: int, n_words: int, weights: np.ndarray):
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
+    ship(docs.sparkSession)
     fold = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS, F.lit(0))
     kind = F.when(fold == TEST, _HELD_OUT).when(fold == TUNING, _TUNING).otherwise(_LEARNED)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), kind.alias("kind"))

@@ -23,11 +23,11 @@ from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilog.llm.common import clash_free
+from vigilog.llm.common import clash_free, ship
 
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -141,6 +141,7 @@ def _replace(texts: pa.Array) -> pa.Array:
 
 def secret_spans(text: Column) -> Column:
     """The secrets of a text: array of (kind, start, end)."""
+    ship(SparkSession.active())
     return _find(text)
 
 
@@ -154,6 +155,7 @@ def written(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
 
 def redact_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """``docs`` with secrets replaced by their kind in brackets, and ``n_chars``, if there is one, counted anew."""
+    ship(docs.sparkSession)
     safe, names = clash_free(docs)
     done = safe.withColumn("redacted", _replace(names[text]))
     out = dict.fromkeys(docs.columns)

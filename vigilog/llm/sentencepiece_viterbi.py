@@ -24,11 +24,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilog.llm.common import clash_free
+from vigilog.llm.common import clash_free, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -202,6 +202,8 @@ def read_model(path: str = MODEL) -> bytes:
 
 
 def encode_pieces(text: Column, model: bytes) -> Column:
+    ship(SparkSession.active())
+
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
         pieces = pieces_of(model)
@@ -218,6 +220,8 @@ def encode_pieces(text: Column, model: bytes) -> Column:
 
 
 def decode_pieces(ids: Column, model: bytes) -> Column:
+    ship(SparkSession.active())
+
     @F.arrow_udf(T.StringType())
     def decode(lists: pa.Array) -> pa.Array:
         pieces = pieces_of(model)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigilog.llm.common import light
+from vigilog.llm.common import light, ship
 from vigilog.llm.words import pieces
 from vigilog.session import materialize
 
@@ -316,6 +316,7 @@ def _read_blocks(ids: np.ndarray, lengths: np.ndarray):
 
 def write_token_file(docs: DataFrame, path: str, source: str, doc_id: str = "doc_id", text: str = "text") -> None:
     """Write the token ids of every text below ``path``: ``codes`` and ``blocks``."""
+    ship(docs.sparkSession)
     columns = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     coded = materialize(columns.mapInArrow(_tokenise(source), "doc_id long, n long, data binary, token long, seen long"), "tokens")
     counts = coded.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy("token").toArrow()  # one row per id
@@ -331,6 +332,7 @@ def write_token_file(docs: DataFrame, path: str, source: str, doc_id: str = "doc
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids): ``start`` counts the ids before, ``ids`` are little-endian 32-bit numbers."""
+    ship(spark)
     codes = spark.read.parquet(f"{path}/codes").toArrow()
     blocks = spark.read.parquet(f"{path}/blocks")
     parts = blocks.groupBy("part").agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
