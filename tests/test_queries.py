@@ -95,10 +95,22 @@ def test_counter_reset_and_gauges(spark):
     rows += [sample(0, "node_boot_time_seconds", 20, instance="b")]
     frame = spark.createDataFrame(rows, "ts TIMESTAMP_NTZ, metric STRING, labels MAP<STRING, STRING>, value DOUBLE")
     out = {r.bucket: r.rate for r in metrics.counter_rate(frame, "c").collect()}
-    assert out == {NOON: round((30 + 5 + 15) / 60, 6), NOON + timedelta(seconds=60): 0.0}
+    assert out == {NOON: round((30 + 5 + 15) / 45, 6), NOON + timedelta(seconds=60): round(80 / 15, 6)}
     assert [(r.instance, r.name, r.value) for r in metrics.gauge_arith(frame).collect()] == [("a", "uptime", 50.0)]
 
 
+def test_steady_counters(spark):
+    """A counter that grows by 1 a second has rate 1 everywhere, scraped every 15 s; a fully idle machine is 0 % busy."""
+    labels = {"instance": "a", "mode": "idle", "cpu": "0"}
+    rows = [(NOON + timedelta(seconds=s), "node_cpu_seconds_total", labels, float(s)) for s in range(0, 600, 15)]
+    frame = spark.createDataFrame(rows, "ts TIMESTAMP_NTZ, metric STRING, labels MAP<STRING, STRING>, value DOUBLE")
+    for step in (15, 60):
+        rates = metrics.counter_rate(frame, "node_cpu_seconds_total", 60, step, {"cpu": "0"}).collect()
+        assert len(rates) >= 10 and {r.rate for r in rates} == {1.0}
+    assert metrics.counter_rate(frame, "node_cpu_seconds_total", labels={"cpu": "1"}).count() == 0
+    assert {r.cpu_usage_pct for r in metrics.cpu_usage_pct(frame).collect()} == {0.0}
+
+
 def test_listings(events):
     newest = search.latest_events(events, 2).collect()
     assert [r.seq for r in newest] == [5, 4]

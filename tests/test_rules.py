@@ -42,6 +42,13 @@ def test_missing_and_malformed_files_give_no_rules(spark, tmp_path):
     assert rules_from(load_rules(spark, str(bad))) == []
 
 
+def test_one_bad_rule_leaves_the_others(spark, tmp_path):
+    path = write(tmp_path, {"rules": [{"name": "a", "rule_id": 1}, {"name": "b", "rule_id": "5720a"}, {"name": "c"}]})
+    with pytest.warns(UserWarning, match="positions \\[1\\]"):
+        rules = load_rules(spark, path)
+    assert [(r.rule_ord, r.name) for r in rules.orderBy("rule_ord").collect()] == [(0, "a"), (2, "c")]
+
+
 def test_defaults_and_unknown_keys(spark, tmp_path):
     path = write(tmp_path, {"rules": [{"name": "a"}, {"name": "b", "conditions": {"colour": "red", "rate": {}, "time_range": {}}}]})
     first, second = rules_from(load_rules(spark, path))

@@ -5,14 +5,15 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from vigilog import Rule, detect_events, load_rules, normalize_events, rules_from
 from vigilog.schema import EVENTS
 from vigilog.sources.event_store import append_events, create_event_table, scan_events
 from vigilog.sources.lines import paths_from_env, read_lines, switch_log_path, tail_stream, union_sources
-from vigilog.streaming.detection import DetectionStream
-from vigilog.streaming.series import follow_events, latest_updates, severity_totals, tumbling_timeline, write_updates
+from vigilog.streaming.detection import DetectionStream, number_lines
+from vigilog.streaming.series import stream_timeline, stream_totals
 
 LINES = "seq BIGINT, source STRING, line STRING"
 
@@ -76,17 +77,55 @@ def test_stream_equals_batch_over_restarts(spark, tmp_path):
     counters = spark.read.option("recursiveFileLookup", True).parquet(f"{folder}/out/counters")
     assert counters.agg(F.sum("total")).first()[0] == len(feed)
 
-    # a batch that runs again replaces its own output
-    stream.process(spark.createDataFrame(rows[170:], LINES), 3)
-    assert keys(stream.outputs(spark, "events", EVENTS)) == keys(batch)
+    # a batch that runs again replaces its own output, and counts once
+    for _ in range(2):
+        totals = {r.severity: r.total for r in stream_totals(spark, f"{folder}/out").collect()}
+        assert totals == {r.severity: r["count"] for r in batch.groupBy("severity").count().collect()}
+        buckets = stream_timeline(spark, f"{folder}/out").collect()
+        assert sum(r.info + r.warning + r.critical for r in buckets) == len(feed) and len({r.bucket for r in buckets}) == len(buckets)
+        stream.process(spark.createDataFrame(rows[170:], LINES), 3)
+        assert keys(stream.outputs(spark, "events", EVENTS)) == keys(batch)
+
+
+def failure(seq, second, stamp="May 01 12:00:{:02d}"):
+    return seq, "auth", stamp.format(second) + " server sshd[1]: Failed password for root from 1.1.1.1 port 22"
+
+
+def test_a_stray_time_does_not_clear_the_state(spark, tmp_path):
+    """Lines without a usable time take the time of arrival, months after the others."""
+    stream = DetectionStream(RULES, f"{tmp_path}/out", ref_year=2026)
+    stream.process(spark.createDataFrame([failure(0, 0), failure(1, 1), failure(2, 2), failure(3, 0, "Feb 30 12:00:{:02d}")], LINES), 0)
+    stream.process(spark.createDataFrame([failure(4, 9)], LINES), 1)
+    fired = {k[0]: k[1] for k in keys(stream.outputs(spark, "events", EVENTS))}
+    assert fired[4] == "failures" and fired[3] is None
+
+
+def test_state_outlives_rules_without_rates(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    plain = [r for r in RULES if r.rate is None]
+    steps = [(RULES, [0, 1, 2]), (plain, [3]), (plain, [4]), (plain, [5]), (RULES, [6])]
+    for batch, (rules, seqs) in enumerate(steps):
+        DetectionStream(rules, out, ref_year=2026).process(spark.createDataFrame([failure(s, s) for s in seqs], LINES), batch)
+    fired = {k[0]: k[1] for k in keys(DetectionStream(RULES, out).outputs(spark, "events", EVENTS))}
+    assert fired[6] == "failures"
+    # from the start without rates
+    DetectionStream(plain, f"{tmp_path}/b", ref_year=2026).process(spark.createDataFrame([failure(0, 0)], LINES), 0)
+    DetectionStream(RULES, f"{tmp_path}/b", ref_year=2026).process(spark.createDataFrame([failure(1, 1)], LINES), 1)
+
+
+def test_lines_are_numbered_in_order_of_arrival(spark):
+    lines = spark.range(1000, numPartitions=7).selectExpr("'auth' AS source", "cast(id AS string) AS line")
+    seqs = [r.seq for r in number_lines(lines, 3).orderBy(F.col("line").cast("int")).collect()]
+    assert seqs == [(3 << 36) + k for k in range(1000)]
+
 
-    # series over the written events
-    for name, changes, key in (("timeline", tumbling_timeline, "bucket"), ("totals", severity_totals, "severity")):
-        events = follow_events(spark, f"{folder}/out/events")
-        write_updates(changes(events), f"{folder}/{name}", f"{folder}/cp-{name}", availableNow=True).awaitTermination()
-        rows_out = latest_updates(spark, f"{folder}/{name}", key).collect()
-        counted = sum(r.total if name == "totals" else r.info + r.warning + r.critical for r in rows_out)
-        assert counted == len(feed) and len({r[key] for r in rows_out}) == len(rows_out)
+def test_inferred_times_agree_between_actions(spark):
+    lines = spark.createDataFrame([failure(i, 0, "Feb 30 12:00:{:02d}") for i in range(8)], LINES)
+    events = normalize_events(lines, ref_year=2026)
+    assert events.where("ts_inferred").count() == 8
+    assert events.agg(F.max("ts")).first() == events.agg(F.max("ts")).first()
+    for staged in (False, True):
+        assert sum(k[1] == "failures" for k in keys(detect_events(events, RULES, staged=staged))) == 5
 
 
 def test_reloaded_rules_keep_their_counters(spark, tmp_path):
@@ -122,10 +161,12 @@ def test_text_files_batch_and_stream(spark, tmp_path):
         (tmp_path / source).mkdir()
         (tmp_path / source / "one.log").write_text(text)
         folders[source] = str(tmp_path / source)
-    lines = read_lines(spark, {**folders, "access": str(tmp_path / "missing")})
+    lines = read_lines(spark, {**folders, "access": str(tmp_path / "missing")}, missing="skip")
+    with pytest.raises(AnalysisException):
+        read_lines(spark, {**folders, "access": str(tmp_path / "missing")})
     assert sorted((r.source, r.line) for r in lines.collect()) == [("auth", "a1"), ("auth", "a2"), ("fim", "f1")]
     assert lines.select("seq").distinct().count() == 3
-    assert read_lines(spark, {"access": str(tmp_path / "missing")}).count() == 0
+    assert read_lines(spark, {"access": str(tmp_path / "missing")}, missing="skip").count() == 0
 
     moved = switch_log_path(folders, "fim", folders["auth"])
     assert moved["fim"] == folders["auth"] and folders["fim"] != folders["auth"]

@@ -52,10 +52,6 @@ def _extra(names: tuple[str, ...], values: Column) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(n) for n in names]), values)
 
 
-def _extra(names: tuple[str, ...], values: Column) -> Column:
-    return F.map_from_arrays(F.array(*[F.lit(n) for n in names]), values)
-
-
 # Every detail text has the fields ACTION, STATUS, SEVERITY, USER and up to three
 # more that are named where they are used. As in the groups, '' stands for none.
 ACTION, STATUS, SEVERITY, USER, MORE = range(5)

@@ -32,6 +32,12 @@ def _matched_array(rules: Sequence[Rule], tests: Sequence[str]) -> str:
     return f"array_compact(array({rows}))"
 
 
+def _only_sources(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Events of the sources that the rules name; all events if some rule names none."""
+    sources = {r.source for r in rules}
+    return events if None in sources else events.where(F.col("source").isin(sorted(sources)))
+
+
 def _string(value: str | None) -> str:
     return "CAST(NULL AS STRING)" if value is None else quoted(value)
 
@@ -40,7 +46,7 @@ def rule_matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All (event, rule) pairs whose conditions on the single event hold; rates are not counted."""
     if not rules:
         return events.select("*", F.lit(0).alias("rule_ord"), F.lit("").alias("rule"), F.lit("").alias("rule_severity")).where(F.lit(False))
-    return events.select("*", F.expr(f"inline({_matched_array(rules, [r.condition for r in rules])})"))
+    return _only_sources(events, rules).select("*", F.expr(f"inline({_matched_array(rules, [r.condition for r in rules])})"))
 
 
 def rate_tests(events: DataFrame, rules: Sequence[Rule], staged: bool = False) -> tuple[DataFrame, list[str]]:
@@ -66,7 +72,7 @@ def all_matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     if not rules:
         return rule_matches(events, rules)
     columns = events.columns
-    joined, held = rate_tests(events, rules)
+    joined, held = rate_tests(_only_sources(events, rules), rules)
     full = [f"{r.condition} AND {t}" for r, t in zip(rules, held)]
     return joined.select(*columns, F.expr(f"inline({_matched_array(rules, full)})"))
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.functions.formats import DETAIL_FIELDS, FORMATS, Groups, LineFormat, by_source, event_fields, event_ts
 from vigilog.functions.text import fields_of, is_recast, strip
+from vigilog.functions.timestamps import wall_clock
 from vigilog.schema import SOURCES
 
 
@@ -21,7 +23,10 @@ def _formats(sources: Iterable[str]) -> tuple[LineFormat, ...]:
 
 
 def _ingest_ts(lines: DataFrame) -> Column:
-    return F.col("ingest_ts").cast("timestamp_ntz") if "ingest_ts" in lines.columns else F.localtimestamp()
+    """The stored time of arrival; without one, a time fixed here, so that all jobs over the result agree."""
+    if "ingest_ts" in lines.columns:
+        return F.col("ingest_ts").cast("timestamp_ntz")
+    return wall_clock(datetime.now(timezone.utc).replace(tzinfo=None))
 
 
 def normalize_events(
@@ -30,8 +35,8 @@ def normalize_events(
     """Parse ``lines(seq, source, line[, ingest_ts])`` into the event layout.
 
     A line that fits no format, or has an unknown source, yields no row. Lines
-    without a usable time take ``ingest_ts`` (the current time if the column is
-    missing) and are marked ``ts_inferred``. ``ref_year`` is the year of syslog
+    without a usable time take ``ingest_ts`` (if the column is missing, the time of
+    this call) and are marked ``ts_inferred``. ``ref_year`` is the year of syslog
     stamps, by default that of ``ingest_ts``.
     """
     formats = _formats(sources)

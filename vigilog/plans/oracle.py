@@ -156,7 +156,8 @@ def with_lines(select: str) -> str:
 
 def _events_ctes() -> list[str]:
     union = " UNION ALL ".join(f"SELECT {_COLUMNS} FROM ({sql})" for sql in PARSERS.values())
-    return [f"log_lines AS MATERIALIZED ({log_lines_sql(duckdb=True)})", f"events_p AS MATERIALIZED ({union})"]
+    timed = f"SELECT p.* REPLACE (coalesce(p.ts, l.ingest_ts) AS ts) FROM ({union}) p JOIN log_lines l USING (seq)"
+    return [f"log_lines AS MATERIALIZED ({log_lines_sql(duckdb=True)})", f"events_p AS MATERIALIZED ({timed})"]
 
 
 def with_events(select: str) -> str:

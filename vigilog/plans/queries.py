@@ -23,7 +23,7 @@ from vigilog.sources.fixture import REF_YEAR, log_lines, metric_samples
 from vigilog.sources.lines import read_lines, switch_log_path, tail_stream, union_sources
 from vigilog.sources.rules import Rule, load_rules, rules_from
 from vigilog.streaming.detection import DetectionStream
-from vigilog.streaming.series import follow_events, latest_updates, severity_totals, tumbling_timeline, write_updates
+from vigilog.streaming.series import stream_timeline, stream_totals
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -465,11 +465,10 @@ def _timeline_10s(spark, sf_dir):
     o.with_detected(f"{_TIMELINE} WHERE b.bucket > (SELECT time_bucket(INTERVAL 10 SECOND, max(ts)) FROM detected) - INTERVAL 900 SECOND GROUP BY b.bucket"),
 )
 def _timeline_last_90(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    span = timeline.time_span(events)
-    start = timeline.last_buckets_start(span)
-    recent = detect.detect_between(events, _rules(spark), start, span[1])
-    return timeline.timeline(recent, since=start).withColumn("bucket", _ts("bucket"))
+    """Over the event table: the end of it is all that is read."""
+    name = _stored(spark, sf_dir)
+    start = timeline.last_buckets_start(timeline.time_span(scan_events(spark, name)))
+    return timeline.timeline(scan_events(spark, name, start), since=start).withColumn("bucket", _ts("bucket"))
 
 
 def _rate_sql(key: str, seconds: int, alias: str | None = None) -> str:
@@ -506,9 +505,9 @@ _register_rates()
     o.with_detected("SELECT rule_triggered AS rule, round(count(*) / 300.0, 6) AS rate FROM detected WHERE ts > (SELECT max(ts) FROM detected) - INTERVAL 300 SECOND AND rule_triggered IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"),
 )
 def _topk_rules(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    first, at = timeline.time_span(events)
-    return timeline.topk_rules(detect.detect_between(events, _rules(spark), at - timeline.timedelta(seconds=300), at), at)
+    name = _stored(spark, sf_dir)
+    _, at = timeline.time_span(scan_events(spark, name))
+    return timeline.topk_rules(scan_events(spark, name, at - timeline.timedelta(seconds=300), at), at)
 
 
 @query(
@@ -521,23 +520,44 @@ def _topk_rules_per_window(spark, sf_dir):
 
 # ---- metric samples
 
-_COUNTER = """SELECT series, instance, mode, bucket, sum(CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END) / 60 AS rate
-  FROM (SELECT *, lag(value) OVER (PARTITION BY series, bucket ORDER BY ts, value) AS prev
-        FROM (SELECT *, time_bucket(INTERVAL 60 SECOND, ts) AS bucket FROM samples WHERE {where})) GROUP BY ALL"""
+# The increase from each sample to the next, if that comes no more than a range of steps later, and the time it took.
+_COUNTER = """SELECT series, instance, mode, bucket, sum(grown) / sum(seconds) AS rate
+  FROM (SELECT *, unnest([step - to_seconds({step} * k) for k in range({copies})]) AS bucket
+    FROM (SELECT *, CASE WHEN value < prev THEN value ELSE value - prev END AS grown, epoch(ts) - epoch(prev_ts) AS seconds
+      FROM (SELECT *, time_bucket(INTERVAL {step} SECOND, ts) AS step, lag(value) OVER w AS prev, lag(ts) OVER w AS prev_ts
+            FROM samples WHERE {where} WINDOW w AS (PARTITION BY series ORDER BY ts, value))
+      WHERE prev_ts >= step - INTERVAL 60 SECOND)) GROUP BY ALL HAVING sum(seconds) > 0"""
+
+
+def _counter_sql(where: str, step: int) -> str:
+    return _COUNTER.format(where=where, step=step, copies=60 // step)
 
 
 @query(
     "counter_rate",
-    o.with_samples("SELECT series, instance, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(rate, 6) AS rate FROM (" + _COUNTER.format(where="metric = 'node_network_receive_bytes_total'") + ")"),
+    o.with_samples(
+        " UNION ALL ".join(
+            f"SELECT '{way}' AS way, series, instance, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(rate, 6) AS rate "
+            f"FROM ({_counter_sql(f"metric = 'node_network_{way}_bytes_total' AND series LIKE '%device=eth0%'", 15)})"
+            for way in ("receive", "transmit")
+        )
+    ),
 )
 def _counter_rate(spark, sf_dir):
-    rates = metrics.counter_rate(metric_samples(spark, sf_dir), "node_network_receive_bytes_total")
-    return rates.select("series", "instance", _ts("bucket"), "rate")
+    """Both directions of one network device, in steps of 15 s over ranges of 60 s."""
+    samples = metric_samples(spark, sf_dir)
+    receive, transmit = (
+        metrics.counter_rate(samples, f"node_network_{way}_bytes_total", 60, 15, {"device": "eth0"}).select(
+            F.lit(way).alias("way"), "series", "instance", _ts("bucket"), "rate"
+        )
+        for way in ("receive", "transmit")
+    )
+    return receive.union(transmit)
 
 
 @query(
     "cpu_usage_pct",
-    o.with_samples("SELECT instance, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(100 - avg(rate) * 100, 4) AS cpu_usage_pct FROM (" + _COUNTER.format(where="metric = 'node_cpu_seconds_total' AND mode = 'idle'") + ") GROUP BY ALL"),
+    o.with_samples("SELECT instance, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(100 - avg(rate) * 100, 4) AS cpu_usage_pct FROM (" + _counter_sql("metric = 'node_cpu_seconds_total' AND mode = 'idle'", 60) + ") GROUP BY ALL"),
 )
 def _cpu_usage_pct(spark, sf_dir):
     return metrics.cpu_usage_pct(metric_samples(spark, sf_dir)).withColumn("bucket", _ts("bucket"))
@@ -651,34 +671,24 @@ def _rate_detection_stream(spark, sf_dir):
 @query("stream_error_isolation", _REJECTED)
 def _stream_error_isolation(spark, sf_dir):
     """Lines that fit no format are set aside; the rest of the batch goes on."""
-    rules = [r for r in _rules(spark) if r.rate is None]
-    return _stream(spark, sf_dir, lambda step: rules).outputs(spark, "rejected", log_lines(spark, sf_dir).schema)
-
-
-def _series(spark, sf_dir, changes: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
-    rules, base = [r for r in _rules(spark) if r.rate is None], scratch_dir(spark, "series")
-    events = follow_events(spark, f"{_stream(spark, sf_dir, lambda step: rules).out}/events")
-    write_updates(changes(events), f"{base}/out", f"{base}/checkpoint", availableNow=True).awaitTermination()
-    return latest_updates(spark, f"{base}/out", key)
-
-
-_STATELESS = """stateless AS (SELECT e.seq, e.ts, coalesce(max_by(r.severity, c.rule_ord), any_value(e.severity)) AS severity
-  FROM events_p e LEFT JOIN (SELECT * FROM candidates SEMI JOIN (SELECT rule_ord FROM rules WHERE threshold IS NULL) USING (rule_ord)) c USING (seq)
-  LEFT JOIN rules r ON r.rule_ord = c.rule_ord GROUP BY e.seq, e.ts)"""
+    rules = _rules(spark)
+    rejected = _stream(spark, sf_dir, lambda step: rules).outputs(spark, "rejected", log_lines(spark, sf_dir).schema)
+    return rejected.select("seq", "source", "line")
 
 
 @query(
     "stream_tumbling_timeline",
     o.with_detected(
         "SELECT strftime(time_bucket(INTERVAL 10 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS bucket, count(*) FILTER (severity = 'INFO') AS info, "
-        "count(*) FILTER (severity = 'WARNING') AS warning, count(*) FILTER (severity = 'CRITICAL') AS critical FROM stateless GROUP BY 1",
-        _STATELESS,
+        "count(*) FILTER (severity = 'WARNING') AS warning, count(*) FILTER (severity = 'CRITICAL') AS critical FROM detected GROUP BY 1"
     ),
 )
 def _stream_tumbling_timeline(spark, sf_dir):
-    return _series(spark, sf_dir, tumbling_timeline, "bucket").withColumn("bucket", _ts("bucket"))
+    rules = _rules(spark)
+    return stream_timeline(spark, _stream(spark, sf_dir, lambda step: rules).out).withColumn("bucket", _ts("bucket"))
 
 
-@query("stream_running_totals", o.with_detected("SELECT severity, count(*) AS total FROM stateless GROUP BY 1", _STATELESS))
+@query("stream_running_totals", o.with_detected("SELECT severity, count(*) AS total FROM detected GROUP BY severity"))
 def _stream_running_totals(spark, sf_dir):
-    return _series(spark, sf_dir, severity_totals, "severity")
+    rules = _rules(spark)
+    return stream_totals(spark, _stream(spark, sf_dir, lambda step: rules).out)

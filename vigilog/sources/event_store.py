@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilog.functions.timestamps import wall_clock
 from vigilog.schema import EVENTS
 
 _PARTITIONS = ["event_date", "source"]
@@ -35,17 +38,22 @@ def append_events(events: DataFrame, name: str) -> None:
     )
 
 
-def scan_events(spark: SparkSession, name: str) -> DataFrame:
-    """Events of the table. A filter on ``event_date`` or ``source`` prunes partitions."""
-    return spark.table(name).select(*[f.name for f in EVENTS.fields], "event_date")
+def scan_events(spark: SparkSession, name: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Events of the table with ``start <= ts <= end``. The bounds, or a filter on ``source``, prune partitions."""
+    events = spark.table(name).select(*[f.name for f in EVENTS.fields], "event_date")
+    if start is not None:
+        events = events.where((F.col("event_date") >= F.lit(start.date())) & (F.col("ts") >= wall_clock(start)))
+    if end is not None:
+        events = events.where((F.col("event_date") <= F.lit(end.date())) & (F.col("ts") <= wall_clock(end)))
+    return events
 
 
-def append_jdbc(events: DataFrame, url: str, table: str = "log_events", **options: str) -> None:
-    """Append events to a relational table, extras as JSON text; batches of rows per insert."""
+def append_jdbc(events: DataFrame, url: str, table: str = "log_events", writers: int = 16, **options: str) -> None:
+    """Append events to a relational table, extras as JSON text; ``writers`` connections, batches of rows per insert."""
     (
         events.withColumn("extra", F.to_json("extra"))
         .write.format("jdbc")
-        .options(url=url, dbtable=table, batchsize="10000", numPartitions="16", **options)
+        .options(url=url, dbtable=table, batchsize="10000", numPartitions=str(writers), **options)
         .mode("append")
         .save()
     )

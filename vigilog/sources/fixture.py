@@ -14,9 +14,10 @@ WITH a AS (
     (event_id*37+user_id)%100 r, event_id%10 d, least(user_id%16,4) k
   FROM {events}),
 b AS (
-  SELECT *, {syslog_date} sy, {clf_date} clf, {iso_date} iso,
+  SELECT *, CASE WHEN e%89=0 THEN replace({syslog_date},'May 0','Feb 3') ELSE {syslog_date} END sy,
+    CASE WHEN e%83=0 THEN replace({clf_date},'2026','20x6') ELSE {clf_date} END clf, {iso_date} iso, {ingest} ingest_ts,
     '10.0.0.' || CAST(10+k AS STRING) ip,
-    split_part('root|admin|ubuntu|pi|test|guest','|',CAST(u%6 AS INT)+1) usr
+    split_part('root|carol|mina|oscar|deploybot|svc_batch','|',CAST(u%6 AS INT)+1) usr
   FROM a)
 SELECT e AS seq,
 CASE t WHEN 'signup' THEN 'auth' WHEN 'view' THEN 'access' WHEN 'click' THEN 'firewall' WHEN 'purchase' THEN 'syslog' ELSE 'fim' END AS source,
@@ -26,32 +27,32 @@ WHEN t='signup' THEN sy || ' server sshd[' || CAST(1000+e%9000 AS STRING) || ']:
    WHEN r<85 THEN 'Accepted password for ' || usr || ' from ' || ip || ' port 22'
    WHEN r<95 THEN 'Invalid user ' || usr || ' from ' || ip
    ELSE 'Server listening on 0.0.0.0 port 22' END
-WHEN t='view' THEN ip || ' - - [' || clf || ' +0000] "' || split_part('GET|POST|PUT|DELETE','|',CAST(e%4 AS INT)+1) || ' ' ||
-  CASE WHEN r<5 THEN replace(split_part('/api/users?id=1~+OR+~1~=~1|/search?q=admin~--|/api/data?id=1;+DROP+TABLE+users|/login?user=admin~+UNION+SELECT+*+FROM+users--|/products?cat=1~+OR+1=1--','|',CAST(r AS INT)+1),'~',chr(39))
-   WHEN r<8 THEN replace(split_part('/search?q=<script>alert(~xss~)</script>|/comment?body=<img+onerror=alert(1)+src=x>|/profile?name=javascript:alert(document.cookie)','|',CAST(r-5 AS INT)+1),'~',chr(39))
-   WHEN r<10 THEN split_part('/c99.php|/uploads/WSO.php','|',CAST(r-8 AS INT)+1)
-   ELSE split_part('/|/admin|/login|/api/data|/.env|/wp-admin|/phpmyadmin','|',CAST(e%7 AS INT)+1) END || ' HTTP/1.1" ' ||
+WHEN t='view' THEN ip || ' - - [' || clf || ' +0000] "' || split_part('GET|POST|HEAD|PATCH','|',CAST(e%4 AS INT)+1) || ' ' ||
+  CASE WHEN r<5 THEN replace(split_part('/items?ref=7~+or+~1~=~1|/notes?by=mina~+--|/report?day=2;+delete+from+audit|/find?key=9+union+select+name+from+staff|/cart?sum=3~+or+1=1','|',CAST(r AS INT)+1),'~',chr(39))
+   WHEN r<8 THEN replace(split_part('/note?text=<script>go(~a~)</script>|/pic?u=<img+src=q+onerror=go(2)>|/link?to=javascript:go(location)','|',CAST(r-5 AS INT)+1),'~',chr(39))
+   WHEN r<10 THEN split_part('/cmd.php|/files/B374K.php','|',CAST(r-8 AS INT)+1)
+   ELSE split_part('/|/health|/reports/daily|/cart|/static/app.js|/server-status|/feed.xml','|',CAST(e%7 AS INT)+1) END || ' HTTP/1.1" ' ||
   CASE WHEN r<10 THEN '200' ELSE split_part('200|200|200|200|200|301|403|404|404|500','|',CAST(d AS INT)+1) END || ' ' || CAST(100+e%4900 AS STRING)
 WHEN t='click' THEN sy || ' firewall kernel: [' || CASE WHEN r<65 THEN 'UFW BLOCK' WHEN r>=97 THEN 'UFW AUDIT' ELSE 'UFW ALLOW' END || ']' ||
   CASE WHEN d<7 THEN ' IN=eth0 OUT=' ELSE ' IN= OUT=eth0' END || CASE WHEN e%3=0 THEN ' MAC=00:0c:29:68:a1:b2' ELSE '' END ||
   ' SRC=' || ip || ' DST=192.168.1.1 LEN=60 TOS=0x00 PREC=0x00 TTL=64 ID=' || CAST(1000+e%60000 AS STRING) || ' PROTO=' ||
   CASE WHEN e%11=0 THEN 'ICMP TYPE=8 CODE=0'
-   ELSE split_part('TCP|UDP','|',CAST(e%2 AS INT)+1) || ' SPT=' || CAST(1024+e%60000 AS STRING) || ' DPT=' || split_part('22|80|443|4444|31337','|',CAST(e%5 AS INT)+1) END
+   ELSE split_part('TCP|UDP','|',CAST(e%2 AS INT)+1) || ' SPT=' || CAST(1024+e%60000 AS STRING) || ' DPT=' || split_part('22|53|443|8081|6667','|',CAST(e%5 AS INT)+1) END
 WHEN t='purchase' THEN sy || ' server ' ||
-  CASE WHEN r<30 THEN 'sudo: ' || usr || ' : TTY=pts/0 ; PWD=/home/' || usr || ' ; USER=root ; COMMAND=' || split_part('/bin/cat /etc/shadow|/usr/bin/apt update|/usr/sbin/useradd hacker','|',CAST(e%3 AS INT)+1)
+  CASE WHEN r<30 THEN 'sudo: ' || usr || ' : TTY=pts/0 ; PWD=/home/' || usr || ' ; USER=root ; COMMAND=' || split_part('/usr/bin/less /var/log/secure|/usr/bin/systemctl restart cron|/usr/sbin/usermod -L mina','|',CAST(e%3 AS INT)+1)
    WHEN r<40 THEN 'sudo: ' || usr || ' : authentication failure ; logname= ; uid=1000 ; euid=0 ; tty=/dev/pts/0 ; ruser=' || usr || ' ; rhost= ; user=root'
-   WHEN r<55 THEN 'systemd[1]: Stopped ' || split_part('nginx.service|sshd.service','|',CAST(e%2 AS INT)+1)
-   WHEN r<75 THEN 'systemd[1]: Started ' || split_part('nginx.service|sshd.service','|',CAST(e%2 AS INT)+1)
-   WHEN r<80 THEN 'useradd[' || CAST(1000+e%9000 AS STRING) || ']: new user: name=' || split_part('deploy|hacker|backdoor','|',CAST(e%3 AS INT)+1) || ', UID=1001, GID=1001, home=/home/x, shell=/bin/bash'
-   ELSE 'cron[' || CAST(1000+e%9000 AS STRING) || ']: (root) CMD (/usr/local/bin/cleanup.sh)' END
+   WHEN r<55 THEN 'systemd[1]: Stopped ' || split_part('postfix.service|cron.service','|',CAST(e%2 AS INT)+1)
+   WHEN r<75 THEN 'systemd[1]: Started ' || split_part('postfix.service|cron.service','|',CAST(e%2 AS INT)+1)
+   WHEN r<80 THEN 'useradd[' || CAST(1000+e%9000 AS STRING) || ']: new user: name=' || split_part('oscar|temp1|contractor','|',CAST(e%3 AS INT)+1) || ', UID=1001, GID=1001, home=/home/x, shell=/bin/bash'
+   ELSE 'cron[' || CAST(1000+e%9000 AS STRING) || ']: (root) CMD (/opt/jobs/rotate.sh)' END
 ELSE replace(iso,' ','T') || '+00:00 fim: action=' ||
   CASE WHEN r<50 THEN 'modified' WHEN r<70 THEN 'created' WHEN r<80 THEN 'deleted' ELSE 'attributes_changed' END || ' path=' ||
   CASE WHEN e%20<3 THEN split_part('/etc/passwd|/etc/shadow|/etc/sudoers','|',CAST(e%20 AS INT)+1)
    WHEN e%20<5 THEN split_part('/usr/bin/ssh|/usr/sbin/sshd','|',CAST(e%20-3 AS INT)+1)
-   ELSE split_part('/var/log/syslog|/tmp/test.txt|/home/user/.bashrc|/etc/hostname','|',CAST(e%4 AS INT)+1) END ||
+   ELSE split_part('/srv/data/report.csv|/opt/app/config.yml|/home/carol/.profile|/etc/fstab','|',CAST(e%4 AS INT)+1) END ||
   ' uid=' || split_part('0|1000','|',CAST(e%2 AS INT)+1) || ' gid=' || split_part('0|1000','|',CAST(e%2 AS INT)+1) ||
   CASE WHEN r>=70 AND r<80 THEN '' ELSE ' md5=' || md5(CAST(e AS STRING)) || ' sha256=' || md5(CAST(e AS STRING)) || md5(CAST(u AS STRING)) END
-END AS line
+END AS line, ingest_ts
 FROM b
 """
 
@@ -87,9 +88,11 @@ def _duckdb_date(fmt: str) -> str:
 def log_lines_sql(events: str = "events", *, duckdb: bool = False) -> str:
     if duckdb:
         dates = [_duckdb_date(f) for f in ("%b %d %H:%M:%S", "%d/%b/%Y:%H:%M:%S", "%Y-%m-%d %H:%M:%S")]
+        ingest = "TIMESTAMP '2026-05-01 22:00:02' + to_seconds(n)"
     else:
         dates = [_spark_date(f) for f in ("MMM dd HH:mm:ss", "dd/MMM/yyyy:HH:mm:ss", "yyyy-MM-dd HH:mm:ss")]
-    return _LINES.format(events=events, syslog_date=dates[0], clf_date=dates[1], iso_date=dates[2])
+        ingest = "TIMESTAMP_NTZ'2026-05-01 22:00:02' + make_dt_interval(0,0,0,n)"
+    return _LINES.format(events=events, syslog_date=dates[0], clf_date=dates[1], iso_date=dates[2], ingest=ingest)
 
 
 def metric_samples_sql(events: str = "events", *, duckdb: bool = False) -> str:

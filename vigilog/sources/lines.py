@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilog.functions.timestamps import wall_clock
 from vigilog.schema import LINES, SOURCES
 
 # Variable and default path of each source.
@@ -38,25 +40,30 @@ def switch_log_path(paths: Mapping[str, str], source: str, path: str) -> dict[st
     return {**paths, check_source(source): path}
 
 
-def read_lines(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """``(seq, source, line)`` of all files; sources whose path does not exist yet are left out.
+def read_lines(spark: SparkSession, paths: Mapping[str, str], missing: str = "error") -> DataFrame:
+    """``(seq, source, line, ingest_ts)`` of all files, ``ingest_ts`` the time of this call.
+
+    A path that does not exist is an error; with ``missing="skip"`` its source is left out.
 
     ``seq`` follows file position. It is only as stable as the files: to evaluate
     rules on files that still change, write the lines to a table first.
     """
+    if missing not in ("error", "skip"):
+        raise ValueError(f"missing must be error or skip: {missing!r}")
+    now = wall_clock(datetime.now(timezone.utc).replace(tzinfo=None)).alias("ingest_ts")
     parts = []
     for source, path in paths.items():
         try:
             text = spark.read.text(path)
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if missing == "error" or error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
         parts.append(text.select(F.lit(check_source(source)).alias("source"), F.col("value").alias("line")))
     if not parts:
-        return spark.createDataFrame([], LINES)
+        return spark.createDataFrame([], LINES).withColumn("ingest_ts", now)
     lines = reduce(DataFrame.unionByName, parts)
-    return lines.select(F.monotonically_increasing_id().alias("seq"), "source", "line")
+    return lines.select(F.monotonically_increasing_id().alias("seq"), "source", "line", now)
 
 
 def tail_stream(spark: SparkSession, paths: Mapping[str, str], max_files_per_trigger: int | None = None) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import warnings
+from collections.abc import Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigilog.functions.predicates import rule_condition
 from vigilog.schema import RULES_FILE
@@ -58,16 +62,31 @@ class Rule:
         return rule_condition({k: v for k, v in (self.conditions or {}).items() if k != "source"})
 
 
+def rules_path(env: Mapping[str, str] = os.environ) -> str:
+    """The rule file that ``RULES_PATH`` names, else the default rules."""
+    return env.get("RULES_PATH") or DEFAULT_RULES
+
+
 def load_rules(spark: SparkSession, path: str = DEFAULT_RULES) -> DataFrame:
-    """One row per rule with its position; a missing or malformed file gives no rows."""
-    reader = spark.read.schema(RULES_FILE).option("multiLine", True).option("mode", "DROPMALFORMED")
+    """One row per rule with its position; a missing or malformed file gives no rows.
+
+    A rule that does not fit the layout is left out with a warning; the others hold.
+    """
+    reader = spark.read.schema("rules ARRAY<STRING>").option("multiLine", True).option("mode", "DROPMALFORMED")
     try:
         content = reader.json(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        content = spark.createDataFrame([], RULES_FILE)
-    return content.select(F.posexplode("rules").alias("rule_ord", "rule")).select("rule_ord", "rule.*")
+        content = spark.createDataFrame([], "rules ARRAY<STRING>")
+    layout = RULES_FILE["rules"].dataType.elementType
+    checked = T.StructType([*layout.fields, T.StructField("_bad", T.StringType())])
+    parsed = F.from_json("text", checked, {"columnNameOfCorruptRecord": "_bad"})
+    rules = content.select(F.posexplode("rules").alias("rule_ord", "text")).select("rule_ord", parsed.alias("rule"))
+    bad = [r.rule_ord for r in rules.where("rule._bad IS NOT NULL").select("rule_ord").collect()]  # a rule file has tens of rows
+    if bad:
+        warnings.warn(f"{path}: rules at positions {sorted(bad)} do not fit the layout and are left out", stacklevel=2)
+    return rules.where("rule._bad IS NULL").select("rule_ord", *[f"rule.{f.name}" for f in layout.fields])
 
 
 def rules_from(rules: DataFrame) -> list[Rule]:

@@ -14,10 +14,11 @@ and time slot.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -36,6 +37,7 @@ from vigilog.operators.rate import (
     with_rate_tests,
 )
 from vigilog.operators.stats import events_total
+from vigilog.operators.timeline import timeline_counts
 from vigilog.schema import EVENTS
 from vigilog.sources.rules import Rule
 
@@ -52,21 +54,26 @@ DELAY_SECONDS = 900
 # A batch reads the state of the one before it, so three places are enough.
 _STATE_SLOTS = 3
 
-# seq of a line without one: batch, partition, row
-_ROW_BITS, _PARTITION_BITS = 24, 15
+# seq of a line without one: the batch in the upper bits, its place in the batch below
+_PLACE_BITS = 36
 
 
-def arrival_seq(batch_id: int) -> Column:
-    """Arrival order over batches; fails rather than repeat a number."""
-    row_id = F.monotonically_increasing_id()
-    partition, row = F.shiftright(row_id, 33), row_id.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (partition < (1 << _PARTITION_BITS)) & (row < (1 << _ROW_BITS))
-    number = F.lit(batch_id << (_ROW_BITS + _PARTITION_BITS)) + F.shiftleft(partition, _ROW_BITS) + row
-    return F.when(fits, number).otherwise(F.raise_error(F.lit("micro-batch too large to number its lines")))
+def number_lines(lines: DataFrame, batch_id: int) -> DataFrame:
+    """``lines`` with ``seq``, the order of arrival over batches: up to 2^36 lines a batch.
+
+    Places are counted without gaps: rows within their partition, and before them the
+    rows of the partitions before, of which there is one number for each partition.
+    """
+    rows = lines.withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33))
+    before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = rows.groupBy("_part").agg(F.count("*").alias("n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    seq = F.lit(batch_id << _PLACE_BITS) + place
+    return rows.join(F.broadcast(parts), "_part").select(seq.alias("seq"), *lines.columns)
 
 
 class DetectionStream:
-    """Writes events, rejected lines, alerts, feed messages and counters below ``out``.
+    """Writes events, rejected lines, alerts, feed messages, counters and timeline counts below ``out``.
 
     ``rate_clock`` is ``event`` (time in the line) or ``processing`` (time of the
     micro-batch). ``initial_state`` takes over the state of another stream.
@@ -106,11 +113,11 @@ class DetectionStream:
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
-        if "seq" not in lines.columns:
-            lines = lines.select(arrival_seq(batch_id).alias("seq"), "source", "line")
         # one fixed time for the batch: all its jobs must see the same
-        now = wall_clock(spark.range(1).select(F.localtimestamp()).first()[0])
-        lines = lines.withColumn("ingest_ts", now).persist(StorageLevel.DISK_ONLY)
+        now = wall_clock(datetime.now(timezone.utc).replace(tzinfo=None))
+        lines = (lines if "ingest_ts" in lines.columns else lines.withColumn("ingest_ts", now)).persist(StorageLevel.DISK_ONLY)
+        if "seq" not in lines.columns:
+            lines = number_lines(lines, batch_id)
         events = normalize_events(lines, ref_year=self.ref_year).persist(StorageLevel.DISK_ONLY)
         try:
             self._detect(events, now, batch_id).write.mode("overwrite").parquet(self.path("events", batch_id))
@@ -123,6 +130,7 @@ class DetectionStream:
         alert_messages(stored).write.mode("overwrite").parquet(self.path("alerts", batch_id))
         event_feed_json(stored).write.mode("overwrite").parquet(self.path("feed", batch_id))
         events_total(stored).write.mode("overwrite").parquet(self.path("counters", batch_id))
+        timeline_counts(stored).write.mode("overwrite").parquet(self.path("timeline", batch_id))
 
     def _detect(self, events: DataFrame, now: Column, batch_id: int) -> DataFrame:
         rated = rate_rules(self.rules)
@@ -131,6 +139,8 @@ class DetectionStream:
             clock = "_clock"
             events = events.withColumn(clock, now)
         if not must_count(rated):
+            # rules without rates come and go: the state stays for those that have one
+            self._previous(events.sparkSession, batch_id).write.mode("overwrite").parquet(self.state_path(batch_id))
             return apply_rules(events, self.rules, spread_tests(self.rules, constant_tests(rated)), EVENTS.names)
         fresh = rate_candidates(events, rated, clock)
         heads = first_per_instant(fresh.unionByName(self._state(events, rated, batch_id)), rated)
@@ -142,15 +152,20 @@ class DetectionStream:
         joined, held = with_rate_tests(events, rate_firings(written, rated), rated, clock)
         return apply_rules(joined, self.rules, spread_tests(self.rules, held), EVENTS.names)
 
+    def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        previous = self.state_path(batch_id - 1)
+        return spark.createDataFrame([], STATE) if previous is None else spark.read.schema(STATE).parquet(previous)
+
     def _state(self, events: DataFrame, rated: Sequence[Rule], batch_id: int) -> DataFrame:
-        """Candidates of earlier batches that a rate window can still reach."""
-        spark, previous = events.sparkSession, self.state_path(batch_id - 1)
-        if previous is None:
-            return _numbered(spark.createDataFrame([], STATE), rated)
-        kept = spark.read.schema(STATE).parquet(previous)
-        newest = kept.agg(F.max("us")).first()[0]
+        """Candidates of earlier batches that a rate window can still reach.
+
+        What is too old is told by the median time of the state, which stray times of
+        some lines, in the future or far in the past, do not move.
+        """
+        kept = self._previous(events.sparkSession, batch_id)
+        middle = kept.agg(F.percentile_approx("us", 0.5)).first()[0]
         reach = max(r.rate[1] for r in rated) + self.delay_seconds
-        recent = kept if newest is None else kept.where(F.col("us") >= newest - reach * 1_000_000)
+        recent = kept if middle is None else kept.where(F.col("us") >= middle - reach * 1_000_000)
         return _numbered(recent, rated)
 
     def outputs(self, spark, output: str, schema: T.StructType) -> DataFrame:

@@ -1,53 +1,28 @@
-"""Running counters and the timeline over a stream of detected events."""
+"""Running counters and the timeline of a detection stream.
+
+Every batch writes its own counts, in a folder that a repeated batch replaces. The
+totals are sums over these folders: a batch counts once however often it has run, and
+a late event counts in the bucket of its time, however late it is.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from vigilog.functions.timestamps import epoch_micros
-from vigilog.operators.stats import severity_counts
-from vigilog.operators.timeline import BUCKET_SECONDS
-from vigilog.schema import EVENTS
-
-WATERMARK = "15 minutes"
-
-
-def follow_events(spark: SparkSession, path: str) -> DataFrame:
-    """Events as the detection stream writes them."""
-    return spark.readStream.schema(EVENTS).option("recursiveFileLookup", True).parquet(path)
-
-
-def tumbling_timeline(events: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Counts per severity and bucket; buckets more than 15 minutes old are final."""
-    # a watermark needs a zoned type: the wall clock, taken as UTC and taken back
-    # by arithmetic, so that no session zone plays a part
-    bucket = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, unix_seconds(window.start))")
-    return (
-        events.select("severity", F.timestamp_micros(epoch_micros("ts")).alias("ts"))
-        .withWatermark("ts", WATERMARK)
-        .groupBy(F.window("ts", f"{seconds} seconds"))
-        .agg(*severity_counts())
-        .select(bucket.alias("bucket"), "info", "warning", "critical")
-    )
 
+from vigilog.schema import SEVERITIES
 
-def severity_totals(events: DataFrame) -> DataFrame:
-    return events.groupBy("severity").agg(F.count("*").alias("total"))
 
+def _counts(spark: SparkSession, out: str, output: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{out.rstrip('/')}/{output}")
 
-def write_updates(changes: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Store the rows that each micro-batch changes; ``latest_updates`` reads the current values."""
-    def store(rows: DataFrame, batch_id: int) -> None:
-        rows.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/update-{batch_id}")
 
-    writer = changes.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+def stream_timeline(spark: SparkSession, out: str) -> DataFrame:
+    """Counts per severity and bucket over all batches of the stream that writes to ``out``."""
+    names = [s.lower() for s in SEVERITIES]
+    return _counts(spark, out, "timeline").groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def latest_updates(spark: SparkSession, path: str, key: str) -> DataFrame:
-    rows = spark.read.parquet(f"{path}/update-*")
-    values = [c for c in rows.columns if c not in (key, "batch")]
-    newest = rows.groupBy(key).agg(F.max_by(F.struct(*values), "batch").alias("v"))
-    return newest.select(key, "v.*")
+def stream_totals(spark: SparkSession, out: str) -> DataFrame:
+    """Events per severity over all batches of the stream that writes to ``out``."""
+    return _counts(spark, out, "counters").groupBy("severity").agg(F.sum("total").alias("total"))
