@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,15 +33,16 @@ from vigilog.llm.common import clash_free, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-_UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+_UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*")
 UNKNOWN = -1
 NEVER = float("-inf")
+TEXTS = 2048  # segmented together: the more words, the longer the prefixes that they share
 
 
 class Pieces:
     """The vocabulary of a model file, and the words segmented so far (bounded)."""
 
-    most_words = 700_000
+    most_words = 900_000
     most_pairs = 1_000_000
 
     def __init__(self, model: bytes):
@@ -63,7 +65,8 @@ class Pieces:
         spelled = {i: piece.replace(MARK, " ").encode() for i, piece in self.text.items()}
         spelled |= {i: bytes([b]) for b, i in enumerate(self.byte)}
         self.bytes = [spelled.get(i, b"") for i in ids]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.spelled = {i: array("i", [i]).tobytes() for i in ids}
+        self.pairs: dict[int, bool] = {}
         self.built: dict[int, tuple[list, list] | None] = {}
         self.words: dict[str, bytes] = {}
 
@@ -94,9 +97,6 @@ class Pieces:
         Both are built in step, the better merge first; they stay apart unless a pair
         across the border is at some time the best there is.
         """
-        known = self.pairs.get((left, right))
-        if known is not None:
-            return known
         if len(self.pairs) >= self.most_pairs:
             self.pairs.clear()
         ours, theirs, i, j = self.built[left][0], self.built[right][1], 0, 0
@@ -109,81 +109,108 @@ class Pieces:
                 i += 1
             else:
                 j += 1
-        known = self.pairs[left, right] = across == NEVER
+        known = self.pairs[left << 32 | right] = across == NEVER
         return known
 
-    def _segment(self, words: list[str]) -> None:
-        """Forward passes over sorted ``words``, each from the end of the prefix shared with the one before."""
-        last, start = [UNKNOWN], [0]  # for each prefix length: the surviving path's last piece and where that begins
-        before = ""
-        for word in words:
+    def _segment(self, words: list[str], first: str = "", before: bytes = b"") -> None:
+        """Forward passes over sorted ``words``, each from the end of the prefix shared with the one before.
+
+        The words stand behind a space, whose mark is their ``first`` letter, or behind
+        the end of a line, whose ids are put ``before`` theirs.
+        """
+        pairs, endings, spelled, history = self.pairs, self.endings, self.spelled, self.history
+        # for each prefix length: the surviving path's last piece, and its ids so far
+        last, path = [UNKNOWN], [before]
+        previous = ""
+        for key in words:
+            word = first + key
             shared = 0
-            for x, y in zip(before, word):
+            for x, y in zip(previous, word):
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :], start[shared + 1 :]
+            del last[shared + 1 :], path[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                piece, begin = UNKNOWN, end - 1
-                node, at, ending = self.endings, end, []
-                while at and (node := node.get(word[at - 1])):
+                node, at, ending = endings, end, []
+                while at:
                     at -= 1
+                    node = node.get(word[at])
+                    if node is None:
+                        break
                     if "" in node:
                         ending.append((node[""], at))
                 for i, at in reversed(ending):
-                    if self.history(i) and (last[at] == UNKNOWN or self.beside(last[at], i)):
-                        piece, begin = i, at
-                        break
-                last.append(piece)
-                start.append(begin)
-            ids, end = [], len(word)
-            while end:
-                if last[end] == UNKNOWN:
-                    ids += [self.byte[b] for b in reversed(word[end - 1 : end].encode())]
+                    if not history(i):
+                        continue
+                    left = last[at]
+                    if left != UNKNOWN:
+                        fits = pairs.get(left << 32 | i)
+                        if not (self.beside(left, i) if fits is None else fits):
+                            continue
+                    last.append(i)
+                    path.append(path[at] + spelled[i])
+                    break
                 else:
-                    ids.append(last[end])
-                end = start[end]
-            self.words[word] = array("i", ids[::-1]).tobytes()
-            before = word
+                    last.append(UNKNOWN)
+                    path.append(path[-1] + array("i", [self.byte[b] for b in word[end - 1].encode()]).tobytes())
+            self.words[key if first else "\n" + key] = path[-1]
+            previous = word
 
-    def _run(self, marks: int) -> list[int]:
+    def _run(self, marks: int) -> bytes:
         """Pieces for marks that no word takes: merging grows them from the left, as far as a piece reaches."""
-        ids = []
+        ids = b""
         while marks:
             size = next(s for s in self.runs if s <= marks)
-            ids.append(self.id[MARK * size])
+            ids += self.spelled[self.id[MARK * size]]
             marks -= size
         return ids
 
-    def _units(self, units: set[str]) -> None:
-        """Segment what is new."""
+    def _learn(self, units: set[str]) -> None:
+        """Segment what is new: words behind one space, words behind a line end (with it), runs of marks with a word or none."""
         new = units - self.words.keys()
         if len(self.words) + len(new) > self.most_words:
             self.words.clear()
             new = units
-        cores = {u: MARK + u.lstrip(MARK) if u.startswith(MARK * 2) else u for u in new}
-        self._segment(sorted(set(cores.values()) - self.words.keys()))
-        for unit, core in cores.items():
-            if unit != core:
-                marks, rest = len(unit) - len(core), self.words[core]
-                if rest[:4] == np.int32(self.id[MARK]).tobytes():
-                    marks, rest = marks + 1, rest[4:]
-                self.words[unit] = np.array(self._run(marks), np.int32).tobytes() + rest
+        runs = {u: u.lstrip(MARK) for u in new if u[0] == MARK}
+        plain = {u for u in new if u[0] not in (MARK, "\n")} | {core for core in runs.values() if core and core not in self.words}
+        self._segment(sorted(plain), first=MARK)
+        self._segment(sorted(u[1:] for u in new if u[0] == "\n"), before=self.spelled[self.byte[10]])
+        lone = self.spelled[self.id[MARK]]
+        for unit, core in runs.items():
+            marks, ids = len(unit) - len(core), self.words[core] if core else b""
+            if ids[:4] == lone:  # the word takes no mark, so the run has them all
+                ids = ids[4:]
+            elif core:
+                marks -= 1
+            self.words[unit] = self._run(marks) + ids
+
+    def _parts(self, text: str) -> list[str]:
+        """The units of a text that has more than single spaces between words."""
+        units = _UNITS.findall(MARK + text.replace(" ", MARK))
+        return [u[1:] if u[0] == MARK and len(u) > 1 and u[1] != MARK else u for u in units]
+
+    def _split(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        spaced = text.replace("\n", " \n")
+        if spaced[0] == " " or spaced[-1] == " " or "  " in spaced or MARK in text:
+            return self._parts(text)
+        return spaced.split(" ")
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        split = [None if t is None else _UNITS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        split = [self._split(t) for t in texts]
         low = 0
         found: list[np.ndarray | None] = []
         while low < len(split):  # as many texts at a time as the memory for words allows
-            high, units = low, set()
-            while high < len(split) and (high == low or len(units) < self.most_words // 2):
-                units.update(split[high] or ())
+            high, words = low, set()
+            while high < len(split) and (high == low or len(words) < self.most_words // 2):
+                words.update(split[high])
                 high += 1
-            self._units(units)
+            self._learn(words)
             get = self.words.__getitem__
-            found += [None if s is None else np.frombuffer(b"".join(map(get, s)), np.int32) for s in split[low:high]]
+            found += [np.frombuffer(b"".join(map(get, s)), np.int32) for s in split[low:high]]
             low = high
-        return found
+        return [None if t is None else ids for t, ids in zip(texts, found)]
 
     def decode(self, ids: list[int] | None) -> str | None:
         """The text of ``ids``; a first space is the one that encoding put there."""
@@ -208,8 +235,8 @@ def encode_pieces(text: Column, model: bytes) -> Column:
     def encode(texts: pa.Array) -> pa.Array:
         pieces = pieces_of(model)
         ids = []
-        for low in range(0, len(texts), 512):
-            ids += pieces.encode(texts.slice(low, 512).to_pylist())
+        for low in range(0, len(texts), TEXTS):
+            ids += pieces.encode(texts.slice(low, TEXTS).to_pylist())
         sizes = np.cumsum([0, *(0 if x is None else len(x) for x in ids)])
         missing = [x is None for x in ids]
         offsets = pa.array([None if m else int(s) for m, s in zip([*missing, False], sizes)], pa.int32())
@@ -225,7 +252,9 @@ def decode_pieces(ids: Column, model: bytes) -> Column:
     @F.arrow_udf(T.StringType())
     def decode(lists: pa.Array) -> pa.Array:
         pieces = pieces_of(model)
-        return pa.array([pieces.decode(x.as_py()) for x in lists], pa.string())
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+        values, valid = lists.flatten().to_numpy(zero_copy_only=False), lists.is_valid().to_pylist()
+        return pa.array([pieces.decode(values[a:b].tolist()) if v else None for a, b, v in zip([0, *ends], ends, valid)], pa.string())
 
     return decode(ids)
 
