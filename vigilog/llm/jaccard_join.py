@@ -6,12 +6,13 @@ passes this test under every one of several orders; survivors are compared exact
 
 Steps
 1. Texts with the same set form one class; a hot copied text is one class from here on.
-2. The very first tokens under random orders tie classes to the most copied class that
+2. The very first tokens under random orders tie classes to the most typical class that
    shares several of them. Pairs found so are verified, and components formed. This links
    near all of a large group of near copies by a star instead of all its pairs.
 3. The full prefix filter under the main order (rare tokens first, so that passages many
-   texts share come last) then finds every pair whose classes lie in different components.
-   The other orders' prefixes are intersected before the sets are compared.
+   texts share come last) then finds every pair whose classes lie in different components
+   and share a token early enough in both for their sizes. The other orders' prefixes are
+   intersected before the sets are compared.
 
 The result is exact: the first pass only takes away pairs that are connected already.
 
@@ -32,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.common import light
+from vigilog.llm.common import light, ship
 from vigilog.llm.components import components
 from vigilog.llm.membership import Membership
 from vigilog.llm.words import WordHashes, pieces, shingle_set, split_words
@@ -42,7 +43,7 @@ PERCENT = 80
 ORDERS = 3  # prefixes that a pair must share under each of
 FIRST_TOKENS = 6  # orders whose first token ties classes in step 2
 FIRST_SHARED = 2
-COUNTED = 2_000_000  # tokens that a task counts at a time
+COUNTED = 1_000_000  # tokens that a task counts at a time
 RANKED = 1 << 20  # most tokens with a rank of their own in the main order, 9 bytes each
 PER_TASK = 4_000  # members compared with one copy of a class
 
@@ -56,10 +57,17 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def _first(tokens: np.ndarray, keys: np.ndarray, percent: int) -> np.ndarray:
+    """The prefix of a set under the order of ``keys``, not in order."""
     size = prefix_size(len(tokens), percent)
     return tokens if size >= len(tokens) else tokens[np.argpartition(keys, size - 1)[:size]]
 
 
+def _first_in_order(tokens: np.ndarray, keys: np.ndarray, percent: int) -> np.ndarray:
+    size = prefix_size(len(tokens), percent)
+    at = np.argpartition(keys, size - 1)[:size] if size < len(tokens) else np.arange(len(tokens))
+    return tokens[at[np.argsort(keys[at])]]
+
+
 def _digest(tokens: np.ndarray) -> bytes:
     return blake2b(tokens.tobytes(), digest_size=16).digest()
 
@@ -139,7 +147,7 @@ def _prefixes(common: np.ndarray, level: np.ndarray, percent: int):
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     keys |= np.where(common[at] == s, level[at], 0).astype(np.uint64) << np.uint64(58)
-                prefixes.append(_first(s, keys, percent).view(np.int64))
+                prefixes.append(_first_in_order(s, keys, percent).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array([i for i, _ in found.values()], pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
                 names=["digest", "doc_id", "prefix"],
@@ -154,12 +162,15 @@ def _kept_tokens(wanted: Membership):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(0)
-            row = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(lists)))
+            size = np.asarray(pc.list_value_length(lists))
+            row = np.repeat(np.arange(batch.num_rows), size)
             token = np.asarray(lists.flatten())
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
             keep = wanted.may_hold(token)
             at = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token[keep])] + [batch.column(c).take(at) for c in (1, 2, 3)], names=["token", "comp", "cid", "n"]
+                [pa.array(token[keep]), pa.array(pos[keep])] + [batch.column(c).take(at) for c in (1, 2, 3)],
+                names=["token", "pos", "comp", "cid", "n"],
             )
 
     return run
@@ -238,12 +249,20 @@ def _alike(x: str, y: str, percent: int):
 
 
 def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Each class with the most copied class that shares its first token under several orders."""
-    keyed = classes.select("cid", "n", "copies", F.posexplode("first").alias("k", "token"))
+    """Each class with a hub that shares its first token under several orders.
+
+    The hub of the classes with one first token is the most typical: that whose first
+    tokens are shared by most. An original is closer to its edited copies than they are
+    to each other, and has the tokens that most of them keep.
+    """
+    first = classes.select("cid", "n", "copies", F.posexplode("first").alias("k", "token"))
+    shared = first.groupBy("k", "token").agg(F.count("*").alias("members")).where("members > 1")
+    keyed = materialize(first.join(shared, ["k", "token"]), "keyed")
+    typical = keyed.groupBy("cid").agg(F.sum("members").alias("typical"))
     hubs = (
-        keyed.groupBy("k", "token")
-        .agg(F.max(F.struct("copies", (-F.col("cid")).alias("minus"), F.col("n").alias("size"))).alias("hub"), F.count("*").alias("members"))
-        .where("members > 1")
+        keyed.join(typical, "cid")
+        .groupBy("k", "token")
+        .agg(F.max(F.struct("typical", "copies", (-F.col("cid")).alias("minus"), F.col("n").alias("size"))).alias("hub"))
         .select("k", "token", (-F.col("hub.minus")).alias("a"), F.col("hub.size").alias("size"))
     )
     tied = keyed.join(hubs, ["k", "token"]).where((F.col("cid") != F.col("a")) & _alike("n", "size", percent))
@@ -265,18 +284,28 @@ def _cross_pairs(texts: DataFrame, classes: DataFrame, common: tuple[np.ndarray,
         .select("token"),
         "shared",
     )
-    rows = held.mapInArrow(_kept_tokens(Membership.of(shared, F.col("token"))), "token long, comp long, cid long, n long")
-    near = materialize(rows.join(light(shared), "token", "left_semi").distinct(), "near")
-    # components first: the members of a large one meet only those of others
-    met = near.select("token", "comp").distinct()
-    met = met.join(met.withColumnRenamed("comp", "other"), "token").where("comp < other")
-    left = near.select("token", "comp", F.col("cid").alias("a"), F.col("n").alias("na"))
-    right = near.select("token", F.col("comp").alias("other"), F.col("cid").alias("b"), F.col("n").alias("nb"))
-    return met.join(left, ["token", "comp"]).join(right, ["token", "other"]).where(_alike("na", "nb", percent)).select("a", "b").distinct()
+    rows = held.mapInArrow(_kept_tokens(Membership.of(shared, F.col("token"))), "token long, pos long, comp long, cid long, n long")
+    # A pair needs a common token that is early enough in both: (100 + p) * (n - pos) >= p * (n + m), m the other's size.
+    slack = 100 * F.col("n") - (100 + percent) * F.col("pos")
+    near = materialize(
+        rows.join(light(shared), "token", "left_semi").distinct().select("token", "comp", "cid", "n", slack.alias("slack")), "near"
+    )
+    # Components first, the one with fewer members first of two: the many of a large one are looked at only for survivors.
+    groups = near.groupBy("token", "comp").agg(F.count("*").alias("c"), F.min("n").alias("n"), F.max("slack").alias("slack"))
+    fewer, more = (groups.select("token", *[F.col(x).alias(side + x) for x in ("comp", "c", "n", "slack")]) for side in ("a_", "b_"))
+    ordered = (F.col("a_c") < F.col("b_c")) | (F.col("a_c") == F.col("b_c")) & (F.col("a_comp") < F.col("b_comp"))
+    early = (F.col("a_slack") >= percent * F.col("b_n")) & (F.col("b_slack") >= percent * F.col("a_n"))
+    met = fewer.join(more, "token").where(ordered & early).select("token", "a_comp", "b_comp", "b_n")
+    x, y = (near.select("token", *[F.col(f).alias(side + t) for f, t in (("comp", "comp"), ("cid", ""), ("n", "size"), ("slack", "early"))]) for side in ("a_", "b_"))
+    first = met.join(x, ["token", "a_comp"]).where(F.col("a_early") >= percent * F.col("b_n"))
+    fits = (F.col("a_early") >= percent * F.col("b_size")) & (F.col("b_early") >= percent * F.col("a_size"))
+    pairs = first.join(y, ["token", "b_comp"]).where(fits & _alike("a_size", "b_size", percent))
+    return pairs.select(F.col("a_").alias("a"), F.col("b_").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     described = materialize(
         texts.mapInArrow(_describe, "doc_id long, n long, digest binary, node long, first array<long>, token long, seen long"), "sets"

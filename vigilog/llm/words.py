@@ -20,7 +20,7 @@ _MIX_B = np.uint64(0x94D049BB133111EB)
 class WordHashes(dict):
     """The hash of a word, remembered. Forgets all when it holds ``limit`` words, so its memory is bounded."""
 
-    limit = 400_000
+    limit = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
@@ -48,19 +48,21 @@ def sequence_hashes(words: np.ndarray, size: int) -> np.ndarray:
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
+    mixed = mix(words)
     total = words[:n].copy()
     for k in range(1, size):
         total *= _STEP
-        total += mix(words[k : k + n])
+        total += mixed[k : k + n]
     return mix(total + np.uint64(size))
 
 
 def shingle_set(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingles; a shorter text is one shingle, an empty one has none."""
-    return np.unique(sequence_hashes(words, min(size, max(1, len(words)))))
+    found = np.sort(sequence_hashes(words, min(size, max(1, len(words)))))
+    return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
 
 
-def pieces(batch: pa.RecordBatch, column: int, most_bytes: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: int, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` that hold about ``most_bytes`` of text, one row at least."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
     part = np.cumsum(sizes) // most_bytes
