@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from vigilog.llm import common
 from vigilog.llm.components import components
 from vigilog.llm.jaccard_join import jaccard_components, keep_one_of_each, prefix_size
 from vigilog.llm.membership import Membership
@@ -64,6 +65,11 @@ def test_near_copies_chains_and_a_passage_that_many_share(spark):
     check(spark, rows)
 
 
+def test_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(common, "LIGHT_ROWS", -1)
+    check(spark, [(i, edited(prose(i % 5, 90), i, 7)) for i in range(40)])
+
+
 def test_empty_table(empty):
     assert jaccard_components(empty).count() == 0
 

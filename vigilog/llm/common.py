@@ -33,9 +33,9 @@ def ascii_lower(text):
 LIGHT_ROWS = 400_000
 
 
-def light(df: DataFrame, most_rows: int = LIGHT_ROWS) -> DataFrame:
+def light(df: DataFrame) -> DataFrame:
     """``df``, a written table of narrow rows, marked for broadcast if it has few; else left to a shuffle join."""
-    return F.broadcast(df) if df.count() <= most_rows else df
+    return F.broadcast(df) if df.count() <= LIGHT_ROWS else df
 
 
 _SHIPPED: set[str] = set()
