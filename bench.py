@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 Settings: BENCH_SF_DIR (data folder), BENCH_CPUS (cores), BENCH_SCALE (copies of
-the lines, later in time and from other addresses, to see how a query grows).
+the lines from other addresses at the same times, to see how a query grows).
 """
 
 from __future__ import annotations
@@ -18,8 +18,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from vigilog.operators import detect, search, stats, timeline  # noqa: E402
 from vigilog.operators.normalize import normalize_events  # noqa: E402
 from vigilog.session import build_session, scratch_dir  # noqa: E402
+from vigilog.sources.event_store import append_events, create_event_table, scan_events  # noqa: E402
 from vigilog.sources.fixture import REF_YEAR, log_lines  # noqa: E402
 from vigilog.sources.rules import load_rules, rules_from  # noqa: E402
+from vigilog.streaming.detection import DetectionStream  # noqa: E402
+from vigilog.streaming.series import stream_totals  # noqa: E402
 
 HEADLINE = {
     "normalize_events": lambda events, rules: events,
@@ -36,12 +39,12 @@ HEADLINE = {
 
 
 def copies(lines, n: int):
-    """The lines ``n`` times; copy k has its own seqs, host numbers and day of the month."""
+    """The lines ``n`` times; copy k has its own seqs and host numbers."""
     if n == 1:
         return lines
     wide = lines.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"))
     moved = F.regexp_replace("line", r"10\.0\.0\.", F.concat(F.lit("10.0."), F.col("k").cast("string"), F.lit(".")))
-    return wide.select((F.col("seq") * n + F.col("k")).alias("seq"), "source", moved.alias("line"))
+    return wide.select((F.col("seq") * n + F.col("k")).alias("seq"), "source", moved.alias("line"), "ingest_ts")
 
 
 def main() -> None:
@@ -65,8 +68,30 @@ def main() -> None:
         HEADLINE[name](events, rules).write.format("noop").mode("overwrite").save()
         return time.time() - started
 
+    def timed(job) -> float:
+        started = time.time()
+        job()
+        return round(time.time() - started, 3)
+
+    def store() -> None:
+        create_event_table(spark, table, f"{path}-events")
+        append_events(detect.detect_events(normalize_events(lines, ref_year=REF_YEAR), rules, staged=True), table)
+
+    def listing() -> None:
+        search.search_events(scan_events(spark, table), "CRITICAL", "auth").write.format("noop").mode("overwrite").save()
+
+    def stream() -> None:
+        job = DetectionStream(rules, f"{path}-stream/out", ref_year=REF_YEAR)
+        arriving = spark.readStream.schema(lines.schema).parquet(path)
+        job.start(arriving, f"{path}-stream/checkpoint", availableNow=True).awaitTermination()
+        stream_totals(spark, job.out).collect()
+
     run("detect_events")  # start-up of the JVM is not part of any query
     seconds = {name: round(run(name), 3) for name in HEADLINE}
+    table = "bench_" + path.rsplit("-", 1)[1]
+    seconds |= {"store_events": timed(store), "stored_stats": timed(lambda: stats.event_stats(scan_events(spark, table)).collect())}
+    seconds |= {"stored_search": timed(listing), "stream_all_lines": timed(stream)}
+    spark.sql(f"DROP TABLE {table}")
     print(
         json.dumps(
             {

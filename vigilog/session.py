@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +49,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="vigilog-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/vigilog/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/vigilog/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+@contextmanager
+def scratch_dropped(spark: SparkSession, *keep: str):
+    """Removes, at the end of the block, what was written to scratch within it, but for the paths ``keep``.
+
+    For jobs whose results are written by then; a table still to be read must be kept.
+    """
+    before = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in [p for p in _SCRATCH[before:] if p not in keep]:
+            place = hadoop.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _SCRATCH.remove(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
