@@ -141,16 +141,29 @@ def _load_rules(spark, sf_dir):
     )
 
 
+# Event tables filled by this process, by application and data folder.
+_TABLES: dict[tuple[str, str], str] = {}
+
+
 def _stored(spark, sf_dir) -> str:
-    """Name of a new event table that holds all detected events."""
+    """Name of the event table of a folder: filled with all detected events once in a session."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known in _TABLES and spark.catalog.tableExists(_TABLES[known]):
+        return _TABLES[known]
     path = scratch_dir(spark, "events")
     name = "log_events_" + path.rsplit("-", 1)[1]
     create_event_table(spark, name, path)
     create_event_table(spark, name, path)
     append_events(detect.detect_events(_events(spark, sf_dir), _rules(spark), staged=True), name)
+    _TABLES[known] = name
     return name
 
 
+def _table(spark, sf_dir) -> DataFrame:
+    """The stored events, which counts, series and listings read."""
+    return scan_events(spark, _stored(spark, sf_dir)).drop("event_date")
+
+
 @query(
     "append_events",
     o.with_detected("SELECT strftime(ts, '%Y-%m-%d') AS event_date, source, severity, count(*) AS n FROM detected GROUP BY ALL"),
@@ -183,7 +196,7 @@ def _scan_events(spark, sf_dir):
     ),
 )
 def _event_feed_json(spark, sf_dir):
-    return outputs.event_feed_json(_detected(spark, sf_dir))
+    return outputs.event_feed_json(_table(spark, sf_dir))
 
 
 @query(
@@ -198,7 +211,7 @@ def _event_feed_json(spark, sf_dir):
     ),
 )
 def _alert_messages(spark, sf_dir):
-    return outputs.alert_messages(_detected(spark, sf_dir))
+    return outputs.alert_messages(_table(spark, sf_dir))
 
 
 _REJECTED = o.with_events("SELECT seq, source, line FROM log_lines WHERE seq NOT IN (SELECT seq FROM events_p)")
@@ -313,17 +326,17 @@ def _cond_rate(spark, sf_dir):
 
 @query("filter_severity", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM detected WHERE severity = 'WARNING'"))
 def _filter_severity(spark, sf_dir):
-    return _detected_text(search.filter_events(_detected(spark, sf_dir), severity="WARNING"))
+    return _detected_text(search.filter_events(_table(spark, sf_dir), severity="WARNING"))
 
 
 @query("filter_source", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM detected WHERE source = 'firewall'"))
 def _filter_source(spark, sf_dir):
-    return _detected_text(search.filter_events(_detected(spark, sf_dir), severity="", source="firewall"))
+    return _detected_text(search.filter_events(_table(spark, sf_dir), severity="", source="firewall"))
 
 
 @query("filter_critical", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM detected WHERE severity = 'CRITICAL'"))
 def _filter_critical(spark, sf_dir):
-    return _detected_text(search.filter_critical(_detected(spark, sf_dir)))
+    return _detected_text(search.filter_critical(_table(spark, sf_dir)))
 
 
 # ---- detection
@@ -401,24 +414,24 @@ _register_rules()
     o.with_detected("SELECT count(*) FILTER (severity = 'INFO') AS info, count(*) FILTER (severity = 'WARNING') AS warning, count(*) FILTER (severity = 'CRITICAL') AS critical, count(*) AS total FROM detected"),
 )
 def _event_stats(spark, sf_dir):
-    return stats.event_stats(_detected(spark, sf_dir))
+    return stats.event_stats(_table(spark, sf_dir))
 
 
 @query("events_total", o.with_detected("SELECT severity, source, count(*) AS total FROM detected GROUP BY 1, 2"))
 def _events_total(spark, sf_dir):
-    return stats.events_total(_detected(spark, sf_dir))
+    return stats.events_total(_table(spark, sf_dir))
 
 
 @query("rules_triggered_total", o.with_detected("SELECT rule_triggered AS rule, count(*) AS total FROM detected WHERE rule_triggered IS NOT NULL GROUP BY 1"))
 def _rules_triggered_total(spark, sf_dir):
-    return stats.rules_triggered_total(_detected(spark, sf_dir))
+    return stats.rules_triggered_total(_table(spark, sf_dir))
 
 
 def _register_stats() -> None:
     for name, severity in (("stat_total", None), ("stat_critical", "CRITICAL"), ("stat_warning", "WARNING")):
         where = f" WHERE severity = '{severity}'" if severity else ""
         query(name, o.with_detected(f"SELECT count(*) AS total FROM detected{where}"))(
-            lambda spark, sf_dir, s=severity: stats.stat_total(_detected(spark, sf_dir), s)
+            lambda spark, sf_dir, s=severity: stats.stat_total(_table(spark, sf_dir), s)
         )
 
 
@@ -433,7 +446,7 @@ _register_stats()
     ),
 )
 def _running_totals(spark, sf_dir):
-    return stats.running_totals(_detected(spark, sf_dir))
+    return stats.running_totals(_table(spark, sf_dir))
 
 
 @query(
@@ -444,7 +457,7 @@ def _running_totals(spark, sf_dir):
     ),
 )
 def _severity_distribution(spark, sf_dir):
-    return stats.severity_distribution(_detected(spark, sf_dir))
+    return stats.severity_distribution(_table(spark, sf_dir))
 
 
 # ---- time series
@@ -457,7 +470,7 @@ _TIMELINE = """SELECT strftime(b.bucket, '%Y-%m-%d %H:%M:%S') AS bucket, count(*
 
 @query("timeline_10s", o.with_detected(f"{_TIMELINE} GROUP BY b.bucket"))
 def _timeline_10s(spark, sf_dir):
-    return timeline.timeline(_detected(spark, sf_dir)).withColumn("bucket", _ts("bucket"))
+    return timeline.timeline(_table(spark, sf_dir)).withColumn("bucket", _ts("bucket"))
 
 
 @query(
@@ -493,7 +506,7 @@ def _register_rates() -> None:
 
 def _with_rule(spark, sf_dir, key: str) -> DataFrame:
     """Events to count by ``key``; by rule, only those that have one."""
-    detected = _detected(spark, sf_dir)
+    detected = _table(spark, sf_dir)
     return detected.where("rule_triggered IS NOT NULL") if key == "rule_triggered" else detected
 
 
@@ -515,7 +528,7 @@ def _topk_rules(spark, sf_dir):
     o.with_detected(f"SELECT bucket, rule, rate, row_number() OVER (PARTITION BY bucket ORDER BY rate DESC, rule) AS rank FROM ({_rate_sql('rule_triggered', 300, 'rule')}) QUALIFY rank <= 5"),
 )
 def _topk_rules_per_window(spark, sf_dir):
-    return timeline.topk_rules_per_window(_detected(spark, sf_dir)).withColumn("bucket", _ts("bucket"))
+    return timeline.topk_rules_per_window(_table(spark, sf_dir)).withColumn("bucket", _ts("bucket"))
 
 
 # ---- metric samples
@@ -584,7 +597,7 @@ def _series_count(spark, sf_dir):
 
 @query("project_event", o.with_detected('SELECT strftime(ts, \'%Y-%m-%dT%H:%M:%S\') AS "timestamp", source, raw, ip, "user", action, status, severity, rule_triggered, extra FROM detected'))
 def _project_event(spark, sf_dir):
-    return search.project_event(_detected(spark, sf_dir))
+    return search.project_event(_table(spark, sf_dir))
 
 
 @query(
@@ -593,7 +606,7 @@ def _project_event(spark, sf_dir):
       coalesce(action, '-') AS action, coalesce(status, '-') AS status, coalesce(severity, '-') AS severity, coalesce(rule_triggered, '-') AS rule_triggered FROM detected"""),
 )
 def _project_display(spark, sf_dir):
-    return search.project_display(_detected(spark, sf_dir))
+    return search.project_display(_table(spark, sf_dir))
 
 
 def _latest_sql(n: int, where: str = "true") -> str:
@@ -602,13 +615,13 @@ def _latest_sql(n: int, where: str = "true") -> str:
 
 @query("latest_events", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM {_latest_sql(100)}"))
 def _latest_events(spark, sf_dir):
-    return _detected_text(search.latest_events(_detected(spark, sf_dir)))
+    return _detected_text(search.latest_events(_table(spark, sf_dir)))
 
 
 @query("validate_limit", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM {_latest_sql(1000)}"))
 def _validate_limit(spark, sf_dir):
     """The largest limit that is accepted; the one above it is not."""
-    events = _detected(spark, sf_dir)
+    events = _table(spark, sf_dir)
     try:
         search.latest_events(events, search.MAX_LIMIT + 1)
     except ValueError:
@@ -618,17 +631,17 @@ def _validate_limit(spark, sf_dir):
 
 @query("search_events", o.with_detected("SELECT " + o.DETECTED_TEXT + " FROM " + _latest_sql(100, "severity = 'CRITICAL' AND source = 'auth'")))
 def _search_events(spark, sf_dir):
-    return _detected_text(search.search_events(_detected(spark, sf_dir), "CRITICAL", "auth"))
+    return _detected_text(search.search_events(_table(spark, sf_dir), "CRITICAL", "auth"))
 
 
 @query("latest_then_filter", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM {_latest_sql(50)} WHERE severity = 'CRITICAL'"))
 def _latest_then_filter(spark, sf_dir):
-    return _detected_text(search.latest_then_filter(_detected(spark, sf_dir), severity="CRITICAL"))
+    return _detected_text(search.latest_then_filter(_table(spark, sf_dir), severity="CRITICAL"))
 
 
 @query("live_window_200", o.with_detected("SELECT " + o.DETECTED_TEXT + " FROM " + _latest_sql(200, "source = 'access'")))
 def _live_window_200(spark, sf_dir):
-    return _detected_text(search.live_window(_detected(spark, sf_dir), source="access"))
+    return _detected_text(search.live_window(_table(spark, sf_dir), source="access"))
 
 
 # ---- streams: the whole table in time order, in steps, with a restart in between
