@@ -16,7 +16,6 @@ empty table gives files without blocks; only the two named columns are read.
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -50,81 +49,57 @@ def tokenizer_json(path: str | None = None) -> str:
         return f.read()
 
 
-class Words:
-    """Ids of the words met so far. White space only separates, so a text's ids are those of its words."""
+class Words(dict):
+    """Ids of the words met so far. White space only separates, so a text's ids are those of its words.
+
+    Forgets all when it holds ``most`` words, so its memory is bounded.
+    """
 
     most = 900_000
 
     def __init__(self, source: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_str(source)
         # special tokens are met in their own case only; all else is the same in lower case
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)", re.IGNORECASE)
-        self.ids: dict[bytes, bytes] = {}
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_word = self._splits()
 
-    def _plain(self, word: bytes) -> bytes:
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(word.decode())]).tobytes()
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _splits(self) -> bool:
         """Whether this tokenizer treats white space, marks and plain words as assumed here; if not, texts are encoded whole."""
         probe = "the  quick\tbrown\nfox, it's 12.5 done... (jumps)\r\nover!"
-        words = probe.encode().split()
-        self._learn(words)
-        same = b"".join(self.ids[w] for w in words) == self._whole([probe])[0] == self._whole([probe.upper()])[0]
-        self.ids.clear()
+        same = b"".join(map(self.__getitem__, probe.encode().split())) == self._whole(probe) == self._whole(probe.upper())
+        self.clear()
         return same
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Marks behind a word are tokens of their own; what is left is encoded once."""
-        ids, parts, other = self.ids, [], set()
-        for w in new:
-            core = w.rstrip(_MARKS)
-            if core and len(core) < len(w) and core[-1:].isalnum():  # a letter or digit before the marks ends a token
-                parts.append((w, core, w[len(core) :]))
-                pair = core, w[len(core) :]
-            else:
-                pair = (w,)
-            for p in pair:
-                if p not in ids:
-                    if p.isalpha() and p.islower():
-                        ids[p] = self._plain(p)
-                    else:
-                        other.add(p)
-        other = list(other)
-        ids.update(zip(other, self._whole([w.decode() for w in other])))
-        for w, core, marks in parts:
-            ids[w] = ids[core] + ids[marks]
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        core = word.rstrip(_MARKS)
+        if word.isalpha() and word.islower():
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(word.decode())]).tobytes()
+        elif core and len(core) < len(word) and core[-1:].isalnum():  # a letter or digit before the marks ends a token
+            ids = self[core] + self[word[len(core) :]]
+        else:
+            ids = self._whole(word.decode())
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as 32-bit numbers, the end id last."""
-        end = array("I", [END]).tobytes()
-        if not self.by_word:
-            return [x + end for x in self._whole([t or "" for t in texts])]
-        split = []
+        end, out = array("I", [END]).tobytes(), []
         for text in texts:
+            if not self.by_word:
+                out.append(self._whole(text or "") + end)
+                continue
             raw = (text or "").encode()
-            split.append((raw if self.special.search(text or "") else raw.lower()).split())
-        out, low = [], 0
-        while low < len(split):  # as many texts at a time as the memory for words allows
-            high, words = low, set()
-            while high < len(split) and (high == low or len(words) < self.most // 2):
-                words.update(split[high])
-                high += 1
-            new = words - self.ids.keys()
-            if len(self.ids) + 2 * len(new) > self.most:
-                self.ids.clear()
-                new = words
-            if new:
-                self._learn(list(new))
-            get = self.ids.__getitem__
-            out += [b"".join(map(get, s)) + end for s in split[low:high]]
-            low = high
+            low = raw.lower()
+            words = (raw if any(s in low for s in self.special) else low).split()
+            out.append(b"".join(map(self.__getitem__, words)) + end)
         return out
 
 
