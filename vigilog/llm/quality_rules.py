@@ -178,7 +178,12 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS, text: s
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns only."""
+    """The rows of ``docs`` that pass, with their own columns only.
+
+    Rows go through an explode of one element or none: a filter would be pushed below the
+    statistics, and every rule would then compute its own from the text.
+    """
     safe, names = clash_free(docs)
-    kept = quality_rules(safe, rules, text=names["text"]).where("kept")
+    passed = F.when(F.col("kept"), F.array(F.lit(True)))
+    kept = quality_rules(safe, rules, text=names["text"]).select(*names.values(), F.explode(passed).alias("passed"))
     return kept.select(*(F.col(new).alias(old) for old, new in names.items()))
