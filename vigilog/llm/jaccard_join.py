@@ -11,8 +11,8 @@ Steps
    near all of a large group of near copies by a star instead of all its pairs.
 3. The full prefix filter under the main order (rare tokens first, so that passages many
    texts share come last) then finds every pair whose classes lie in different components
-   and share a token early enough in both for their sizes. The other orders' prefixes are
-   intersected before the sets are compared.
+   and share a token early enough in both for their sizes, and enough of them in all. The
+   other orders' prefixes are intersected before the sets are compared.
 
 The result is exact: the first pass only takes away pairs that are connected already.
 
@@ -300,7 +300,14 @@ def _cross_pairs(texts: DataFrame, classes: DataFrame, common: tuple[np.ndarray,
     first = met.join(x, ["token", "a_comp"]).where(F.col("a_early") >= percent * F.col("b_n"))
     fits = (F.col("a_early") >= percent * F.col("b_size")) & (F.col("b_early") >= percent * F.col("a_size"))
     pairs = first.join(y, ["token", "b_comp"]).where(fits & _alike("a_size", "b_size", percent))
-    return pairs.select(F.col("a_").alias("a"), F.col("b_").alias("b")).distinct()
+    found = pairs.select(F.col("a_").alias("a"), F.col("b_").alias("b")).distinct()
+    # Common tokens up to the end of the shorter prefix are all counted; behind it are at most the rest of that set.
+    tokens = near.groupBy("cid", "n").agg(F.collect_set("token").alias("tokens"))  # of one prefix
+    a, b = (tokens.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col("tokens").alias(f"t{side}")) for side in "ab")
+    rest = F.greatest(*(F.ceil(F.col(n) * percent / F.lit(100)) - 1 for n in ("na", "nb")))
+    needed = F.ceil((F.col("na") + F.col("nb")) * percent / F.lit(100 + percent))
+    counted = found.join(a, "a").join(b, "b").where(F.size(F.array_intersect("ta", "tb")) + rest >= needed)
+    return counted.select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
