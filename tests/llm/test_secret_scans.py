@@ -48,3 +48,42 @@ def test_redaction(odd):
     hit = rows[-14, "en"]
     assert hit.text == "[ASSIGN] [ACCESS]" and hit.n_chars == len(hit.text)
     assert rows[1, "en"].text is None and rows[4, "en"].n_chars is None and rows[6, None].n_chars == 3
+
+
+def keys():
+    """(text, lines of the key in it, what redaction leaves) of private keys in the forms that texts hold them."""
+    rng = random.Random(2)
+    body = base64.b64encode(rng.randbytes(700)).decode()
+    lines = [body[k : k + 64] for k in range(0, len(body), 64)]
+    for label in ("PRIVATE KEY", "RSA PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK"):
+        head, end = f"-----BEGIN {label}-----", f"-----END {label}-----"
+        for eol in ("\n", "\r\n", "\\n", "\n    ", "\n> ", '\\n" +\n  "', " "):
+            for last in (end, ""):
+                yield f"before {head}{eol}{eol.join([*lines, last])}\nclean words after", lines, "before [PRIVATE_KEY]"
+        fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n" if "PGP" not in label else "Version: GnuPG v2\n\n"
+        for last in ("\n" + end, ""):
+            yield "\n".join([head, fields + lines[0], *lines[1:]]) + last + "\n\nclean words after", lines, "[PRIVATE_KEY]"
+        yield f"{head}\n{lines[0]}\n{lines[1][:5]}", [lines[0], lines[1][:5]], "[PRIVATE_KEY]"  # cut off
+        yield f"{head}{body}{end} clean words after", [body], "[PRIVATE_KEY] clean words after"
+        other = "-----END EC PRIVATE KEY-----"
+        yield "\n".join([head, *lines, other, "clean words after"]), lines, f"[PRIVATE_KEY]\n{other}\nclean words after"
+
+
+def test_no_part_of_a_private_key_survives():
+    scan = Scanner()
+    for text, lines, left in keys():
+        done = scan.redact(text)
+        assert not [x for x in lines if x in done] and done.startswith(left), (text, done)
+        assert done.endswith("clean words after") == text.endswith("clean words after"), (text, done)
+    both = "\n".join(text for text, _, _ in keys())
+    assert not [x for _, lines, _ in keys() for x in lines if x in scan.redact(both)]
+
+
+def test_a_header_in_prose_keeps_the_prose():
+    scan = Scanner()
+    said = "The line -----BEGIN PRIVATE KEY----- is the header of a key.\nIt is followed by base64 lines."
+    assert scan.redact(said) == said.replace("-----BEGIN PRIVATE KEY-----", "[PRIVATE_KEY]")
+    public = "-----BEGIN PUBLIC KEY-----\nMIIB\n-----END PUBLIC KEY-----"
+    assert scan.redact(public) == public
+    many = "-----BEGIN PRIVATE KEY-----\n" * 20_000
+    assert scan.redact(many) == "[PRIVATE_KEY]\n" * 20_000

@@ -2,7 +2,8 @@
 
 A keyword hit names the patterns worth trying there; each is matched at that place only,
 left to right and without overlap per kind, which finds what a scan of the whole text with
-the pattern would. Runs of hex digits have no keyword; a byte table and a substring search
+the pattern would. A private key is its header, its body and its END line, or the base64
+lines that follow if that line is missing. Runs of hex digits have no keyword; a byte table and a substring search
 tell the texts that have one. Tokens that carry a checksum count only if it is right.
 
 Spans are in code points, end exclusive, ordered by start, then by kind as in ``KINDS``.
@@ -37,6 +38,19 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
+_EOL, _PAD, _B64 = r"(?:\r?\n|\r|(?:\\r)?\\n)", r"""(?:[\x20\t"'+,;>|\#*]|//(?=[\x20\t]))*+""", r"[A-Za-z0-9+/=]"
+_LINE_END = rf"""["',;]*+[\x20\t]*+(?:\+[\x20\t]*+)?(?={_EOL}|\Z)"""
+# A key runs on to the END line of its label, whatever stands between, or, if no such line comes before the next
+# header, to the end of the base64 lines (or blank-separated base64 words) behind its own header and header fields.
+PRIVATE_KEY = re.compile(
+    rf"""-----BEGIN\x20((?:[A-Z0-9]+\x20)*PRIVATE\x20KEY(?:\x20BLOCK)?)-----(?:
+    (?:[^-]++|-(?!----(?:BEGIN\x20|END\x20\1-----)))*+-----END\x20\1-----
+    |(?:{_PAD}{_B64}++{_LINE_END}|{_B64}++(?:[\x20\t]++{_B64}{{16,}}+)*+(?:[\x20\t]++{_B64}++)?|(?:[\x20\t]++{_B64}{{16,}}+)++(?:[\x20\t]++{_B64}++)?)?
+    (?:{_LINE_END}{_EOL}{_PAD}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*+)*+
+    (?:(?:{_LINE_END}{_EOL})++{_PAD}{_B64}{{16,}}+{_LINE_END}|{_LINE_END}{_EOL}(?:["']{_PAD}{_EOL})?{_PAD}{_B64}++{_LINE_END})*+
+    )""",
+    re.VERBOSE,
+)
 MORE = {
     "github": (("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")),
     "npm": (("npm_",), re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")),
@@ -44,7 +58,7 @@ MORE = {
     "google": (("aiza",), re.compile(r"AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])")),
     "stripe": (("sk_live_", "rk_live_"), re.compile(r"[sr]k_live_[A-Za-z0-9]{24,}")),
     "jwt": (("eyj",), re.compile(r"(eyJ[A-Za-z0-9_-]{8,})\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}")),
-    "private_key": (("-----begin ",), re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")),
+    "private_key": (("-----begin ",), PRIVATE_KEY),
 }
 KINDS = (*BASE_KINDS, *MORE)
 _BASE62 = string.digits + string.ascii_uppercase + string.ascii_lowercase
