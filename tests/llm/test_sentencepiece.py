@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import sentencepiece
 from pyspark.sql import functions as F
@@ -42,3 +43,28 @@ def test_columns(odd, empty):
     done = with_pieces(odd.withColumn("ids", F.lit(1)), model)
     assert done.columns == [*odd.columns, "ids", "token_ids"] and done.count() == odd.count()
     assert with_pieces(empty, model).count() == 0
+
+
+def test_long_words():
+    rng = random.Random(3)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(100_000))
+    unspaced = "".join(rng.choice("日本語のテストあいうえお漢字😀①é") for _ in range(100_000))
+    long = [letters, unspaced, "\n" + letters[:50_000] + "x", "a" * 100_000, "  " + letters[:50_000] + "y z"]
+    pieces, library = type(pieces_of(read_model()))(read_model()), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    tracemalloc.start()
+    found = pieces.encode(long)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for text, ids in zip(long, found):
+        assert ids.tolist() == library.encode(text)
+        assert pieces.decode(ids.tolist()) == text
+    assert most < 200_000_000
+
+
+def test_memory_for_long_words_is_bounded():
+    pieces, library = type(pieces_of(read_model()))(read_model()), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces.most_letters = 5_000
+    rng = random.Random(4)
+    many = ["".join(rng.choice("abcdeéü日本") for _ in range(rng.randrange(1, 900))) for _ in range(60)]
+    assert [x.tolist() for x in pieces.encode(many)] == library.encode(many)
+    assert sum(map(len, pieces.words)) < 10_000

@@ -44,6 +44,7 @@ class Pieces:
 
     most_words = 900_000
     most_pairs = 1_000_000
+    most_letters = 32_000_000  # of the words kept
 
     def __init__(self, model: bytes):
         from sentencepiece import SentencePieceProcessor
@@ -69,6 +70,7 @@ class Pieces:
         self.pairs: dict[int, bool] = {}
         self.built: dict[int, tuple[list, list] | None] = {}
         self.words: dict[str, bytes] = {}
+        self.letters = 0
 
     def history(self, piece: int) -> tuple[list, list] | None:
         """How byte-pair merging (the best pair first, the left one of equals) builds the piece.
@@ -119,8 +121,8 @@ class Pieces:
         the end of a line, whose ids are put ``before`` theirs.
         """
         pairs, endings, spelled, history = self.pairs, self.endings, self.spelled, self.history
-        # for each prefix length: the surviving path's last piece, and its ids so far
-        last, path = [UNKNOWN], [before]
+        # for each prefix length: the surviving path's last piece, and the length of the prefix before that piece
+        last, back = [UNKNOWN], [0]
         previous = ""
         for key in words:
             word = first + key
@@ -129,7 +131,7 @@ class Pieces:
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :], path[shared + 1 :]
+            del last[shared + 1 :], back[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 node, at, ending = endings, end, []
                 while at:
@@ -148,12 +150,18 @@ class Pieces:
                         if not (self.beside(left, i) if fits is None else fits):
                             continue
                     last.append(i)
-                    path.append(path[at] + spelled[i])
+                    back.append(at)
                     break
                 else:
                     last.append(UNKNOWN)
-                    path.append(path[-1] + array("i", [self.byte[b] for b in word[end - 1].encode()]).tobytes())
-            self.words[key if first else "\n" + key] = path[-1]
+                    back.append(end - 1)
+            ids, end = [], len(word)
+            while end:
+                i, at = last[end], back[end]
+                ids.append(spelled[i] if i != UNKNOWN else array("i", [self.byte[b] for b in word[at].encode()]).tobytes())
+                end = at
+            ids.append(before)
+            self.words[key if first else "\n" + key] = b"".join(reversed(ids))
             previous = word
 
     def _run(self, marks: int) -> bytes:
@@ -168,9 +176,11 @@ class Pieces:
     def _learn(self, units: set[str]) -> None:
         """Segment what is new: words behind one space, words behind a line end (with it), runs of marks with a word or none."""
         new = units - self.words.keys()
-        if len(self.words) + len(new) > self.most_words:
+        letters = sum(map(len, new))
+        if len(self.words) + len(new) > self.most_words or self.letters + letters > self.most_letters:
             self.words.clear()
-            new = units
+            new, self.letters, letters = units, 0, sum(map(len, units))
+        self.letters += letters
         runs = {u: u.lstrip(MARK) for u in new if u[0] == MARK}
         plain = {u for u in new if u[0] not in (MARK, "\n")} | {core for core in runs.values() if core and core not in self.words}
         self._segment(sorted(plain), first=MARK)
@@ -202,9 +212,10 @@ class Pieces:
         low = 0
         found: list[np.ndarray | None] = []
         while low < len(split):  # as many texts at a time as the memory for words allows
-            high, words = low, set()
-            while high < len(split) and (high == low or len(words) < self.most_words // 2):
+            high, words, letters = low, set(), 0
+            while high < len(split) and (high == low or len(words) < self.most_words // 2 and letters < self.most_letters // 2):
                 words.update(split[high])
+                letters += len(texts[high] or "")
                 high += 1
             self._learn(words)
             get = self.words.__getitem__
