@@ -64,3 +64,10 @@ def test_keeps_columns_that_clash(spark, empty):
 def test_runs_without_python(odd):
     plan = quality_rules(odd.withColumn("text", F.upper("text")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_no_text_is_too_long(spark):
+    letters = "bcdfghjklm"
+    long = " ".join("the" if i % 5 == 0 else "".join(letters[int(d)] for d in str(i)) for i in range(1_000_100))
+    docs = spark.createDataFrame([(1, long), (2, "short")], "doc_id long, text string")
+    assert [(r.doc_id, len(r.text)) for r in keep_good(docs).collect()] == [(1, len(long))]

@@ -50,6 +50,8 @@ THRESHOLDS = (
     Rule("bullet_line_ratio", None, 0.9),
     Rule("ellipsis_line_ratio", None, 0.5),
 )
+#: What decides whether a document stays: the same without the bound on length, which is that of the SQL of op1_quality_rules.
+KEEP = tuple(r._replace(high=None) if r.metric == "n_words" else r for r in THRESHOLDS)
 
 
 def _words(text: Column) -> Column:
@@ -177,8 +179,8 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS, text: s
     )
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns only.
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = KEEP) -> DataFrame:
+    """The rows of ``docs`` that pass, with their own columns only. No text is too long.
 
     Rows go through an explode of one element or none: a filter would be pushed below the
     statistics, and every rule would then compute its own from the text.
