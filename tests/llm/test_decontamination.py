@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from vigilog.llm.decontamination import keep_clean, with_leaks
+from vigilog.llm.decontamination import judged, keep_clean, with_leaks
 
 from .conftest import odd_rows, prose
 
@@ -65,3 +65,18 @@ def test_runs_without_python(spark, odd):
     items = table.selectExpr("doc_id AS item_id", "text")
     plan = with_leaks(table, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_items_without_an_id_of_their_own(spark):
+    items = [(7, prose(500 + i, 40)) for i in range(6)] + [(None, prose(520 + i, 40)) for i in range(6)] + [(i, prose(540, 40)) for i in (8, 9)]
+    items += [(7, "two short words"), (None, "lone")]
+    texts = [(i, prose(i, 50) + " " + items[i][1] + " " + prose(i + 60, 30)) for i in range(len(items))] + [(90, prose(90, 80))]
+    schema = "doc_id long, text string"
+    docs, table = spark.createDataFrame(texts, schema), spark.createDataFrame(items, "item_id long, text string")
+    rows = judged(docs, table).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        found = brute(r.text, list(enumerate(items_text for _, items_text in items)))  # each item by its place
+        assert r.leaked == bool(found) == (r.similarity >= 0.8), r.doc_id
+        assert r.leaked_items == sorted({items[k][0] for k in found} - {None}), r.doc_id
+    assert [r.doc_id for r in keep_clean(docs, table).collect()] == [90]

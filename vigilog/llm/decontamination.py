@@ -13,8 +13,10 @@ the rest of the corpus costs one hash lookup per word. All of it is DataFrame op
 Defined cases: null and empty texts are clean; an item without words is ignored; an item
 under five words is one shingle, compared with windows of its length; a document shorter
 than an item is one window for it; repeated documents get the same verdict each, and their
-ids may be null; of repeated items the least ``item_id`` is reported for each id; other
-columns pass through whatever their names; empty tables give no leaks.
+ids may be null; items are told apart by their words, equal ones are one item with several
+ids; an item without an id makes a text leaked for ``judged`` and ``keep_clean``, which name
+no id for it, and ``with_leaks`` reports only items that have one; other columns pass through
+whatever their names; empty tables give no leaks.
 """
 
 from __future__ import annotations
@@ -60,22 +62,25 @@ def _run_hashes(hashes: Column, size: int, n: Column) -> Column:
     return F.transform(_shingles(hashes, size, n), lambda r: _shingle_hash(r, size))
 
 
-def _item_table(items: DataFrame) -> DataFrame:
-    """(item_id, size, length, run hashes in order) of the items that have words."""
-    hashed = items.select("item_id", _word_hashes(F.col("text")).alias("hashes")).withColumn("length", F.size("hashes"))
+def _item_tables(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(item, size, length, run hashes in order) of the distinct items that have words, and (item, item_id) of all of them."""
+    hashed = items.select("item_id", _word_hashes(F.col("text")).alias("hashes")).where(F.size("hashes") > 0)
+    numbered = materialize(hashed.select("hashes").distinct().withColumn("item", F.monotonically_increasing_id()), "item-numbers")
+    named = materialize(hashed.join(numbered, "hashes").select("item", "item_id").distinct(), "item-ids")
+    length = F.size("hashes")
     kinds = [
-        hashed.where(F.col("length") == size if size < SHINGLE else F.col("length") >= size).select(
-            "item_id",
+        numbered.where(length == size if size < SHINGLE else length >= size).select(
+            "item",
             F.lit(size).alias("size"),
-            "length",
-            _run_hashes(F.col("hashes"), size, F.col("length")).alias("runs"),
+            length.alias("length"),
+            _run_hashes(F.col("hashes"), size, length).alias("runs"),
         )
         for size in range(1, SHINGLE + 1)
     ]
     table = kinds[0]
     for k in kinds[1:]:
         table = table.union(k)
-    return materialize(table, "items")
+    return materialize(table, "items"), named
 
 
 def _lanes(run: Column) -> list[Column]:
@@ -127,7 +132,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius
     ``docs`` needs a column ``text``, ``items`` needs ``item_id`` and ``text``. ``key`` is
     the text's xxhash64, ``digest`` its md5; ``start`` counts words from 0.
     """
-    table = _item_table(items)
+    table, named = _item_tables(items)
     lengths = [(r["size"], r["length"]) for r in table.select("size", "length").distinct().collect()]  # one row per length
     sizes = sorted({size for size, _ in lengths})
     keyed = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("key"), "text")
@@ -186,35 +191,38 @@ def find_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius
 
     name = ["key", "digest", "length", "start"]
     prints = _with_fingerprints(windows.select(*name, F.explode("runs").alias("run")), name)
-    of_items = _with_fingerprints(table.select("item_id", "length", F.explode("runs").alias("run")), ["item_id", "length"])
+    of_items = _with_fingerprints(table.select("item", "length", F.explode("runs").alias("run")), ["item", "length"])
     left = prints.select(*name, "print", F.explode(_blocks(F.col("print"), radius)).alias("b")).select(*name, "print", "b.*")
-    right = of_items.select("item_id", "length", F.col("print").alias("item_print"), F.explode(_blocks(F.col("print"), radius)).alias("b")).select(
-        "item_id", "length", "item_print", "b.*"
+    right = of_items.select("item", "length", F.col("print").alias("item_print"), F.explode(_blocks(F.col("print"), radius)).alias("b")).select(
+        "item", "length", "item_print", "b.*"
     )
     near = (
         left.join(light(materialize(right, "item-blocks")), ["length", "block", "part"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-        .select(*name, "item_id")
+        .select(*name, "item")
         .distinct()
     )
     compared = (
         near.join(windows, name)
-        .join(light(table.select("item_id", F.col("runs").alias("item_runs"))), "item_id")
+        .join(light(table.select("item", F.col("runs").alias("item_runs"))), "item")
         .withColumn("a", _numbered(F.col("runs")))
         .withColumn("b", _numbered(F.col("item_runs")))
         .withColumn("both", F.size(F.array_intersect("a", "b")))
         .withColumn("all", F.size("a") + F.size("b") - F.col("both"))
     )
-    return compared.where(100 * F.col("both") >= percent * F.col("all")).select(
+    return compared.where(100 * F.col("both") >= percent * F.col("all")).join(light(named), "item").select(
         "key", "digest", "item_id", "start", (F.col("both") / F.col("all")).alias("similarity")
     )
 
 
-def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with ``leaked_items`` (sorted ids, empty for a clean text) and ``similarity`` (the greatest, 0 for a clean one)."""
-    safe, names = clash_free(docs.drop("leaked_items", "similarity"))
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    leaks = find_leaks(safe.select(F.col(names[text]).alias("text")), items, percent, radius)
+def _items(items: DataFrame) -> DataFrame:
+    return items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+
+
+def judged(docs: DataFrame, items: DataFrame, text: str = "text", percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with ``leaked``, ``leaked_items`` (sorted ids of the items that have one) and ``similarity`` (the greatest, 0 for a clean text)."""
+    safe, names = clash_free(docs.drop("leaked", "leaked_items", "similarity"))
+    leaks = find_leaks(safe.select(F.col(names[text]).alias("text")), _items(items), percent, radius)
     by_text = materialize(
         leaks.groupBy("key", "digest").agg(F.sort_array(F.collect_set("item_id")).alias("leaked_items"), F.max("similarity").alias("similarity")),
         "leaks",
@@ -225,13 +233,21 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", percent: i
     )
     return joined.select(
         *(F.col(new).alias(old) for old, new in names.items()),
+        F.col("similarity").isNotNull().alias("leaked"),
         F.coalesce("leaked_items", F.array().cast("array<long>")).alias("leaked_items"),
         F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
     )
 
 
+def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with ``leaked_items`` (sorted ids, empty for a clean text) and ``similarity`` (the greatest, 0 for a clean one), of the items with an id."""
+    safe, names = clash_free(docs.drop("leaked_items", "similarity"))
+    found = judged(safe, items.where("item_id IS NOT NULL"), names[text], percent, radius)
+    return found.select(*(F.col(new).alias(old) for old, new in names.items()), "leaked_items", "similarity")
+
+
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that repeat no benchmark item."""
     safe, names = clash_free(docs)
-    judged = with_leaks(safe, items, names[text])
-    return judged.where(F.size("leaked_items") == 0).select(*(F.col(new).alias(old) for old, new in names.items()))
+    found = judged(safe, items, names[text])
+    return found.where(~F.col("leaked")).select(*(F.col(new).alias(old) for old, new in names.items()))

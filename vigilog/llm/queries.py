@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vigilog.llm import sql
 from vigilog.llm.common import read_documents
-from vigilog.llm.decontamination import with_leaks
+from vigilog.llm.decontamination import judged
 from vigilog.llm.jaccard_join import jaccard_components
 from vigilog.llm.language_id import language_id
 from vigilog.llm.lm_scoring import score_documents
@@ -54,10 +54,8 @@ def _ngram_jaccard_join(spark, sf_dir) -> DataFrame:
 @query("op3_benchmark_decontamination")
 def _benchmark_decontamination(spark, sf_dir) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = with_leaks(read_documents(spark, sf_dir, "doc_id", "text"), items)
-    return judged.select(
-        "doc_id", (F.size("leaked_items") > 0).alias("leaked"), F.array_join("leaked_items", ",").alias("item_ids"), "similarity"
-    )
+    found = judged(read_documents(spark, sf_dir, "doc_id", "text"), items)
+    return found.select("doc_id", "leaked", F.array_join("leaked_items", ",").alias("item_ids"), "similarity")
 
 
 def _count(kind: str):
