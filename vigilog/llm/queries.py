@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from vigilog.llm import sql
 from vigilog.llm.common import read_documents
+from vigilog.llm.conversation_trie import KEY, listed_digests, ordered_turns, prefix_trie, rebuilt
 from vigilog.llm.decontamination import judged
+from vigilog.llm.fill_in_middle import fill_in_middle, restored
 from vigilog.llm.jaccard_join import jaccard_components
 from vigilog.llm.language_id import language_id
 from vigilog.llm.lm_scoring import score_documents
+from vigilog.llm.quality_classifier import CUT, held_out, learn, quality_score
 from vigilog.llm.quality_rules import quality_rules
 from vigilog.llm.secret_scans import BASE_KINDS, secret_spans, written
 from vigilog.llm.sentencepiece_viterbi import decode_pieces, encode_pieces, read_model
@@ -112,3 +115,34 @@ def _token_file(spark, sf_dir) -> DataFrame:
 @query("op7_lm_scoring")
 def _lm_scoring(spark, sf_dir) -> DataFrame:
     return score_documents(read_documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op11_quality_classifier")
+def _quality_classifier(spark, sf_dir) -> DataFrame:
+    docs = read_documents(spark, sf_dir, "doc_id", "text")
+    model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
+@query("op12_fill_in_middle", sql.FILL_IN_MIDDLE)
+def _fill_in_middle(spark, sf_dir) -> DataFrame:
+    cut = fill_in_middle(read_documents(spark, sf_dir, "doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_conversation_trie", sql.CONVERSATION_TRIE)
+def _conversation_trie(spark, sf_dir) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    nodes, ends = prefix_trie(*rebuilt(*ordered_turns(conversations)))
+    counts = ("parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")
+    listed = F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256")
+    return nodes.join(listed_digests(ends), KEY, "left").select(F.col("conv").alias("conv_id"), "depth", *counts, listed)

@@ -62,3 +62,43 @@ hit AS (SELECT page_id, min_by(pattern, verdict || printf('%05d', number)) AS pa
 SELECT page_id, host, path, fit.rule, hit.pattern, coalesce(fit.verdict, hit.verdict, 'allow') AS verdict
 FROM q LEFT JOIN fit USING (page_id) LEFT JOIN hit USING (page_id)
 """
+
+
+FILL_IN_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '(?s)[A-Za-z]+|[^A-Za-z]') AS u, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+             t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 AS plain FROM u),
+p AS (SELECT *, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+             array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN NOT plain THEN length(p)::BIGINT END AS prefix_chars,
+  CASE WHEN NOT plain THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+# CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+  lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)))"""
+
+CONVERSATION_TRIE = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+original AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS turns FROM t GROUP BY conv_id),
+heads AS (SELECT conv_id, turns, conv_id - (conv_id % 5 + 5) % 5 AS base, ({_CRC} % 9)::BIGINT AS h FROM original),
+rebuilt AS (SELECT c.conv_id, list_concat(coalesce(b.turns[1:h], []), c.turns[h + 1:]) AS turns FROM heads c LEFT JOIN original b ON b.conv_id = c.base),
+prefixes AS (SELECT conv_id, turns[1:depth] AS node, depth, depth = len(turns) AS last FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM rebuilt)),
+nodes AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, list(conv_id::VARCHAR ORDER BY conv_id) FILTER (WHERE last) AS ends
+          FROM prefixes GROUP BY node, depth),
+family AS (SELECT n.*, p.conv_id AS parent_conv_id, coalesce(k.n_children, 0) AS n_children,
+             CASE WHEN depth = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.node[-1].text) END AS saved
+           FROM nodes n LEFT JOIN (SELECT node, conv_id FROM nodes) p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+           LEFT JOIN (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL) k ON k.node = n.node),
+sums AS (SELECT node[1:up] AS node, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens
+         FROM (SELECT *, unnest(range(depth + 1)) AS up FROM family) GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+  sha256(coalesce(array_to_string(ends, ','), '')) AS ends_sha256
+FROM family JOIN sums USING (node)
+"""
