@@ -1,6 +1,7 @@
 import random
 import tracemalloc
 
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -9,6 +10,10 @@ from vigilog.llm.sentencepiece_viterbi import MODEL, decode_pieces, encode_piece
 from .conftest import odd_rows, prose
 
 
+def decoded(pieces, ids):
+    return pieces.decode(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
+
+
 def texts():
     rng = random.Random(1)
     odd = ["", "a", " ", "  ", "   x", "x   ", "\n\n a\n  b", "①②  ③", "日本語 テスト", "foo\tbar", "  " * 25 + "x", " " * 40, "😀😀 x", "a" * 100, "ﬁ", " \n \n"]
@@ -20,8 +25,19 @@ def test_ids_are_those_of_the_library():
     pieces, library = pieces_of(read_model()), sentencepiece.SentencePieceProcessor(model_file=MODEL)
     for text, ids in zip(texts(), pieces.encode(texts())):
         assert ids.tolist() == library.encode(text), text
-        assert pieces.decode(ids.tolist()) == text.replace("▁", " ") == library.decode(ids.tolist()) or "\n" in text or text != text.strip()
-        assert pieces.decode(ids.tolist()) == text.replace("▁", " ")
+        assert decoded(pieces, ids.tolist()) == text.replace("▁", " ") == library.decode(ids.tolist()) or "\n" in text or text != text.strip()
+        assert decoded(pieces, ids.tolist()) == text.replace("▁", " ")
+
+
+def test_decoding_lists():
+    pieces = pieces_of(read_model())
+    lists = pa.array([[0], [13, 13], None, [], [15043, 2787], [5, 205]], pa.list_(pa.int32()))
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    wanted = [None if x is None else "".join(library.id_to_piece(i) for i in x) for x in lists.to_pylist()]
+    assert wanted[4].startswith("▁") and wanted[3] == ""
+    got = pieces.decode(lists).to_pylist()
+    assert got[2:5] == [None, "", wanted[4].replace("▁", " ").removeprefix(" ")]
+    assert pieces.decode(lists.slice(4)).to_pylist() == got[4:] and pieces.decode(lists.slice(0, 0)).to_pylist() == []
 
 
 def test_memory_for_words_is_bounded():
@@ -57,7 +73,7 @@ def test_long_words():
     tracemalloc.stop()
     for text, ids in zip(long, found):
         assert ids.tolist() == library.encode(text)
-        assert pieces.decode(ids.tolist()) == text
+        assert decoded(pieces, ids.tolist()) == text
     assert most < 200_000_000
 
 

@@ -19,7 +19,7 @@ from vigilog.llm.lm_scoring import score_documents
 from vigilog.llm.quality_classifier import CUT, held_out, learn, quality_score
 from vigilog.llm.quality_rules import quality_rules
 from vigilog.llm.secret_scans import BASE_KINDS, secret_spans, written
-from vigilog.llm.sentencepiece_viterbi import decode_pieces, encode_pieces, read_model
+from vigilog.llm.sentencepiece_viterbi import encode_and_decode, read_model
 from vigilog.llm.sharding import shard_documents
 from vigilog.llm.token_file import read_token_file, tokenizer_json, write_token_file
 from vigilog.llm.url_filters import url_filters
@@ -76,15 +76,13 @@ def _secret_scans(spark, sf_dir) -> DataFrame:
 @query("op9_sentencepiece")
 def _sentencepiece(spark, sf_dir) -> DataFrame:
     """Ids of every text, what they decode to, and whether that is the text."""
-    model = read_model()
-    coded = read_documents(spark, sf_dir, "doc_id", "text").withColumn("ids", encode_pieces(F.col("text"), model))
-    decoded = coded.withColumn("decoded", decode_pieces(F.col("ids"), model))
-    return decoded.select(
+    coded = read_documents(spark, sf_dir, "doc_id", "text").withColumn("coded", encode_and_decode(F.col("text"), read_model()))
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.xxhash64("ids").alias("ids_hash"),
-        F.length("decoded").cast("long").alias("decoded_chars"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.xxhash64("coded.ids").alias("ids_hash"),
+        F.length("coded.decoded").cast("long").alias("decoded_chars"),
+        F.col("coded.decoded").eqNullSafe(F.col("text")).alias("exact"),
     )
 
 

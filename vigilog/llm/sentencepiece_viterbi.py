@@ -3,7 +3,8 @@
 Spaces become the mark U+2581, one is put in front, and the text falls into marked words.
 No piece reaches past a word, so words are segmented alone. The distinct words of a batch
 are sorted, which makes them a trie read depth first: the forward table of the prefix that
-a word shares with the one before it is kept, only the rest is computed.
+a word shares with the one before it is kept, only the rest is computed. Which pieces end
+at a letter is told by an automaton over all pieces, whose state is part of that table.
 
 The public vocabulary is a byte-pair one, whose scores are merge ranks and not log
 probabilities; a path of greatest score sum would not be its segmentation. So a forward
@@ -55,19 +56,28 @@ class Pieces:
         self.text = {i: sp.id_to_piece(i) for i in plain}
         self.id = {piece: i for i, piece in self.text.items()}
         self.score = {i: sp.get_score(i) for i in plain}
-        self.endings: dict = {}  # pieces by their letters from the last to the first
-        for piece, i in self.id.items():
-            node = self.endings
-            for c in reversed(piece):
-                node = node.setdefault(c, {})
-            node[""] = i
+        # the automaton of all pieces: next states by letter (filled as they are met), the state of the longest
+        # proper suffix, the letters read; state 0 has read none
+        self.next: list[dict[str, int]] = [{}]
+        self.read = [""]
+        for piece in self.id:
+            state = 0
+            for c in piece:
+                if c not in self.next[state]:
+                    self.next[state][c] = len(self.next)
+                    self.next.append({})
+                    self.read.append(self.read[state] + c)
+                state = self.next[state][c]
+        self.state = {text: state for state, text in enumerate(self.read)}
+        self.ends: list[tuple[tuple[int, int], ...] | None] = [None] * len(self.next)
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.runs = sorted((len(p) for p in self.id if not p.strip(MARK)), reverse=True)
         spelled = {i: piece.replace(MARK, " ").encode() for i, piece in self.text.items()}
         spelled |= {i: bytes([b]) for b, i in enumerate(self.byte)}
-        self.bytes = [spelled.get(i, b"") for i in ids]
+        self.bytes = pa.array([spelled.get(i, b"") for i in ids], pa.large_binary())
         self.spelled = {i: array("i", [i]).tobytes() for i in ids}
-        self.pairs: dict[int, bool] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.n_pairs = 0
         self.built: dict[int, tuple[list, list] | None] = {}
         self.words: dict[str, bytes] = {}
         self.letters = 0
@@ -99,8 +109,11 @@ class Pieces:
         Both are built in step, the better merge first; they stay apart unless a pair
         across the border is at some time the best there is.
         """
-        if len(self.pairs) >= self.most_pairs:
-            self.pairs.clear()
+        if self.n_pairs >= self.most_pairs:
+            self.n_pairs = 0
+            for known in self.pairs.values():
+                known.clear()
+        self.n_pairs += 1
         ours, theirs, i, j = self.built[left][0], self.built[right][1], 0, 0
         while True:
             (a, x), (b, y) = ours[i], theirs[j]
@@ -111,8 +124,25 @@ class Pieces:
                 i += 1
             else:
                 j += 1
-        known = self.pairs[left << 32 | right] = across == NEVER
-        return known
+        fits = self.pairs[left][right] = across == NEVER
+        return fits
+
+    def _follow(self, state: int, letter: str) -> int:
+        """The state after one more letter: the longest suffix of what was read that begins a piece."""
+        suffix = self.read[state] + letter
+        while suffix not in self.state:
+            suffix = suffix[1:]
+        found = self.next[state][letter] = self.state[suffix]
+        return found
+
+    def _ending(self, state: int) -> tuple[tuple[int, int], ...]:
+        """Pieces that end where this state is reached, and their lengths, longest first."""
+        text = self.read[state]
+        suffixes = (self.id.get(text[k:]) for k in range(len(text)))
+        found = self.ends[state] = tuple((i, len(self.text[i])) for i in suffixes if i is not None and self.history(i))
+        for i, _ in found:
+            self.pairs.setdefault(i, {})
+        return found
 
     def _segment(self, words: list[str], first: str = "", before: bytes = b"") -> None:
         """Forward passes over sorted ``words``, each from the end of the prefix shared with the one before.
@@ -120,9 +150,9 @@ class Pieces:
         The words stand behind a space, whose mark is their ``first`` letter, or behind
         the end of a line, whose ids are put ``before`` theirs.
         """
-        pairs, endings, spelled, history = self.pairs, self.endings, self.spelled, self.history
-        # for each prefix length: the surviving path's last piece, and the length of the prefix before that piece
-        last, back = [UNKNOWN], [0]
+        pairs, spelled, ends, following, follow = self.pairs, self.spelled, self.ends, self.next, self._follow
+        # for each prefix length: the automaton's state, the surviving path's last piece, and the length of the prefix before that piece
+        states, last, back = [0], [UNKNOWN], [0]
         previous = ""
         for key in words:
             word = first + key
@@ -131,26 +161,24 @@ class Pieces:
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :], back[shared + 1 :]
+            del states[shared + 1 :], last[shared + 1 :], back[shared + 1 :]
+            state = states[shared]
             for end in range(shared + 1, len(word) + 1):
-                node, at, ending = endings, end, []
-                while at:
-                    at -= 1
-                    node = node.get(word[at])
-                    if node is None:
-                        break
-                    if "" in node:
-                        ending.append((node[""], at))
-                for i, at in reversed(ending):
-                    if not history(i):
-                        continue
-                    left = last[at]
+                c = word[end - 1]
+                to = following[state].get(c)
+                state = follow(state, c) if to is None else to
+                states.append(state)
+                ending = ends[state]
+                if ending is None:
+                    ending = self._ending(state)
+                for i, size in ending:
+                    left = last[end - size]
                     if left != UNKNOWN:
-                        fits = pairs.get(left << 32 | i)
+                        fits = pairs[left].get(i)
                         if not (self.beside(left, i) if fits is None else fits):
                             continue
                     last.append(i)
-                    back.append(at)
+                    back.append(end - size)
                     break
                 else:
                     last.append(UNKNOWN)
@@ -223,9 +251,22 @@ class Pieces:
             low = high
         return [None if t is None else ids for t, ids in zip(texts, found)]
 
-    def decode(self, ids: list[int] | None) -> str | None:
-        """The text of ``ids``; a first space is the one that encoding put there."""
-        return None if ids is None else b"".join(map(self.bytes.__getitem__, ids)).decode(errors="replace").removeprefix(" ")
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids; a first space is the one that encoding put there."""
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        joined = self.bytes.take(lists.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])))
+        ends = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1)[offsets - offsets[0]]
+        data = np.frombuffer(joined.buffers()[2], np.uint8, int(ends[-1])) if ends[-1] else np.empty(0, np.uint8)
+        starts = ends[:-1][np.diff(ends) > 0]
+        space = starts[data[starts] == 32]
+        data = np.delete(data, space)
+        ends = ends - np.searchsorted(space, ends)
+        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        try:
+            found = texts.cast(pa.large_string()).cast(pa.string())
+        except pa.ArrowInvalid:  # ids that no text has
+            found = pa.array([t.decode(errors="replace") for t in texts.to_pylist()], pa.string())
+        return pc.if_else(lists.is_valid(), found, None) if lists.null_count else found
 
 
 @lru_cache(2)
@@ -239,20 +280,24 @@ def read_model(path: str = MODEL) -> bytes:
         return f.read()
 
 
+def _encoded(pieces: Pieces, texts: pa.Array) -> pa.ListArray:
+    ids = []
+    for low in range(0, len(texts), TEXTS):
+        ids += pieces.encode(texts.slice(low, TEXTS).to_pylist())
+    sizes = np.cumsum([0, *(0 if x is None else len(x) for x in ids)])
+    missing = [x is None for x in ids]
+    offsets = pa.array(sizes, pa.int32())
+    values = np.concatenate([x for x in ids if x is not None]) if not all(missing) else np.empty(0, np.int32)
+    mask = pa.array(missing, pa.bool_()) if any(missing) else None
+    return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()), mask=mask)
+
+
 def encode_pieces(text: Column, model: bytes) -> Column:
     ship(SparkSession.active())
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
-        pieces = pieces_of(model)
-        ids = []
-        for low in range(0, len(texts), TEXTS):
-            ids += pieces.encode(texts.slice(low, TEXTS).to_pylist())
-        sizes = np.cumsum([0, *(0 if x is None else len(x) for x in ids)])
-        missing = [x is None for x in ids]
-        offsets = pa.array([None if m else int(s) for m, s in zip([*missing, False], sizes)], pa.int32())
-        values = np.concatenate([x for x in ids if x is not None]) if not all(missing) else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
+        return _encoded(pieces_of(model), texts)
 
     return encode(text)
 
@@ -262,17 +307,27 @@ def decode_pieces(ids: Column, model: bytes) -> Column:
 
     @F.arrow_udf(T.StringType())
     def decode(lists: pa.Array) -> pa.Array:
-        pieces = pieces_of(model)
-        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
-        values, valid = lists.flatten().to_numpy(zero_copy_only=False), lists.is_valid().to_pylist()
-        return pa.array([pieces.decode(values[a:b].tolist()) if v else None for a, b, v in zip([0, *ends], ends, valid)], pa.string())
+        return pieces_of(model).decode(lists)
 
     return decode(ids)
 
 
+def encode_and_decode(text: Column, model: bytes) -> Column:
+    """Struct of the ids and the text that these decode to, both made in one pass over the texts."""
+    ship(SparkSession.active())
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(texts: pa.Array) -> pa.Array:
+        pieces = pieces_of(model)
+        ids = _encoded(pieces, texts)
+        return pa.StructArray.from_arrays([ids, pieces.decode(ids)], names=["ids", "decoded"])
+
+    return both(text)
+
+
 def with_pieces(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     """``docs`` with ``token_ids`` and with the text that they decode to."""
     safe, names = clash_free(docs.drop("token_ids"))
-    coded = safe.withColumn("ids", encode_pieces(F.col(names[text]), model)).withColumn("decoded", decode_pieces(F.col("ids"), model))
-    columns = [F.col("decoded" if old == text else new).alias(old) for old, new in names.items()]
-    return coded.select(*columns, F.col("ids").alias("token_ids"))
+    coded = safe.withColumn("coded", encode_and_decode(F.col(names[text]).cast("string"), model))
+    columns = [F.col("coded.decoded" if old == text else new).alias(old) for old, new in names.items()]
+    return coded.select(*columns, F.col("coded.ids").alias("token_ids"))
