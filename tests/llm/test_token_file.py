@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,14 +21,25 @@ def ids_of(text):
     return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 1]
 
 
+def encoded(words, texts):
+    ids, ends = words.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, ends[:-1])]
+
+
 def test_ids_are_those_of_the_library():
     rng = random.Random(2)
     texts = ["".join(rng.choice("abcDEé'sre .,!?\t\x0b\x0c\n\x1c\x85\xa0́<|>ΣÀ12日①😀") for _ in range(rng.randrange(40))) for _ in range(3000)]
     texts += ["x <|endoftext|> y", "<|EndOfText|>a", "a<|startoftext|>b", "don't I'LL we've", "", " ", None, "a's, b.' 's."]
     words = Words(tokenizer_json())
     assert words.by_word
-    for text, found in zip(texts, words.encode(texts)):
-        assert np.frombuffer(found, np.uint32).tolist() == ids_of(text), text
+    texts += ["".join(rng.choice("aàâçéèêëîïôùûüÿœæßäöñáíóúłźčžåøÉÇĿǆǅªºĳŉſ") for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    texts += [chr(c) * 2 + "b" for c in range(1, 0x300)]
+    assert words.letters
+    for text, found in zip(texts, encoded(words, texts), strict=True):
+        assert found == ids_of(text), text
+    assert encoded(words, texts[5:9]) == [ids_of(t) for t in texts[5:9]]
+    sliced = words.encode(pa.array(texts, pa.string()).slice(100, 50))
+    assert [x.tolist() for x in np.split(sliced[0], sliced[1][:-1])] == [ids_of(t) for t in texts[100:150]]
 
 
 def test_a_tokenizer_that_keeps_white_space_gets_whole_texts():
@@ -35,7 +47,7 @@ def test_a_tokenizer_that_keeps_white_space_gets_whole_texts():
     words, library = Words(source), Tokenizer.from_str(source)
     assert not words.by_word
     text = " two  words\n"
-    assert np.frombuffer(words.encode([text])[0], np.uint32).tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+    assert encoded(words, [text])[0] == [*library.encode(text, add_special_tokens=False).ids, 1]
 
 
 def cost_without_limit(counts):

@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,7 +37,25 @@ LONGEST = 16  # bits of a code, more if the ids need it
 BLOCK = 1 << 18  # tokens in a block, about
 STRIDE = 256
 PART = 4_000_000  # tokens in a part of the files, about
+SLICE = 32_000_000  # bytes of text tokenised together, about
 _MARKS = b".,;:!?"
+_LATIN = "\u024f"  # last of the letters whose class, case and normal form are the same in all versions of Unicode
+
+
+def _byte_level() -> dict[int, int]:
+    """The public byte-level table: printable bytes stand for themselves, the others for code points from 256 on."""
+    shown = [b for b in range(256) if chr(b).isprintable() and b not in (32, 160, 173)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+
+
+_BYTE_LEVEL = _byte_level()
+
+
+def _plain_letters(word: bytes) -> bool:
+    """Whether the word is lower-case Latin letters, accents included, and nothing else."""
+    text = word.decode()
+    return text.isalpha() and max(text) <= _LATIN and text == text.lower()
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -64,6 +83,8 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_str(source)
         # special tokens are met in their own case only; all else is the same in lower case
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = True
+        self.letters = self._maps()
         self.by_word = self._splits()
 
     def _whole(self, text: str) -> bytes:
@@ -76,12 +97,24 @@ class Words(dict):
         self.clear()
         return same
 
+    def _maps(self) -> bool:
+        """Whether this tokenizer's model takes letters beyond ASCII as their bytes, by the public byte-level table."""
+        probe = "élève größe niño œuvre łódź čaj"
+        same = all(self[w] == self._whole(w.decode()) for w in probe.encode().split())
+        self.clear()
+        return same
+
+    def _model(self, pieces: str) -> bytes:
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(pieces)]).tobytes()
+
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.most:
             self.clear()
         core = word.rstrip(_MARKS)
         if word.isalpha() and word.islower():
-            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(word.decode())]).tobytes()
+            ids = self._model(word.decode())
+        elif self.letters and _plain_letters(word):
+            ids = self._model(word.decode("latin-1").translate(_BYTE_LEVEL))
         elif core and len(core) < len(word) and core[-1:].isalnum():  # a letter or digit before the marks ends a token
             ids = self[core] + self[word[len(core) :]]
         else:
@@ -89,18 +122,26 @@ class Words(dict):
         self[word] = ids
         return ids
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as 32-bit numbers, the end id last."""
-        end, out = array("I", [END]).tobytes(), []
-        for text in texts:
-            if not self.by_word:
-                out.append(self._whole(text or "") + end)
-                continue
-            raw = (text or "").encode()
-            low = raw.lower()
-            words = (raw if any(s in low for s in self.special) else low).split()
-            out.append(b"".join(map(self.__getitem__, words)) + end)
-        return out
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts as one array, the end id behind each text, and where each text's ids end.
+
+        The words of all texts are told apart first, so that each is looked up once.
+        """
+        texts = pc.fill_null(texts, "")
+        if not self.by_word:
+            ids = [self._whole(t) for t in texts.to_pylist()]
+            joined, ends = b"".join(ids), np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)
+        else:
+            low = pc.ascii_lower(texts)
+            for special in self.special:
+                low = pc.if_else(pc.match_substring(low, special.decode()), texts, low)
+            lists = pc.ascii_split_whitespace(low)
+            words = lists.flatten().cast(pa.binary()).dictionary_encode()
+            found = pa.array([self[w] for w in words.dictionary.to_pylist()], pa.large_binary()).take(words.indices)
+            at = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1)
+            joined, ends = found.buffers()[2].to_pybytes()[: int(at[-1])] if len(found) else b"", at[np.asarray(lists.offsets)[1:]] // 4
+        ids = np.insert(np.frombuffer(joined, np.uint32), ends, END)
+        return ids, ends + np.arange(1, len(ends) + 1)
 
 
 @lru_cache(1)
@@ -117,17 +158,18 @@ def _tokenise(source: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words, pack, counts = _words(source), zstandard.ZstdCompressor(level=1), np.zeros(0, np.int64)
         for batch in batches:
-            for part in pieces(batch, 1):
-                ids = words.encode(part.column(1).to_pylist())
-                some = np.bincount(np.frombuffer(b"".join(ids), np.uint32))
+            for part in pieces(batch, 1, SLICE):
+                ids, ends = words.encode(part.column(1))
+                some = np.bincount(ids)
                 size = max(len(some), len(counts))
                 counts = np.pad(counts, (0, size - len(counts))) + np.pad(some, (0, size - len(some)))
-                none = pa.nulls(len(ids), pa.int64())
+                none = pa.nulls(len(ends), pa.int64())
+                starts = np.append(0, ends[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([pack.compress(_narrow(x)) for x in ids], pa.binary()),
+                        pa.array(ends - starts),
+                        pa.array([pack.compress(_narrow(ids[a:b])) for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()),
                         none,
                         none,
                     ],
@@ -143,9 +185,9 @@ def _tokenise(source: str):
     return run
 
 
-def _narrow(ids: bytes) -> bytes:
+def _narrow(ids: np.ndarray) -> bytes:
     """32-bit ids as two planes of 16 bits; the upper one is mostly zero and packs away."""
-    return np.frombuffer(ids, np.uint16).reshape(-1, 2).T.tobytes()
+    return ids.view(np.uint16).reshape(-1, 2).T.tobytes()
 
 
 def _wide(data: bytes) -> np.ndarray:
