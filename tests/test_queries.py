@@ -17,6 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 SAMPLE = [
     "normalize_events", "detect_events", "detections_by_ip", "running_totals", "timeline_10s", "timeline_last_90",
     "event_rate_by_severity", "topk_rules", "counter_rate", "gauge_arith", "event_feed_json", "latest_then_filter",
+    "timeline_runs", "reload_rules", "rules_as_of", "stream_live_window", "compact_events", "stream_detect_events",
 ]
 
 
@@ -71,6 +72,29 @@ def test_dense_timeline(events):
         timeline.timeline(events, 7)
 
 
+def test_a_stray_time_adds_one_row(spark, events):
+    """One stamp ten years off: a row for its bucket and one for all the empty buckets between."""
+    stray = make_events(spark, dict(severity="INFO", ts=NOON + timedelta(days=3650)))
+    plain, more = timeline.timeline_runs(events), timeline.timeline_runs(events.unionByName(stray))
+    assert more.count() == plain.count() + 2
+    assert [tuple(r)[1:] for r in plain.orderBy("bucket").collect()] == [(1, 2, 1, 0), (1, 0, 0, 1), (2, 0, 0, 0), (1, 0, 0, 0), (8635, 0, 0, 0), (1, 1, 0, 0)]
+    assert more.agg({"buckets": "sum"}).first()[0] == 3650 * 8640 + 1
+    assert timeline.timeline(events.unionByName(stray)).count() == 8641 + 2
+    since = timeline.timeline_runs(events, since=NOON - timedelta(seconds=50)).orderBy("bucket").first()
+    assert (since.bucket, since.buckets) == (NOON - timedelta(seconds=50), 5)
+
+
+def test_idle_and_ended_series(events):
+    """Zeros go on for the life of a series, five minutes by default, then it stops until its next event."""
+    out = {(r.bucket, r.severity): r.rate for r in timeline.rate_series(events, "severity").collect()}
+    assert out[NOON + timedelta(seconds=15), "INFO"] == 0 == out[NOON + timedelta(seconds=300), "INFO"]
+    assert (NOON + timedelta(seconds=315), "INFO") not in out and (NOON + timedelta(days=1), "INFO") in out
+    none = {(r.bucket, r.severity) for r in timeline.rate_series(events, "severity", life_seconds=0).collect()}
+    assert {k for k, v in out.items() if v > 0} == none
+    with pytest.raises(ValueError):
+        timeline.rate_series(events, "severity", life_seconds=20)
+
+
 def test_last_buckets():
     start = timeline.last_buckets_start
     assert start((NOON, NOON + timedelta(seconds=899))) == NOON

@@ -5,10 +5,13 @@ from collections import defaultdict, deque
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from test_rules import make_events
 from vigilog import Rule, detect_events
+from vigilog.operators import detect
 from vigilog.operators.detect import all_matches
+from vigilog.operators.rate import SLOT_CELLS, edges_of_cells, outcome_keys, rate_candidates
 
 START = datetime(2026, 5, 1, 22, 59, 30)
 
@@ -124,3 +127,97 @@ def test_hot_instant_is_split_in_the_join(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_groups_are_cut_by_number(spark):
+    """Stamps of microseconds and no address, under a rated rule of a source without addresses: no window group outgrows the bound."""
+    rule = Rule("burst", "CRITICAL", {"source": "fim", "rate": {"threshold": 5, "window_seconds": 10}})
+    rows = spark.range(40_000).selectExpr(
+        "id AS seq", "CAST(NULL AS STRING) AS ip", "'fim' AS source", "'modified' AS action", "'INFO' AS severity",
+        "TIMESTAMP_NTZ'2026-05-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(id * 0.000731 AS DECIMAL(18, 6))) AS ts",
+    )
+    edges = edges_of_cells(rate_candidates(rows, [rule]), [rule]).distinct()
+    per_cell = edges.groupBy("rule_no", "ip_key", F.shiftright("us", 23)).count()
+    per_slot = edges.groupBy("rule_no", "ip_key", F.shiftright("us", 27)).count()
+    assert per_cell.agg(F.max("count")).first()[0] == 2 * 5 and per_slot.agg(F.max("count")).first()[0] <= 2 * 5 * SLOT_CELLS
+    found = {r.seq for r in all_matches(rows, [rule]).select("seq").collect()}
+    assert found == set(range(4, 40_000))
+    assert {r.seq for r in detect_events(rows, [rule]).where("rule_triggered = 'burst'").collect()} == found
+
+
+def test_bursts_between_idle_times(spark):
+    """Dense and sparse cells in turn, thresholds above and below what a cell holds, windows of very different length."""
+    rng = random.Random(11)
+    events, at = [], START
+    for burst in range(25):
+        at += timedelta(seconds=rng.choice([0.4, 3, 9, 31, 200]))
+        for _ in range(rng.choice([1, 3, 30, 60])):
+            at += timedelta(microseconds=rng.choice([0, 1, 300, 40_000, 700_000]))
+            events.append((len(events), at, rng.choice(["a", "a", None]), rng.choice(["x", "y"])))
+    rng.shuffle(events)
+    rules = [rate_rule("n1_30", 1, 30), rate_rule("n4_1", 4, 1, action="x"), rate_rule("n7_0", 3, 0), rate_rule("n25_10", 25, 10), rate_rule("n90_600", 90, 600)]
+    assert check(spark, events, rules)
+
+
+MIXED = [
+    Rule("drops", "CRITICAL", {"source": "firewall", "rate": {"threshold": 3, "window_seconds": 10}}),
+    Rule("deleted", "WARNING", {"source": "fim", "action": "deleted"}),
+]
+
+
+def mixed_events(spark, count=3000):
+    rng = random.Random(2)
+    rows = [
+        dict(source=rng.choice(["firewall", "fim", "syslog", "fim"]), ip=f"ip{rng.randrange(400)}", action=rng.choice(["deleted", "x"]), ts=START + timedelta(seconds=rng.randrange(900)))
+        for _ in range(count)
+    ]
+    rows += [dict(source=s, ts=START) for s in (None, "firewall", "firewall", "firewall")]
+    return make_events(spark, *rows)
+
+
+def exchanged(frame):
+    """What feeds each shuffle, as text of the plan before execution."""
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    lines, parts = text.splitlines(), []
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            depth = line.index("Exchange")
+            below = []
+            for other in lines[k + 1 :]:
+                if len(other) - len(other.lstrip(" :+-*(0123456789)")) <= depth:
+                    break
+                below.append(other)
+            parts.append("\n".join(below))
+    return parts
+
+
+def test_sources_without_rates_are_in_no_shuffle(spark):
+    events = mixed_events(spark)
+    wanted = sorted((r.seq, r.rule_triggered, r.severity) for r in detect_events(events, MIXED, staged=True).collect())
+    frame = detect_events(events, MIXED)
+    assert sorted((r.seq, r.rule_triggered, r.severity) for r in frame.collect()) == wanted and len(wanted) == events.count()
+    assert len({w[1] for w in wanted}) == 3
+    parts = exchanged(detect_events(events, MIXED).select("raw", "rule_triggered"))
+    assert parts and all("source" in p and "firewall" in p for p in parts)
+
+
+def test_other_rows_pass_the_filter_first(spark, monkeypatch):
+    """Outcomes too many for a broadcast: only rows whose key may be among theirs are joined; results stay whole."""
+    events = mixed_events(spark)
+    wanted = sorted((r.seq, r.rule_triggered) for r in detect_events(events, MIXED).collect())
+    monkeypatch.setattr(detect, "LIGHT_OUTCOMES", 0)
+    frame = detect_events(events, MIXED, staged=True)
+    assert sorted((r.seq, r.rule_triggered) for r in frame.collect()) == wanted
+    outcomes = detect.outcomes_of(events, MIXED[:1])
+    keyed = outcome_keys(events.where("source = 'firewall'"), MIXED[:1])
+    may = keyed.where(detect._may_fire(outcomes)).count()
+    exact = keyed.join(outcomes.select("_ip", "_bucket"), ["_ip", "_bucket"], "left_semi").count()
+    assert exact <= may <= exact + 5 and may < keyed.count() / 2
+    for bits in (64, 128):  # a filter that is full says yes too often, and never a wrong no
+        monkeypatch.setattr(detect, "FILTER_BITS", bits)
+        assert sorted((r.seq, r.rule_triggered) for r in detect_events(events, MIXED, staged=True).collect()) == wanted
+
+
+def test_rate_only_sets_join_inner(spark):
+    frame = all_matches(mixed_events(spark), MIXED[:1])
+    assert "Inner" in plan(frame) and "LeftOuter" not in plan(frame)

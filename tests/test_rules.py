@@ -1,15 +1,16 @@
 """Rule file, conditions on single events, and which match counts."""
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from vigilog import Rule, detect_events, load_rules, rule_matches, rules_from
 from vigilog.functions import predicates
-from vigilog.operators.detect import all_matches, detect_between, detection_mitre
+from vigilog.operators.detect import all_matches, detect_between, detect_versions, detection_mitre
 from vigilog.schema import EVENTS
+from vigilog.sources.rules import rule_versions
 
 
 def make_events(spark, *rows):
@@ -130,3 +131,29 @@ def test_mitre_columns(spark):
     detected = detect_events(make_events(spark, dict(source="fim", action="deleted")), rules_from(load_rules(spark)))
     row = detection_mitre(detected, load_rules(spark)).first()
     assert (row.rule_triggered, row.rule_id, row.mitre_id, row.mitre_tactic) == ("fim_file_deleted", 551, "T1070.004", "Defense Evasion")
+
+
+def test_the_setting_names_the_rule_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv("RULES_PATH", write(tmp_path, {"rules": [{"name": "only", "conditions": {}}]}))
+    assert [r.name for r in rules_from(load_rules(spark))] == ["only"]
+    monkeypatch.delenv("RULES_PATH")
+    assert len(rules_from(load_rules(spark))) == 20
+
+
+def test_rules_in_force_at_the_time_of_an_event(spark, tmp_path):
+    """The threshold falls at noon; the window then reaches back to events before noon."""
+    noon = datetime(2026, 5, 1, 12)
+    paths = {}
+    for since, threshold in ((None, 9), (noon, 3)):
+        (tmp_path / str(threshold)).mkdir()
+        rule = {"name": f"r{threshold}", "severity": "CRITICAL", "conditions": {"action": "x", "rate": {"threshold": threshold, "window_seconds": 60}}}
+        paths[since] = write(tmp_path / str(threshold), {"rules": [rule]})
+    versions = rule_versions(spark, paths)
+    assert [(t, [r.name for r in rules]) for t, rules in versions] == [(None, ["r9"]), (noon, ["r3"])]
+    times = [noon + timedelta(seconds=s) for s in (-50, -40, -30, -20, -10, -1, 0, 70, 80)]
+    events = make_events(spark, *[dict(ts=t, action="x", ip="a") for t in times])
+    fired = [r.rule_triggered for r in detect_versions(events, versions).orderBy("seq").collect()]
+    assert fired == [None] * 6 + ["r3", None, None]
+    later = detect_versions(events, versions[1:]).orderBy("seq").collect()
+    assert [r.rule_triggered for r in later] == [None] * 6 + ["r3", None, None] and len(later) == len(times)
+    assert detect_versions(events, []).where("rule_triggered IS NULL").count() == len(times)

@@ -2,13 +2,14 @@
 
 import json
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from vigilog import Rule, detect_events, load_rules, normalize_events, rules_from
+from vigilog.operators.search import live_window
 from vigilog.schema import EVENTS
 from vigilog.sources.event_store import append_events, create_event_table, scan_events
 from vigilog.sources.lines import paths_from_env, read_lines, switch_log_path, tail_stream, union_sources
@@ -100,6 +101,58 @@ def test_a_stray_time_does_not_clear_the_state(spark, tmp_path):
     assert fired[4] == "failures" and fired[3] is None
 
 
+def stamped(seq, stamp, ip):
+    return seq, "auth", f"{stamp} server sshd[1]: Failed password for root from {ip} port 22"
+
+
+@pytest.mark.parametrize("stamp", ["Dec 30 23:59:{:02d}", "Jan 01 00:00:{:02d}"], ids=["future", "past"])
+def test_odd_stamps_in_the_majority_leave_firings_unchanged(spark, tmp_path, stamp):
+    """Three failures, fifty lines of another address with stamps months off, and the fourth failure a batch later."""
+    stray = [stamped(100 + i, stamp.format(i), "9.9.9.9") for i in range(50)]
+    stream = DetectionStream(RULES, f"{tmp_path}/out", ref_year=2026)
+    stream.process(spark.createDataFrame([failure(0, 0), failure(1, 1), failure(2, 2), *stray], LINES), 0)
+    stream.process(spark.createDataFrame(stray[:9], LINES), 1)
+    stream.process(spark.createDataFrame([failure(4, 9)], LINES), 2)
+    fired = {k[0]: k[1] for k in keys(scan_events(spark, f"{tmp_path}/out/events").where("seq < 100"))}
+    assert fired == {0: None, 1: None, 2: None, 4: "failures"}
+
+
+def test_state_ages_by_running_time(spark, tmp_path):
+    """A row is forgotten after window and delay of running time; a pause of days counts for a minute."""
+    at = [datetime(2026, 5, 1, 12, tzinfo=timezone.utc)]
+    stream = DetectionStream(RULES, f"{tmp_path}/out", ref_year=2026, delay_seconds=100, clock=lambda: at[0])
+    held = []
+    for batch, seconds in enumerate([0, 50, 86_400, 30, 30, 30]):  # ages 0, 50, 110, 140, 170
+        at[0] += timedelta(seconds=seconds)
+        stream.process(spark.createDataFrame([failure(0, 0)] if batch == 0 else [], LINES), batch)
+        held.append(spark.read.parquet(stream.state_path(batch)).count())
+    assert held == [1, 1, 1, 1, 0, 0]
+
+
+def test_rules_that_change_while_the_stream_runs(spark, tmp_path):
+    steps = {0: 9, 1: 4}
+    rule = lambda n: Rule("failures", "CRITICAL", {"action": "failed_login", "rate": {"threshold": n, "window_seconds": 60}})
+    stream = DetectionStream(lambda batch: [rule(steps[batch])], f"{tmp_path}/out", ref_year=2026)
+    for batch, seqs in enumerate(([0, 1, 2], [3])):
+        stream.process(spark.createDataFrame([failure(s, s) for s in seqs], LINES), batch)
+    assert [k[1] for k in keys(scan_events(spark, f"{tmp_path}/out/events"))] == [None, None, None, "failures"]
+
+
+def test_live_view_after_every_batch(spark, tmp_path):
+    """It equals the batch query over all events so far, under any filter, also when a batch runs again."""
+    rows = make_lines(1500, seed=9)
+    stream = DetectionStream(RULES, f"{tmp_path}/out", ref_year=2026)
+    steps = [rows[:900], rows[900:905], rows[905:]]
+    for batch, step in enumerate(steps):
+        for _ in range(1 + batch % 2):
+            stream.process(spark.createDataFrame(step, LINES), batch)
+        events = scan_events(spark, f"{tmp_path}/out/events")
+        for severity, source in ((None, None), ("INFO", None), (None, "access"), ("CRITICAL", "auth"), ("CRITICAL", "fim")):
+            wanted = [r.seq for r in live_window(events, severity, source).collect()]
+            assert [r.seq for r in stream.live(spark, severity, source).collect()] == wanted
+    assert len(wanted) == 0 and events.where("source = 'access'").count() > 200
+
+
 def test_state_outlives_rules_without_rates(spark, tmp_path):
     out = f"{tmp_path}/out"
     plain = [r for r in RULES if r.rate is None]
@@ -140,7 +193,7 @@ def test_reloaded_rules_keep_their_counters(spark, tmp_path):
 
     run(spark, with_threshold(9), folder, [rows[:3]])
     run(spark, with_threshold(4), folder, [rows[3:]])
-    found = spark.read.option("recursiveFileLookup", True).schema(EVENTS).parquet(f"{folder}/out/events")
+    found = scan_events(spark, f"{folder}/out/events")
     assert [k[1] for k in keys(found)] == [None, None, None, "failures"]
 
 

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.functions.predicates import quoted
 from vigilog.functions.timestamps import wall_clock
 from vigilog.operators.rate import (
     constant_tests,
-    first_per_instant,
+    counted_sources,
+    edges_of_cells,
     must_count,
+    outcome_keys,
     rate_candidates,
     rate_firings,
+    rate_outcomes,
     rate_rules,
     with_rate_tests,
 )
@@ -49,16 +53,9 @@ def rule_matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return _only_sources(events, rules).select("*", F.expr(f"inline({_matched_array(rules, [r.condition for r in rules])})"))
 
 
-def rate_tests(events: DataFrame, rules: Sequence[Rule], staged: bool = False) -> tuple[DataFrame, list[str]]:
-    """Events with what the rate rules need, and per rule the SQL test of its rate."""
-    rated = rate_rules(rules)
-    if not must_count(rated):
-        return events, spread_tests(rules, constant_tests(rated))
-    firings = rate_firings(first_per_instant(rate_candidates(events, rated), rated), rated)
-    if staged:
-        firings = materialize(firings, "firings")
-    joined, tests = with_rate_tests(events, firings, rated)
-    return joined, spread_tests(rules, tests)
+def outcomes_of(events: DataFrame, rated: Sequence[Rule]) -> DataFrame:
+    """What fires the rate rules."""
+    return rate_outcomes(rate_firings(edges_of_cells(rate_candidates(events, rated), rated), rated), rated)
 
 
 def spread_tests(rules: Sequence[Rule], rated_tests: Sequence[str]) -> list[str]:
@@ -71,9 +68,13 @@ def all_matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All (event, rule) pairs whose conditions hold, rates included."""
     if not rules:
         return rule_matches(events, rules)
-    columns = events.columns
-    joined, held = rate_tests(_only_sources(events, rules), rules)
-    full = [f"{r.condition} AND {t}" for r, t in zip(rules, held)]
+    columns, rated = events.columns, rate_rules(rules)
+    joined, tests = _only_sources(events, rules), constant_tests(rated)
+    if must_count(rated):
+        # where every rule has a rate to be counted, only events with an outcome can match
+        how = "inner" if len(rated) == len(rules) and "true" not in tests else "left"
+        joined, tests = with_rate_tests(joined, outcomes_of(joined, rated), rated, how=how)
+    full = [f"{r.condition} AND {t}" for r, t in zip(rules, spread_tests(rules, tests))]
     return joined.select(*columns, F.expr(f"inline({_matched_array(rules, full)})"))
 
 
@@ -115,18 +116,80 @@ def apply_rules(events: DataFrame, rules: Sequence[Rule], held: Sequence[str], c
     return ranked.select(*[F.expr(changed[c]).alias(c) if c in changed else c for c in columns])
 
 
+# Outcomes that are broadcast: rows and the places listed in them, about 20 bytes each.
+LIGHT_OUTCOMES = 500_000
+# Bits of the filter on the keys of outcomes: 4 MB, whatever their number.
+FILTER_BITS = 1 << 25
+
+
+def _weight(outcomes: DataFrame) -> int:
+    listed = [F.size(c) for c in outcomes.columns if c.startswith("_at")]
+    return outcomes.agg(F.sum(sum(listed, F.lit(1)))).first()[0] or 0
+
+
+def _slot_of_key() -> Column:
+    return F.pmod(F.xxhash64("_ip", "_bucket"), F.lit(FILTER_BITS))
+
+
+def _filter_words(outcomes: DataFrame) -> DataFrame:
+    """One row with the bits of all outcome keys, 64 a number."""
+    slots = outcomes.select(_slot_of_key().alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("word"))
+    every = outcomes.sparkSession.range(FILTER_BITS // 64).join(words, "id", "left").select("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+    return every.agg(F.sort_array(F.collect_list(F.struct("id", "word")))["word"].alias("words"))
+
+
+def _may_fire(outcomes: DataFrame) -> Column:
+    """Whether an event's outcome key may be there: no false no, a false yes as often as the filter is full."""
+    words = materialize(_filter_words(outcomes), "filter").scalar()
+    slot = _slot_of_key()
+    word = F.element_at(words, (F.shiftright(slot, 6) + 1).cast("int"))
+    return F.call_function("shiftrightunsigned", word, slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def decide(
+    events: DataFrame, rules: Sequence[Rule], outcomes: DataFrame, columns: Sequence[str], clock: str = "ts", written: bool = False
+) -> DataFrame:
+    """``events`` with the last rule that holds, given what fires the rate rules.
+
+    Events of sources that no rate counts are not joined, so they are in no shuffle. If
+    the outcomes are ``written``, they are broadcast if they are few; else a filter on
+    their keys keeps all other events out of the join, too.
+    """
+    rated = rate_rules(rules)
+    if written and _weight(outcomes) <= LIGHT_OUTCOMES:
+        joined, tests = with_rate_tests(events, F.broadcast(outcomes), rated, clock)
+        return apply_rules(joined, rules, spread_tests(rules, tests), columns)
+    sources = counted_sources(rated)
+    loud = F.lit(True) if sources is None else F.coalesce(F.col("source").isin(sources), F.lit(False))
+    keyed = events
+    if written:
+        keyed = outcome_keys(events, rated, clock)
+        loud = loud & _may_fire(outcomes)
+    joined, tests = with_rate_tests(keyed.where(loud).select(*events.columns), outcomes, rated, clock)
+    decided = apply_rules(joined, rules, spread_tests(rules, tests), columns)
+    if sources is None and not written:
+        return decided
+    silent = ["false" if t not in ("true", "false") else t for t in tests]
+    quiet = apply_rules(keyed.where(~loud).select(*events.columns), rules, spread_tests(rules, silent), columns)
+    return decided.unionByName(quiet)
+
+
 def detect_events(events: DataFrame, rules: Sequence[Rule], staged: bool = False) -> DataFrame:
     """Events with ``rule_triggered`` and ``severity`` set by the last rule that matches.
 
     With ``staged``, what fires the rate rules is found and written first. Its size
-    is then known to the planner: below the broadcast threshold the events, with
-    their long raw lines, are not shuffled at all; above it the join is unchanged.
+    is then known: if it is small, the events, with their long raw lines, are not
+    shuffled at all; if not, only those that may fire are.
     """
     if not rules:
         return events.withColumn("rule_triggered", F.lit(None).cast("string"))
     columns = events.columns if "rule_triggered" in events.columns else [*events.columns, "rule_triggered"]
-    joined, held = rate_tests(events, rules, staged)
-    return apply_rules(joined, rules, held, columns)
+    rated = rate_rules(rules)
+    if not must_count(rated):
+        return apply_rules(events, rules, spread_tests(rules, constant_tests(rated)), columns)
+    outcomes = outcomes_of(events, rated)
+    return decide(events, rules, materialize(outcomes, "outcomes") if staged else outcomes, columns, written=staged)
 
 
 def detect_between(events: DataFrame, rules: Sequence[Rule], start: datetime, end: datetime) -> DataFrame:
@@ -136,6 +199,26 @@ def detect_between(events: DataFrame, rules: Sequence[Rule], start: datetime, en
     return detect_events(in_reach, rules).where(F.col("ts") >= wall_clock(start))
 
 
+def detect_versions(events: DataFrame, versions: Sequence[tuple[datetime | None, Sequence[Rule]]], staged: bool = False) -> DataFrame:
+    """Detection by rules that change: each event is judged by the version in force at its time.
+
+    ``versions`` are (time from which it holds, rules) in order, None the beginning. A
+    version reads its own time and the longest of its rate windows before it. Events
+    before the first version are judged by no rule.
+    """
+    if not versions or versions[0][0] is not None:
+        versions = [(None, []), *versions]
+    ends = [start for start, _ in versions[1:]] + [None]
+    parts = []
+    for (start, rules), end in zip(versions, ends):
+        context = timedelta(seconds=max([r.rate[1] for r in rate_rules(rules)], default=0))
+        own = events if end is None else events.where(F.col("ts") < wall_clock(end))
+        own = own if start is None else own.where(F.col("ts") >= wall_clock(start - context))
+        found = detect_events(own, rules, staged)
+        parts.append(found if start is None else found.where(F.col("ts") >= wall_clock(start)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def rate_detection(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Every event that fires a rate rule: ``(rule, seq, ts, ip)`` plus event columns."""
     return all_matches(events, rate_rules(rules))

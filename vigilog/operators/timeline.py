@@ -17,6 +17,8 @@ BUCKET_SECONDS = 10
 MAX_BUCKETS = 90
 STEP_SECONDS = 15
 TOP_RULES = 5
+# How long a series without events is taken to be idle, not ended.
+LIFE_SECONDS = 300
 
 _DAY = 86_400
 
@@ -30,39 +32,50 @@ def timeline_counts(events: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFra
     return events.groupBy(bucket_start(F.col("ts"), seconds).alias("bucket")).agg(*severity_counts())
 
 
-def _buckets_between(bounds: DataFrame, seconds: int) -> DataFrame:
-    """All buckets from ``first`` to ``last``: day by day, so that one far-off time
-    gives neither a huge array nor a single long task."""
-    days = bounds.select(
-        "first",
-        "last",
-        F.explode(F.sequence(F.to_date("first").cast("timestamp_ntz"), F.col("last"), _seconds(_DAY))).alias("day"),
-    ).repartition("day")
-    start = F.greatest("day", "first")
-    end = F.least(F.col("day") + _seconds(_DAY - seconds), F.col("last"))
-    # the bucket grid runs on the epoch, which days start on as well
-    return days.where(start <= end).select(F.explode(F.sequence(start, end, _seconds(seconds))).alias("bucket"))
+def timeline_runs(events: DataFrame, seconds: int = BUCKET_SECONDS, since: datetime | None = None, expand: int = 0) -> DataFrame:
+    """(bucket, buckets, info, warning, critical) from the first event, or ``since``, to the last.
 
-
-def _dense(counts: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Zero rows for buckets without events."""
-    names = [s.lower() for s in SEVERITIES]
-    zeros = buckets.select("bucket", *[F.lit(0).cast("bigint").alias(n) for n in names])
-    return counts.select("bucket", *names).unionByName(zeros).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
-
-
-def timeline(events: DataFrame, seconds: int = BUCKET_SECONDS, since: datetime | None = None) -> DataFrame:
-    """Dense tumbling counts per severity from the first event, or ``since``, to the last event.
-
-    The counts are written once: they are small, and both their bounds and their
-    values are needed. ``seconds`` must divide a day.
+    A bucket with events is one row. Empty buckets in a row are one row as well, with the
+    first of them, their number and zeros; up to ``expand`` in a row are a row each. So a
+    time that is years off adds one row. The next bucket is found within a day, or from
+    the list of days that have events.
     """
     if _DAY % seconds:
         raise ValueError("bucket length must divide a day")
-    counts = materialize(timeline_counts(events, seconds), "timeline")
-    first = F.min("bucket") if since is None else wall_clock(since)
-    bounds = counts.agg(first.alias("first"), F.max("bucket").alias("last")).where("first IS NOT NULL AND last IS NOT NULL")
-    return _dense(counts, _buckets_between(bounds, seconds))
+    names = [s.lower() for s in SEVERITIES]
+    counts = materialize(timeline_counts(events, seconds), "timeline").withColumn("_day", F.to_date("bucket"))
+    days = counts.groupBy("_day").agg(F.min("bucket").alias("_first"))
+    following = days.select("_day", F.lead("_first").over(Window.orderBy("_day")).alias("_next_day"))  # a row per day with events
+    within = counts.withColumn("_next", F.lead("bucket").over(Window.partitionBy("_day").orderBy("bucket")))
+    ahead = within.join(following, "_day").select("bucket", F.coalesce("_next", "_next_day").alias("_next"), *names)
+    gaps = ahead.select((F.col("bucket") + _seconds(seconds)).alias("bucket"), "_next")
+    if since is not None:
+        start = wall_clock(since)
+        gaps = gaps.unionByName(days.agg(F.min("_first").alias("_next")).select(start.alias("bucket"), "_next"))
+    length = (F.timestamp_diff("SECOND", "bucket", "_next") / seconds).cast("long")
+    runs = gaps.withColumn("buckets", length).where("buckets > 0").withColumns({n: F.lit(0).cast("long") for n in names})
+    whole = counts.withColumn("buckets", F.lit(1).cast("long"))
+    if since is not None:
+        whole = whole.where(F.col("bucket") >= wall_clock(since))
+        runs = runs.where(F.col("bucket") >= wall_clock(since))
+    columns = ["bucket", "buckets", *names]
+    if not expand:
+        return whole.select(*columns).unionByName(runs.select(*columns))
+    short = F.col("buckets") <= expand
+    places = F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1))
+    each = runs.where(short).select("bucket", places.alias("_k"), F.lit(1).cast("long").alias("buckets"), *names)
+    moved = each.withColumn("bucket", F.col("bucket") + F.make_dt_interval(secs=F.col("_k") * seconds))
+    return whole.select(*columns).unionByName(moved.select(*columns)).unionByName(runs.where(~short).select(*columns))
+
+
+def timeline(events: DataFrame, seconds: int = BUCKET_SECONDS, since: datetime | None = None, expand: int = _DAY // BUCKET_SECONDS) -> DataFrame:
+    """Tumbling counts per severity from the first event, or ``since``, to the last event.
+
+    Gaps of up to ``expand`` buckets are filled with zeros; of a longer one there is the
+    first bucket only. ``timeline_runs`` tells how many buckets a row stands for.
+    ``seconds`` must divide a day.
+    """
+    return timeline_runs(events, seconds, since, expand).drop("buckets")
 
 
 def time_span(events: DataFrame) -> tuple[datetime, datetime] | None:
@@ -79,21 +92,27 @@ def last_buckets_start(
     return datetime(1970, 1, 1) + timedelta(seconds=seconds) * max(first, last - count + 1)
 
 
-def rate_series(events: DataFrame, key: str, range_seconds: int = 60, step_seconds: int = STEP_SECONDS) -> DataFrame:
-    """Events per second over a trailing range, one value per step and ``key``.
+def rate_series(
+    events: DataFrame, key: str, range_seconds: int = 60, step_seconds: int = STEP_SECONDS, life_seconds: int = LIFE_SECONDS
+) -> DataFrame:
+    """Events per second over a range, one value per step and ``key``.
 
     Events are first counted per step; only these counts, not the events, are
-    then copied into the ``range / step`` windows that cover them.
+    then copied into the ``range / step`` windows that cover them. For ``life_seconds``
+    after its last event a series goes on with zeros; then it has ended, and comes back
+    with its next event. The zeros are copies as well, so no gap is ever spanned.
     """
-    if range_seconds % step_seconds:
-        raise ValueError("the step must divide the range")
+    if range_seconds % step_seconds or life_seconds % step_seconds:
+        raise ValueError("the step must divide the range and the life of a series")
     per_step = (
         events.groupBy(key, bucket_start(F.col("ts"), step_seconds).alias("_step"))
         .agg(F.count("*").alias("n"))
     )
-    starts = F.array(*[F.col("_step") - _seconds(k * step_seconds) for k in range(range_seconds // step_seconds)])
+    places = range(-(life_seconds // step_seconds), range_seconds // step_seconds)
+    none = F.lit(0).cast("long")
+    copies = [F.struct((F.col("_step") - _seconds(k * step_seconds)).alias("bucket"), (F.col("n") if k >= 0 else none).alias("n")) for k in places]
     return (
-        per_step.select(key, "n", F.explode(starts).alias("bucket"))
+        per_step.select(key, F.inline(F.array(*copies)))
         .groupBy("bucket", key)
         .agg(F.round(F.sum("n") / range_seconds, 6).alias("rate"))
     )
@@ -114,6 +133,6 @@ def topk_rules(events: DataFrame, at, k: int = TOP_RULES, range_seconds: int = 3
 def topk_rules_per_window(events: DataFrame, k: int = TOP_RULES, range_seconds: int = 300) -> DataFrame:
     """The top rules of every step of the rate series."""
     named = events.where(F.col("rule_triggered").isNotNull())
-    rates = rate_series(named, "rule_triggered", range_seconds).withColumnRenamed("rule_triggered", "rule")
+    rates = rate_series(named, "rule_triggered", range_seconds, life_seconds=0).withColumnRenamed("rule_triggered", "rule")
     by_rate = Window.partitionBy("bucket").orderBy(F.desc("rate"), "rule")
     return rates.withColumn("rank", F.row_number().over(by_rate)).where(F.col("rank") <= k)

@@ -165,7 +165,13 @@ def with_events(select: str) -> str:
     return f"WITH {', '.join(_events_ctes())} {select}"
 
 
-def _match_ctes() -> list[str]:
+def _match_ctes(later: str | None = None, changes: dict[str, dict] | None = None) -> list[str]:
+    """``later``: SQL on the candidate ``c`` for the time of the changed rules; ``changes``: their threshold or severity by name."""
+    threshold, severity = "r.threshold", "r.severity"
+    for name, change in (changes or {}).items():
+        at = f"CASE WHEN r.name = '{name}' AND {later} THEN"
+        threshold = f"{at} {change['threshold']} ELSE {threshold} END" if "threshold" in change else threshold
+        severity = f"{at} '{change['severity']}' ELSE {severity} END" if "severity" in change else severity
     pairs = " UNION ALL ".join(
         f"SELECT e.seq, e.ts, e.ip, {i} AS rule_ord FROM events_p e WHERE {_condition(r['conditions'])}" for i, r in enumerate(_rules())
     )
@@ -179,10 +185,10 @@ def _match_ctes() -> list[str]:
           JOIN candidates b ON a.rule_ord = b.rule_ord AND a.ip IS NOT DISTINCT FROM b.ip
             AND b.ts BETWEEN a.ts - to_seconds(a.window_seconds) AND a.ts AND (b.ts < a.ts OR b.seq <= a.seq)
           GROUP BY ALL)""",
-        """matches AS MATERIALIZED (
-          SELECT c.seq, c.rule_ord, r.name AS rule, r.severity AS rule_severity
+        f"""matches AS MATERIALIZED (
+          SELECT c.seq, c.rule_ord, r.name AS rule, {severity} AS rule_severity
           FROM candidates c JOIN rules r USING (rule_ord) LEFT JOIN counted k ON k.seq = c.seq AND k.rule_ord = c.rule_ord
-          WHERE r.threshold IS NULL OR k.n >= r.threshold)""",
+          WHERE r.threshold IS NULL OR k.n >= {threshold})""",
         """detected AS MATERIALIZED (
           SELECT e.* EXCLUDE (severity), coalesce(m.sev, e.severity) AS severity, m.rule AS rule_triggered
           FROM events_p e LEFT JOIN (SELECT seq, max_by(rule, rule_ord) AS rule, max_by(rule_severity, rule_ord) AS sev
@@ -195,6 +201,11 @@ def with_detected(select: str, *ctes: str) -> str:
     return f"WITH {', '.join([*_match_ctes(), *ctes])} {select}"
 
 
+def with_changed_rules(select: str, later: str, changes: dict[str, dict]) -> str:
+    """As ``with_detected``, by rules that change where ``later`` holds."""
+    return f"WITH {', '.join(_match_ctes(later, changes))} {select}"
+
+
 def with_samples(select: str) -> str:
     """``samples`` with the series as text, like Spark's ordered labels."""
     return f"""WITH raw_samples AS ({metric_samples_sql(duckdb=True)}),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +20,11 @@ from vigilog.operators.rate import rate_rules
 from vigilog.plans import oracle as o
 from vigilog.schema import EVENTS, SOURCES
 from vigilog.session import scratch_dir, tune
+from vigilog.sources.commits import EventStore
 from vigilog.sources.event_store import append_events, create_event_table, scan_events
 from vigilog.sources.fixture import REF_YEAR, log_lines, metric_samples
 from vigilog.sources.lines import read_lines, switch_log_path, tail_stream, union_sources
-from vigilog.sources.rules import Rule, load_rules, rules_from
+from vigilog.sources.rules import Rule, load_rules, rule_versions, rules_from, rules_path
 from vigilog.streaming.detection import DetectionStream
 from vigilog.streaming.series import stream_timeline, stream_totals
 
@@ -141,27 +144,50 @@ def _load_rules(spark, sf_dir):
     )
 
 
-# Event tables filled by this process, by application and data folder.
-_TABLES: dict[tuple[str, str], str] = {}
+# Event stores and tables filled by this process, by application, data folder and state of its events.
+_STORES: dict[tuple, EventStore] = {}
+_TABLES: dict[tuple, str] = {}
+
+
+def _state_of(spark, sf_dir) -> tuple:
+    """Names a folder's events as they are now: changed files are read anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return spark.sparkContext.applicationId, sf_dir, files.getContentSummary(path).getLength(), files.getFileStatus(path).getModificationTime()
+
+
+def _store(spark, sf_dir) -> EventStore:
+    """The committed events of a folder: all detected events, written once in a session."""
+    known = _state_of(spark, sf_dir)
+    if known not in _STORES:
+        store = EventStore(spark, scratch_dir(spark, "events"))
+        store.append(detect.detect_events(_events(spark, sf_dir), _rules(spark), staged=True))
+        _STORES[known] = store
+    return _STORES[known]
 
 
 def _stored(spark, sf_dir) -> str:
-    """Name of the event table of a folder: filled with all detected events once in a session."""
-    known = (spark.sparkContext.applicationId, sf_dir)
+    """Name of the event table of a folder, filled once in a session."""
+    known = _state_of(spark, sf_dir)
     if known in _TABLES and spark.catalog.tableExists(_TABLES[known]):
         return _TABLES[known]
     path = scratch_dir(spark, "events")
     name = "log_events_" + path.rsplit("-", 1)[1]
     create_event_table(spark, name, path)
     create_event_table(spark, name, path)
-    append_events(detect.detect_events(_events(spark, sf_dir), _rules(spark), staged=True), name)
+    append_events(_table(spark, sf_dir), name)
     _TABLES[known] = name
     return name
 
 
 def _table(spark, sf_dir) -> DataFrame:
-    """The stored events, which counts, series and listings read."""
-    return scan_events(spark, _stored(spark, sf_dir)).drop("event_date")
+    """The committed events, which counts, series and listings read."""
+    return _store(spark, sf_dir).scan().drop("event_date")
+
+
+def _newest(spark, sf_dir, n: int, severity: str | None = None, source: str | None = None) -> DataFrame:
+    """The days at the end that hold ``n`` events of this severity and source."""
+    return _store(spark, sf_dir).newest(n, severity, source).drop("event_date")
 
 
 @query(
@@ -478,16 +504,36 @@ def _timeline_10s(spark, sf_dir):
     o.with_detected(f"{_TIMELINE} WHERE b.bucket > (SELECT time_bucket(INTERVAL 10 SECOND, max(ts)) FROM detected) - INTERVAL 900 SECOND GROUP BY b.bucket"),
 )
 def _timeline_last_90(spark, sf_dir):
-    """Over the event table: the end of it is all that is read."""
-    name = _stored(spark, sf_dir)
-    start = timeline.last_buckets_start(timeline.time_span(scan_events(spark, name)))
-    return timeline.timeline(scan_events(spark, name, start), since=start).withColumn("bucket", _ts("bucket"))
+    """Over the committed events: the end of them is all that is read."""
+    path = _store(spark, sf_dir).path
+    start = timeline.last_buckets_start(timeline.time_span(scan_events(spark, path)))
+    return timeline.timeline(scan_events(spark, path, start), since=start).withColumn("bucket", _ts("bucket"))
+
+
+_RUNS = """SELECT *, lead(bucket) OVER (ORDER BY bucket) AS following FROM (SELECT time_bucket(INTERVAL 10 SECOND, ts) AS bucket,
+  count(*) FILTER (severity = 'INFO') AS info, count(*) FILTER (severity = 'WARNING') AS warning, count(*) FILTER (severity = 'CRITICAL') AS critical
+  FROM detected GROUP BY 1)"""
 
 
-def _rate_sql(key: str, seconds: int, alias: str | None = None) -> str:
-    return f"""SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, {key} AS {alias or key}, round(count(*) / {seconds}.0, 6) AS rate
-      FROM (SELECT *, unnest([time_bucket(INTERVAL 15 SECOND, ts) - to_seconds(15 * k) for k in range({seconds // 15})]) AS bucket FROM detected)
-      WHERE {key} IS NOT NULL GROUP BY ALL"""
+@query(
+    "timeline_runs",
+    o.with_detected(
+        f"SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, 1::BIGINT AS buckets, info, warning, critical FROM ({_RUNS}) UNION ALL "
+        "SELECT strftime(bucket + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S'), (epoch(following) - epoch(bucket))::BIGINT // 10 - 1, 0, 0, 0 "
+        f"FROM ({_RUNS}) WHERE following > bucket + INTERVAL 10 SECOND"
+    ),
+)
+def _timeline_runs(spark, sf_dir):
+    """The timeline with each run of empty buckets as one row."""
+    return timeline.timeline_runs(_table(spark, sf_dir)).withColumn("bucket", _ts("bucket"))
+
+
+def _rate_sql(key: str, seconds: int, alias: str | None = None, life: int = 300) -> str:
+    """Counts of a step in the windows that cover it, and zeros for ``life`` seconds after it."""
+    copies = f"[{{'bucket': step - to_seconds(15 * k), 'n': CASE WHEN k >= 0 THEN n ELSE 0 END}} for k in range({-life // 15}, {seconds // 15})]"
+    return f"""SELECT strftime(c.bucket, '%Y-%m-%d %H:%M:%S') AS bucket, {key} AS {alias or key}, round(sum(c.n) / {seconds}.0, 6) AS rate
+      FROM (SELECT {key}, unnest({copies}) AS c FROM (SELECT {key}, time_bucket(INTERVAL 15 SECOND, ts) AS step, count(*) AS n
+        FROM detected WHERE {key} IS NOT NULL GROUP BY ALL)) GROUP BY ALL"""
 
 
 def _register_rates() -> None:
@@ -518,14 +564,14 @@ _register_rates()
     o.with_detected("SELECT rule_triggered AS rule, round(count(*) / 300.0, 6) AS rate FROM detected WHERE ts > (SELECT max(ts) FROM detected) - INTERVAL 300 SECOND AND rule_triggered IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"),
 )
 def _topk_rules(spark, sf_dir):
-    name = _stored(spark, sf_dir)
-    _, at = timeline.time_span(scan_events(spark, name))
-    return timeline.topk_rules(scan_events(spark, name, at - timeline.timedelta(seconds=300), at), at)
+    path = _store(spark, sf_dir).path
+    _, at = timeline.time_span(scan_events(spark, path))
+    return timeline.topk_rules(scan_events(spark, path, at - timeline.timedelta(seconds=300), at), at)
 
 
 @query(
     "topk_rules_per_window",
-    o.with_detected(f"SELECT bucket, rule, rate, row_number() OVER (PARTITION BY bucket ORDER BY rate DESC, rule) AS rank FROM ({_rate_sql('rule_triggered', 300, 'rule')}) QUALIFY rank <= 5"),
+    o.with_detected(f"SELECT bucket, rule, rate, row_number() OVER (PARTITION BY bucket ORDER BY rate DESC, rule) AS rank FROM ({_rate_sql('rule_triggered', 300, 'rule', 0)}) QUALIFY rank <= 5"),
 )
 def _topk_rules_per_window(spark, sf_dir):
     return timeline.topk_rules_per_window(_table(spark, sf_dir)).withColumn("bucket", _ts("bucket"))
@@ -615,13 +661,13 @@ def _latest_sql(n: int, where: str = "true") -> str:
 
 @query("latest_events", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM {_latest_sql(100)}"))
 def _latest_events(spark, sf_dir):
-    return _detected_text(search.latest_events(_table(spark, sf_dir)))
+    return _detected_text(search.latest_events(_newest(spark, sf_dir, search.DEFAULT_LIMIT)))
 
 
 @query("validate_limit", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM {_latest_sql(1000)}"))
 def _validate_limit(spark, sf_dir):
     """The largest limit that is accepted; the one above it is not."""
-    events = _table(spark, sf_dir)
+    events = _newest(spark, sf_dir, search.MAX_LIMIT)
     try:
         search.latest_events(events, search.MAX_LIMIT + 1)
     except ValueError:
@@ -631,17 +677,17 @@ def _validate_limit(spark, sf_dir):
 
 @query("search_events", o.with_detected("SELECT " + o.DETECTED_TEXT + " FROM " + _latest_sql(100, "severity = 'CRITICAL' AND source = 'auth'")))
 def _search_events(spark, sf_dir):
-    return _detected_text(search.search_events(_table(spark, sf_dir), "CRITICAL", "auth"))
+    return _detected_text(search.search_events(_newest(spark, sf_dir, search.DEFAULT_LIMIT, "CRITICAL", "auth"), "CRITICAL", "auth"))
 
 
 @query("latest_then_filter", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM {_latest_sql(50)} WHERE severity = 'CRITICAL'"))
 def _latest_then_filter(spark, sf_dir):
-    return _detected_text(search.latest_then_filter(_table(spark, sf_dir), severity="CRITICAL"))
+    return _detected_text(search.latest_then_filter(_newest(spark, sf_dir, search.INITIAL_ROWS), severity="CRITICAL"))
 
 
 @query("live_window_200", o.with_detected("SELECT " + o.DETECTED_TEXT + " FROM " + _latest_sql(200, "source = 'access'")))
 def _live_window_200(spark, sf_dir):
-    return _detected_text(search.live_window(_table(spark, sf_dir), source="access"))
+    return _detected_text(search.live_window(_newest(spark, sf_dir, search.LIVE_ROWS, source="access"), source="access"))
 
 
 # ---- streams: the whole table in time order, in steps, with a restart in between
@@ -660,14 +706,70 @@ def _stream(spark, sf_dir, rules: Callable[[int], Sequence[Rule]]) -> DetectionS
 
 @query("stream_detect_events", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM detected"))
 def _stream_detect_events(spark, sf_dir):
+    """What the stream has committed, read as the event table."""
     rules = _rules(spark)
-    return _detected_text(_stream(spark, sf_dir, lambda step: rules).outputs(spark, "events", EVENTS))
+    return _detected_text(scan_events(spark, f"{_stream(spark, sf_dir, lambda step: rules).out}/events"))
+
+
+# What the rule file says after its change.
+_CHANGES = {"ssh_brute_force": {"threshold": 3}, "firewall_drop_flood": {"threshold": 12}, "sudo_failed": {"severity": "CRITICAL"}}
 
 
-@query("reload_rules", o.with_detected(f"SELECT {o.DETECTED_TEXT} FROM detected"))
+def _changed_rules(spark) -> str:
+    """Path of a rule file with the changes."""
+    with open(rules_path()) as file:
+        content = json.load(file)
+    for rule in content["rules"]:
+        change = _CHANGES.get(rule["name"], {})
+        rule["severity"] = change.get("severity", rule["severity"])
+        if "threshold" in change:
+            rule["conditions"]["rate"]["threshold"] = change["threshold"]
+    path = scratch_dir(spark, "rules")
+    spark.createDataFrame([(json.dumps(content),)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+_SECOND_STEP = "c.seq >= (SELECT min(seq) + (max(seq) + 1 - min(seq)) // 2 FROM log_lines)"
+
+
+@query("reload_rules", o.with_changed_rules(f"SELECT {o.DETECTED_TEXT} FROM detected", _SECOND_STEP, _CHANGES))
 def _reload_rules(spark, sf_dir):
-    """Rules are read anew before every step; the rate state of the steps before is kept."""
-    return _detected_text(_stream(spark, sf_dir, lambda step: _rules(spark)).outputs(spark, "events", EVENTS))
+    """The setting names another rule file before the second step; the rate state of the first step is kept."""
+    settings = [{}, {"RULES_PATH": _changed_rules(spark)}]
+    stream = _stream(spark, sf_dir, lambda step: rules_from(load_rules(spark, rules_path(settings[step]))))
+    return _detected_text(stream.outputs(spark, "events", EVENTS))
+
+
+_IN_FORCE = datetime(2026, 5, 2, 2)
+
+
+@query("rules_as_of", o.with_changed_rules(f"SELECT {o.DETECTED_TEXT} FROM detected", f"c.ts >= TIMESTAMP '{_IN_FORCE}'", _CHANGES))
+def _rules_as_of(spark, sf_dir):
+    """Each event by the rules in force at its time."""
+    versions = rule_versions(spark, {None: None, _IN_FORCE: _changed_rules(spark)})
+    return _detected_text(detect.detect_versions(_events(spark, sf_dir), versions))
+
+
+@query("stream_live_window", o.with_detected("SELECT " + o.DETECTED_TEXT + " FROM " + _latest_sql(200, "source = 'access'")))
+def _stream_live_window(spark, sf_dir):
+    """The live view that the stream keeps, after its last batch."""
+    rules = _rules(spark)
+    return _detected_text(_stream(spark, sf_dir, lambda step: rules).live(spark, source="access"))
+
+
+@query(
+    "compact_events",
+    o.with_detected("SELECT strftime(ts, '%Y-%m-%d') AS event_date, source, severity, count(*) AS n, 1::BIGINT AS files FROM detected GROUP BY ALL"),
+)
+def _compact_events(spark, sf_dir):
+    """The stream's commits gathered: the same events, each day and source in one file at this size."""
+    rules = _rules(spark)
+    store = _stream(spark, sf_dir, lambda step: rules).store(spark)
+    store.compact(keep=0)
+    events = store.scan().withColumn("file", F.input_file_name())
+    files = events.groupBy("event_date", "source").agg(F.count_distinct("file").alias("files"))
+    counts = events.groupBy("event_date", "source", "severity").agg(F.count("*").alias("n"))
+    return counts.join(files, ["event_date", "source"]).withColumn("event_date", F.col("event_date").cast("string"))
 
 
 _LAST_RATED = """SELECT seq, e.ip, max_by(m.rule, rule_ord) AS rule_triggered, max_by(r.severity, rule_ord) AS severity

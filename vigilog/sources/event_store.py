@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilog.functions.timestamps import wall_clock
 from vigilog.schema import EVENTS
+from vigilog.sources.commits import EventStore
 
 _PARTITIONS = ["event_date", "source"]
 
@@ -39,7 +40,12 @@ def append_events(events: DataFrame, name: str) -> None:
 
 
 def scan_events(spark: SparkSession, name: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
-    """Events of the table with ``start <= ts <= end``. The bounds, or a filter on ``source``, prune partitions."""
+    """Events of the table with ``start <= ts <= end``. The bounds, or a filter on ``source``, prune partitions.
+
+    A path instead of a name reads the committed events below it, those of a stream for instance.
+    """
+    if "/" in name:
+        return EventStore(spark, name).scan(start, end)
     events = spark.table(name).select(*[f.name for f in EVENTS.fields], "event_date")
     if start is not None:
         events = events.where((F.col("event_date") >= F.lit(start.date())) & (F.col("ts") >= wall_clock(start)))

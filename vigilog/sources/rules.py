@@ -6,6 +6,7 @@ import os
 import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -67,11 +68,14 @@ def rules_path(env: Mapping[str, str] = os.environ) -> str:
     return env.get("RULES_PATH") or DEFAULT_RULES
 
 
-def load_rules(spark: SparkSession, path: str = DEFAULT_RULES) -> DataFrame:
+def load_rules(spark: SparkSession, path: str | None = None) -> DataFrame:
     """One row per rule with its position; a missing or malformed file gives no rows.
 
+    Without a path the setting ``RULES_PATH`` names the file, else the default rules are read.
+
     A rule that does not fit the layout is left out with a warning; the others hold.
     """
+    path = path or rules_path()
     reader = spark.read.schema("rules ARRAY<STRING>").option("multiLine", True).option("mode", "DROPMALFORMED")
     try:
         content = reader.json(path)
@@ -109,5 +113,11 @@ def rules_from(rules: DataFrame) -> list[Rule]:
     ]
 
 
+def rule_versions(spark: SparkSession, paths: Mapping[datetime | None, str | None]) -> list[tuple[datetime | None, list[Rule]]]:
+    """Rules by the time from which they hold, in order of it; None is the beginning. A handful of files."""
+    times = sorted(paths, key=lambda t: (t is not None, t or datetime.min))
+    return [(t, rules_from(load_rules(spark, paths[t]))) for t in times]
+
+
 def _set_keys(conditions: dict) -> dict:
     return {k: v for k, v in conditions.items() if v is not None}

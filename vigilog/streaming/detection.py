@@ -1,20 +1,25 @@
 """Detection on a stream of lines, with the operators of the batch job.
 
 Each micro-batch is normalised once and evaluated together with the state: the
-recent candidates of the rate rules, at most N per (rule, ip, instant). The state
-is one small table per batch, keyed by rule name, so it survives a restart and a
-change of rules. Everything a batch writes goes to paths named after the batch
-and replaces what is there; a batch that is run again leaves the same result.
+recent candidates of the rate rules, 2 N at most for each cell of time of a (rule, ip).
+The state is one small table per batch, keyed by rule name, so it survives a restart and
+a change of rules. Events are committed under the key of the batch to an ``EventStore``,
+which ``scan_events`` reads; all else a batch writes goes to paths named after the batch
+and replaces what is there. A batch that is run again leaves the same result.
+
+How long a candidate is kept is told by its age since arrival, not by its stamp, so no
+stamp, in the future or long past, makes the stream forget others. Age is the running
+time of the stream: a pause between two batches counts for ``PAUSE_SECONDS`` at most,
+so a stream that was down finds its state, as the lines that waited expect it.
 
 State of one address is not bound to one task, as it would be in a keyed
-stateful operator: the batch's shuffles spread a flooding address by instant
-and time slot.
+stateful operator: the batch's shuffles spread a flooding address by time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime, timezone
+from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -24,21 +29,23 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vigilog.functions.timestamps import wall_clock
-from vigilog.operators.detect import apply_rules, spread_tests
+from vigilog.operators.detect import apply_rules, decide, spread_tests
 from vigilog.operators.normalize import normalize_events, rejected_lines
 from vigilog.operators.outputs import alert_messages, event_feed_json
 from vigilog.operators.rate import (
     constant_tests,
-    first_per_instant,
+    edges_of_cells,
     must_count,
     rate_candidates,
     rate_firings,
+    rate_outcomes,
     rate_rules,
-    with_rate_tests,
 )
+from vigilog.operators.search import LIVE_ROWS, live_window
 from vigilog.operators.stats import events_total
 from vigilog.operators.timeline import timeline_counts
 from vigilog.schema import EVENTS
+from vigilog.sources.commits import COMMITS, EventStore
 from vigilog.sources.rules import Rule
 
 STATE = T.StructType(
@@ -47,10 +54,14 @@ STATE = T.StructType(
         T.StructField("ip_key", T.StringType()),
         T.StructField("us", T.LongType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("age", T.LongType()),  # microseconds since arrival, as of ``at``
+        T.StructField("at", T.LongType()),
     ]
 )
 # Events may be this late and still find the state of their time.
 DELAY_SECONDS = 900
+PAUSE_SECONDS = 60
+_LIVE = T.StructType([*EVENTS.fields, T.StructField("batch", T.LongType())])
 # A batch reads the state of the one before it, so three places are enough.
 _STATE_SLOTS = 3
 
@@ -75,28 +86,35 @@ def number_lines(lines: DataFrame, batch_id: int) -> DataFrame:
 class DetectionStream:
     """Writes events, rejected lines, alerts, feed messages, counters and timeline counts below ``out``.
 
-    ``rate_clock`` is ``event`` (time in the line) or ``processing`` (time of the
-    micro-batch). ``initial_state`` takes over the state of another stream.
+    ``rules`` are a list, or a function that gives the list for a batch: it is called for
+    each batch, so rules can change while the stream runs. ``rate_clock`` is ``event``
+    (time in the line) or ``processing`` (time of the micro-batch). ``initial_state``
+    takes over the state of another stream. Every ``compact_every`` batches the event
+    folders are gathered. ``clock`` gives the time, for tests.
     """
 
     def __init__(
         self,
-        rules: Sequence[Rule],
+        rules: Sequence[Rule] | Callable[[int], Sequence[Rule]],
         out: str,
         *,
         ref_year: int | None = None,
         rate_clock: str = "event",
         delay_seconds: int = DELAY_SECONDS,
         initial_state: str | None = None,
+        compact_every: int = COMMITS,
+        clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     ) -> None:
         if rate_clock not in ("event", "processing"):
             raise ValueError(f"rate_clock must be event or processing: {rate_clock!r}")
-        self.rules = list(rules)
+        self.rules_of = rules if callable(rules) else lambda batch_id, fixed=list(rules): fixed
         self.out = out.rstrip("/")
         self.ref_year = ref_year
         self.rate_clock = rate_clock
         self.delay_seconds = delay_seconds
         self.initial_state = initial_state
+        self.compact_every = compact_every
+        self.clock = clock
 
     def start(self, lines: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run on a stream of ``(source, line)``, with or without ``seq``."""
@@ -114,65 +132,92 @@ class DetectionStream:
     def process(self, lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
         # one fixed time for the batch: all its jobs must see the same
-        now = wall_clock(datetime.now(timezone.utc).replace(tzinfo=None))
+        at = self.clock().astimezone(timezone.utc).replace(tzinfo=None)
+        now = wall_clock(at)
+        rules = list(self.rules_of(batch_id))
+        store = self.store(spark)
         lines = (lines if "ingest_ts" in lines.columns else lines.withColumn("ingest_ts", now)).persist(StorageLevel.DISK_ONLY)
         if "seq" not in lines.columns:
             lines = number_lines(lines, batch_id)
         events = normalize_events(lines, ref_year=self.ref_year).persist(StorageLevel.DISK_ONLY)
         try:
-            self._detect(events, now, batch_id).write.mode("overwrite").parquet(self.path("events", batch_id))
+            store.commit(self._detect(events, rules, at, batch_id), _key(batch_id))
             rejected_lines(lines).write.mode("overwrite").parquet(self.path("rejected", batch_id))
         finally:
             events.unpersist()
             lines.unpersist()
 
-        stored = spark.read.schema(EVENTS).parquet(self.path("events", batch_id))
+        stored = store.scan(key=_key(batch_id)).drop("event_date")
         alert_messages(stored).write.mode("overwrite").parquet(self.path("alerts", batch_id))
         event_feed_json(stored).write.mode("overwrite").parquet(self.path("feed", batch_id))
         events_total(stored).write.mode("overwrite").parquet(self.path("counters", batch_id))
         timeline_counts(stored).write.mode("overwrite").parquet(self.path("timeline", batch_id))
-
-    def _detect(self, events: DataFrame, now: Column, batch_id: int) -> DataFrame:
-        rated = rate_rules(self.rules)
-        clock = "ts"
+        self._newest(stored, batch_id).write.mode("overwrite").parquet(self._live_path(batch_id))
+        if self.compact_every and len(store.keys()) > self.compact_every:
+            store.compact()
+
+    def store(self, spark: SparkSession) -> EventStore:
+        return EventStore(spark, f"{self.out}/events")
+
+    def _live_path(self, batch_id: int) -> str:
+        return f"{self.out}/live/slot={batch_id % _STATE_SLOTS}"
+
+    def _newest(self, stored: DataFrame, batch_id: int) -> DataFrame:
+        """The newest LIVE_ROWS of every source and severity, up to this batch: what any filter of the live view can show."""
+        spark = stored.sparkSession
+        before = spark.createDataFrame([], _LIVE) if batch_id <= 0 else spark.read.schema(_LIVE).parquet(self._live_path(batch_id - 1))
+        rows = stored.unionByName(before.drop("batch"))
+        rank = F.row_number().over(Window.partitionBy("source", "severity").orderBy(F.desc("ts"), F.desc("seq")))
+        return rows.withColumn("_rank", rank).where(F.col("_rank") <= LIVE_ROWS).select(*EVENTS.names, F.lit(batch_id).cast("long").alias("batch"))
+
+    def live(self, spark: SparkSession, severity: str | None = None, source: str | None = None) -> DataFrame:
+        """The live view after the last batch, as ``live_window`` gives it over all events."""
+        slots = spark.read.schema(_LIVE).option("recursiveFileLookup", True).parquet(f"{self.out}/live")
+        last = slots.agg(F.max("batch")).first()[0]
+        return live_window(slots.where(F.col("batch") == F.lit(last)).drop("batch"), severity, source)
+
+    def _detect(self, events: DataFrame, rules: Sequence[Rule], at: datetime, batch_id: int) -> DataFrame:
+        rated = rate_rules(rules)
+        clock, now_us = "ts", (at - datetime(1970, 1, 1)) // timedelta(microseconds=1)
         if self.rate_clock == "processing":
             clock = "_clock"
-            events = events.withColumn(clock, now)
+            events = events.withColumn(clock, wall_clock(at))
+        state = self.state_path(batch_id)
         if not must_count(rated):
             # rules without rates come and go: the state stays for those that have one
-            self._previous(events.sparkSession, batch_id).write.mode("overwrite").parquet(self.state_path(batch_id))
-            return apply_rules(events, self.rules, spread_tests(self.rules, constant_tests(rated)), EVENTS.names)
-        fresh = rate_candidates(events, rated, clock)
-        heads = first_per_instant(fresh.unionByName(self._state(events, rated, batch_id)), rated)
-        named = heads.select(_rule_name(rated).alias("rule"), "ip_key", "us", "seq")
-        state = self.state_path(batch_id)
-        named.write.mode("overwrite").parquet(state)
+            self._previous(events.sparkSession, batch_id).write.mode("overwrite").parquet(state)
+            return apply_rules(events, rules, spread_tests(rules, constant_tests(rated)), EVENTS.names)
+        fresh = rate_candidates(events, rated, clock).withColumn("age", F.lit(0).cast("long"))
+        edges = edges_of_cells(fresh.unionByName(self._state(events.sparkSession, rated, now_us, batch_id)), rated)
+        named = edges.groupBy(_rule_name(rated).alias("rule"), "ip_key", "us", "seq").agg(F.min("age").alias("age"))
+        named.withColumn("at", F.lit(now_us)).write.mode("overwrite").parquet(state)
 
         written = _numbered(events.sparkSession.read.schema(STATE).parquet(state), rated)
-        joined, held = with_rate_tests(events, rate_firings(written, rated), rated, clock)
-        return apply_rules(joined, self.rules, spread_tests(self.rules, held), EVENTS.names)
+        outcomes = rate_outcomes(rate_firings(written.drop("age"), rated), rated)
+        return decide(events, rules, outcomes, EVENTS.names, clock)
 
     def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame:
         previous = self.state_path(batch_id - 1)
         return spark.createDataFrame([], STATE) if previous is None else spark.read.schema(STATE).parquet(previous)
 
-    def _state(self, events: DataFrame, rated: Sequence[Rule], batch_id: int) -> DataFrame:
-        """Candidates of earlier batches that a rate window can still reach.
-
-        What is too old is told by the median time of the state, which stray times of
-        some lines, in the future or far in the past, do not move.
-        """
-        kept = self._previous(events.sparkSession, batch_id)
-        middle = kept.agg(F.percentile_approx("us", 0.5)).first()[0]
-        reach = max(r.rate[1] for r in rated) + self.delay_seconds
-        recent = kept if middle is None else kept.where(F.col("us") >= middle - reach * 1_000_000)
-        return _numbered(recent, rated)
+    def _state(self, spark: SparkSession, rated: Sequence[Rule], now_us: int, batch_id: int) -> DataFrame:
+        """Candidates of earlier batches, as old as now, that a rate window can still reach."""
+        passed = F.least(F.greatest(F.lit(now_us) - F.col("at"), F.lit(0)), F.lit(PAUSE_SECONDS * 1_000_000))
+        aged = _numbered(self._previous(spark, batch_id).withColumn("age", F.col("age") + passed), rated)
+        reach = F.element_at(F.array(*[F.lit((r.rate[1] + self.delay_seconds) * 1_000_000) for r in rated]), F.col("rule_no") + 1)
+        return aged.where(F.col("age") <= reach)
 
     def outputs(self, spark, output: str, schema: T.StructType) -> DataFrame:
         """What all batches have written, e.g. ``outputs(spark, 'events', EVENTS)``."""
+        if output == "events":
+            return self.store(spark).scan().select(*schema.names)
         return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{self.out}/{output}")
 
 
+def _key(batch_id: int) -> str:
+    return f"batch-{batch_id}"
+
+
 def _rule_name(rated: Sequence[Rule]) -> Column:
     return F.element_at(F.array(*[F.lit(r.name) for r in rated]), F.col("rule_no") + 1)
 
@@ -180,4 +225,4 @@ def _rule_name(rated: Sequence[Rule]) -> Column:
 def _numbered(state: DataFrame, rated: Sequence[Rule]) -> DataFrame:
     """State by position of the rule; rows of rules that are gone are dropped."""
     position = reduce(lambda col, ir: col.when(F.col("rule") == ir[1].name, F.lit(ir[0])), enumerate(rated), F)
-    return state.select(position.alias("rule_no"), "ip_key", "us", "seq").where(F.col("rule_no").isNotNull())
+    return state.select(position.alias("rule_no"), "ip_key", "us", "seq", "age").where(F.col("rule_no").isNotNull())
