@@ -1,13 +1,16 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
-from vigilog.llm import common
+from vigilog.llm import common, jaccard_join
 from vigilog.llm.components import components
 from vigilog.llm.jaccard_join import jaccard_components, keep_one_of_each, prefix_size
 from vigilog.llm.membership import Membership
-from vigilog.llm.words import shingle_set, split_words, WordHashes
+from vigilog.llm.words import WordHashes, shingle_set, split_words, word_hashes
 
 from .conftest import odd_rows, prose
 
@@ -17,8 +20,8 @@ def shingles(text):
     return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def brute(rows):
-    """(doc_id, n_shingles, component_id) by comparing all pairs."""
+def linked(rows):
+    """The set of each row, and which component it is in, by comparing all pairs."""
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -32,11 +35,29 @@ def brute(rows):
             a, b = sets[i], sets[j]
             if a and b and 100 * len(a & b) >= 80 * len(a | b):
                 root[find(i)] = find(j)
+    return sets, [find(k) for k in range(len(rows))]
+
+
+def brute(rows):
+    """(doc_id, n_shingles, component_id) by comparing all pairs."""
+    sets, component = linked(rows)
     least = {}
-    for k, (i, _) in enumerate(rows):
+    for (i, _), c in zip(rows, component):
         if i is not None:
-            least[find(k)] = min(least.get(find(k), i), i)
-    return sorted(((i, len(s), i if not s else least.get(find(k))) for k, ((i, _), s) in enumerate(zip(rows, sets))), key=str)
+            least[c] = min(least.get(c, i), i)
+    return sorted(((i, len(s), i if not s else least.get(c)) for (i, _), s, c in zip(rows, sets, component)), key=str)
+
+
+def one_of_each(rows):
+    """Of each component the ids that may stay, of which one row does, and all rows without words."""
+    sets, component = linked(rows)
+    groups = {}
+    for (i, t), s, c in zip(rows, sets, component):
+        if s:
+            groups.setdefault(c, []).append((i is None, i, t))
+    stays = [sorted({(i, t) for none, i, t in g if (none, i) == min((n, x) for n, x, _ in g)}, key=str) if len({n for n, _, _ in g}) == 1 else
+             sorted({(i, t) for _, i, t in g if i == min(x for n, x, _ in g if not n)}, key=str) for g in groups.values()]
+    return stays, [r for r, s in zip(rows, sets) if not s]
 
 
 def edited(text, seed, most):
@@ -74,12 +95,66 @@ def test_empty_table(empty):
     assert jaccard_components(empty).count() == 0
 
 
-def test_one_of_each_group_stays(odd):
-    kept = keep_one_of_each(odd)
-    assert kept.columns == odd.columns
-    ids = sorted((r.doc_id for r in kept.collect() if r.doc_id is not None))
-    assert ids == [-14, 1, 2, 3, 4, 7, 9, 11, 12, 13]
-    assert sum(r.doc_id is None for r in kept.collect()) == 2
+def check_kept(kept, rows):
+    stays, empty = one_of_each(rows)
+    left = [tuple(r) for r in kept]
+    assert len(left) == len(stays) + len(empty)
+    for choices in stays:
+        assert sum(r in choices for r in left) == 1, choices
+    for row in set(empty):
+        assert left.count(row) == empty.count(row)
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Ids that several texts bear, rows that are there several times, copies without an id."""
+    a, b, c, d, e, f = (prose(k, 70) for k in range(6))
+    rows = [(1, a), (1, b), (2, c), (5, c), (5, d), (None, e), (None, e + " more"), (8, f), (8, f), (8, f), (9, f)]
+    rows += [(None, None), (None, None), (None, ""), (3, " "), (6, a + " x"), (None, d + " y"), (None, "two words"), (None, "two words")]
+    kept = keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_kept(kept, rows)
+    assert {(1, a), (1, b), (2, c), (5, d), (8, f)} <= set(map(tuple, kept))
+    unique = [(i, prose(i, 60)) for i in range(5)] + [(7, prose(3, 60))]
+    check_kept(keep_one_of_each(spark.createDataFrame(unique, "doc_id long, text string")).collect(), unique)
+
+
+def test_one_of_each_with_clashing_columns(odd, empty):
+    for name in ("__gone", "id", "text_key", "stays", "other", "root"):
+        rows = odd.withColumnRenamed("source", name)
+        kept = keep_one_of_each(rows)
+        assert kept.columns == rows.columns
+    check_kept([r[:2] for r in kept.collect()], [r[:2] for r in odd_rows()])
+    assert keep_one_of_each(empty).collect() == []
+
+
+def test_hot_keys_and_memory_bounds_change_nothing(spark, monkeypatch):
+    """Hubs whose key many classes share are joined apart; tasks that remember few sets store some twice; many small chunks."""
+    monkeypatch.setattr(common, "WIDE_SHARE", 4)
+    monkeypatch.setattr(jaccard_join, "PER_TASK", 3)
+    check(spark, [(i, edited(prose(i % 3, 90), i, 5)) for i in range(60)] + [(100 + i, prose(i % 4, 30)) for i in range(20)])
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text_key": i, "text": prose(i % 7, 40 + i % 7)} for i in range(60)])
+    for seen, counted in ((3, 100), (10**6, 10**6)):
+        monkeypatch.setattr(jaccard_join, "SEEN", seen)
+        monkeypatch.setattr(jaccard_join, "COUNTED", counted)
+        monkeypatch.setattr(jaccard_join.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 5)))
+        table = pa.Table.from_batches(jaccard_join._describe(iter([batch, batch])))
+        stored = {}
+        for part in table.filter(pc.is_valid(table["chunk"])).select(list(jaccard_join._CHUNK)).to_batches():
+            for sids, sets in jaccard_join._stored_sets(iter([part])):
+                stored.update(zip(sids, sets))
+        texts = table.filter(pc.is_valid(table["digest"])).to_pylist()
+        assert len(texts) == 120
+        for r in texts:
+            assert r["n"] == len(stored[r["sid"]]) and jaccard_join._digest(stored[r["sid"]]) == r["digest"]
+
+
+def test_words_of_many_texts_at_once():
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abÀß日 \t\n\x0b\x1c\x85ZQ") for _ in range(rng.randrange(30))) for _ in range(500)] + [None, "", "  "]
+    h = WordHashes()
+    for array in (pa.array(texts), pa.array(texts).slice(17, 300)):
+        found, ends = word_hashes(array, h)
+        split = np.split(found, ends[:-1])
+        assert [x.tolist() for x in split] == [h.of(split_words(t)).tolist() for t in array.to_pylist()]
 
 
 def test_prefix_filter_loses_no_pair():

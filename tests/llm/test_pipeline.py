@@ -13,8 +13,7 @@ from vigilog.llm.sentencepiece_viterbi import MODEL
 
 from .conftest import SCHEMA, odd_rows, prose
 from .test_decontamination import brute as leaks
-from .test_jaccard_join import brute as groups
-from .test_jaccard_join import edited
+from .test_jaccard_join import edited, one_of_each
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -38,12 +37,10 @@ def tables(spark, tmp_path_factory):
 def test_stages_and_result(spark, tables):
     good = {r.doc_id for r in quality_rules(spark.createDataFrame(tables.rows, SCHEMA)).where("kept").collect()}
     left = [r for r in tables.rows if r[0] in good and not (r[0] is None and r[1] is None)]
-    least = {i: c for i, _, c in groups([r[:2] for r in left])}
-    seen, kept = set(), []
-    for r in left:
-        if r[0] is None or least[r[0]] == r[0] and r[0] not in seen:
-            seen.add(r[0])
-            kept.append(r)
+    stays, empty = one_of_each([r[:2] for r in left])
+    assert not empty and all(len(choices) == 1 for choices in stays)
+    by_row = {r[:2]: r for r in left}
+    kept = [by_row[choices[0]] for choices in stays]
     kept = [r for r in kept if not leaks(r[1], tables.items)]
     scan, library = Scanner(), sentencepiece.SentencePieceProcessor(model_file=MODEL)
     expected = []

@@ -38,6 +38,21 @@ def light(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= LIGHT_ROWS else df
 
 
+WIDE_SHARE = 1000
+
+
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], members: str, total: int) -> DataFrame:
+    """Inner join with ``right``, which has each key once and in ``members`` how many rows of ``left`` bear it.
+
+    Keys that more than one in WIDE_SHARE of the ``total`` rows bear are joined apart, by a
+    broadcast: there are fewer than WIDE_SHARE. So no key meets in one task with more than that
+    share of the rows.
+    """
+    wide = F.col(members) > total // WIDE_SHARE
+    spread = left.join(F.broadcast(right.where(wide)), keys)
+    return spread.unionByName(left.join(F.broadcast(right.where(wide).select(*keys)), keys, "left_anti").join(right.where(~wide), keys))
+
+
 _SHIPPED: set[str] = set()
 
 

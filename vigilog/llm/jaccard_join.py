@@ -6,44 +6,51 @@ passes this test under every one of several orders; survivors are compared exact
 
 Steps
 1. Texts with the same set form one class; a hot copied text is one class from here on.
+   Texts are read once: the sets are stored in chunks, which all later steps read.
 2. The very first tokens under random orders tie classes to the most typical class that
    shares several of them. Pairs found so are verified, and components formed. This links
    near all of a large group of near copies by a star instead of all its pairs.
 3. The full prefix filter under the main order (rare tokens first, so that passages many
    texts share come last) then finds every pair whose classes lie in different components
-   and share a token early enough in both for their sizes, and enough of them in all. The
-   other orders' prefixes are intersected before the sets are compared.
+   and share a token early enough in both for their sizes, and enough of them in all.
+4. Of what is left the prefixes under the other orders are fetched and intersected pair by
+   pair. Only pairs that share a token under every order have their sets fetched and compared.
 
 The result is exact: the first pass only takes away pairs that are connected already.
 
 Defined cases: null and empty texts have an empty set and are linked with nothing; a row
 without an id takes part through its text, but is nobody's ``component_id`` (its own is
-that of its component, null if no member has an id); repeated rows each get a row; an
-empty table gives none. Only the two named columns are read.
+that of its component, null if no member has an id); ids are integers, other types are an
+error; repeated rows each get a row; an empty table gives none. Only the two named columns
+are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.common import light, ship
+from vigilog.llm.common import clash_free, join_counted, light, ship
 from vigilog.llm.components import components
 from vigilog.llm.membership import Membership
-from vigilog.llm.words import WordHashes, pieces, shingle_set, split_words
+from vigilog.llm.words import SHINGLE, WordHashes, distinct, pieces, sequence_hashes, shingle_set, word_hashes
 from vigilog.session import materialize
 
 PERCENT = 80
 ORDERS = 3  # prefixes that a pair must share under each of
 FIRST_TOKENS = 6  # orders whose first token ties classes in step 2
 FIRST_SHARED = 2
-COUNTED = 1_000_000  # tokens that a task counts at a time
+COUNTED = 1_000_000  # tokens in a chunk of sets, about; those that several sets of it hold are counted
+SLICE = 16_000_000  # bytes of text read together, about
+SEEN = 200_000  # sets a task remembers
 RANKED = 1 << 20  # most tokens with a rank of their own in the main order, 9 bytes each
 PER_TASK = 4_000  # members compared with one copy of a class
 
@@ -68,94 +75,151 @@ def _first_in_order(tokens: np.ndarray, keys: np.ndarray, percent: int) -> np.nd
     return tokens[at[np.argsort(keys[at])]]
 
 
-def _digest(tokens: np.ndarray) -> bytes:
-    return blake2b(tokens.tobytes(), digest_size=16).digest()
+def _node(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Ids and sets, some texts at a time."""
-    hashes = WordHashes()
-    for batch in batches:
-        for part in pieces(batch, 1):
-            yield part.column(0).to_pylist(), [shingle_set(hashes.of(split_words(t))) for t in part.column(1).to_pylist()]
-
-
-def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[bytes, tuple[int | None, np.ndarray]]]:
-    """Of some texts at a time, by digest, the least id and the set; empty sets are left out."""
-    for ids, sets in _sets(batches):
-        found = {}
-        for i, s in zip(ids, sets):
-            if len(s) and ((d := _digest(s)) not in found or i is not None and (found[d][0] is None or i < found[d][0])):
-                found[d] = i, s
-        yield found
-
+def _digest(tokens: np.ndarray) -> bytes:
+    return blake2b(tokens.tobytes(), digest_size=16).digest()
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per text, and rows with the tokens that several of a task's sets hold."""
-    multipliers = [_multiplier(k) for k in range(FIRST_TOKENS)]
-    waiting, size, seen = [], 0, set()
-
-    def rows(**columns) -> pa.RecordBatch:
-        n = len(next(iter(columns.values())))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _DESCRIBED], schema=_DESCRIBED
-        )
-
-    def often() -> pa.RecordBatch:
-        token, count = np.unique(np.concatenate(waiting), return_counts=True)
-        return rows(token=token[count > 1].view(np.int64), seen=count[count > 1])
-
-    for ids, sets in _sets(batches):
-        digests = [_digest(s) for s in sets]
-        first = [[int(s.view(np.int64)[(s * m).argmin()]) for m in multipliers] if len(s) else [] for s in sets]
-        yield rows(
-            doc_id=ids, n=[len(s) for s in sets], digest=digests, node=np.frombuffer(b"".join(d[:8] for d in digests), np.int64), first=first
-        )
-        for s, d in zip(sets, digests):
-            if len(s) and d not in seen:
-                seen.add(d)
-                waiting.append(s)
-                size += len(s)
-        if size >= COUNTED:
-            yield often()
-            waiting, size, seen = [], 0, set()
-    if waiting:
-        yield often()
 
+# A set's number is that of its chunk, and its place in it; a chunk's is that of its task, and its place there.
+_PLACE_BITS = 20
 
 _DESCRIBED = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("text_key", pa.int64()),
         ("n", pa.int64()),
         ("digest", pa.binary()),
         ("node", pa.int64()),
+        ("sid", pa.int64()),
         ("first", pa.list_(pa.int64())),
+        ("chunk", pa.int64()),
+        ("nodes", pa.list_(pa.int64())),
+        ("sizes", pa.list_(pa.int64())),
+        ("tokens", pa.binary()),
         ("token", pa.int64()),
         ("seen", pa.int64()),
     ]
 )
+_DESCRIBED_SQL = (
+    "doc_id long, text_key long, n long, digest binary, node long, sid long, first array<long>, "
+    "chunk long, nodes array<long>, sizes array<long>, tokens binary, token long, seen long"
+)
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _DESCRIBED], schema=_DESCRIBED
+    )
+
+
+def _text_sets(texts: pa.Array, hashes: WordHashes) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of each text."""
+    words, ends = word_hashes(texts, hashes)
+    runs = sequence_hashes(words, SHINGLE)
+    low = 0
+    for high in ends.tolist():
+        n = high - low
+        yield distinct(runs[low : high - SHINGLE + 1]) if n >= SHINGLE else shingle_set(words[low:high])
+        low = high
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per text, rows with the sets in chunks, and rows with the tokens that several sets of a chunk hold.
+
+    A set is stored once for the texts a task meets in a row (SEEN of them at most); copies
+    in other tasks are stored there, too, and left aside when classes are formed.
+    """
+    multipliers = np.array([_multiplier(k) for k in range(FIRST_TOKENS)])[:, None]
+    hashes, seen = WordHashes(), {}
+    waiting: list[np.ndarray] = []
+    nodes: list[int] = []
+    size, chunk = 0, TaskContext.get().partitionId() << _PLACE_BITS
+
+    def stored() -> Iterator[pa.RecordBatch]:
+        tokens = np.concatenate(waiting)
+        yield _rows(chunk=[chunk], nodes=[nodes], sizes=[[len(s) for s in waiting]], tokens=[tokens.tobytes()])
+        token, count = np.unique(tokens, return_counts=True)
+        yield _rows(token=token[count > 1].view(np.int64), seen=count[count > 1])
+
+    for batch in batches:
+        for part in pieces(batch, 2, SLICE):
+            digests, sids, sizes, first = [], [], [], []
+            for s in _text_sets(part.column(2), hashes):
+                digest = _digest(s)
+                if len(s) and digest not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen[digest] = chunk << _PLACE_BITS | len(waiting), (s.view(np.int64)[(s * multipliers).argmin(1)]).tolist()
+                    waiting.append(s)
+                    nodes.append(_node(digest))
+                    size += len(s)
+                sid, tokens = seen[digest] if len(s) else (None, [])
+                digests.append(digest)
+                sids.append(sid)
+                sizes.append(len(s))
+                first.append(tokens)
+                if size >= COUNTED or len(waiting) >= (1 << _PLACE_BITS) - 1:
+                    yield from stored()
+                    waiting, nodes, size, chunk = [], [], 0, chunk + 1
+            yield _rows(
+                doc_id=part.column(0), text_key=part.column(1), n=sizes, digest=digests, node=[_node(d) for d in digests], sid=sids, first=first
+            )
+    if waiting:
+        yield from stored()
+
+
+def _stored_sets(batches: Iterator[pa.RecordBatch], wanted: Membership | None = None) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Numbers and sets of each chunk (chunk, nodes, sizes, tokens), of those only whose node may be ``wanted``."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            chunk, nodes, sizes, tokens = (batch.column(c)[row] for c in range(4))
+            ends = np.cumsum(np.asarray(sizes.values)).tolist()
+            tokens = np.frombuffer(tokens.as_buffer(), np.uint64)
+            keep = range(len(ends)) if wanted is None else np.flatnonzero(wanted.may_hold(np.asarray(nodes.values))).tolist()
+            base = chunk.as_py() << _PLACE_BITS
+            yield [base | k for k in keep], [tokens[ends[k - 1] if k else 0 : ends[k]] for k in keep]
+
+
+_CHUNK = ("chunk", "nodes", "sizes", "tokens")
 
 
 def _prefixes(common: np.ndarray, level: np.ndarray, percent: int):
     """Of each set its prefix under the main order: rare tokens first, then by a hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _distinct_sets(batches):
+        for sids, sets in _stored_sets(batches):
             prefixes = []
-            for _, s in found.values():
+            for s in sets:
                 keys = (s * _multiplier(0)) >> np.uint64(6)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     keys |= np.where(common[at] == s, level[at], 0).astype(np.uint64) << np.uint64(58)
                 prefixes.append(_first_in_order(s, keys, percent).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], names=["cid", "prefix"])
+
+    return run
+
+
+def _other_prefixes(wanted: Membership, percent: int):
+    """Of each set its prefixes under the other orders, as 32 bits of the tokens: enough to rule pairs out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sids, sets in _stored_sets(batches, wanted):
+            short = [[(_first(s, s * _multiplier(k), percent) >> np.uint64(32)).astype(np.uint32).view(np.int32) for s in sets] for k in range(1, ORDERS)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.binary()), pa.array([i for i, _ in found.values()], pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["digest", "doc_id", "prefix"],
+                [pa.array(sids, pa.int64()), *[pa.array(p, pa.list_(pa.int32())) for p in short]], names=["cid", *_OTHERS]
             )
 
     return run
 
 
+_OTHERS = [f"p{k}" for k in range(1, ORDERS)]
+
+
 def _kept_tokens(wanted: Membership):
     """A row for each token of a prefix that other components may have."""
 
@@ -178,13 +242,9 @@ def _kept_tokens(wanted: Membership):
 
 def _wanted_sets(wanted: Membership):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _distinct_sets(batches):
-            keep = wanted.may_hold(np.frombuffer(b"".join(d[:8] for d in found), np.int64))
-            kept = [(d, i, s.tobytes()) for (d, (i, s)), k in zip(found.items(), keep) if k]
-            columns = list(zip(*kept)) or [(), (), ()]
+        for sids, sets in _stored_sets(batches, wanted):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())],
-                names=["digest", "doc_id", "tokens"],
+                [pa.array(sids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "tokens"]
             )
 
     return run
@@ -193,50 +253,63 @@ def _wanted_sets(wanted: Membership):
 def _compare(percent: int):
     """Rows come sorted: a class's own set, then those to compare with it."""
 
-    def prefixes(s: np.ndarray) -> list[np.ndarray]:
-        return [_first(s, s * _multiplier(k), percent) for k in range(1, ORDERS)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, own, own_first = None, None, None
+        key, own = None, None
         for batch in batches:
             a, b = [], []
             for pivot, salt, member, tokens in zip(*(batch.column(c).to_pylist() for c in range(4))):
                 s = np.frombuffer(tokens, np.uint64)
                 if member is None:
-                    key, own, own_first = (pivot, salt), s, prefixes(s)
+                    key, own = (pivot, salt), s
                     continue
                 if key != (pivot, salt):
                     raise ValueError("a class without its own set")
-                if all(len(np.intersect1d(x, y, True)) for x, y in zip(own_first, prefixes(s))):
-                    both = len(np.intersect1d(own, s, True))
-                    if 100 * both >= percent * (len(own) + len(s) - both):
-                        a.append(pivot)
-                        b.append(member)
+                merged = np.sort(np.concatenate((own, s)))
+                both = int((merged[1:] == merged[:-1]).sum())
+                if 100 * both >= percent * (len(own) + len(s) - both):
+                    a.append(pivot)
+                    b.append(member)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["u", "v"])
 
     return run
 
 
-def _verify(texts: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _in_every_order(chunks: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share a prefix token under the other orders as well."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = materialize(ends.join(classes.select("cid", "node"), "cid"), "ends")
+    short = chunks.mapInArrow(
+        _other_prefixes(Membership.of(wanted, F.col("node")), percent), "cid long, " + ", ".join(f"{p} array<int>" for p in _OTHERS)
+    )
+    held = materialize(short.join(light(wanted.select("cid")), "cid", "left_semi"), "orders")
+    a, b = (held.select(F.col("cid").alias(side), *[F.col(p).alias(side + p) for p in _OTHERS]) for side in "ab")
+    total = pairs.count()
+    counted = materialize(pairs.groupBy("a").agg(F.count("*").alias("_m")).join(a, "a"), "firsts")
+    both = join_counted(pairs, counted, ["a"], "_m", total).drop("_m")
+    counted = materialize(pairs.groupBy("b").agg(F.count("*").alias("_m")).join(b, "b"), "seconds")
+    both = join_counted(both, counted, ["b"], "_m", total)
+    shared = [F.arrays_overlap(F.col("a" + p), F.col("b" + p)) for p in _OTHERS]
+    return both.where(reduce(Column.__and__, shared)).select("a", "b")
+
+
+def _verify(chunks: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of class numbers whose sets reach the threshold, as (u, v).
 
-    Sets are made anew from the texts, only of classes in a pair. A class with many
-    partners is copied, so that no task compares more than about PER_TASK of them with it.
+    Only sets of classes in a pair are fetched. A class with many partners is copied, so
+    that no task compares more than about PER_TASK of them with it.
     """
     pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
-    parts = pairs.groupBy("a").agg(F.floor(F.count("*") / PER_TASK).cast("int").alias("last"))
-    salted = pairs.join(parts, "a").select(
+    parts = materialize(pairs.groupBy("a").agg(F.count("*").alias("_m")).withColumn("last", F.floor(F.col("_m") / PER_TASK).cast("int")), "parts")
+    salted = join_counted(pairs, parts, ["a"], "_m", pairs.count()).select(
         "a", F.pmod(F.xxhash64("b"), F.col("last") + 1).cast("int").alias("salt"), "b", F.col("b").alias("cid")
     )
     own = parts.select(
         "a", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("salt"), F.lit(None).cast("long").alias("b"), F.col("a").alias("cid")
     )
-    named = classes.select("cid", "digest", "node", "first_id")
-    needs = materialize(salted.union(own).join(named, "cid").drop("cid"), "needs")
-    sets = texts.mapInArrow(_wanted_sets(Membership.of(needs, F.col("node"))), "digest binary, doc_id long, tokens binary")
-    needed = light(needs.withColumnRenamed("digest", "d"))
+    needs = materialize(salted.union(own).join(classes.select("cid", "node"), "cid"), "needs")
+    sets = chunks.mapInArrow(_wanted_sets(Membership.of(needs, F.col("node"))), "cid long, tokens binary")
     ordered = (
-        sets.join(needed, (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
+        sets.join(light(needs.drop("node")), "cid")
         .select("a", "salt", "b", "tokens")
         .repartition("a", "salt")
         .sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
@@ -255,27 +328,26 @@ def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
     tokens are shared by most. An original is closer to its edited copies than they are
     to each other, and has the tokens that most of them keep.
     """
-    first = classes.select("cid", "n", "copies", F.posexplode("first").alias("k", "token"))
-    shared = first.groupBy("k", "token").agg(F.count("*").alias("members")).where("members > 1")
-    keyed = materialize(first.join(shared, ["k", "token"]), "keyed")
+    first = materialize(classes.select("cid", "n", "copies", F.posexplode("first").alias("k", "token")), "first")
+    total = first.count()
+    shared = materialize(first.groupBy("k", "token").agg(F.count("*").alias("members")).where("members > 1"), "shared")
+    keyed = materialize(join_counted(first, shared, ["k", "token"], "members", total), "keyed")
     typical = keyed.groupBy("cid").agg(F.sum("members").alias("typical"))
-    hubs = (
+    hubs = materialize(
         keyed.join(typical, "cid")
-        .groupBy("k", "token")
+        .groupBy("k", "token", "members")
         .agg(F.max(F.struct("typical", "copies", (-F.col("cid")).alias("minus"), F.col("n").alias("size"))).alias("hub"))
-        .select("k", "token", (-F.col("hub.minus")).alias("a"), F.col("hub.size").alias("size"))
+        .select("k", "token", "members", (-F.col("hub.minus")).alias("a"), F.col("hub.size").alias("size")),
+        "hubs",
     )
-    tied = keyed.join(hubs, ["k", "token"]).where((F.col("cid") != F.col("a")) & _alike("n", "size", percent))
+    tied = join_counted(keyed.drop("members"), hubs, ["k", "token"], "members", total).where((F.col("cid") != F.col("a")) & _alike("n", "size", percent))
     return tied.groupBy("a", F.col("cid").alias("b")).count().where(F.col("count") >= FIRST_SHARED)
 
 
-def _cross_pairs(texts: DataFrame, classes: DataFrame, common: tuple[np.ndarray, np.ndarray], percent: int) -> DataFrame:
+def _cross_pairs(chunks: DataFrame, classes: DataFrame, common: tuple[np.ndarray, np.ndarray], percent: int) -> DataFrame:
     """Pairs of classes of different components that pass the main order's prefix filter."""
-    prefixes = materialize(texts.mapInArrow(_prefixes(*common, percent), "digest binary, doc_id long, prefix array<long>"), "prefixes")
-    named = light(classes.select(F.col("digest").alias("d"), "first_id", "comp", "cid", "n"))
-    held = prefixes.join(named, (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select(
-        "prefix", "comp", "cid", "n"
-    )
+    prefixes = materialize(chunks.mapInArrow(_prefixes(*common, percent), "cid long, prefix array<long>"), "prefixes")
+    held = prefixes.join(light(classes.select("comp", "cid", "n")), "cid").select("prefix", "comp", "cid", "n")
     shared = materialize(
         held.select(F.explode("prefix").alias("token"), "comp")
         .groupBy("token")
@@ -310,19 +382,18 @@ def _cross_pairs(texts: DataFrame, classes: DataFrame, common: tuple[np.ndarray,
     return counted.select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+def _labelled(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text_key, n, root, component_id) for every row; ``root`` names its component, null for an empty set."""
     ship(docs.sparkSession)
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    described = materialize(
-        texts.mapInArrow(_describe, "doc_id long, n long, digest binary, node long, first array<long>, token long, seen long"), "sets"
-    )
-    rows = described.where("digest IS NOT NULL").select("doc_id", "n", "digest", "node", "first")
+    value = F.col(text).cast("string")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(value).alias("text_key"), value.alias("text"))
+    described = materialize(texts.mapInArrow(_describe, _DESCRIBED_SQL), "sets")
+    rows = described.where("digest IS NOT NULL").select("doc_id", "text_key", "n", "digest", "node", "sid", "first")
+    chunks = described.where("chunk IS NOT NULL").select(*_CHUNK)
     classes = materialize(
         rows.where("n > 0")
         .groupBy("digest", "node", "n", "first")
-        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-        .withColumn("cid", F.monotonically_increasing_id()),
+        .agg(F.min("sid").alias("cid"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies")),
         "classes",
     )
     ranks = (
@@ -332,15 +403,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, doc_id: str = "d
     level = np.minimum(np.log2(ranks.column("seen").to_numpy().astype(float)).astype(np.int64), 63)
     order = np.argsort(common)
 
-    tied = materialize(components(_verify(texts, classes, _star_pairs(classes, percent), percent)), "tied")
+    tied = materialize(components(_verify(chunks, classes, _star_pairs(classes, percent), percent)), "tied")
     comps = materialize(
         classes.join(light(tied), classes["cid"] == tied["node"], "left").select(
             classes["*"], F.coalesce("root", "cid").alias("comp")
         ),
         "comps",
     )
-    pairs = _cross_pairs(texts, comps, (common[order], level[order].astype(np.uint8)), percent)
-    links = _verify(texts, comps, pairs, percent)
+    pairs = materialize(_cross_pairs(chunks, comps, (common[order], level[order].astype(np.uint8)), percent), "cross")
+    links = _verify(chunks, comps, _in_every_order(chunks, comps, pairs, percent), percent)
     comp_of = comps.select("cid", "comp")
     edges = links.join(comp_of.select(F.col("cid").alias("u"), F.col("comp").alias("cu")), "u").join(
         comp_of.select(F.col("cid").alias("v"), F.col("comp").alias("cv")), "v"
@@ -353,19 +424,42 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, doc_id: str = "d
         "rooted",
     )
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = materialize(rooted.join(least, "root").select("digest", "component_id"), "labels")
-    return rows.join(light(labels), "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    labels = materialize(rooted.join(least, "root").select("digest", "root", "component_id"), "labels")
+    return rows.select("doc_id", "text_key", "n", "digest").join(light(labels), "digest", "left").drop("digest")
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    found = _labelled(docs, percent, doc_id, text)
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, that of the least id; rows without an id stay."""
-    found = materialize(jaccard_components(docs, percent, doc_id, text), "components")
-    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    left = docs.join(light(gone), docs[doc_id] == F.col("__gone"), "left_anti")
-    repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return left
-    # an id that several rows bear: one of them stays
-    return left.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(left.where(F.col(doc_id).isNull()))
+    """``docs`` with one row of each component: of the least id (null last), then of the least text checksum, then any of equal rows.
+
+    Rows are told apart by id and text, so rows of one id with different texts are judged
+    apart, and copies without an id are copies as well. Rows with an empty set all stay.
+    """
+    found = materialize(_labelled(docs, percent, doc_id, text).where("n > 0").select("doc_id", "text_key", "root"), "components")
+    which = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    keys = found.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("rows"))
+    firsts = keys.groupBy("root").agg(F.min(which).alias("first"), F.count("*").alias("members"))
+    total = materialize(keys, "keys")
+    chosen = materialize(firsts, "firsts")
+    judged = join_counted(total, chosen, ["root"], "members", total.count()).select(
+        F.col("doc_id").alias("id"), "text_key", F.expr("first.doc_id <=> doc_id AND first.text_key = text_key").alias("stays"), "rows"
+    )
+    odd = materialize(judged.where("NOT stays OR rows > 1"), "odd")
+
+    safe, names = clash_free(docs)
+    keyed = safe.withColumns({"id": F.col(names[doc_id]).cast("long"), "text_key": F.xxhash64(F.col(names[text]).cast("string"))})
+    o = odd.select(F.col("id").alias("other"), F.col("text_key").alias("other_key"), "stays")
+    same = keyed["id"].eqNullSafe(F.col("other")) & (keyed["text_key"] == F.col("other_key"))
+    back = [F.col(new).alias(old) for old, new in names.items()]
+    if not odd.where("stays").limit(1).count():
+        return keyed.join(light(o), same, "left_anti").select(*back)
+    marked = keyed.join(light(o), same, "left")
+    single = marked.where("other_key IS NULL").select(*back)
+    # rows that are there several times: one of them stays
+    return single.unionByName(marked.where("stays").dropDuplicates(["id", "text_key"]).select(*back))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from xxhash import xxh3_64_intdigest
 
 SHINGLE = 5
@@ -37,6 +37,22 @@ def split_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def word_hashes(texts: pa.Array, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts (strings), as one array, and where each text's words end.
+
+    The words are told apart first, so that each distinct one is hashed and looked up once.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, ends = lists.flatten(), np.asarray(lists.offsets)[1:].astype(np.int64)
+    filled = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)  # white space at an end leaves an empty word
+    known = words.cast(pa.binary()).dictionary_encode()
+    found = hashes.of(known.dictionary.to_pylist())[known.indices.to_numpy()]
+    if not filled.all():
+        ends = np.append(0, np.cumsum(filled))[ends]
+        found = found[filled]
+    return found, ends
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(30))) * _MIX_A
     values = (values ^ (values >> np.uint64(27))) * _MIX_B
@@ -58,13 +74,18 @@ def sequence_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 def shingle_set(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingles; a shorter text is one shingle, an empty one has none."""
-    found = np.sort(sequence_hashes(words, min(size, max(1, len(words)))))
+    return distinct(sequence_hashes(words, min(size, max(1, len(words)))))
+
+
+def distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    found = np.sort(numbers)
     return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
 
 
 def pieces(batch: pa.RecordBatch, column: int, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` that hold about ``most_bytes`` of text, one row at least."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
     part = np.cumsum(sizes) // most_bytes
     starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows] if batch.num_rows else [0]
     for low, high in zip(starts, starts[1:]):
