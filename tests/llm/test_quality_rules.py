@@ -1,11 +1,14 @@
 import re
 from collections import Counter
 
+import duckdb
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from vigilog.llm.quality_rules import Rule, keep_good, quality_rules
+from vigilog.llm.quality_rules import Rule, keep_good, measure, quality_rules
+from vigilog.llm.queries import QUERIES
 
 from .conftest import SCHEMA, odd_rows, prose
 
@@ -71,3 +74,36 @@ def test_no_text_is_too_long(spark):
     long = " ".join("the" if i % 5 == 0 else "".join(letters[int(d)] for d in str(i)) for i in range(1_000_100))
     docs = spark.createDataFrame([(1, long), (2, "short")], "doc_id long, text string")
     assert [(r.doc_id, len(r.text)) for r in keep_good(docs).collect()] == [(1, len(long))]
+    assert [(r.doc_id, r.kept) for r in quality_rules(docs).orderBy("doc_id").collect()] == [(1, True), (2, False)]
+
+
+def test_other_languages_are_judged_by_the_other_rules(spark):
+    """Clean prose in letters without a listed language stays; prose of the listed languages needs its words."""
+    polish = "Każdy człowiek może być szczęśliwy, gdy zażywa świeżego powietrza i dużo śpi na łące pełnej kwiatów. "
+    russian = "Каждый человек может быть счастлив, если он гуляет на свежем воздухе и хорошо спит по ночам дома. "
+    chinese = "每个人都可以幸福只要呼吸新鲜空气并且睡得好。" * 3 + " "
+    danish = "Det er godt at gå en tur og sove godt om natten, og det er ikke dyrt for den som har tid til at gå. "
+    texts = [" ".join(w if j % 2 else f"{w}{i}" for i in range(6) for j, w in enumerate(s.split())) for s in (polish, russian, danish)]
+    texts.insert(2, " ".join(f"{chinese}{i}" for i in range(60)))
+    texts += [texts[0].replace("ż", "#"), " ".join(f"palabr{c}d{d}x" for c in "abcdefgh" for d in "abcdefgh")]
+    rows = quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.kept for r in rows] == [True, True, True, True, False, False]
+    assert rows[1].stop_word_ratio is None and rows[5].failed_rules == ["stop_word_ratio"]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["__words", "__lines", "__win", "__hash", "__ordered", "x"]
+    df = spark.createDataFrame([(1, prose(3, 100), *range(6))], f"doc_id long, text string, {', '.join(n + ' long' for n in names)}")
+    for found in (quality_rules(df), measure(df)):
+        assert [found.first()[n] for n in names] == list(range(6)) and found.columns[:8] == df.columns
+
+
+@pytest.mark.parametrize("name, table", [("op1_quality_rules", "documents"), ("op2_url_filters", "pages")])
+def test_queries_equal_their_sql(spark, name, table):
+    path = "/root/testdata/sf0.001"
+    job, sql = QUERIES[name]
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}/{table}.parquet'")
+    wanted = connection.sql(sql)
+    found = job(spark, path).select(*wanted.columns).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, wanted.fetchall())) and found

@@ -3,10 +3,17 @@
 Everything is a Column expression; no user function runs. ``measure`` adds one
 statistic column per metric, ``quality_rules`` adds the verdict of the table.
 
+The stop-word and word-length rules fit the languages of ``STOP_WORDS_OF``. They apply where a
+text is written in their letters: if more than FOREIGN of its letters are others, both
+ratios are null, no rule fails on them, and the text is judged by the other rules. Prose in
+a language without a list that uses only these letters may still fail the stop-word rule;
+give its words in the table.
+
 Defined cases: a null text counts as empty; an empty text has no words, so all its
-counts and ratios are 0 and the base rule rejects it; repeated rows are judged one by
-one; columns of the input that bear the name of a result are replaced; nulls in other
-columns pass through; an empty table stays empty.
+counts and ratios are 0 and the base rule rejects it; no text is too long; repeated rows are
+judged one by one; columns of the input that bear the name of a result are replaced, all
+others are kept under any name; nulls in other columns pass through; an empty table stays
+empty.
 """
 
 from __future__ import annotations
@@ -22,13 +29,22 @@ from vigilog.llm.common import WHITE, clash_free
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-# Frequent function words of the four languages.
-STOP_WORDS = (
-    "the of and to in is that it for on with as was be by this are or an at from "
-    "de la le et les des en un une du que qui pour dans par sur au est avec pas "
-    "der die das und zu den mit von ein eine nicht auf für sich dem auch es "
-    "el y los se las por con no su para al lo una"
-).split()
+# Frequent function words, by language.
+STOP_WORDS_OF = {
+    "en": "the of and to in is that it for on with as was be by this are or an at from",
+    "fr": "de la le et les des en un une du que qui pour dans par sur au est avec pas",
+    "de": "der die das und zu den mit von ein eine nicht auf für sich dem auch es",
+    "es": "el y los se las por con no su para al lo una",
+    "it": "di il che è non per della sono un con come più nel alla",
+    "pt": "o os as do da dos das em um uma não com mais como ao",
+    "nl": "het een van ik dat niet zijn op te met voor er maar ook aan",
+    "sv": "och att det som är på av för inte med den till ett har",
+    "da": "og at det som er på af for ikke med den til et har",
+}
+STOP_WORDS = sorted({w for words in STOP_WORDS_OF.values() for w in words.split()})
+# Letters of these languages; the share of other letters from which on the rules for them do not apply.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿŒœŸ"
+FOREIGN = 0.02
 
 
 class Rule(NamedTuple):
@@ -40,7 +56,7 @@ class Rule(NamedTuple):
 
 
 THRESHOLDS = (
-    Rule("n_words", MIN_WORDS, 1_000_000),
+    Rule("n_words", MIN_WORDS, None),
     Rule("mean_word_chars", 2.5, 12.0),
     Rule("symbol_ratio", None, 0.1),
     Rule("stop_word_ratio", 0.04, None),
@@ -50,8 +66,6 @@ THRESHOLDS = (
     Rule("bullet_line_ratio", None, 0.9),
     Rule("ellipsis_line_ratio", None, 0.5),
 )
-#: What decides whether a document stays: the same without the bound on length, which is that of the SQL of op1_quality_rules.
-KEEP = tuple(r._replace(high=None) if r.metric == "n_words" else r for r in THRESHOLDS)
 
 
 def _words(text: Column) -> Column:
@@ -117,8 +131,21 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+STATISTICS = (
+    "n_repeat_words", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_upper", "n_digits", "n_foreign",
+    "n_bullet_lines", "n_ellipsis_lines", "mean_word_chars", "symbol_ratio", "stop_word_ratio", "upper_ratio", "digit_ratio",
+    "dup_line_ratio", "bullet_line_ratio", "ellipsis_line_ratio",
+)
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the statistics that rules may name."""
+    safe, names = clash_free(docs)
+    kept = [F.col(new).alias(old) for old, new in names.items() if old not in STATISTICS]
+    return _measured(safe, names[text]).select(*kept, *STATISTICS)
+
+
+def _measured(docs: DataFrame, text: str) -> DataFrame:
     value = F.coalesce(F.col(text), F.lit(""))
     words, lines = F.col("__words"), F.col("__lines")
     n_words, n_lines = F.size(words).cast("long"), F.size(lines)
@@ -139,15 +166,17 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_stop_words": F.regexp_count(padded, F.lit(_STOP_PATTERN)).cast("long"),
             "n_upper": _without(value, "[A-Z]+"),
             "n_digits": _without(value, "[0-9]+"),
+            "n_foreign": _without(value, rf"[\p{{L}}&&[^{LETTERS}]]+"),
             "n_bullet_lines": F.size(F.filter(lines, lambda x: x.rlike(r"^[ \t-\r]*[-*•]"))).cast("long"),
             "n_ellipsis_lines": F.size(F.filter(lines, lambda x: x.endswith("...") | x.endswith("…"))).cast("long"),
         }
     )
+    listed = F.col("n_foreign") <= FOREIGN * F.col("word_chars")
     return counted.drop("__words", "__lines").withColumns(
         {
-            "mean_word_chars": _ratio(F.col("word_chars"), F.col("n_words")),
+            "mean_word_chars": F.when(listed, _ratio(F.col("word_chars"), F.col("n_words"))),
             "symbol_ratio": _ratio(F.col("n_symbols"), F.col("n_words")),
-            "stop_word_ratio": _ratio(F.col("n_stop_words"), F.col("n_words")),
+            "stop_word_ratio": F.when(listed, _ratio(F.col("n_stop_words"), F.col("n_words"))),
             "upper_ratio": _ratio(F.col("n_upper"), F.col("word_chars")),
             "digit_ratio": _ratio(F.col("n_digits"), F.col("word_chars")),
             "dup_line_ratio": _ratio(F.col("n_dup_lines"), F.col("n_lines")),
@@ -170,7 +199,8 @@ def compile_rules(rules: tuple[Rule, ...] = THRESHOLDS) -> dict[str, Column]:
 
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS, text: str = "text") -> DataFrame:
     """``docs`` with statistics, ``base_failed``, ``failed_rules`` (array of metric names) and ``kept``."""
-    measured = measure(docs, text)
+    results = ("base_failed", "failed_rules", "kept")
+    measured = measure(docs.drop(*(r for r in results if r != text)), text)
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     names = [F.when(test, F.lit(metric)) for metric, test in compile_rules(rules).items()]
     failed = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
@@ -179,8 +209,8 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS, text: s
     )
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = KEEP) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns only. No text is too long.
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
+    """The rows of ``docs`` that pass, with their own columns only.
 
     Rows go through an explode of one element or none: a filter would be pushed below the
     statistics, and every rule would then compute its own from the text.

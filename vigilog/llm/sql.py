@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigilog.llm.quality_rules import STOP_WORDS
+from vigilog.llm.quality_rules import FOREIGN, LETTERS, STOP_WORDS
 
 _STOPS = "|".join(sorted(set(STOP_WORDS)))
 
@@ -18,16 +18,17 @@ m AS (
     len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
     coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines,
     len(list_filter(ws, lambda x: regexp_matches(lower(x), '^({_STOPS})([.,;:!?]|$)'))) AS n_stop,
+    len(regexp_extract_all(t, '\\p{{L}}')) - len(regexp_extract_all(t, '[{LETTERS}]')) AS n_foreign,
     len(regexp_extract_all(t, '[A-Z]')) AS n_upper, len(regexp_extract_all(t, '[0-9]')) AS n_digits,
     len(list_filter(ls, lambda x: regexp_matches(x, '^[ \\t-\\r]*[-*•]'))) AS n_bullet,
     len(list_filter(ls, lambda x: ends_with(x, '...') OR ends_with(x, '…'))) AS n_ellipsis
   FROM w LEFT JOIN repeats r ON r.doc_id = w.doc_id),
 v AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, concat_ws(',',
-    CASE WHEN n_words < 50 OR n_words > 1000000 THEN 'n_words' END,
-    CASE WHEN n_words = 0 OR word_chars / n_words < 2.5 OR word_chars / n_words > 12 THEN 'mean_word_chars' END,
+    CASE WHEN n_words < 50 THEN 'n_words' END,
+    CASE WHEN n_foreign <= {FOREIGN} * word_chars AND (n_words = 0 OR word_chars / n_words < 2.5 OR word_chars / n_words > 12) THEN 'mean_word_chars' END,
     CASE WHEN n_words > 0 AND n_symbols / n_words > 0.1 THEN 'symbol_ratio' END,
-    CASE WHEN n_words = 0 OR n_stop / n_words < 0.04 THEN 'stop_word_ratio' END,
+    CASE WHEN n_foreign <= {FOREIGN} * word_chars AND (n_words = 0 OR n_stop / n_words < 0.04) THEN 'stop_word_ratio' END,
     CASE WHEN word_chars > 0 AND n_upper / word_chars > 0.3 THEN 'upper_ratio' END,
     CASE WHEN word_chars > 0 AND n_digits / word_chars > 0.3 THEN 'digit_ratio' END,
     CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.5 THEN 'dup_line_ratio' END,
