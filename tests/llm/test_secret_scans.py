@@ -2,6 +2,7 @@ import base64
 import json
 import random
 import re
+import time
 
 from vigilog.llm.secret_scans import BASE_KINDS, KINDS, Scanner, checksum62, redact_secrets, secret_spans, written
 
@@ -87,3 +88,24 @@ def test_a_header_in_prose_keeps_the_prose():
     assert scan.redact(public) == public
     many = "-----BEGIN PRIVATE KEY-----\n" * 20_000
     assert scan.redact(many) == "[PRIVATE_KEY]\n" * 20_000
+
+
+def test_a_run_is_read_once():
+    """Keywords packed into one run of a megabyte; hits behind it are still found."""
+    head = base64.urlsafe_b64encode(b'{"alg":"none"}').decode().rstrip("=")
+    token = f"{head}.{head}.{'s' * 20}"
+    scan, text = Scanner(), "eyJ" * 350_000 + " " + token
+    started = time.time()
+    assert scan.spans(text) == [("jwt", len(text) - len(token), len(text))]
+    assert time.time() - started < 5
+    for odd in ("eyJeyJeyJeyJ." + token, "eyJab." + token, "eyJ" * 5 + "." + "eyJ" * 5 + "." + "s" * 30, "xeyJ" + token):
+        every = [m.span() for m in re.finditer(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}", odd)]
+        assert [s[1:] for s in scan.spans(odd) if s[0] == "jwt"] == [s for s in every if _is_jwt(odd[slice(*s)])]
+
+
+def _is_jwt(token):
+    head = token.split(".")[0]
+    try:
+        return "alg" in json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
+    except (ValueError, TypeError):
+        return False

@@ -60,6 +60,7 @@ MORE = {
     "jwt": (("eyj",), re.compile(r"(eyJ[A-Za-z0-9_-]{8,})\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}")),
     "private_key": (("-----begin ",), PRIVATE_KEY),
 }
+_RUN = re.compile(r"[A-Za-z0-9_-]*")
 KINDS = (*BASE_KINDS, *MORE)
 _BASE62 = string.digits + string.ascii_uppercase + string.ascii_lowercase
 
@@ -114,7 +115,12 @@ class Scanner:
         for kind, starts in hits.items():
             past, pattern = 0, self.patterns[kind]
             for start in sorted(starts):
-                if start >= past and (m := pattern.match(text, start)):
+                if start < past:
+                    continue
+                m = pattern.match(text, start)
+                if m is None and kind == "jwt":
+                    past = _RUN.match(text, start).end()  # what follows the run is the same for all hits in it
+                elif m:
                     past = m.end()
                     if _valid(kind, m):
                         found.append((start, KINDS.index(kind), past))
