@@ -2,7 +2,9 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from vigilog.llm import common, decontamination
 from vigilog.llm.decontamination import judged, keep_clean, with_leaks
+from vigilog.session import materialize
 
 from .conftest import odd_rows, prose
 
@@ -80,3 +82,40 @@ def test_items_without_an_id_of_their_own(spark):
         assert r.leaked == bool(found) == (r.similarity >= 0.8), r.doc_id
         assert r.leaked_items == sorted({items[k][0] for k in found} - {None}), r.doc_id
     assert [r.doc_id for r in keep_clean(docs, table).collect()] == [90]
+
+
+def test_items_of_one_length_do_not_meet(spark, monkeypatch):
+    """A thousand items as long as each other: a window is compared with the items that it shares a rare shingle with."""
+    items = [(i, prose(5000 + i, 24)) for i in range(1000)]
+    docs = [(i, prose(i, 40) + " " + items[7 * i][1] + " " + prose(900 + i, 20)) for i in range(60)] + [(100 + i, prose(i, 200)) for i in range(20)]
+    sizes = {}
+
+    def counted(df, name):
+        found = materialize(df, name)
+        sizes[name] = found.count()
+        return found
+
+    monkeypatch.setattr(decontamination, "materialize", counted)
+    schema = "doc_id long, text string"
+    rows = judged(spark.createDataFrame(docs, schema), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.leaked_items for r in rows} == {i: [7 * i] if i < 60 else [] for i, _ in docs}
+    assert sizes["carried"] < 5 * 60 * 24  # of 60 x 24 x 1000 pairs that a lookup by length gives
+
+
+def test_a_passage_of_many_items(spark):
+    """Items that share most of their words, permuted and repeated ones: the rarest shingles still find every leak."""
+    shared = prose(700, 30)
+    items = [(i, shared + " " + prose(710 + i, 6 + i)) for i in range(6)] + [(20, "x y z " * 12), (21, " ".join(shared.split()[15:] + shared.split()[:15]))]
+    texts = [(i, prose(i, 30) + " " + t + " " + prose(i + 40, 30)) for i, (_, t) in enumerate(items)]
+    texts += [(50, shared), (51, "x y z " * 30), (52, " ".join(shared.split()[::-1])), (53, (shared + " ") * 3)]
+    docs, table = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for r in with_leaks(docs, table).collect():
+        assert r.leaked_items == brute(r.text, items), r.doc_id
+
+
+def test_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(common, "LIGHT_ROWS", -1)
+    items = [(i, prose(500 + i, 15 + i)) for i in range(6)]
+    texts = [(i, prose(i, 50) + " " + items[i][1]) for i in range(6)] + [(9, prose(9, 60))]
+    found = with_leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: r.leaked_items for r in found.collect()} == {i: [i] if i < 6 else [] for i, _ in texts}

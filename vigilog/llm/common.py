@@ -33,9 +33,16 @@ def ascii_lower(text):
 LIGHT_ROWS = 400_000
 
 
-def light(df: DataFrame) -> DataFrame:
-    """``df``, a written table of narrow rows, marked for broadcast if it has few; else left to a shuffle join."""
-    return F.broadcast(df) if df.count() <= LIGHT_ROWS else df
+def light(df: DataFrame, *arrays: str) -> DataFrame:
+    """``df``, a written table, marked for broadcast if it is small; else left to a shuffle join.
+
+    Narrow rows are counted; of ``arrays`` the elements are.
+    """
+    if arrays:
+        size = df.agg(F.sum(sum((F.size(a) for a in arrays), F.lit(1)))).first()[0] or 0
+    else:
+        size = df.count()
+    return F.broadcast(df) if size <= LIGHT_ROWS else df
 
 
 WIDE_SHARE = 1000

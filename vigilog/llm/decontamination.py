@@ -1,14 +1,16 @@
 """Benchmark decontamination: fingerprints of item-sized windows, found by Hamming blocks, verified exactly.
 
-For each length that benchmark items have, windows of as many words are laid over a
-document. A window's SimHash is looked up through blocks: with ``RADIUS + 1`` blocks, two
-fingerprints within the radius agree in one block at least, so an equality join on
-(length, block, bits) finds all of them. Candidates are then compared exactly by the
-Jaccard similarity of their shingles, weighted by how often each occurs.
+A window as similar to an item as PERCENT asks misses at most a fifth of the item's
+shingles, so it holds one of any fifth (and one more) of them. For each item these are the
+shingles that are rarest in the corpus. A document that has one of them gets windows of the
+item's length laid over that place, and the hit carries the item: other items of the same
+length are never met. Nothing is lost, and the rest of the corpus costs one hash lookup per word.
 
-A window can reach the similarity only if it shares a shingle with an item. So windows are
-laid only where a document has a shingle of some item of that length: nothing is lost, and
-the rest of the corpus costs one hash lookup per word. All of it is DataFrame operations.
+The windows' SimHash is looked up through blocks: with ``RADIUS + 1`` blocks, two
+fingerprints within the radius agree in one block at least, so an equality join on
+(item, block, bits) finds all carried pairs within it. What is left is compared exactly by the
+Jaccard similarity of the shingles, weighted by how often each occurs. All of it is
+DataFrame operations.
 
 Defined cases: null and empty texts are clean; an item without words is ignored; an item
 under five words is one shingle, compared with windows of its length; a document shorter
@@ -21,7 +23,7 @@ whatever their names; empty tables give no leaks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilog.llm.common import WHITE, clash_free, light
@@ -126,6 +128,19 @@ def _numbered(runs: Column) -> Column:
     return F.transform(ordered, lambda r, i: F.xxhash64(r, i + 1 - F.array_position(ordered, r)))
 
 
+def _rarest(table: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """(size, run, item, length): the runs of each item that are rarest in the corpus, of which a window so similar has one.
+
+    With repeats counted they are just more than the share that such a window may lack.
+    """
+    own = table.select("item", "size", "length", F.size("runs").alias("m"), F.explode("runs").alias("run"))
+    each = own.groupBy("item", "size", "length", "m", "run").agg(F.count("*").alias("times")).join(counts, ["size", "run"], "left")
+    in_order = Window.partitionBy("item").orderBy(F.coalesce("seen", F.lit(0)), "run")  # the runs of one item
+    before = F.coalesce(F.sum("times").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    enough = F.floor((100 - percent) * F.col("m") / 100) + 1
+    return each.withColumn("before", before).where((F.col("before") < enough) & F.col("seen").isNotNull()).select("size", "run", "item", "length")
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
     """(key, digest, item_id, start, similarity): windows of distinct texts that repeat an item.
 
@@ -138,21 +153,18 @@ def find_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius
     keyed = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("key"), "text")
     found = None
     for size in sizes:
-        known = light(
-            materialize(table.where(F.col("size") == size).select(F.explode("runs").alias("run"), "length").distinct(), "item-runs")
-        )
+        known = light(materialize(table.where(F.col("size") == size).select(F.explode("runs").alias("run")).distinct(), "item-runs"))
         hashed = keyed.withColumn("hashes", _word_hashes(F.col("text"))).select("key", "hashes")
         runs = hashed.select("key", F.posexplode(_shingles(F.col("hashes"), size, F.size("hashes"))).alias("at", "r"))
-        hits = (
-            runs.select("key", "at", _shingle_hash(F.col("r"), size).alias("run"))
-            .join(known, "run")
-            .select("key", F.lit(size).alias("size"), "length", "at")
-            .distinct()
-        )
-        found = hits if found is None else found.union(hits)
+        hits = runs.select("key", F.lit(size).alias("size"), "at", _shingle_hash(F.col("r"), size).alias("run")).join(known, "run")
+        found = hits if found is None else found.union(hits.select(*found.columns))
     if found is None:
         return docs.sparkSession.createDataFrame([], "key long, digest string, item_id long, start int, similarity double")
-    hits = materialize(found.groupBy("key", "size", "length").agg(F.collect_list("at").alias("ats")), "hits")
+    met = materialize(found, "met")
+    rare = light(materialize(_rarest(table, met.groupBy("size", "run").agg(F.count("*").alias("seen")), percent), "rarest"))
+    hits = materialize(
+        met.join(rare, ["size", "run"]).groupBy("key", "item", "size", "length").agg(F.collect_set("at").alias("ats")), "hits"
+    )
 
     # the windows: of each distinct text with a hit, where a hit lies inside
     hit_keys = light(materialize(hits.select("key").distinct(), "hit-keys"))
@@ -170,7 +182,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius
             )
         )
     )
-    laid = texts.join(hits, "key").select("key", "digest", "size", "length", "hashes", F.explode(starts).alias("start")).where(F.col("start") <= last)
+    name = ["key", "digest", "length", "start"]
+    carried = materialize(
+        texts.join(hits, "key")
+        .select("key", "digest", "item", "size", "length", last.alias("last"), F.explode(starts).alias("start"))
+        .where("start <= last")
+        .drop("last"),
+        "carried",
+    )
+    laid = carried.select(*name, "size").distinct().join(texts, ["key", "digest"])
     parts = []
     for size in sizes:
         slices = F.slice("hashes", F.col("start") + 1, F.col("length"))
@@ -189,22 +209,26 @@ def find_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius
         windows = windows.union(p)
     windows = materialize(windows, "windows")
 
-    name = ["key", "digest", "length", "start"]
     prints = _with_fingerprints(windows.select(*name, F.explode("runs").alias("run")), name)
     of_items = _with_fingerprints(table.select("item", "length", F.explode("runs").alias("run")), ["item", "length"])
-    left = prints.select(*name, "print", F.explode(_blocks(F.col("print"), radius)).alias("b")).select(*name, "print", "b.*")
-    right = of_items.select("item", "length", F.col("print").alias("item_print"), F.explode(_blocks(F.col("print"), radius)).alias("b")).select(
-        "item", "length", "item_print", "b.*"
+    left = (
+        carried.select(*name, "item")
+        .join(prints, name)
+        .select(*name, "item", "print", F.explode(_blocks(F.col("print"), radius)).alias("b"))
+        .select(*name, "item", "print", "b.*")
+    )
+    right = of_items.select("item", F.col("print").alias("item_print"), F.explode(_blocks(F.col("print"), radius)).alias("b")).select(
+        "item", "item_print", "b.*"
     )
     near = (
-        left.join(light(materialize(right, "item-blocks")), ["length", "block", "part"])
+        left.join(light(materialize(right, "item-blocks")), ["item", "block", "part"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
         .select(*name, "item")
         .distinct()
     )
     compared = (
         near.join(windows, name)
-        .join(light(table.select("item", F.col("runs").alias("item_runs"))), "item")
+        .join(light(table.select("item", F.col("runs").alias("item_runs")), "item_runs"), "item")
         .withColumn("a", _numbered(F.col("runs")))
         .withColumn("b", _numbered(F.col("item_runs")))
         .withColumn("both", F.size(F.array_intersect("a", "b")))
