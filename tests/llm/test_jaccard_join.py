@@ -134,7 +134,8 @@ def test_hot_keys_and_memory_bounds_change_nothing(spark, monkeypatch):
     batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text_key": i, "text": prose(i % 7, 40 + i % 7)} for i in range(60)])
     for seen, counted in ((3, 100), (10**6, 10**6)):
         monkeypatch.setattr(jaccard_join, "SEEN", seen)
-        monkeypatch.setattr(jaccard_join, "COUNTED", counted)
+        monkeypatch.setattr(jaccard_join, "STORED", counted)
+        monkeypatch.setattr(jaccard_join, "COUNTED", 2 * counted)
         monkeypatch.setattr(jaccard_join.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 5)))
         table = pa.Table.from_batches(jaccard_join._describe(iter([batch, batch])))
         stored = {}

@@ -48,8 +48,9 @@ PERCENT = 80
 ORDERS = 3  # prefixes that a pair must share under each of
 FIRST_TOKENS = 6  # orders whose first token ties classes in step 2
 FIRST_SHARED = 2
-COUNTED = 1_000_000  # tokens in a chunk of sets, about; those that several sets of it hold are counted
-SLICE = 16_000_000  # bytes of text read together, about
+STORED = 250_000  # tokens in a chunk of sets, about
+COUNTED = 1_000_000  # tokens a task looks through at a time for those that several sets hold
+SLICE = 4_000_000  # bytes of text read together, about
 SEEN = 200_000  # sets a task remembers
 RANKED = 1 << 20  # most tokens with a rank of their own in the main order, 9 bytes each
 PER_TASK = 4_000  # members compared with one copy of a class
@@ -136,14 +137,19 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     multipliers = np.array([_multiplier(k) for k in range(FIRST_TOKENS)])[:, None]
     hashes, seen = WordHashes(), {}
     waiting: list[np.ndarray] = []
+    counted: list[np.ndarray] = []
     nodes: list[int] = []
     size, chunk = 0, TaskContext.get().partitionId() << _PLACE_BITS
 
-    def stored() -> Iterator[pa.RecordBatch]:
+    def stored() -> pa.RecordBatch:
         tokens = np.concatenate(waiting)
-        yield _rows(chunk=[chunk], nodes=[nodes], sizes=[[len(s) for s in waiting]], tokens=[tokens.tobytes()])
-        token, count = np.unique(tokens, return_counts=True)
-        yield _rows(token=token[count > 1].view(np.int64), seen=count[count > 1])
+        counted.append(tokens)
+        return _rows(chunk=[chunk], nodes=[nodes], sizes=[[len(s) for s in waiting]], tokens=[tokens.tobytes()])
+
+    def often() -> pa.RecordBatch:
+        token, count = np.unique(np.concatenate(counted), return_counts=True)
+        counted.clear()
+        return _rows(token=token[count > 1].view(np.int64), seen=count[count > 1])
 
     for batch in batches:
         for part in pieces(batch, 2, SLICE):
@@ -162,14 +168,18 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sids.append(sid)
                 sizes.append(len(s))
                 first.append(tokens)
-                if size >= COUNTED or len(waiting) >= (1 << _PLACE_BITS) - 1:
-                    yield from stored()
+                if size >= STORED or len(waiting) >= (1 << _PLACE_BITS) - 1:
+                    yield stored()
                     waiting, nodes, size, chunk = [], [], 0, chunk + 1
+                    if sum(map(len, counted)) >= COUNTED:
+                        yield often()
             yield _rows(
                 doc_id=part.column(0), text_key=part.column(1), n=sizes, digest=digests, node=[_node(d) for d in digests], sid=sids, first=first
             )
     if waiting:
-        yield from stored()
+        yield stored()
+    if counted:
+        yield often()
 
 
 def _stored_sets(batches: Iterator[pa.RecordBatch], wanted: Membership | None = None) -> Iterator[tuple[list[int], list[np.ndarray]]]:
