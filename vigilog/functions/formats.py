@@ -3,6 +3,9 @@
 Each format names the pattern of a whole line, the groups it keeps and a
 function from these groups to event columns. Patterns accept exactly the lines
 of the format; the part that may hold any character comes last in ``keep``.
+
+Fixed values: the line patterns, the field names in them and the names of actions and
+statuses are those of the log formats. The classes of blanks are adapted to the JVM.
 """
 
 from __future__ import annotations

@@ -5,35 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What marks a path as an attack. A blank in a URL may be written "+".
+# What marks a path as an attack, as the input format defines it. Only the class of blanks is adapted, to
+# the regular expressions of the JVM; a blank in a URL may be written "+".
 _B = r"[\s\x1c-\x1f+]"
-SQL_INJECTION = "(?Uid)" + "|".join(
-    [
-        f"union{_B}+select",
-        f"select{_B}+.*from",
-        f"insert{_B}+into",
-        f"delete{_B}+from",
-        f"drop{_B}+table",
-        f"update{_B}+.*set",
-        f"'{_B}*or{_B}+'1'{_B}*={_B}*'1",
-        f"'{_B}*or{_B}+1{_B}*={_B}*1",
-        f"'{_B}*--",
-        f";{_B}*(?:drop|delete|insert|update|alter){_B}",
-    ]
+_S = r"[\s\x1c-\x1f]"
+SQL_INJECTION_PATTERNS = (
+    rf"(?:union{_B}+select|select{_B}+.*from|insert{_B}+into|delete{_B}+from|drop{_B}+table|update{_B}+.*set)",
+    rf"(?:'{_B}*or{_B}+'1'{_B}*={_B}*'1|'{_B}*or{_B}+1{_B}*={_B}*1|'{_B}*--)",
+    rf"(?:;{_B}*(?:drop|delete|insert|update|alter){_B})",
 )
-XSS = "(?Uid)" + "|".join(
-    [
-        r"<script[^>]*>",
-        r"javascript[\s\x1c-\x1f]*:",
-        r"on(?:error|load|click|mouseover)[\s\x1c-\x1f]*=",
-        r"<img[^>]+onerror",
-    ]
+XSS_PATTERNS = (
+    r"<script[^>]*>",
+    rf"javascript{_S}*:",
+    rf"on(?:error|load|click|mouseover){_S}*=",
+    r"<img[^>]+onerror",
 )
 WEB_SHELLS = (
-    "/c99.php", "/r57.php", "/shell.php", "/cmd.php", "/webshell.php", "/b374k.php",
-    "/wso.php", "/alfa.php", "/filemanager.php", "/upload.php", "/backdoor.php",
+    "/c99.php",
+    "/r57.php",
+    "/shell.php",
+    "/cmd.php",
+    "/webshell.php",
+    "/b374k.php",
+    "/wso.php",
+    "/alfa.php",
+    "/filemanager.php",
+    "/upload.php",
+    "/backdoor.php",
 )
 
+SQL_INJECTION = "(?Uid)" + "|".join(SQL_INJECTION_PATTERNS)
+XSS = "(?Uid)" + "|".join(XSS_PATTERNS)
+
 
 def is_web_shell(path: Column) -> Column:
     lowered = F.lower(path)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 
+from vigilog.functions.http import WEB_SHELLS
 from vigilog.sources.fixture import REF_YEAR, log_lines_sql, metric_samples_sql
 from vigilog.sources.rules import DEFAULT_RULES
 
@@ -37,19 +38,25 @@ FROM (
     WHERE g.msg <> ''))
 """
 
+# What marks a path as an attack, in this dialect (a quote is doubled in SQL).
 _SQLI = (
-    r"(?i)(?:union[\s+]+select|select[\s+]+.*from|insert[\s+]+into|delete[\s+]+from|drop[\s+]+table|update[\s+]+.*set"
-    r"|''[\s+]*or[\s+]+''1''[\s+]*=[\s+]*''1|''[\s+]*or[\s+]+1[\s+]*=[\s+]*1|''[\s+]*--"
-    r"|;[\s+]*(?:drop|delete|insert|update|alter)[\s+])"
+    r"(?:union[\s+]+select|select[\s+]+.*from|insert[\s+]+into|delete[\s+]+from|drop[\s+]+table|update[\s+]+.*set)",
+    r"(?:''[\s+]*or[\s+]+''1''[\s+]*=[\s+]*''1|''[\s+]*or[\s+]+1[\s+]*=[\s+]*1|''[\s+]*--)",
+    r"(?:;[\s+]*(?:drop|delete|insert|update|alter)[\s+])",
+)
+_XSS = (
+    r"<script[^>]*>",
+    r"javascript\s*:",
+    r"on(?:error|load|click|mouseover)\s*=",
+    r"<img[^>]+onerror",
 )
-_XSS = r"(?i)(?:<script[^>]*>|javascript\s*:|on(?:error|load|click|mouseover)\s*=|<img[^>]+onerror)"
-_SHELL = r"(?:c99|r57|shell|cmd|webshell|b374k|wso|alfa|filemanager|upload|backdoor)"
 
 
 def _attack(path: str) -> str:
+    shells = " OR ".join(f"ends_with(lower({path}), '{suffix}')" for suffix in WEB_SHELLS)
     return (
-        f"CASE WHEN regexp_matches({path}, '{_SQLI}') THEN 'sql_injection' WHEN regexp_matches({path}, '{_XSS}') THEN 'xss_attempt' "
-        f"WHEN regexp_matches(lower({path}), '/{_SHELL}[.]php$') THEN 'web_shell' END"
+        f"CASE WHEN regexp_matches({path}, '(?i){'|'.join(_SQLI)}') THEN 'sql_injection' "
+        f"WHEN regexp_matches({path}, '(?i){'|'.join(_XSS)}') THEN 'xss_attempt' WHEN {shells} THEN 'web_shell' END"
     )
 
 
