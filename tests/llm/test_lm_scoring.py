@@ -3,9 +3,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from vigilog.llm import lm_scoring
-from vigilog.llm.lm_scoring import learn_weights, pack, pack_sorted, score_documents, unpack, unpack_sorted
+from vigilog.llm.lm_scoring import learn_share, learn_weights, pack, pack_sorted, score_documents, unpack, unpack_sorted
 
 from .conftest import odd_rows, prose
 
@@ -14,47 +15,95 @@ def fold(i):
     return zlib.crc32(str(i).encode()) % 5 if i is not None else 0
 
 
-def counts_of(rows):
-    words, pairs = Counter(), Counter()
+def counts_of(rows, order):
+    """Counts of the n-grams of each length in training texts; a text begins with the end of another."""
+    counts = [Counter() for _ in range(order)]
     for i, t in rows:
         if fold(i) != 1:
             w = [None, *(t or "").encode().lower().split(), None]
-            words.update(w[1:])
-            pairs.update(zip(w, w[1:]))
-    return words, pairs
-
-
-def check(spark, rows, weights=None):
-    words, pairs = counts_of(rows)
-    n, v = sum(words.values()), len(words)
+            counts[0].update(w[1:])
+            for k in range(1, order):
+                counts[k].update(tuple(w[j - k : j + 1]) for j in range(max(1, k), len(w)))
+    return counts
+
+
+def probability(counts, n, v, model, w, j):
+    """Of word j of w by all orders, as the definition has it."""
+    level = lambda c: 0 if not c else min(int(math.log2(c)) + 1, lm_scoring.LEVELS - 1)
+    seen = counts[0][w[j - 1]]
+    x = model.weights[level(seen)]
+    pair = counts[1][w[j - 1], w[j]] / seen if seen else 0
+    p = x[0] * pair + x[1] * counts[0][w[j]] / n + x[2] / (v + 1)
+    for k in range(2, len(counts)):
+        context = counts[k - 1][tuple(w[j - k : j])] if j >= k else counts[0][None] if j == 1 else counts[j - 1][tuple(w[:j])] if j > 1 else 0
+        gram = counts[k][tuple(w[j - k : j + 1])] if j >= k else counts[1][w[0], w[1]]
+        share = model.longer[k - 2][level(context)]
+        p = share * (gram / context if context else 0) + (1 - share) * p
+    return p
+
+
+def check(spark, rows, model, order):
+    counts = counts_of(rows, order)
+    n, v = sum(counts[0].values()), len(counts[0])
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    found = score_documents(df).collect()
+    found = score_documents(df, order=order).collect()
     expected = []
     for i, t in rows:
         w = [None, *(t or "").encode().lower().split(), None]
-        base = sum(math.log10((words[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w[1:])
-        own = 0.0
-        for a, b in zip(w, w[1:]):
-            level = 0 if not words[a] else min(int(math.log2(words[a])) + 1, lm_scoring.LEVELS - 1)
-            x = weights[level]
-            own += math.log10(x[0] * (pairs[a, b] / words[a] if words[a] else 0) + x[1] * words[b] / n + x[2] / (v + 1))
-        expected.append((i, fold(i) == 1, len(w) - 1, sum(words[x] > 0 for x in w[1:]), n, round(base, 6), round(own, 6)))
+        base = sum(math.log10((counts[0][x] + 0.5) / (n + 0.5 * (v + 1))) for x in w[1:])
+        own = sum(math.log10(probability(counts, n, v, model, w, j)) for j in range(1, len(w)))
+        expected.append((i, fold(i) == 1, len(w) - 1, sum(counts[0][x] > 0 for x in w[1:]), n, round(base, 6), round(own, 6)))
     got = [(*r[:5], round(r.base_score, 6), round(r.score, 6)) for r in found]
     assert sorted(map(str, got)) == sorted(map(str, expected))
 
 
-def test_scores_against_dictionaries(spark, monkeypatch):
-    kept = {}
-    learn = lm_scoring.learn_weights
-    monkeypatch.setattr(lm_scoring, "learn_weights", lambda *a: kept.setdefault("w", learn(*a)))
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_against_dictionaries(spark, monkeypatch, order):
+    class Kept:
+        longer = ()
+
+    learn, share = lm_scoring.learn_weights, lm_scoring.learn_share
+
+    def keep_weights(*a):
+        Kept.weights = learn(*a)
+        return Kept.weights
+
+    def keep_share(*a):
+        Kept.longer = (*Kept.longer, share(*a))
+        return Kept.longer[-1]
+
+    monkeypatch.setattr(lm_scoring, "learn_weights", keep_weights)
+    monkeypatch.setattr(lm_scoring, "learn_share", keep_share)
     monkeypatch.setattr(lm_scoring, "BUCKET", 2_000)  # several buckets
     rows = [r[:2] for r in odd_rows() if r[0] not in (7, 8)] + [(100 + i, prose(i % 9, 100)) for i in range(60)]
+    check(spark, rows, Kept, order)
+    assert len(Kept.longer) == order - 2
+
+
+def test_longer_orders_predict_better(spark):
+    """Held-out texts of a language whose words follow from the last two, not from the last one."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(300):
+        w = [int(x) for x in rng.integers(0, 12, 2)]
+        while len(w) < 60:
+            w.append((5 * w[-2] + 7 * w[-1] + 3) % 12 if rng.random() < 0.9 else int(rng.integers(0, 12)))
+        rows.append((i, " ".join(f"w{x}" for x in w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    two, three = (sum(r.score for r in score_documents(df, order=k).collect() if r.held_out) for k in (2, 3))
+    assert three > two + 1000
+    with pytest.raises(ValueError):
+        score_documents(df, order=1)
+
+
+def test_shares_follow_the_better_estimate():
+    level, n = np.array([3, 3, 5]), np.array([90, 10, 100])
+    share = learn_share(level, np.array([4, -1, 60]), np.array([60, 60, 20]), n)
+    assert 0.8 < share[3] < 0.95 and share[5] < 0.05 and ((share > 0) & (share < 1)).all()
 
-    class Weights:
-        def __getitem__(self, level):
-            return kept["w"][level]
 
-    check(spark, rows, Weights())
+def test_spare_bits():
+    assert [lm_scoring._cleared(n) for n in (0, 10**6, 10**8, 10**10, 10**14)] == [40, 24, 16, 8, 1]
 
 
 def test_empty_table(empty):
