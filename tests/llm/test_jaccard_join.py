@@ -153,7 +153,7 @@ def test_words_of_many_texts_at_once():
     texts = ["".join(rng.choice("abÀß日 \t\n\x0b\x1c\x85ZQ") for _ in range(rng.randrange(30))) for _ in range(500)] + [None, "", "  "]
     h = WordHashes()
     for array in (pa.array(texts), pa.array(texts).slice(17, 300)):
-        found, ends = word_hashes(array, h)
+        found, ends = word_hashes(array)
         split = np.split(found, ends[:-1])
         assert [x.tolist() for x in split] == [h.of(split_words(t)).tolist() for t in array.to_pylist()]
 

@@ -9,7 +9,7 @@ import sentencepiece
 
 from vigilog.llm.quality_rules import quality_rules
 from vigilog.llm.secret_scans import Scanner
-from vigilog.llm.sentencepiece_viterbi import MODEL
+from vigilog.llm.sentencepiece_viterbi import model_path
 
 from .conftest import SCHEMA, odd_rows, prose
 from .test_decontamination import brute as leaks
@@ -42,7 +42,7 @@ def test_stages_and_result(spark, tables):
     by_row = {r[:2]: r for r in left}
     kept = [by_row[choices[0]] for choices in stays]
     kept = [r for r in kept if not leaks(r[1], tables.items)]
-    scan, library = Scanner(), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    scan, library = Scanner(), sentencepiece.SentencePieceProcessor(model_file=model_path())
     expected = []
     for i, text, lang, source, n in kept:
         clean = scan.redact(text)

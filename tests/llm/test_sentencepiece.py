@@ -5,7 +5,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
-from vigilog.llm.sentencepiece_viterbi import MODEL, decode_pieces, encode_pieces, pieces_of, read_model, with_pieces
+from vigilog.llm.sentencepiece_viterbi import decode_pieces, encode_pieces, model_path, pieces_of, read_model, with_pieces
 
 from .conftest import odd_rows, prose
 
@@ -22,7 +22,7 @@ def texts():
 
 
 def test_ids_are_those_of_the_library():
-    pieces, library = pieces_of(read_model()), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces, library = pieces_of(read_model()), sentencepiece.SentencePieceProcessor(model_file=model_path())
     for text, ids in zip(texts(), pieces.encode(texts())):
         assert ids.tolist() == library.encode(text), text
         assert decoded(pieces, ids.tolist()) == text.replace("▁", " ") == library.decode(ids.tolist()) or "\n" in text or text != text.strip()
@@ -32,7 +32,7 @@ def test_ids_are_those_of_the_library():
 def test_decoding_lists():
     pieces = pieces_of(read_model())
     lists = pa.array([[0], [13, 13], None, [], [15043, 2787], [5, 205]], pa.list_(pa.int32()))
-    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=model_path())
     wanted = [None if x is None else "".join(library.id_to_piece(i) for i in x) for x in lists.to_pylist()]
     assert wanted[4].startswith("▁") and wanted[3] == ""
     got = pieces.decode(lists).to_pylist()
@@ -43,7 +43,7 @@ def test_decoding_lists():
 def test_memory_for_words_is_bounded():
     pieces = type(pieces_of(read_model()))(read_model())
     pieces.most_words = 50
-    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=model_path())
     many = [prose(k, 30) for k in range(30)]
     assert [x.tolist() for x in pieces.encode(many)] == library.encode(many)
     assert len(pieces.words) < 400
@@ -52,7 +52,7 @@ def test_memory_for_words_is_bounded():
 def test_columns(odd, empty):
     model = read_model()
     rows = odd.withColumn("ids", encode_pieces(F.col("text"), model)).withColumn("back", decode_pieces(F.col("ids"), model)).collect()
-    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=model_path())
     for r in rows:
         assert r.ids == (None if r.text is None else library.encode(r.text))
         assert r.back == (r.text and r.text.replace("▁", " "))
@@ -66,7 +66,7 @@ def test_long_words():
     letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(100_000))
     unspaced = "".join(rng.choice("日本語のテストあいうえお漢字😀①é") for _ in range(100_000))
     long = [letters, unspaced, "\n" + letters[:50_000] + "x", "a" * 100_000, "  " + letters[:50_000] + "y z"]
-    pieces, library = type(pieces_of(read_model()))(read_model()), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces, library = type(pieces_of(read_model()))(read_model()), sentencepiece.SentencePieceProcessor(model_file=model_path())
     tracemalloc.start()
     found = pieces.encode(long)
     most = tracemalloc.get_traced_memory()[1]
@@ -78,7 +78,7 @@ def test_long_words():
 
 
 def test_memory_for_long_words_is_bounded():
-    pieces, library = type(pieces_of(read_model()))(read_model()), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces, library = type(pieces_of(read_model()))(read_model()), sentencepiece.SentencePieceProcessor(model_file=model_path())
     pieces.most_letters = 5_000
     rng = random.Random(4)
     many = ["".join(rng.choice("abcdeéü日本") for _ in range(rng.randrange(1, 900))) for _ in range(60)]

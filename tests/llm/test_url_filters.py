@@ -1,6 +1,45 @@
+import random
 import re
+from typing import NamedTuple
 
-from vigilog.llm.url_filters import HOST_RULES, PATTERNS, compile_pattern, url_filters
+from vigilog.llm import common
+from vigilog.llm.url_filters import HOST_RULES, PATTERNS, compile_patterns, url_filters
+
+
+class Pattern(NamedTuple):
+    number: int
+    verdict: str
+    regex: str
+    tokens: list[str]
+
+
+def compile_pattern(number, text):
+    """The syntax in plain Python."""
+    verdict = "allow" if text.startswith("@@") else "block"
+    body = text.removeprefix("@@").lower()
+    regex = ""
+    if body.startswith("||"):
+        regex, body, edge = r"^[a-z][a-z0-9+.-]*://(?:[^/?#]*\.)?", body[2:], True
+    elif body.startswith("|"):
+        regex, body, edge = "^", body[1:], True
+    else:
+        edge = False
+    ending = body.endswith("|")
+    body = body[:-1] if ending else body
+    separator = r"(?:[^a-z0-9_.%-]|$)"
+    regex += "".join({"*": ".*", "^": separator}.get(c) or re.escape(c) for c in body) + ("$" if ending else "")
+    tokens = []
+    for m in re.finditer("[a-z0-9]+", body):
+        left = edge if m.start() == 0 else body[m.start() - 1] != "*"
+        right = ending if m.end() == len(body) else body[m.end()] != "*"
+        if left and right:
+            tokens.append(m.group())
+    return Pattern(number, verdict, regex, sorted(set(tokens)) or [""])
+
+
+def compiled(spark, patterns):
+    rows = compile_patterns(spark.createDataFrame(list(enumerate(patterns)), "number long, pattern string")).collect()
+    return {r.pattern: Pattern(r.number, r.verdict, r.regex, sorted(r.tokens)) for r in rows}
 
 URLS = [
     None,
@@ -50,11 +89,40 @@ def test_against_all_rules_on_all_urls(spark):
     assert {r.verdict for r in rows} == {"allow", "block"} and len({r.pattern for r in rows}) > 5
 
 
-def test_tokens_are_whole_words_of_any_match():
-    assert compile_pattern(0, "||ads-track.").tokens == ["ads", "track"]
-    assert compile_pattern(0, "*viagra*").tokens == [""]
-    assert compile_pattern(0, "/login^").tokens == ["login"]
-    assert compile_pattern(0, "ban/ner").tokens == [""]  # both may be parts of longer words
+def test_compiled_patterns(spark):
+    """Verdict and tokens as in the plain version, and expressions that fit the same URLs."""
+    rng = random.Random(5)
+    pieces = ["ads", "track", "x1", "/", ".", "-", "^", "*", "?", "=", "&", "|", "||", "@@", "+", "(", "[", "{", "$", "\\", "#", "_", "%", " ", "é", "'", '"']
+    patterns = sorted({"".join(rng.choice(pieces) for _ in range(rng.randrange(1, 7))) for _ in range(300)} | set(PATTERNS))
+    found = compiled(spark, patterns)
+    for p in patterns:
+        plain = compile_pattern(0, p)
+        assert (found[p].verdict, found[p].tokens) == (plain.verdict, plain.tokens), p
+        for url in [u.lower() for u in URLS if u] + [p.lower().strip("|@"), "http://ads.track/" + p.lower()]:
+            assert bool(re.search(found[p].regex, url)) == bool(re.search(plain.regex, url)), (p, url)
+    assert found["||ads-track."].tokens == ["ads", "track"] and found["*viagra*"].tokens == [""] and found["/login^"].tokens == ["login"]
+
+
+def test_ten_thousand_rules(spark, monkeypatch):
+    """Each URL meets few rules, and the verdicts are those of all rules on all URLs; also without broadcasts."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    rules = [f"||{word()}-{word()}." for _ in range(4000)] + [f"/{word()}/{word()}^" for _ in range(3000)] + [f"@@||{word()}.com^" for _ in range(1500)]
+    rules += [f"?{word()}=*&{word()}|" for _ in range(1500)]
+    assert len(rules) == 10_000
+    urls = [f"http://www.{word()}.com/{word()}/{word()}?q={word()}" for _ in range(60)]
+    for r in rng.sample(rules, 60):
+        body = r.removeprefix("@@").strip("|").replace("^", "/").replace("*", "1")
+        urls.append(f"http://{body}net/" if r.startswith("||") else f"http://{body}" if r.startswith("@@") else f"http://h.net{body}")
+    plain = [(r, compile_pattern(i, r)) for i, r in enumerate(rules)]
+    hits = {u: min(((c.verdict, c.number, r) for r, c in plain if re.search(c.regex, u)), default=None) for u in urls}
+    table = spark.createDataFrame(list(enumerate(rules)), "number long, pattern string")
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for most in (common.LIGHT_ROWS, -1):
+        monkeypatch.setattr(common, "LIGHT_ROWS", most)
+        rows = url_filters(pages, (), table).collect()
+        assert {r.url: (r.verdict, r.pattern) for r in rows} == {u: (h[0], h[2]) if h else ("allow", None) for u, h in hits.items()}
+    assert sum(h is not None for h in hits.values()) >= 60
 
 
 def test_no_rules_and_no_pages(spark):

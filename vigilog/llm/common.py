@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,18 @@ def light(df: DataFrame, *arrays: str) -> DataFrame:
     return F.broadcast(df) if size <= LIGHT_ROWS else df
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m"):
+    """Jobs run within the block hand rows to Python in batches of about ``size``, for rows that hold much; the setting is put back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 WIDE_SHARE = 1000
 
 

@@ -38,20 +38,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.common import clash_free, join_counted, light, ship
+from vigilog.llm.common import clash_free, join_counted, light, ship, small_batches
 from vigilog.llm.components import components
 from vigilog.llm.membership import Membership
-from vigilog.llm.words import SHINGLE, WordHashes, distinct, pieces, sequence_hashes, shingle_set, word_hashes
+from vigilog.llm.words import SHINGLE, distinct, pieces, sequence_hashes, shingle_set, word_hashes
 from vigilog.session import materialize
 
 PERCENT = 80
 ORDERS = 3  # prefixes that a pair must share under each of
 FIRST_TOKENS = 6  # orders whose first token ties classes in step 2
 FIRST_SHARED = 2
-STORED = 250_000  # tokens in a chunk of sets, about
+STORED = 100_000  # tokens in a chunk of sets, about
 COUNTED = 1_000_000  # tokens a task looks through at a time for those that several sets hold
 SLICE = 4_000_000  # bytes of text read together, about
-SEEN = 200_000  # sets a task remembers
+SEEN = 50_000  # sets a task remembers
 RANKED = 1 << 20  # most tokens with a rank of their own in the main order, 9 bytes each
 PER_TASK = 4_000  # members compared with one copy of a class
 
@@ -117,9 +117,9 @@ def _rows(**columns) -> pa.RecordBatch:
     )
 
 
-def _text_sets(texts: pa.Array, hashes: WordHashes) -> Iterator[np.ndarray]:
+def _text_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text."""
-    words, ends = word_hashes(texts, hashes)
+    words, ends = word_hashes(texts)
     runs = sequence_hashes(words, SHINGLE)
     low = 0
     for high in ends.tolist():
@@ -135,7 +135,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     in other tasks are stored there, too, and left aside when classes are formed.
     """
     multipliers = np.array([_multiplier(k) for k in range(FIRST_TOKENS)])[:, None]
-    hashes, seen = WordHashes(), {}
+    seen: dict[bytes, tuple[int, list[int]]] = {}
     waiting: list[np.ndarray] = []
     counted: list[np.ndarray] = []
     nodes: list[int] = []
@@ -154,7 +154,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in pieces(batch, 2, SLICE):
             digests, sids, sizes, first = [], [], [], []
-            for s in _text_sets(part.column(2), hashes):
+            for s in _text_sets(part.column(2)):
                 digest = _digest(s)
                 if len(s) and digest not in seen:
                     if len(seen) >= SEEN:
@@ -397,7 +397,14 @@ def _labelled(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFram
     ship(docs.sparkSession)
     value = F.col(text).cast("string")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(value).alias("text_key"), value.alias("text"))
-    described = materialize(texts.mapInArrow(_describe, _DESCRIBED_SQL), "sets")
+    with small_batches(docs.sparkSession):  # all steps in Python write their results within
+        described = materialize(texts.mapInArrow(_describe, _DESCRIBED_SQL), "sets")
+        rows, labels = _labels(described, percent)
+    return rows.select("doc_id", "text_key", "n", "digest").join(light(labels), "digest", "left").drop("digest")
+
+
+def _labels(described: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of texts, and (digest, root, component_id) of every class."""
     rows = described.where("digest IS NOT NULL").select("doc_id", "text_key", "n", "digest", "node", "sid", "first")
     chunks = described.where("chunk IS NOT NULL").select(*_CHUNK)
     classes = materialize(
@@ -435,7 +442,7 @@ def _labelled(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFram
     )
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = materialize(rooted.join(least, "root").select("digest", "root", "component_id"), "labels")
-    return rows.select("doc_id", "text_key", "n", "digest").join(light(labels), "digest", "left").drop("digest")
+    return rows, labels
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilog.llm.common import ship
-from vigilog.llm.words import WordHashes, mix, pieces, word_hashes
+from vigilog.llm.words import mix, pieces, word_hashes
 from vigilog.session import materialize
 
 FOLDS, TEST, TUNING = 5, 1, 0  # remainder of documents that are not learned from; that weights are learned on
@@ -74,7 +74,6 @@ ORDER = 3
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of one kind as numbers: distinct words, and the place of each token among them."""
-    hashes = WordHashes()
     open_chunks: dict[int, tuple[list, list]] = {}
     chunk = TaskContext.get().partitionId() << 32
 
@@ -92,7 +91,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tokens: dict[int, int] = {}
     for batch in batches:
         for part in pieces(batch, 1):
-            found, ends = word_hashes(part.column(1), hashes)
+            found, ends = word_hashes(part.column(1))
             low = 0
             for doc_id, kind, high in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), ends.tolist()):
                 ids, parts = open_chunks.setdefault(kind, ([], []))

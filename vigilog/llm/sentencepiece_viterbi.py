@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from vigilog.llm.common import clash_free, ship
 
-MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+MODEL = "piece_bpe_32k.model"  # of the public vocabularies
 MARK = "▁"
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*")
 UNKNOWN = -1
@@ -274,9 +274,15 @@ def pieces_of(model: bytes) -> Pieces:
     return Pieces(model)
 
 
-def read_model(path: str = MODEL) -> bytes:
+def model_path(name: str = MODEL) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def read_model(path: str | None = None) -> bytes:
     """The model file, read on the driver and sent with the tasks."""
-    with open(path, "rb") as f:
+    with open(path or model_path(), "rb") as f:
         return f.read()
 
 

@@ -4,7 +4,8 @@ Host rules are few and compiled into one CASE, longest first. Of pattern rules t
 many. Each is filed under that one of its literal tokens that the URLs hold least often;
 the tokens of a URL fetch the rules filed under them, and only those run their regular
 expression. A rule without a whole literal token is filed under the empty token, which
-every URL has. All of it is DataFrame operations.
+every URL has. The rules are a table of any length, compiled, filed and matched by DataFrame
+operations; they reach no driver.
 
 Pattern syntax: ``||`` the start of the host or of one of its labels, ``|`` the start or
 end of the URL, ``*`` anything, ``^`` a separator or the end, all else literal, in any
@@ -18,7 +19,6 @@ through; an empty table stays empty, an empty rule list allows all.
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -77,35 +77,31 @@ PATTERNS = (
 )
 
 _SEPARATOR = r"(?:[^a-z0-9_.%-]|$)"
+_HOST_START = r"^[a-z][a-z0-9+.-]*://(?:[^/?#]*\.)?"
 
 
-class Pattern(NamedTuple):
-    number: int
-    verdict: str
-    regex: str
-    tokens: list[str]
-
-
-def compile_pattern(number: int, text: str) -> Pattern:
-    verdict = "allow" if text.startswith("@@") else "block"
-    body = text.removeprefix("@@").lower()
-    regex = ""
-    if body.startswith("||"):
-        regex, body, edge = r"^[a-z][a-z0-9+.-]*://(?:[^/?#]*\.)?", body[2:], True
-    elif body.startswith("|"):
-        regex, body, edge = "^", body[1:], True
-    else:
-        edge = False
-    ending = body.endswith("|")
-    body = body[:-1] if ending else body
-    regex += "".join({"*": ".*", "^": _SEPARATOR}.get(c) or re.escape(c) for c in body) + ("$" if ending else "")
-    tokens = []
-    for m in re.finditer("[a-z0-9]+", body):
-        left = edge if m.start() == 0 else body[m.start() - 1] != "*"
-        right = ending if m.end() == len(body) else body[m.end()] != "*"
-        if left and right:  # the token is whole in any URL that fits
-            tokens.append(m.group())
-    return Pattern(number, verdict, regex, sorted(set(tokens)) or [""])
+def compile_patterns(rules: DataFrame) -> DataFrame:
+    """(number, pattern, verdict, regex, tokens) of rules (number, pattern).
+
+    ``tokens`` are those literal runs of letters and digits that are whole in any URL that
+    fits: neither a ``*`` nor an open end of the pattern is beside them. Open ends are
+    marked by a ``*`` while tokens are looked for.
+    """
+    text = F.lower(F.regexp_replace("pattern", "^@@", ""))
+    parts = rules.where("pattern IS NOT NULL").select(
+        "number",
+        "pattern",
+        F.when(F.col("pattern").startswith("@@"), "allow").otherwise("block").alias("verdict"),
+        F.regexp_replace(text, r"^\|\|?|\|$", "").alias("body"),
+        F.when(text.startswith("||"), _HOST_START).when(text.startswith("|"), "^").otherwise("").alias("start"),
+        F.when(text.rlike(r"^(?!\|\|?$).*\|$"), "$").otherwise("").alias("end"),
+    )
+    escaped = F.regexp_replace("body", r"([^a-z0-9*^/:_=&%,;~@!<> -])", r"\\$1")
+    regex = F.replace(F.replace(escaped, F.lit("*"), F.lit(".*")), F.lit("^"), F.lit(_SEPARATOR))
+    edge = lambda c: F.when(F.col(c) == "", "*").otherwise("")
+    whole = F.regexp_extract_all(F.concat(edge("start"), "body", edge("end")), F.lit("(?<![a-z0-9*])([a-z0-9]+)(?![a-z0-9*])"))
+    tokens = F.when(F.size(whole) > 0, F.array_distinct(whole)).otherwise(F.array(F.lit("")))
+    return parts.select("number", "pattern", "verdict", F.concat("start", regex, "end").alias("regex"), tokens.alias("tokens"))
 
 
 def host_of(url: Column) -> Column:
@@ -131,15 +127,13 @@ def _tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.lit("")), F.split(F.lower(url), "[^a-z0-9]+")))
 
 
-def matched_patterns(urls: DataFrame, patterns: tuple[str, ...]) -> DataFrame:
-    """(url, pattern, pattern_verdict) of the distinct URLs that some pattern fits: the first exception, else the first block."""
-    spark = urls.sparkSession
-    compiled = [compile_pattern(i, p) for i, p in enumerate(patterns)]
-    table = spark.createDataFrame([(*c, patterns[c.number]) for c in compiled], "number int, verdict string, regex string, tokens array<string>, pattern string")
-    filed = table.withColumn("token", F.explode("tokens")).drop("tokens")
+def matched_patterns(urls: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(url, pattern, pattern_verdict) of the distinct URLs that some rule of ``patterns`` (number, pattern) fits: the first exception, else the first block."""
+    filed = materialize(compile_patterns(patterns).withColumn("token", F.explode("tokens")).drop("tokens"), "url-rules")
     tokens = urls.where("url IS NOT NULL").select("url", F.explode(_tokens(F.col("url"))).alias("token"))
     # only tokens of rules are counted: never more rows than the rules have
-    often = tokens.join(F.broadcast(filed.select("token").distinct()), "token").groupBy("token").agg(F.count("*").alias("seen"))
+    named = light(materialize(filed.select("token").distinct(), "url-tokens"))
+    often = tokens.join(named, "token", "left_semi").groupBy("token").agg(F.count("*").alias("seen"))
     rank = F.row_number().over(Window.partitionBy("number").orderBy(F.coalesce("seen", F.lit(0)), "token"))
     index = materialize(filed.join(often, "token", "left").withColumn("rank", rank).where("rank = 1").drop("rank", "seen"), "url-index")
     fits = tokens.join(light(index), "token").where(F.expr("rlike(lower(url), regex)"))
@@ -151,15 +145,17 @@ def matched_patterns(urls: DataFrame, patterns: tuple[str, ...]) -> DataFrame:
 
 
 def url_filters(
-    pages: DataFrame, rules: tuple[HostRule, ...] = HOST_RULES, patterns: tuple[str, ...] = PATTERNS, url: str = "url"
+    pages: DataFrame, rules: tuple[HostRule, ...] = HOST_RULES, patterns: tuple[str, ...] | DataFrame = PATTERNS, url: str = "url"
 ) -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule`` (the host rule, else null), ``pattern`` (else null) and ``verdict``."""
+    """``pages`` with ``host``, ``path``, ``rule`` (the host rule, else null), ``pattern`` (else null) and ``verdict``.
+
+    ``patterns`` are a few in order, or a table (number, pattern) of any length.
+    """
     names = ("host", "path", "rule", "pattern", "verdict")
     safe, renamed = clash_free(pages.drop(*(n for n in names if n != url)))
-    if not patterns:
-        found = pages.sparkSession.createDataFrame([], "url string, pattern string, pattern_verdict string")
-    else:
-        found = light(materialize(matched_patterns(safe.select(F.col(renamed[url]).alias("url")), patterns), "url-patterns"))
+    if not isinstance(patterns, DataFrame):
+        patterns = pages.sparkSession.createDataFrame(list(enumerate(patterns)), "number long, pattern string")
+    found = light(materialize(matched_patterns(safe.select(F.col(renamed[url]).alias("url")), patterns), "url-patterns"))
     value = F.col(renamed[url])
     judged = (
         safe.withColumns({"host": host_of(value), "path": path_of(value)})

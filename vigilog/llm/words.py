@@ -37,16 +37,17 @@ def split_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def word_hashes(texts: pa.Array, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts (strings), as one array, and where each text's words end.
 
-    The words are told apart first, so that each distinct one is hashed and looked up once.
+    The words are told apart first, so that each distinct one is hashed once.
     """
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     words, ends = lists.flatten(), np.asarray(lists.offsets)[1:].astype(np.int64)
     filled = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)  # white space at an end leaves an empty word
     known = words.cast(pa.binary()).dictionary_encode()
-    found = hashes.of(known.dictionary.to_pylist())[known.indices.to_numpy()]
+    hashes = np.fromiter(map(xxh3_64_intdigest, known.dictionary.to_pylist()), np.uint64, len(known.dictionary))
+    found = hashes[known.indices.to_numpy()]
     if not filled.all():
         ends = np.append(0, np.cumsum(filled))[ends]
         found = found[filled]
