@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
+from collections.abc import Callable
 from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilog.session import scratch_dir, scratch_dropped
+
 # The white space of the word pattern [^\x20\x09-\x0D]+, as bytes.split() has it.
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -46,6 +50,23 @@ def light(df: DataFrame, *arrays: str) -> DataFrame:
     return F.broadcast(df) if size <= LIGHT_ROWS else df
 
 
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The written result of ``build()``.
+
+    Scratch that it wrote on its way is dropped, and so is what its jobs left on the executors: Spark's
+    cleaner removes shuffle files and broadcasts once the driver has collected what refers to them.
+    """
+    path = scratch_dir(spark, name)
+    with scratch_dropped(spark):
+        df = build()
+        schema = df.schema
+        df.write.parquet(path)
+        del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, size: str = "4m"):
     """Jobs run within the block hand rows to Python in batches of about ``size``, for rows that hold much; the setting is put back."""

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.common import clash_free, join_counted, light, ship, small_batches
+from vigilog.llm.common import clash_free, join_counted, light, settled, ship, small_batches
 from vigilog.llm.components import components
 from vigilog.llm.membership import Membership
 from vigilog.llm.words import SHINGLE, distinct, pieces, sequence_hashes, shingle_set, word_hashes
@@ -398,20 +398,22 @@ def _labelled(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFram
     value = F.col(text).cast("string")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(value).alias("text_key"), value.alias("text"))
     with small_batches(docs.sparkSession):  # all steps in Python write their results within
-        described = materialize(texts.mapInArrow(_describe, _DESCRIBED_SQL), "sets")
+        described = settled(docs.sparkSession, "sets", lambda: texts.mapInArrow(_describe, _DESCRIBED_SQL))
         rows, labels = _labels(described, percent)
     return rows.select("doc_id", "text_key", "n", "digest").join(light(labels), "digest", "left").drop("digest")
 
 
 def _labels(described: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows of texts, and (digest, root, component_id) of every class."""
+    spark = described.sparkSession
     rows = described.where("digest IS NOT NULL").select("doc_id", "text_key", "n", "digest", "node", "sid", "first")
     chunks = described.where("chunk IS NOT NULL").select(*_CHUNK)
-    classes = materialize(
-        rows.where("n > 0")
+    classes = settled(
+        spark,
+        "classes",
+        lambda: rows.where("n > 0")
         .groupBy("digest", "node", "n", "first")
         .agg(F.min("sid").alias("cid"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies")),
-        "classes",
     )
     ranks = (
         described.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "token").limit(RANKED)
@@ -419,29 +421,34 @@ def _labels(described: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     common = ranks.column("token").to_numpy().view(np.uint64)
     level = np.minimum(np.log2(ranks.column("seen").to_numpy().astype(float)).astype(np.int64), 63)
     order = np.argsort(common)
+    ranked = common[order], level[order].astype(np.uint8)
 
-    tied = materialize(components(_verify(chunks, classes, _star_pairs(classes, percent), percent)), "tied")
-    comps = materialize(
-        classes.join(light(tied), classes["cid"] == tied["node"], "left").select(
-            classes["*"], F.coalesce("root", "cid").alias("comp")
-        ),
+    tied = settled(spark, "tied", lambda: components(_verify(chunks, classes, _star_pairs(classes, percent), percent)))
+    comps = settled(
+        spark,
         "comps",
+        lambda: classes.join(light(tied), classes["cid"] == tied["node"], "left").select(classes["*"], F.coalesce("root", "cid").alias("comp")),
     )
-    pairs = materialize(_cross_pairs(chunks, comps, (common[order], level[order].astype(np.uint8)), percent), "cross")
-    links = _verify(chunks, comps, _in_every_order(chunks, comps, pairs, percent), percent)
-    comp_of = comps.select("cid", "comp")
-    edges = links.join(comp_of.select(F.col("cid").alias("u"), F.col("comp").alias("cu")), "u").join(
-        comp_of.select(F.col("cid").alias("v"), F.col("comp").alias("cv")), "v"
-    )
-    joined = components(edges.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-    rooted = materialize(
-        comps.join(joined.select(F.col("node").alias("comp"), "root"), "comp", "left").select(
-            "digest", "first_id", F.coalesce("root", "comp").alias("root")
-        ),
-        "rooted",
-    )
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = materialize(rooted.join(least, "root").select("digest", "root", "component_id"), "labels")
+    pairs = settled(spark, "cross", lambda: _cross_pairs(chunks, comps, ranked, percent))
+    likely = settled(spark, "likely", lambda: _in_every_order(chunks, comps, pairs, percent))
+    links = settled(spark, "links", lambda: _verify(chunks, comps, likely, percent))
+
+    def labelled() -> DataFrame:
+        comp_of = comps.select("cid", "comp")
+        edges = links.join(comp_of.select(F.col("cid").alias("u"), F.col("comp").alias("cu")), "u").join(
+            comp_of.select(F.col("cid").alias("v"), F.col("comp").alias("cv")), "v"
+        )
+        joined = components(edges.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+        rooted = materialize(
+            comps.join(joined.select(F.col("node").alias("comp"), "root"), "comp", "left").select(
+                "digest", "first_id", F.coalesce("root", "comp").alias("root")
+            ),
+            "rooted",
+        )
+        least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        return rooted.join(least, "root").select("digest", "root", "component_id")
+
+    labels = settled(spark, "labels", labelled)
     return rows, labels
 
 
@@ -458,16 +465,20 @@ def keep_one_of_each(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc
     Rows are told apart by id and text, so rows of one id with different texts are judged
     apart, and copies without an id are copies as well. Rows with an empty set all stay.
     """
-    found = materialize(_labelled(docs, percent, doc_id, text).where("n > 0").select("doc_id", "text_key", "root"), "components")
+    spark = docs.sparkSession
+    found = settled(spark, "components", lambda: _labelled(docs, percent, doc_id, text).where("n > 0").select("doc_id", "text_key", "root"))
     which = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     keys = found.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("rows"))
     firsts = keys.groupBy("root").agg(F.min(which).alias("first"), F.count("*").alias("members"))
-    total = materialize(keys, "keys")
-    chosen = materialize(firsts, "firsts")
-    judged = join_counted(total, chosen, ["root"], "members", total.count()).select(
-        F.col("doc_id").alias("id"), "text_key", F.expr("first.doc_id <=> doc_id AND first.text_key = text_key").alias("stays"), "rows"
-    )
-    odd = materialize(judged.where("NOT stays OR rows > 1"), "odd")
+
+    def odd_rows() -> DataFrame:
+        total, chosen = materialize(keys, "keys"), materialize(firsts, "firsts")
+        judged = join_counted(total, chosen, ["root"], "members", total.count()).select(
+            F.col("doc_id").alias("id"), "text_key", F.expr("first.doc_id <=> doc_id AND first.text_key = text_key").alias("stays"), "rows"
+        )
+        return judged.where("NOT stays OR rows > 1")
+
+    odd = settled(spark, "odd", odd_rows)
 
     safe, names = clash_free(docs)
     keyed = safe.withColumns({"id": F.col(names[doc_id]).cast("long"), "text_key": F.xxhash64(F.col(names[text]).cast("string"))})
