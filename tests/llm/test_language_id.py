@@ -60,3 +60,31 @@ def test_held_out_accuracy_and_odd_texts(spark, odd, empty):
     assert len(strange) == odd.count()
     assert all((r.lang_pred == "und") == (r.doc_id in (1, 2, 3) or r.doc_id is None and r.score == 0) for r in strange)
     assert language_id(empty).count() == 0
+
+
+def number_of(gram):
+    out = 0
+    for c in gram:
+        out = out << 21 | ord(c)
+    return out
+
+
+def test_whole_table_against_dictionaries(spark):
+    """Profiles counted over all training rows, and the prediction and score of every row."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in docs.collect()] + [(None, "the cat and the dog", None), (10**6, "ü", None), (10**6, None, "xx")]
+    counts = {}
+    for i, text, lang in rows:
+        if lang is not None and (zlib.crc32(str(i).encode()) % 4 if i is not None else 0) != 2:
+            counts.setdefault(lang, Counter()).update(brute_grams(text))
+    in_order = lambda c: sorted(c, key=lambda g: (-c[g], number_of(g)))[:PROFILE]
+    profiles = {lang: {g: k for k, g in enumerate(in_order(c))} for lang, c in counts.items()}
+    wanted = Counter()
+    for i, text, _ in rows:
+        own = in_order(brute_grams(text))
+        off = {lang: sum(abs(p[g] - k) if g in p else PROFILE for k, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(off, key=lambda lang: (off[lang], lang))
+        out = i is not None and zlib.crc32(str(i).encode()) % 4 == 2
+        wanted[(i, out, best, round(1 - off[best] / (PROFILE * len(own)), 9)) if own else (i, out, "und", 0.0)] += 1
+    found = language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert Counter((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in found) == wanted
