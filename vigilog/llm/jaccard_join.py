@@ -38,10 +38,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilog.llm.common import clash_free, join_counted, light, settled, ship, small_batches
+from vigilog.llm.common import WIDE_SHARE, clash_free, join_counted, light, settled, ship, small_batches
 from vigilog.llm.components import components
 from vigilog.llm.membership import Membership
-from vigilog.llm.words import SHINGLE, distinct, pieces, sequence_hashes, shingle_set, word_hashes
+from vigilog.llm.words import SHINGLE, distinct, give_back, pieces, sequence_hashes, shingle_set, word_hashes
 from vigilog.session import materialize
 
 PERCENT = 80
@@ -53,7 +53,7 @@ COUNTED = 1_000_000  # tokens a task looks through at a time for those that seve
 SLICE = 4_000_000  # bytes of text read together, about
 SEEN = 50_000  # sets a task remembers
 RANKED = 1 << 20  # most tokens with a rank of their own in the main order, 9 bytes each
-PER_TASK = 4_000  # members compared with one copy of a class
+PER_TASK = 64  # members compared with one copy of a class, or one in WIDE_SHARE of all pairs if that is more
 
 
 def _multiplier(order: int) -> np.uint64:
@@ -180,6 +180,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield stored()
     if counted:
         yield often()
+    seen.clear()
+    give_back()
 
 
 def _stored_sets(batches: Iterator[pa.RecordBatch], wanted: Membership | None = None) -> Iterator[tuple[list[int], list[np.ndarray]]]:
@@ -306,11 +308,13 @@ def _verify(chunks: DataFrame, classes: DataFrame, pairs: DataFrame, percent: in
     """The pairs (a, b) of class numbers whose sets reach the threshold, as (u, v).
 
     Only sets of classes in a pair are fetched. A class with many partners is copied, so
-    that no task compares more than about PER_TASK of them with it.
+    that no task compares more than a small share of all pairs with it.
     """
     pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
-    parts = materialize(pairs.groupBy("a").agg(F.count("*").alias("_m")).withColumn("last", F.floor(F.col("_m") / PER_TASK).cast("int")), "parts")
-    salted = join_counted(pairs, parts, ["a"], "_m", pairs.count()).select(
+    total = pairs.count()
+    per_task = max(PER_TASK, total // WIDE_SHARE)
+    parts = materialize(pairs.groupBy("a").agg(F.count("*").alias("_m")).withColumn("last", F.floor(F.col("_m") / per_task).cast("int")), "parts")
+    salted = join_counted(pairs, parts, ["a"], "_m", total).select(
         "a", F.pmod(F.xxhash64("b"), F.col("last") + 1).cast("int").alias("salt"), "b", F.col("b").alias("cid")
     )
     own = parts.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,15 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return found, ends
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the system, before it waits for its next task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(30))) * _MIX_A
     values = (values ^ (values >> np.uint64(27))) * _MIX_B
