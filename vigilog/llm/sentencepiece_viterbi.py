@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -31,21 +32,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigilog.llm.common import clash_free, ship
+from vigilog.llm.words import give_back
 
 MODEL = "piece_bpe_32k.model"  # of the public vocabularies
 MARK = "▁"
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*")
 UNKNOWN = -1
 NEVER = float("-inf")
-TEXTS = 2048  # segmented together: the more words, the longer the prefixes that they share
+TEXTS = 2048  # segmented together: the more words, the longer the prefixes that they share; what is held besides grows with it
 
 
 class Pieces:
     """The vocabulary of a model file, and the words segmented so far (bounded)."""
 
-    most_words = 900_000
+    most_words = 400_000
     most_pairs = 1_000_000
-    most_letters = 32_000_000  # of the words kept
+    most_letters = 16_000_000  # of the words kept
 
     def __init__(self, model: bytes):
         from sentencepiece import SentencePieceProcessor
@@ -287,15 +289,21 @@ def read_model(path: str | None = None) -> bytes:
 
 
 def _encoded(pieces: Pieces, texts: pa.Array) -> pa.ListArray:
-    ids = []
-    for low in range(0, len(texts), TEXTS):
-        ids += pieces.encode(texts.slice(low, TEXTS).to_pylist())
+    ids = pieces.encode(texts.to_pylist())
     sizes = np.cumsum([0, *(0 if x is None else len(x) for x in ids)])
     missing = [x is None for x in ids]
-    offsets = pa.array(sizes, pa.int32())
     values = np.concatenate([x for x in ids if x is not None]) if not all(missing) else np.empty(0, np.int32)
     mask = pa.array(missing, pa.bool_()) if any(missing) else None
-    return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()), mask=mask)
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int32()), mask=mask)
+
+
+def _in_slices(array: pa.Array, kind: pa.DataType, job: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """``job`` on some texts at a time, so that only these are held in other forms."""
+    parts = [job(array.slice(low, TEXTS)) for low in range(0, len(array), TEXTS)]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
+_IDS = pa.list_(pa.int32())
 
 
 def encode_pieces(text: Column, model: bytes) -> Column:
@@ -303,7 +311,8 @@ def encode_pieces(text: Column, model: bytes) -> Column:
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
-        return _encoded(pieces_of(model), texts)
+        pieces = pieces_of(model)
+        return _in_slices(texts, _IDS, lambda some: _encoded(pieces, some))
 
     return encode(text)
 
@@ -313,7 +322,7 @@ def decode_pieces(ids: Column, model: bytes) -> Column:
 
     @F.arrow_udf(T.StringType())
     def decode(lists: pa.Array) -> pa.Array:
-        return pieces_of(model).decode(lists)
+        return _in_slices(lists, pa.string(), pieces_of(model).decode)
 
     return decode(ids)
 
@@ -325,8 +334,14 @@ def encode_and_decode(text: Column, model: bytes) -> Column:
     @F.arrow_udf("ids array<int>, decoded string")
     def both(texts: pa.Array) -> pa.Array:
         pieces = pieces_of(model)
-        ids = _encoded(pieces, texts)
-        return pa.StructArray.from_arrays([ids, pieces.decode(ids)], names=["ids", "decoded"])
+
+        def one(some: pa.Array) -> pa.Array:
+            ids = _encoded(pieces, some)
+            return pa.StructArray.from_arrays([ids, pieces.decode(ids)], names=["ids", "decoded"])
+
+        found = _in_slices(texts, pa.struct([("ids", _IDS), ("decoded", pa.string())]), one)
+        give_back()
+        return found
 
     return both(text)
 
