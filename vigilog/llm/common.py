@@ -50,9 +50,12 @@ def light(df: DataFrame, *arrays: str) -> DataFrame:
     return F.broadcast(df) if size <= LIGHT_ROWS else df
 
 
-def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame], compression: str = "snappy") -> DataFrame:
     """The written result of ``build()``.
 
+    Rows of large binary values are better not compressed: Parquet looks at a page's size every 100 rows, and the codec
+    holds whole pages outside the heap.
+
     Scratch that it wrote on its way is dropped, and so is what its jobs left on the executors: Spark's
     cleaner removes shuffle files and broadcasts once the driver has collected what refers to them.
     """
@@ -60,7 +63,7 @@ def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> D
     with scratch_dropped(spark):
         df = build()
         schema = df.schema
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         del df
     gc.collect()
     spark._jvm.System.gc()

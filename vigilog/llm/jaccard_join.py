@@ -402,7 +402,7 @@ def _labelled(docs: DataFrame, percent: int, doc_id: str, text: str) -> DataFram
     value = F.col(text).cast("string")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(value).alias("text_key"), value.alias("text"))
     with small_batches(docs.sparkSession):  # all steps in Python write their results within
-        described = settled(docs.sparkSession, "sets", lambda: texts.mapInArrow(_describe, _DESCRIBED_SQL))
+        described = settled(docs.sparkSession, "sets", lambda: texts.mapInArrow(_describe, _DESCRIBED_SQL), compression="none")
         rows, labels = _labels(described, percent)
     return rows.select("doc_id", "text_key", "n", "digest").join(light(labels), "digest", "left").drop("digest")
 
