@@ -57,6 +57,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 _SCRATCH: list[str] = []
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove what was written to a path of ``scratch_dir``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _SCRATCH.remove(path)
+
+
 @contextmanager
 def scratch_dropped(spark: SparkSession, *keep: str):
     """Removes, at the end of the block, what was written to scratch within it, but for the paths ``keep``.
@@ -67,11 +74,8 @@ def scratch_dropped(spark: SparkSession, *keep: str):
     try:
         yield
     finally:
-        hadoop = spark._jvm.org.apache.hadoop.fs
         for path in [p for p in _SCRATCH[before:] if p not in keep]:
-            place = hadoop.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-            _SCRATCH.remove(path)
+            drop_scratch(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
