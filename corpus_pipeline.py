@@ -9,7 +9,7 @@ from vigilog.llm.jaccard_join import keep_one_of_each
 from vigilog.llm.quality_rules import keep_good
 from vigilog.llm.secret_scans import redact_secrets
 from vigilog.llm.sentencepiece_viterbi import read_model, with_pieces
-from vigilog.session import scratch_dir, scratch_dropped
+from vigilog.session import drop_scratch, scratch_dir, scratch_dropped
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,11 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each one's result is written and read again, and dropped when the next one's is there."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = scratch_dir(spark, name)
         with scratch_dropped(spark):  # what the stage itself has written on its way
             stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            drop_scratch(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
