@@ -9,11 +9,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from vigilog import Rule, detect_events, load_rules, normalize_events, rules_from
+from vigilog.operators.normalize import parse_lines, rejected_lines
 from vigilog.operators.search import live_window
+from vigilog.plans import queries
 from vigilog.schema import EVENTS
 from vigilog.sources.event_store import append_events, create_event_table, scan_events
 from vigilog.sources.lines import paths_from_env, read_lines, switch_log_path, tail_stream, union_sources
-from vigilog.streaming.detection import DetectionStream, number_lines
+from vigilog.streaming.detection import DetectionStream, _write_all, number_lines
 from vigilog.streaming.series import stream_timeline, stream_totals
 
 LINES = "seq BIGINT, source STRING, line STRING"
@@ -255,3 +257,52 @@ def test_event_table(spark, tmp_path):
     append_events(events, "test_events")
     assert stored.count() == 2 * events.count()
     spark.sql("DROP TABLE test_events")
+
+
+def test_steps_of_a_streamed_query_are_dealt_over_the_cores(spark, tmp_path, monkeypatch):
+    """The events lie in one row group of a file that counts as many splits."""
+    class Idle:
+        def __init__(self, rules, out, **settings):
+            self.out = out
+
+        def start(self, *args, **settings):
+            return self
+
+        def awaitTermination(self):
+            pass
+
+    rows = spark.range(4000).selectExpr("id AS event_id", "id % 7 AS user_id", "'view' AS event_type")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(queries, "DetectionStream", Idle)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert spark.read.parquet(f"{tmp_path}/events.parquet").rdd.getNumPartitions() >= 4
+        folder = queries._stream(spark, str(tmp_path), lambda step: []).out.removesuffix("/out")
+        lines = spark.read.parquet(f"{folder}/lines")
+        files = lines.groupBy((F.col("seq") >= 2000).alias("step"), F.input_file_name()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    assert sum(f["count"] for f in files) == 4000
+    for step in (False, True):
+        assert max(f["count"] for f in files if f["step"] == step) <= 1000
+
+
+def test_one_pass_gives_events_and_rejected_lines(spark):
+    odd = [(900, "mail", "May 01 12:00:00 a b: c"), (901, "auth", None), (902, None, "x"), (903, "auth", ""), (None, "fim", "broken")]
+    lines = spark.createDataFrame([*make_lines(), *odd], LINES).withColumn("ingest_ts", F.expr("TIMESTAMP_NTZ'2026-05-01 00:00:00'"))
+    parsed = parse_lines(lines, ref_year=2026)
+
+    def rows(frame):
+        return sorted(map(str, frame.collect()))
+
+    assert rows(parsed.where("is_event").drop("is_event", "line")) == rows(normalize_events(lines, ref_year=2026))
+    assert rows(parsed.where("NOT is_event").select("seq", "source", "line")) == rows(rejected_lines(lines))
+    assert parsed.where("is_event AND line IS NOT NULL").count() == 0
+
+
+def test_a_result_that_cannot_be_written_fails_the_batch(spark, tmp_path):
+    good, bad = spark.range(3), spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="no"):
+        _write_all(spark, {f"{tmp_path}/good": good, f"{tmp_path}/bad": bad})
+    assert spark.read.parquet(f"{tmp_path}/good").count() == 3

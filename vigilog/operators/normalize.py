@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -40,11 +40,29 @@ def normalize_events(
     stamps, by default that of ``ingest_ts``.
     """
     formats = _formats(sources)
+    known = lines.where(F.col("source").isin([f.source for f in formats]))
+    return _parsed(known, formats, ref_year, F.explode)
+
+
+def parse_lines(lines: DataFrame, *, ref_year: int | None = None) -> DataFrame:
+    """``normalize_events`` and ``rejected_lines`` in one pass, for a caller that stores the result and needs both.
+
+    Each line is a row of the event layout with ``is_event``; ``line`` is kept of those that are none.
+    """
+    return _parsed(lines, FORMATS, ref_year, F.explode_outer, with_rejected=True)
+
+
+def _parsed(
+    lines: DataFrame, formats: tuple[LineFormat, ...], ref_year: int | None, unpack: Callable[[Column], Column], with_rejected: bool = False
+) -> DataFrame:
     now = _ingest_ts(lines)
     year = F.lit(ref_year) if ref_year is not None else F.year("_now")
     g, d, t = Groups(F.col("_g")), Groups(F.col("_d")), Groups(F.col("_t"))
 
     source, line = F.col("source"), F.col("_line")
+    whole = [F.col("line")] if with_rejected else []
+    rejected = [F.when(~F.coalesce(is_recast(line), F.lit(False)), F.col("line")).alias("line")] if with_rejected else []
+    judged = [F.col("_g").isNotNull().alias("is_event"), F.col("line")] if with_rejected else []
 
     # Each step reads columns of the step before, so every regex runs once per line.
     # explode of a zero- or one-element array drops unparsed lines; a filter on the
@@ -55,10 +73,9 @@ def normalize_events(
     extra = by_source(source, formats, lambda f: f.extra(g, d))
     fields = event_fields(source, g, d)
     return (
-        lines.where(source.isin([f.source for f in formats]))
-        .select("seq", "source", strip(F.col("line")).alias("raw"), now.alias("_now"))
+        lines.select("seq", "source", strip(F.col("line")).alias("raw"), now.alias("_now"), *whole)
         .select("*", by_source(source, formats, lambda f: f.recast(F.col("raw"))).alias("_line"))
-        .select("seq", "source", "raw", "_now", F.explode(F.when(is_recast(line), F.array(groups))).alias("_g"))
+        .select("seq", "source", "raw", "_now", unpack(F.when(is_recast(line), F.array(groups))).alias("_g"), *rejected)
         .select("*", detail.alias("_detail"), time.alias("_time"))
         .select("*", fields_of(F.col("_detail"), DETAIL_FIELDS).alias("_d"), fields_of(F.col("_time"), 7).alias("_t"))
         .select("*", event_ts(source, g, t, year).alias("_ts"), extra.alias("extra"))
@@ -72,6 +89,7 @@ def normalize_events(
             F.lit(None).cast("string").alias("rule_triggered"),
             *[fields[name].alias(name) for name in ("path", "direction")],
             "extra",
+            *judged,
         )
     )
 

@@ -693,8 +693,9 @@ def _live_window_200(spark, sf_dir):
 # ---- streams: the whole table in time order, in steps, with a restart in between
 
 def _stream(spark, sf_dir, rules: Callable[[int], Sequence[Rule]]) -> DetectionStream:
-    lines, base = log_lines(spark, sf_dir), scratch_dir(spark, "stream")
-    first, last = lines.agg(F.min("seq"), F.max("seq")).first()
+    # a step is a range of the table, so it must not hang on the row groups and files that hold it
+    lines, base = log_lines(spark, sf_dir, spread=True), scratch_dir(spark, "stream")
+    first, last = log_lines(spark, sf_dir).agg(F.min("seq"), F.max("seq")).first()
     for step in range(_STEPS):
         low, high = (first + (last + 1 - first) * k // _STEPS for k in (step, step + 1))
         lines.where((F.col("seq") >= low) & (F.col("seq") < high)).write.mode("append").parquet(f"{base}/lines")

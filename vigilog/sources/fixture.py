@@ -103,17 +103,24 @@ def metric_samples_sql(events: str = "events", *, duckdb: bool = False) -> str:
     return _SAMPLES.format(events=events, base=base)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table; a file too small to give every core a task is spread first."""
+def _events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The events table; a file too small to give every core a task is spread first.
+
+    Splits of a file are counted by its bytes, its rows come by row groups: of a few large
+    groups most splits are empty. With ``spread`` every core gets a range of as many rows.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type")
     cores = spark.sparkContext.defaultParallelism
+    if spread:
+        return events.repartitionByRange(cores, "event_id")
     if events.rdd.getNumPartitions() < cores:
         events = events.repartition(cores, "event_id")
     return events
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(log_lines_sql("{src}"), src=_events(spark, sf_dir))
+def log_lines(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """All lines; with ``spread``, any range of ``seq`` is dealt evenly over the cores."""
+    return spark.sql(log_lines_sql("{src}"), src=_events(spark, sf_dir, spread))
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,11 @@ stateful operator: the batch's shuffles spread a flooding address by time.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigilog.functions.timestamps import wall_clock
 from vigilog.operators.detect import apply_rules, decide, spread_tests
-from vigilog.operators.normalize import normalize_events, rejected_lines
+from vigilog.operators.normalize import parse_lines
 from vigilog.operators.outputs import alert_messages, event_feed_json
 from vigilog.operators.rate import (
     constant_tests,
@@ -136,23 +137,33 @@ class DetectionStream:
         now = wall_clock(at)
         rules = list(self.rules_of(batch_id))
         store = self.store(spark)
-        lines = (lines if "ingest_ts" in lines.columns else lines.withColumn("ingest_ts", now)).persist(StorageLevel.DISK_ONLY)
-        if "seq" not in lines.columns:
-            lines = number_lines(lines, batch_id)
-        events = normalize_events(lines, ref_year=self.ref_year).persist(StorageLevel.DISK_ONLY)
+        if "ingest_ts" not in lines.columns:
+            lines = lines.withColumn("ingest_ts", now)
+        numbered = "seq" in lines.columns
+        if not numbered:
+            lines = lines.persist(StorageLevel.DISK_ONLY)  # places are counted and then given: one order for both
+        # what is stored is all that the batch parses: events and rejected lines
+        placed = lines if numbered else number_lines(lines, batch_id)
+        parsed = parse_lines(placed, ref_year=self.ref_year).persist(StorageLevel.DISK_ONLY)
         try:
+            events = parsed.where("is_event").drop("is_event", "line")
             store.commit(self._detect(events, rules, at, batch_id), _key(batch_id))
-            rejected_lines(lines).write.mode("overwrite").parquet(self.path("rejected", batch_id))
+            stored = store.scan(key=_key(batch_id)).drop("event_date")
+            _write_all(
+                spark,
+                {
+                    self.path("rejected", batch_id): parsed.where(~F.col("is_event")).select("seq", "source", "line"),
+                    self.path("feed", batch_id): event_feed_json(stored),
+                    self._live_path(batch_id): self._newest(stored, batch_id),
+                    self.path("alerts", batch_id): alert_messages(stored),
+                    self.path("timeline", batch_id): timeline_counts(stored),
+                    self.path("counters", batch_id): events_total(stored),
+                },
+            )
         finally:
-            events.unpersist()
-            lines.unpersist()
-
-        stored = store.scan(key=_key(batch_id)).drop("event_date")
-        alert_messages(stored).write.mode("overwrite").parquet(self.path("alerts", batch_id))
-        event_feed_json(stored).write.mode("overwrite").parquet(self.path("feed", batch_id))
-        events_total(stored).write.mode("overwrite").parquet(self.path("counters", batch_id))
-        timeline_counts(stored).write.mode("overwrite").parquet(self.path("timeline", batch_id))
-        self._newest(stored, batch_id).write.mode("overwrite").parquet(self._live_path(batch_id))
+            parsed.unpersist()
+            if not numbered:
+                lines.unpersist()
         if self.compact_every and len(store.keys()) > self.compact_every:
             store.compact()
 
@@ -214,6 +225,18 @@ class DetectionStream:
         return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{self.out}/{output}")
 
 
+def _write_all(spark: SparkSession, outputs: dict[str, DataFrame]) -> None:
+    """Write independent results side by side, so that cores left idle by the end of one serve the next."""
+    def write(item: tuple[str, DataFrame]) -> None:
+        path, frame = item
+        frame.write.mode("overwrite").parquet(path)
+
+    # the threads belong to the batch's job group, so stopping the stream stops them
+    with ThreadPoolExecutor(len(outputs)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write), item) for item in outputs.items()]:
+            done.result()
+
+
 def _key(batch_id: int) -> str:
     return f"batch-{batch_id}"
 
