@@ -4,6 +4,10 @@ import random
 import re
 import time
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from vigilog.llm import secret_scans
 from vigilog.llm.secret_scans import BASE_KINDS, KINDS, Scanner, checksum62, redact_secrets, secret_spans, written
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -109,3 +113,17 @@ def _is_jwt(token):
         return "alg" in json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
     except (ValueError, TypeError):
         return False
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """Texts of 40 MB in one task: a batch of rows by number would hold all of them."""
+    held = F.arrow_udf(lambda texts: pa.array([str(texts.nbytes)] * len(texts), pa.string()), "string")
+    monkeypatch.setattr(secret_scans, "_replace", held)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        docs = spark.range(400, numPartitions=1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+        most = redact_secrets(docs).agg(F.max(F.col("text").cast("long"))).first()[0]
+    finally:
+        spark.conf.set(setting, before)
+    assert most <= 5_000_000

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilog.llm.common import clash_free, ship
+from vigilog.llm.common import clash_free, keep_batches_small, ship
 
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -176,6 +176,7 @@ def written(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
 def redact_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """``docs`` with secrets replaced by their kind in brackets, and ``n_chars``, if there is one, counted anew."""
     ship(docs.sparkSession)
+    keep_batches_small(docs.sparkSession)  # whole texts go to Python and come back
     safe, names = clash_free(docs)
     done = safe.withColumn("redacted", _replace(names[text]))
     out = dict.fromkeys(docs.columns)
