@@ -1,8 +1,10 @@
 """Committed event folders: whole commits, repeated keys, newest days, compaction."""
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 
 from test_rules import make_events
 from vigilog.operators import search
@@ -87,3 +89,14 @@ def test_newest_days_first(spark, store):
     assert store.newest_days(6, "CRITICAL") is None
     text = plan(search.latest_events(store.newest(3), 3))
     assert "event_date" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_newest_of_each_reads_no_more_days_than_hold_them(spark, store):
+    """Days 0 to 5 have 3 events of auth each, and days 0 and 1 one of fim."""
+    days = [day_of(spark, 10 * day, day, source="auth") for day in range(6)] + [day_of(spark, 100 + day, day, n=1, source="fim") for day in range(2)]
+    store.commit(reduce(DataFrame.union, days), "batch-0")
+    found = store.scan(key="batch-0").where(store.newest_of_each(4, "batch-0"))
+    assert seqs(found) == [40, 41, 42, 50, 51, 52, 100, 101]
+    scan = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("DataFilters")[0]
+    assert "event_date" in scan and "source" in scan  # the other days are not opened
+    assert store.scan(key="none").where(store.newest_of_each(4, "none")).count() == 0

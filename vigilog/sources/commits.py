@@ -19,7 +19,7 @@ from collections import Counter
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,6 +139,23 @@ class EventStore:
         events = self.scan()
         return events if since is None else events.where(F.col("event_date") >= F.lit(since))
 
+    def newest_of_each(self, n: int, key: str) -> Column:
+        """Condition on the events of a commit, by its counts: the newest days that hold ``n`` of each source and severity."""
+        found: dict[tuple, Counter] = {}
+        entry = self._list()["entries"].get(key, {"counts": []})
+        for day, source, level, rows in entry["counts"]:
+            found.setdefault((source, level), Counter())[day] += rows
+        chosen = F.lit(False)
+        for (source, level), days in found.items():
+            left, wanted = n, F.col("source").eqNullSafe(F.lit(source)) & (F.col("severity") == F.lit(level))
+            for day in sorted(days, reverse=True):
+                left -= days[day]
+                if left <= 0:
+                    wanted = wanted & (F.col("event_date") >= F.lit(date.fromisoformat(day)))
+                    break
+            chosen = chosen | wanted
+        return chosen
+
     def compact(self, keep: int = 1) -> None:
         """Gather all but the ``keep`` newest commits; these may run again and stay as they are."""
         now = self._list()

@@ -148,13 +148,14 @@ class DetectionStream:
         try:
             events = parsed.where("is_event").drop("is_event", "line")
             store.commit(self._detect(events, rules, at, batch_id), _key(batch_id))
-            stored = store.scan(key=_key(batch_id)).drop("event_date")
+            dated = store.scan(key=_key(batch_id))
+            stored, newest = dated.drop("event_date"), dated.where(store.newest_of_each(LIVE_ROWS, _key(batch_id))).drop("event_date")
             _write_all(
                 spark,
                 {
                     self.path("rejected", batch_id): parsed.where(~F.col("is_event")).select("seq", "source", "line"),
                     self.path("feed", batch_id): event_feed_json(stored),
-                    self._live_path(batch_id): self._newest(stored, batch_id),
+                    self._live_path(batch_id): self._newest(newest, batch_id),
                     self.path("alerts", batch_id): alert_messages(stored),
                     self.path("timeline", batch_id): timeline_counts(stored),
                     self.path("counters", batch_id): events_total(stored),
