@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from vigilog import normalize_events, rejected_lines
 from vigilog.functions.http import classify_http_attack
+from vigilog.functions.text import FLAGS, NS, S
 from vigilog.functions.timestamps import epoch_micros, format_iso
+from vigilog.operators.normalize import parse_lines
 
 AUTH = "May 21 10:23:45 server sshd[1234]: "
 ACCESS = '1.2.3.4 - - [21/May/2026:10:23:45 +0000] "{} HTTP/1.1" {} {}'
@@ -163,3 +165,18 @@ def test_iso_text(spark):
 def test_attack_class(spark, path, attack):
     df = spark.createDataFrame([(path,)], "path STRING")
     assert df.select(classify_http_attack(F.col("path"))).first()[0] == attack
+
+
+def test_blanks_are_the_unicode_ones(spark):
+    """The classes that most characters pass at their first member hold the same characters as the plain ones."""
+    text = spark.createDataFrame([(chr(i),) for i in range(0x3100) if not 0xD800 <= i < 0xE000], "c string")
+    for quick, plain in ((S, r"[\s\x1c-\x1f]"), (NS, r"[^\s\x1c-\x1f]")):
+        both = text.select(*[F.col("c").rlike(f"{FLAGS}^{p}\\z").alias(n) for n, p in (("quick", quick), ("plain", plain))])
+        assert both.where("quick != plain").count() == 0 and both.where("quick").count() > 20
+
+
+def test_where_all_lines_stay_the_groups_are_a_plain_column(spark):
+    lines = spark.createDataFrame([(1, "auth", AUTH + "Invalid user a from 1.1.1.1"), (2, "auth", "broken")], "seq long, source string, line string")
+    parsed = parse_lines(lines, ref_year=2026)
+    assert "Generate" not in parsed._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in parsed.orderBy("seq").select("seq", "is_event", "action", "line").collect()] == [(1, True, "invalid_user", None), (2, False, None, "broken")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +41,7 @@ def normalize_events(
     """
     formats = _formats(sources)
     known = lines.where(F.col("source").isin([f.source for f in formats]))
-    return _parsed(known, formats, ref_year, F.explode)
+    return _parsed(known, formats, ref_year)
 
 
 def parse_lines(lines: DataFrame, *, ref_year: int | None = None) -> DataFrame:
@@ -49,12 +49,10 @@ def parse_lines(lines: DataFrame, *, ref_year: int | None = None) -> DataFrame:
 
     Each line is a row of the event layout with ``is_event``; ``line`` is kept of those that are none.
     """
-    return _parsed(lines, FORMATS, ref_year, F.explode_outer, with_rejected=True)
+    return _parsed(lines, FORMATS, ref_year, with_rejected=True)
 
 
-def _parsed(
-    lines: DataFrame, formats: tuple[LineFormat, ...], ref_year: int | None, unpack: Callable[[Column], Column], with_rejected: bool = False
-) -> DataFrame:
+def _parsed(lines: DataFrame, formats: tuple[LineFormat, ...], ref_year: int | None, with_rejected: bool = False) -> DataFrame:
     now = _ingest_ts(lines)
     year = F.lit(ref_year) if ref_year is not None else F.year("_now")
     g, d, t = Groups(F.col("_g")), Groups(F.col("_d")), Groups(F.col("_t"))
@@ -66,16 +64,18 @@ def _parsed(
 
     # Each step reads columns of the step before, so every regex runs once per line.
     # explode of a zero- or one-element array drops unparsed lines; a filter on the
-    # rewritten line would be pushed below it and run the regex twice.
+    # rewritten line would be pushed below it and run the regex twice. Where all lines
+    # stay, nothing is dropped, and the groups are a plain column.
     groups = by_source(source, formats, lambda f: fields_of(line, len(f.keep)))
     detail = by_source(source, formats, lambda f: f.detail(g))
     time = by_source(source, formats, lambda f: f.time(g) if f.time else None).cast("string")
     extra = by_source(source, formats, lambda f: f.extra(g, d))
+    kept = F.when(is_recast(line), groups) if with_rejected else F.explode(F.when(is_recast(line), F.array(groups)))
     fields = event_fields(source, g, d)
     return (
         lines.select("seq", "source", strip(F.col("line")).alias("raw"), now.alias("_now"), *whole)
         .select("*", by_source(source, formats, lambda f: f.recast(F.col("raw"))).alias("_line"))
-        .select("seq", "source", "raw", "_now", unpack(F.when(is_recast(line), F.array(groups))).alias("_g"), *rejected)
+        .select("seq", "source", "raw", "_now", kept.alias("_g"), *rejected)
         .select("*", detail.alias("_detail"), time.alias("_time"))
         .select("*", fields_of(F.col("_detail"), DETAIL_FIELDS).alias("_d"), fields_of(F.col("_time"), 7).alias("_t"))
         .select("*", event_ts(source, g, t, year).alias("_ts"), extra.alias("extra"))
