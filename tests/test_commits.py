@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 from functools import reduce
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import DataFrame
 
@@ -100,3 +101,13 @@ def test_newest_of_each_reads_no_more_days_than_hold_them(spark, store):
     scan = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("DataFilters")[0]
     assert "event_date" in scan and "source" in scan  # the other days are not opened
     assert store.scan(key="none").where(store.newest_of_each(4, "none")).count() == 0
+
+
+def test_no_dictionary_is_built_of_raw_lines(spark, store, tmp_path):
+    """Lines differ, so a dictionary of them is work for nothing; names that repeat keep theirs."""
+    store.append(day_of(spark, 0, 0, raw="May 01 12:00:00 a b: c", action="login"))
+    for path in (tmp_path / "events" / "data").rglob("*.parquet"):
+        group = pq.ParquetFile(path).metadata.row_group(0)
+        coded = {group.column(i).path_in_schema: group.column(i).has_dictionary_page for i in range(group.num_columns)}
+        assert coded["action"] and not coded["raw"]
+    assert store.scan().where("raw = 'May 01 12:00:00 a b: c'").count() == 3

@@ -9,10 +9,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from vigilog import Rule, detect_events, load_rules, normalize_events, rules_from
+from vigilog.operators import detect
 from vigilog.operators.normalize import parse_lines, rejected_lines
 from vigilog.operators.search import live_window
 from vigilog.plans import queries
 from vigilog.schema import EVENTS
+from vigilog.sources.commits import EventStore
 from vigilog.sources.event_store import append_events, create_event_table, scan_events
 from vigilog.sources.lines import paths_from_env, read_lines, switch_log_path, tail_stream, union_sources
 from vigilog.streaming.detection import DetectionStream, _write_all, number_lines
@@ -306,3 +308,27 @@ def test_a_result_that_cannot_be_written_fails_the_batch(spark, tmp_path):
     with pytest.raises(Exception, match="no"):
         _write_all(spark, {f"{tmp_path}/good": good, f"{tmp_path}/bad": bad})
     assert spark.read.parquet(f"{tmp_path}/good").count() == 3
+
+
+@pytest.mark.parametrize("light", [detect.LIGHT_OUTCOMES, 0])
+def test_events_of_a_batch_that_cannot_fire_are_in_no_join_shuffle(spark, tmp_path, monkeypatch, light):
+    """What fires is written first: broadcast if it is small; else only events whose key is among it are shuffled."""
+    monkeypatch.setattr(detect, "LIGHT_OUTCOMES", light)
+    plans, commit, rows = [], EventStore.commit, make_lines()
+
+    def noted(store, events, key):
+        plans.append(events._jdf.queryExecution().sparkPlan().toString())
+        commit(store, events, key)
+
+    monkeypatch.setattr(EventStore, "commit", noted)
+    stream = DetectionStream(RULES, f"{tmp_path}/out", ref_year=2026)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for batch_id, part in enumerate((rows[:100], rows[100:])):
+            stream.process(spark.createDataFrame(part, LINES), batch_id)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert len(plans) == 2 and all(("BroadcastHashJoin" in p, "shiftrightunsigned" in p) == (light > 0, light == 0) for p in plans)
+    whole = normalize_events(spark.createDataFrame(rows, LINES), ref_year=2026)
+    assert keys(stream.outputs(spark, "events", EVENTS)) == keys(detect_events(whole, RULES))

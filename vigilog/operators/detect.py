@@ -26,6 +26,9 @@ from vigilog.operators.rate import (
 from vigilog.session import materialize
 from vigilog.sources.rules import Rule
 
+# Writes a table under a name and reads it back.
+Store = Callable[[DataFrame, str], DataFrame]
+
 
 def _matched_array(rules: Sequence[Rule], tests: Sequence[str]) -> str:
     """SQL for ``[(rule_ord, rule, rule_severity), …]`` of the rules that hold."""
@@ -139,36 +142,39 @@ def _filter_words(outcomes: DataFrame) -> DataFrame:
     return every.agg(F.sort_array(F.collect_list(F.struct("id", "word")))["word"].alias("words"))
 
 
-def _may_fire(outcomes: DataFrame) -> Column:
+def _may_fire(outcomes: DataFrame, store: Store = materialize) -> Column:
     """Whether an event's outcome key may be there: no false no, a false yes as often as the filter is full."""
-    words = materialize(_filter_words(outcomes), "filter").scalar()
+    words = store(_filter_words(outcomes), "filter").scalar()
     slot = _slot_of_key()
     word = F.element_at(words, (F.shiftright(slot, 6) + 1).cast("int"))
     return F.call_function("shiftrightunsigned", word, slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def decide(
-    events: DataFrame, rules: Sequence[Rule], outcomes: DataFrame, columns: Sequence[str], clock: str = "ts", written: bool = False
+    events: DataFrame, rules: Sequence[Rule], outcomes: DataFrame, columns: Sequence[str], clock: str = "ts", store: Store | None = None
 ) -> DataFrame:
     """``events`` with the last rule that holds, given what fires the rate rules.
 
-    Events of sources that no rate counts are not joined, so they are in no shuffle. If
-    the outcomes are ``written``, they are broadcast if they are few; else a filter on
-    their keys keeps all other events out of the join, too.
+    Events of sources that no rate counts are not joined, so they are in no shuffle. With
+    a ``store``, which writes a table and reads it back, the outcomes are written first: they
+    are broadcast if they are few; else a filter on their keys keeps all other events out of
+    the join, too.
     """
     rated = rate_rules(rules)
-    if written and _weight(outcomes) <= LIGHT_OUTCOMES:
+    if store is not None:
+        outcomes = store(outcomes, "outcomes")
+    if store is not None and _weight(outcomes) <= LIGHT_OUTCOMES:
         joined, tests = with_rate_tests(events, F.broadcast(outcomes), rated, clock)
         return apply_rules(joined, rules, spread_tests(rules, tests), columns)
     sources = counted_sources(rated)
     loud = F.lit(True) if sources is None else F.coalesce(F.col("source").isin(sources), F.lit(False))
     keyed = events
-    if written:
+    if store is not None:
         keyed = outcome_keys(events, rated, clock)
-        loud = loud & _may_fire(outcomes)
+        loud = loud & _may_fire(outcomes, store)
     joined, tests = with_rate_tests(keyed.where(loud).select(*events.columns), outcomes, rated, clock)
     decided = apply_rules(joined, rules, spread_tests(rules, tests), columns)
-    if sources is None and not written:
+    if sources is None and store is None:
         return decided
     silent = ["false" if t not in ("true", "false") else t for t in tests]
     quiet = apply_rules(keyed.where(~loud).select(*events.columns), rules, spread_tests(rules, silent), columns)
@@ -189,7 +195,7 @@ def detect_events(events: DataFrame, rules: Sequence[Rule], staged: bool = False
     if not must_count(rated):
         return apply_rules(events, rules, spread_tests(rules, constant_tests(rated)), columns)
     outcomes = outcomes_of(events, rated)
-    return decide(events, rules, materialize(outcomes, "outcomes") if staged else outcomes, columns, written=staged)
+    return decide(events, rules, outcomes, columns, store=materialize if staged else None)
 
 
 def detect_between(events: DataFrame, rules: Sequence[Rule], start: datetime, end: datetime) -> DataFrame:

@@ -136,7 +136,8 @@ def rate_firings(edges: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         .repartition("rule_no", "ip_key", "_slot")  # serves what follows, so that it moves rows once
         .dropDuplicates(["rule_no", "ip_key", "_slot", "us", "seq"])
     )
-    by_time = Window.partitionBy("rule_no", "ip_key", "_slot").orderBy("us", "seq")
+    # cells follow each other in time, so one sort serves both windows
+    by_time = Window.partitionBy("rule_no", "ip_key", "_slot").orderBy("_cell", "us", "seq")
     in_cell = Window.partitionBy("rule_no", "ip_key", "_slot", "_cell")
     counted = [(i, r) for i, r in enumerate(rules) if _always(r) is None]
     distances = sorted({r.rate[0] for _, r in counted})

@@ -20,7 +20,7 @@ from vigilog.operators.rate import rate_rules
 from vigilog.plans import oracle as o
 from vigilog.schema import EVENTS, SOURCES
 from vigilog.session import scratch_dir, tune
-from vigilog.sources.commits import EventStore
+from vigilog.sources.commits import EventStore, plain
 from vigilog.sources.event_store import append_events, create_event_table, scan_events
 from vigilog.sources.fixture import REF_YEAR, log_lines, metric_samples
 from vigilog.sources.lines import read_lines, switch_log_path, tail_stream, union_sources
@@ -698,7 +698,7 @@ def _stream(spark, sf_dir, rules: Callable[[int], Sequence[Rule]]) -> DetectionS
     first, last = log_lines(spark, sf_dir).agg(F.min("seq"), F.max("seq")).first()
     for step in range(_STEPS):
         low, high = (first + (last + 1 - first) * k // _STEPS for k in (step, step + 1))
-        lines.where((F.col("seq") >= low) & (F.col("seq") < high)).write.mode("append").parquet(f"{base}/lines")
+        lines.where((F.col("seq") >= low) & (F.col("seq") < high)).write.mode("append").options(**plain("line")).parquet(f"{base}/lines")
         job = DetectionStream(rules(step), f"{base}/out", ref_year=REF_YEAR)
         arriving = spark.readStream.schema(lines.schema).parquet(f"{base}/lines")
         job.start(arriving, f"{base}/checkpoint", availableNow=True).awaitTermination()

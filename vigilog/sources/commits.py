@@ -32,6 +32,11 @@ KEPT_LISTS = 5
 COMMITS = 40
 
 
+def plain(*columns: str) -> dict[str, str]:
+    """Options of a Parquet writer for columns of texts that hardly repeat: no dictionary is built of them."""
+    return {f"parquet.enable.dictionary#{c}": "false" for c in columns}
+
+
 class EventStore:
     """Events below ``path``: ``commits`` holds the lists, ``data`` the folders."""
 
@@ -73,7 +78,7 @@ class EventStore:
         """Write a folder; the rebalance hint gathers a day and source into few files and splits a large one."""
         folder = f"folder={uuid.uuid4().hex}"
         rows = events.select(*EVENTS.names).withColumns({"severity": F.coalesce("severity", F.lit("INFO")), "event_date": F.to_date("ts")})
-        rows.hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).parquet(f"{self.path}/data/{folder}")
+        rows.hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).options(**plain("raw")).parquet(f"{self.path}/data/{folder}")
         counts = self._folders([folder]).groupBy(*PARTITIONS, "severity").agg(F.count("*").alias("n")).collect()  # days x 15
         return {"folder": folder, "counts": [[r["event_date"].isoformat(), r["source"], r["severity"], r["n"]] for r in counts]}
 

@@ -46,7 +46,7 @@ from vigilog.operators.search import LIVE_ROWS, live_window
 from vigilog.operators.stats import events_total
 from vigilog.operators.timeline import timeline_counts
 from vigilog.schema import EVENTS
-from vigilog.sources.commits import COMMITS, EventStore
+from vigilog.sources.commits import COMMITS, EventStore, plain
 from vigilog.sources.rules import Rule
 
 STATE = T.StructType(
@@ -206,7 +206,13 @@ class DetectionStream:
 
         written = _numbered(events.sparkSession.read.schema(STATE).parquet(state), rated)
         outcomes = rate_outcomes(rate_firings(written.drop("age"), rated), rated)
-        return decide(events, rules, outcomes, EVENTS.names, clock)
+        return decide(events, rules, outcomes, EVENTS.names, clock, store=lambda df, name: self._kept(df, name, batch_id))
+
+    def _kept(self, table: DataFrame, name: str, batch_id: int) -> DataFrame:
+        """A table that the batch needs itself, written and read back; as the batch's state, it is replaced later on."""
+        path = f"{self.out}/{name}/slot={batch_id % _STATE_SLOTS}"
+        table.write.mode("overwrite").parquet(path)
+        return table.sparkSession.read.schema(table.schema).parquet(path)
 
     def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame:
         previous = self.state_path(batch_id - 1)
@@ -230,7 +236,7 @@ def _write_all(spark: SparkSession, outputs: dict[str, DataFrame]) -> None:
     """Write independent results side by side, so that cores left idle by the end of one serve the next."""
     def write(item: tuple[str, DataFrame]) -> None:
         path, frame = item
-        frame.write.mode("overwrite").parquet(path)
+        frame.write.mode("overwrite").options(**plain("raw", "line", "message")).parquet(path)
 
     # the threads belong to the batch's job group, so stopping the stream stops them
     with ThreadPoolExecutor(len(outputs)) as pool:
