@@ -119,3 +119,34 @@ def test_without_broadcasts(spark, monkeypatch):
     texts = [(i, prose(i, 50) + " " + items[i][1]) for i in range(6)] + [(9, prose(9, 60))]
     found = with_leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {r.doc_id: r.leaked_items for r in found.collect()} == {i: [i] if i < 6 else [] for i, _ in texts}
+
+
+def test_growing_tables_are_not_broadcast_by_their_files(spark, monkeypatch):
+    """Small files are no leave to broadcast: rows that repeat their values are a hundred times as large in the driver's memory."""
+    monkeypatch.setattr(common, "LIGHT_ROWS", -1)
+    items = [(i, prose(500 + i, 15 + i)) for i in range(6)] + [(7, "two words")]
+    texts = [(i, prose(i, 50) + " " + items[i][1]) for i in range(7)] + [(9, prose(9, 60))]
+    plans = {}
+
+    def planned(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, name)
+
+    monkeypatch.setattr(decontamination, "materialize", planned)
+    found = judged(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    plans["result"] = found._jdf.queryExecution().executedPlan().toString()
+    joined = ("rarest", "hits", "carried", "windows", "leaks", "result")
+    assert all("SortMergeJoin" in plans[k] for k in joined)
+    assert not [k for k in joined if "Broadcast" in plans[k]]
+    assert {r.doc_id: r.leaked_items for r in found.collect()} == {i: [items[i][0]] if i < 7 else [] for i, _ in texts}
+
+
+def test_a_few_texts_with_many_ids_are_not_broadcast(spark, monkeypatch):
+    """Of lists of ids the elements count: an item may have any number of ids."""
+    monkeypatch.setattr(common, "LIGHT_ROWS", 50)
+    passage = prose(500, 30)
+    items = [(i, passage) for i in range(60)]
+    texts = [(1, prose(1, 20) + " " + passage), (2, prose(2, 60))]
+    found = judged(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.leaked_items for r in found.collect()} == {1: list(range(60)), 2: []}
